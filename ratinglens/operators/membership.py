@@ -40,7 +40,7 @@ def pending_tags(tags: DataFrame, done: DataFrame, tag: str = "tag", position: s
 def year_spine(yearly: DataFrame, first: int, last: int, year: str = "year", count: str = "n") -> DataFrame:
     """Every year of the range; years without rows count zero."""
     years = yearly.sparkSession.range(1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last))).cast("int").alias(year)
+        F.explode(F.sequence(F.lit(first), F.lit(last))).alias(year)
     )
     return years.join(yearly, year, "left").select(year, F.coalesce(count, F.lit(0)).cast("bigint").alias(count))
 

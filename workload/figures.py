@@ -54,7 +54,7 @@ def score_density(spark: SparkSession, d: str) -> DataFrame:
 SCORE_DENSITY = with_ctes(
     "rated",
     body="""SELECT CAST(p AS INTEGER) AS point, round(any_value(lo + p * (hi - lo) / 199), 6) AS x,
-                   round(sum(k * exp(-((lo + p * (hi - lo) / 199 - score) / h) ** 2 / 2) / (n * h * sqrt(2 * pi()))), 6) AS density
+                   round(sum(k * exp(0 - pow((lo + p * (hi - lo) / 199 - score) / h, 2) / 2) / (n * h * sqrt(2 * pi()))), 6) AS density
             FROM (SELECT score, count(*) AS k FROM rated GROUP BY 1),
                  (SELECT min(score) AS lo, max(score) AS hi, count(*) AS n, stddev_samp(score) * count(*) ** (-0.2) AS h FROM rated),
                  (SELECT unnest(range(200)) AS p) GROUP BY p""",
