@@ -152,13 +152,13 @@ def stream_outcome_rates(spark: SparkSession, d: str) -> DataFrame:
     return rates.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("slice_start", "slice_end")})
 
 
-# the watermark ends one hour before the newest event: later slices stay open
+# the watermark ends one hour before the newest event the job keeps: later slices stay open
 STREAM_OUTCOME_RATES = with_ctes(
     "collection_events",
     body="""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS slice_start,
                    strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS slice_end,
                    count(*) FILTER (ok) AS successes, count(*) FILTER (NOT ok) AS failures FROM collection_events
-            WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""",
+            WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM collection_events) GROUP BY ALL""",
 )
 
 
@@ -175,7 +175,7 @@ STREAM_FAILURE_BURSTS = with_ctes(
             FROM (SELECT *, sum(CASE WHEN gap THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY ts, event_id) AS run
                   FROM (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY entity_id ORDER BY ts, event_id) + INTERVAL 6 HOUR, true) AS gap
                         FROM collection_events WHERE NOT ok))
-            GROUP BY entity_id, run HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+            GROUP BY entity_id, run HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM collection_events WHERE NOT ok)""",
 )
 
 QUERIES = {
