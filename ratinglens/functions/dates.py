@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ratinglens.labels import OLDEST_YEAR, ZH, Labels
 
 _ZONE_AT_END = r"(?i)(Z|[+-]\d{2}:?\d{2})$"
-_PARTIAL = r"^(\d{4})(?:-(\d{1,2})(?:-(\d{1,2}))?)?$"
+_PARTIAL = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2})?)?$"
 _ANYWHERE = r"(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?"
 
 
@@ -38,11 +38,12 @@ def partial_date(
     """Struct (year, month, day, iso, precision); no missing month or day is invented."""
     text = F.trim(c)
     shaped = text.rlike(_PARTIAL)
-    year = F.regexp_extract(text, _PARTIAL, 1).try_cast("int")
-    month = F.regexp_extract(text, _PARTIAL, 2).try_cast("int")
-    day = F.regexp_extract(text, _PARTIAL, 3).try_cast("int")
+    pieces = F.split(F.when(shaped, text), "-")
+    year, month, day = (F.get(pieces, F.lit(i)).try_cast("int") for i in range(3))
     plausible = shaped & year.between(oldest_year, newest_year)
-    parsed = F.when(plausible & day.isNotNull(), F.try_to_date(text, "yyyy-M-d"))
+    first = F.make_date(year, month, F.lit(1))
+    on_calendar = month.between(1, 12) & (day >= 1) & (day <= F.day(F.last_day(first)))
+    parsed = F.when(plausible & on_calendar, F.date_add(first, day - 1))
     precision = (
         F.when(c.isNull(), labels.missing)
         .when(~shaped | ~plausible, labels.invalid)

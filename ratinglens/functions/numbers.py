@@ -19,11 +19,16 @@ def to_number(c: Column) -> Column:
 
 def nonnegative_integer(c: Column) -> Column:
     """BIGINT for whole numbers of at least zero; everything else is NULL, never rounded."""
+    value = integer_or_null(c)
+    return F.when(value >= 0, value)
+
+
+def integer_or_null(c: Column) -> Column:
+    """BIGINT for any whole number, also one written with a fraction of zero or an exponent."""
     exact = F.trim(c.cast("string")).try_cast("bigint")
     number = to_number(c)
-    whole = F.when((number % 1 == 0) & (number < _LONG_LIMIT), number.cast("bigint"))
-    value = F.coalesce(F.when(number.isNotNull(), exact), whole)
-    return F.when(value >= 0, value)
+    whole = F.when((number % 1 == 0) & (F.abs(number) < _LONG_LIMIT), number.cast("bigint"))
+    return F.coalesce(exact, whole)
 
 
 def valid_rating(score: Column, votes: Column, top: float = 10.0) -> Column:
@@ -57,10 +62,5 @@ def useful_votes(c: Column) -> Column:
     return F.floor(number).cast("bigint")
 
 
-def integer_or_null(c: Column) -> Column:
-    number = to_number(c)
-    return F.when((number % 1 == 0) & (F.abs(number) < _LONG_LIMIT), number.cast("bigint"))
-
-
 def integer_or_zero(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")).try_cast("int"), F.lit(0))

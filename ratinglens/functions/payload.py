@@ -103,9 +103,8 @@ def release_text(first: Column, second: Column) -> Column:
     return date_in_text(F.when(chosen.startswith("["), listed).otherwise(chosen))
 
 
-def detail_fields(body: Column) -> dict[str, Column]:
-    """Contract columns of an entity detail body (key and capture time excluded)."""
-    data = F.from_json(body, DETAIL_BODY)
+def detail_fields(data: Column) -> dict[str, Column]:
+    """Contract columns of a parsed detail body (key and capture time excluded)."""
     return {
         "title": _text(data["title"]),
         "original_title": _text(data["original_title"]),

@@ -40,9 +40,9 @@ def origin_class(
     special: Sequence[str] = SPECIAL_PLACES,
     labels: Labels = ZH,
 ) -> Column:
-    """Class of a set of places; an empty or missing set is unknown."""
+    """Class of a set of distinct places; an empty or missing set is unknown."""
     inside = F.array(F.lit(home), *[F.lit(name) for name in special])
-    known = F.array_distinct(F.filter(places, lambda p: ~F.lower(p).isin(*PLACEHOLDERS)))
+    known = F.filter(places, lambda p: ~F.lower(p).isin(*PLACEHOLDERS))
     local = F.size(F.array_intersect(known, inside)) > 0
     foreign = F.size(F.array_except(known, inside)) > 0
     at_home = F.array_contains(known, home)

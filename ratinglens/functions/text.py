@@ -10,45 +10,62 @@ from pyspark.sql import functions as F
 
 from ratinglens.labels import PLACEHOLDERS
 
-# Unicode white space plus the four separator controls, which Java leaves out.
-_SPACE = r"[\s\x1c-\x1f]"
+# The Unicode white space characters. Listed, since Java's own
+# Unicode class misses four of them and is slow to match.
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def strip(c: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def squeeze(c: Column) -> Column:
     """Collapse runs of Unicode white space to one blank and trim."""
-    return F.trim(F.regexp_replace(c, rf"(?U){_SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, rf"{_SPACE}+", " "))
 
 
-def clean_text(c: Column, placeholders: Sequence[str] = PLACEHOLDERS) -> Column:
-    """Squeezed text; a placeholder in any letter case becomes NULL."""
-    text = squeeze(c)
+def without_placeholder(text: Column, placeholders: Sequence[str] = PLACEHOLDERS) -> Column:
+    """NULL for a text that stands for a missing value, in any letter case."""
     return F.when(~F.lower(text).isin(*placeholders), text)
 
 
+def clean_text(c: Column) -> Column:
+    """Squeezed text; a placeholder becomes NULL."""
+    return without_placeholder(squeeze(c))
+
+
 def split_parts(c: Column, separator: str = "/") -> Column:
     """Trimmed, non-empty parts in source order (duplicates kept)."""
-    pieces = F.split(strip(c), rf"(?U){_SPACE}*{separator}{_SPACE}*")
-    return F.filter(pieces, lambda part: part != "")
+    return F.array_remove(F.split(strip(c), rf"{_SPACE}*{separator}{_SPACE}*"), "")
 
 
 def multivalue(c: Column, separator: str = "/") -> Column:
-    """Distinct parts in first-seen order; NULL when nothing is left."""
-    parts = F.array_distinct(split_parts(c, separator))
-    return F.when(F.size(parts) > 0, parts)
+    """Distinct parts in first-seen order; NULL for no text, empty for no parts."""
+    return F.array_distinct(split_parts(c, separator))
 
 
 def join_parts(parts: Column, glue: str = " / ") -> Column:
-    return F.array_join(parts, glue)
+    """Joined text; no parts give NULL."""
+    return F.nullif(F.array_join(parts, glue), F.lit(""))
+
+
+def canonical_multivalue(text: Column) -> Column:
+    """Squeezed multi-value text with distinct parts under the canonical separator.
+
+    Squeezed text holds single blanks only, so its parts need no further trimming.
+    """
+    return join_parts(F.array_distinct(F.array_remove(F.split(text, " ?/ ?"), "")))
 
 
 def normalise_multivalue(c: Column) -> Column:
     """Placeholder-aware multi-value text in canonical form."""
-    return join_parts(multivalue(clean_text(c)))
+    return canonical_multivalue(clean_text(c))
+
+
+def canonical_parts(c: Column) -> Column:
+    """Parts of a text that is already in canonical form."""
+    return F.split(c, " / ")
 
 
 def any_changed(pairs: Sequence[tuple[Column, Column]]) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,22 +25,27 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return present.groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-def _range_number(value: Column, cuts: Column, low: int, high: int) -> Column:
-    """Binary search over the cut points as nested conditions."""
+def _range_number(value: str, cuts: str, low: int, high: int) -> str:
+    """Binary search over the cut points, as a nested SQL condition."""
     if low == high:
-        return F.lit(low)
+        return str(low)
     middle = (low + high) // 2
-    return F.when(value <= cuts[middle], _range_number(value, cuts, low, middle)).otherwise(
-        _range_number(value, cuts, middle + 1, high)
-    )
+    left = _range_number(value, cuts, low, middle)
+    right = _range_number(value, cuts, middle + 1, high)
+    return f"CASE WHEN {value} <= {cuts}[{middle}] THEN {left} ELSE {right} END"
 
 
 def _with_range(counts: DataFrame, value: str, ranges: int) -> DataFrame:
     fractions = [i / ranges for i in range(1, ranges)]
-    cuts = counts.agg(F.percentile_approx(value, fractions, _SKETCH_ACCURACY).alias("cuts")).scalar()
-    return counts.withColumn("_cuts", cuts).select(
-        *counts.columns, _range_number(F.col(value), F.col("_cuts"), 0, ranges - 1).alias("_range")
-    )
+    # the count is carried along so that the sketch reads the very shuffle the
+    # running count reads: Spark then computes it once
+    sketch = counts.agg(
+        F.struct(
+            F.percentile_approx(value, fractions, _SKETCH_ACCURACY).alias("cuts"), F.max("n").alias("most")
+        ).alias("s")
+    ).scalar()
+    number = F.expr(_range_number(f"`{value}`", "_sketch.cuts", 0, ranges - 1))
+    return counts.withColumn("_sketch", sketch).select(*counts.columns, number.alias("_range"))
 
 
 def cumulative_counts(

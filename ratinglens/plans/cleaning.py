@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratinglens.contracts import fields_of, require_columns
-from ratinglens.functions.dates import capture_instant, capture_local_year, naive_time, partial_date, zoned_time
+from ratinglens.functions.dates import capture_instant, naive_time, partial_date, zoned_time
 from ratinglens.functions.numbers import (
     integer_or_null,
     nonnegative_integer,
@@ -21,7 +21,7 @@ from ratinglens.functions.numbers import (
     valid_year,
 )
 from ratinglens.functions.rating import flags_text, origin_class, participation, shrunk_score
-from ratinglens.functions.text import any_changed, clean_text, main_part, multivalue, normalise_multivalue
+from ratinglens.functions.text import any_changed, canonical_multivalue, canonical_parts, main_part, squeeze, without_placeholder
 from ratinglens.labels import HOME_PLACE, SPECIAL_PLACES, STUDY_YEARS, ZH, Labels
 from ratinglens.operators.audit import audit_counts, quality_report, rule_table
 from ratinglens.operators.ordered import exact_quantiles
@@ -63,10 +63,17 @@ class CleanEntities:
 
 def normalise_entities(raw: DataFrame) -> DataFrame:
     """Canonical text columns plus ``_changed``, the mask of altered rows."""
-    after = {c: normalise_multivalue(F.col(c)) if c in MULTI_FIELDS else clean_text(F.col(c)) for c in TEXT_FIELDS}
     kept = [c for c in raw.columns if c not in TEXT_FIELDS]
-    changed = any_changed([(F.col(c).cast("string"), expr) for c, expr in after.items()])
-    return raw.select(*kept, *[expr.alias(c) for c, expr in after.items()], changed.alias("_changed"))
+    # one step per projection: a text used twice in one expression would be built twice
+    squeezed = raw.select(
+        *kept,
+        *[F.col(c).cast("string").alias(f"_raw_{c}") for c in TEXT_FIELDS],
+        *[squeeze(F.col(c).cast("string")).alias(c) for c in TEXT_FIELDS],
+    )
+    named = squeezed.withColumns({c: without_placeholder(F.col(c)) for c in TEXT_FIELDS})
+    final = named.withColumns({c: canonical_multivalue(F.col(c)) for c in MULTI_FIELDS})
+    changed = any_changed([(F.col(f"_raw_{c}"), F.col(c)) for c in TEXT_FIELDS])
+    return final.select(*kept, *TEXT_FIELDS, changed.alias("_changed"))
 
 
 def entity_snapshot(normalised: DataFrame, ties: Sequence[str]) -> DataFrame:
@@ -88,9 +95,10 @@ def mark_entities(snapshot: DataFrame, rules: EntityRules) -> DataFrame:
         *[nonnegative_integer(F.col(c)).alias(c) for c in counts],
         to_number(F.col("score")).alias("_score"),
         to_number(F.col("year")).alias("_year"),
-        capture_local_year(F.col("captured_at")).alias("_local_year"),
-        multivalue(F.col("categories")).alias("_categories"),
-        multivalue(F.col("places")).alias("_places"),
+        # year as written, so that no zone shift can move it
+        F.when(F.col("_captured").isNotNull(), F.substring("captured_at", 1, 4).try_cast("int")).alias("_local_year"),
+        canonical_parts(F.col("categories")).alias("_categories"),
+        canonical_parts(F.col("places")).alias("_places"),
     )
     newest_known = typed.agg(F.coalesce(F.max("_local_year"), F.lit(end + 1)).alias("y")).scalar()
     checked = typed.withColumns(
@@ -124,7 +132,7 @@ def mark_entities(snapshot: DataFrame, rules: EntityRules) -> DataFrame:
         F.col("_release.iso").alias("release_iso"),
         F.col("_release.precision").alias("release_precision"),
         F.coalesce(main_part(F.col("_categories")), unknown).alias("main_category"),
-        F.greatest(F.coalesce(F.size("_categories"), F.lit(1)), F.lit(1)).alias("category_count"),
+        F.coalesce(F.size("_categories"), F.lit(1)).alias("category_count"),
         placed.alias("origin"),
         F.col("_year").isNull().alias("_year_missing"),
         (F.col("_year").isNotNull() & ~F.col("_year_ok")).alias("_year_invalid"),
@@ -178,12 +186,12 @@ def finish_entities(marked: DataFrame, labels: Labels) -> DataFrame:
     return final.select(*fields_of("details"), *DERIVED_FIELDS)
 
 
-def clean_entities(raw: DataFrame, rules: EntityRules = EntityRules(), stage: bool = False) -> CleanEntities:
-    """Cleaned table, quality report and rule table, all lazy.
+def clean_entities(raw: DataFrame, rules: EntityRules = EntityRules(), stage: bool = True) -> CleanEntities:
+    """Cleaned table, quality report and rule table.
 
-    With ``stage`` the snapshot is written once to the shared folder: the scalar
-    passes, the report and the result then read narrow Parquet columns instead of
-    repeating the snapshot shuffle.
+    The snapshot is written once to the shared folder: the scalar passes, the
+    report and the result then read narrow Parquet columns instead of repeating
+    the snapshot shuffle. Without ``stage`` nothing runs here.
     """
     require_columns(raw, fields_of("details"), "entity details")
     normalised = normalise_entities(raw)

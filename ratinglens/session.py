@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps zone-less source text and zoned text comparable. Skew handling is
 # forced because a single key may hold a large part of a table.
+# Methods too long for the JIT compiler would run interpreted: wide projections
+# then use Spark's split code instead of one generated method.
 SESSION_DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,6 +40,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # call sites of every column expression cost seconds on wide plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ratinglens.contracts import fields_of
 from ratinglens.functions.payload import (
     COMMENT_BODY,
+    DETAIL_BODY,
     SEARCH_BODY,
     detail_fields,
     failure_reason,
@@ -34,8 +35,10 @@ def triage(responses: DataFrame, labels: Labels = ZH) -> DataFrame:
 def detail_rows(responses: DataFrame, labels: Labels = ZH) -> DataFrame:
     """Contract rows of the usable detail responses."""
     good = triage(responses, labels).where(F.col("reason").isNull())
-    fields = detail_fields(F.col("body"))
-    shaped = good.select("entity_id", "captured_at", *[c.alias(name) for name, c in fields.items()])
+    # parsed once: every field reads the same column
+    parsed = good.select("entity_id", "captured_at", F.from_json("body", DETAIL_BODY).alias("data"))
+    fields = detail_fields(F.col("data"))
+    shaped = parsed.select("entity_id", "captured_at", *[c.alias(name) for name, c in fields.items()])
     return shaped.select(*fields_of("details"))
 
 

@@ -20,7 +20,7 @@ from workload.standins import (
     attempts,
     collection_events,
     comments_raw,
-    entities,
+    stored_entities,
     table,
     with_ctes,
 )
@@ -220,7 +220,7 @@ COLLECTION_LOSS = with_ctes(
 
 
 def _analysed(spark: SparkSession, d: str) -> DataFrame:
-    rows = entities(spark, d)
+    rows = stored_entities(spark, d)
     rated = rated_rows(rows)
     mean = rated.agg(F.avg("score").alias("c")).scalar()
     votes = exact_quantiles(rated, "votes", {"m": 0.5}).scalar()

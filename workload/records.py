@@ -26,7 +26,7 @@ from ratinglens.plans.cleaning import (
     mark_entities,
     normalise_entities,
 )
-from ratinglens.session import durable_path
+from ratinglens.session import durable_path, staged
 from ratinglens.sources import payloads, tables
 from workload.standins import (
     COMMENT_ORDER,
@@ -48,7 +48,8 @@ def _r(name: str, digits: int = 6):
 
 
 def _marked(spark: SparkSession, d: str) -> DataFrame:
-    return mark_entities(entity_snapshot(normalise_entities(entities_raw(spark, d)), RULES.ties), RULES)
+    snapshot = entity_snapshot(normalise_entities(entities_raw(spark, d)), RULES.ties)
+    return mark_entities(staged(snapshot, "entity-snapshot"), RULES)
 
 
 # --- sources and sinks ----------------------------------------------------------
@@ -138,8 +139,13 @@ def detail_responses(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def landed_responses(spark: SparkSession, d: str) -> DataFrame:
+    """The responses as the stored table they would be landed in."""
+    return staged(detail_responses(spark, d), "responses")
+
+
 def detail_payloads(spark: SparkSession, d: str) -> DataFrame:
-    return payloads.detail_rows(detail_responses(spark, d), EN)
+    return payloads.detail_rows(landed_responses(spark, d), EN)
 
 
 _NAMES = ", ".join(f"CASE WHEN n >= {i} THEN 'Actor {i}' END" for i in range(1, 16) if i % 7)
@@ -157,7 +163,7 @@ WHERE k % 17 <> 0 AND k % 19 <> 0 AND k % 23 <> 0 AND k % 29 <> 0"""
 
 
 def payload_triage(spark: SparkSession, d: str) -> DataFrame:
-    return payloads.failed_responses(detail_responses(spark, d), EN)
+    return payloads.failed_responses(landed_responses(spark, d), EN)
 
 
 PAYLOAD_TRIAGE = """

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ratinglens.functions.rating import origin_class, participation
 from ratinglens.labels import EN
 from ratinglens.plans.cleaning import EntityRules
+from ratinglens.session import staged
 
 YEARS = (1996, 2000)
 HOME, SPECIAL = "ASIA", ("AFRICA", "AMERICA")
@@ -87,6 +88,11 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean entities as a stored table, for queries that pass over them more than once."""
+    return staged(entities(spark, sf_dir), "entities")
+
+
 def entities_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty entity details as text, every fifth entity captured twice."""
     orders = table(spark, sf_dir, "orders").select(

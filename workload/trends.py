@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from ratinglens.labels import EN
 from ratinglens.operators import categories as cats
 from ratinglens.operators.ordered import exact_medians, exact_quantiles
-from workload.standins import YEARS, entities, table, tag_hits, with_ctes
+from workload.standins import YEARS, entities, stored_entities, table, tag_hits, with_ctes
 
 TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 CLASSES = (EN.home, EN.coproduction, EN.special, EN.imported, EN.unknown)
 
 
+def _weights_of(rows: DataFrame) -> DataFrame:
+    return cats.weighted_categories(cats.in_period(rows, YEARS), labels=EN)
+
+
 def _weighted(spark: SparkSession, d: str) -> DataFrame:
-    period = cats.in_period(entities(spark, d), YEARS)
-    return cats.weighted_categories(period, labels=EN)
+    return _weights_of(entities(spark, d))
 
 
 def weighted_category_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -51,7 +54,7 @@ YEARLY_COUNT_RANGE = f"""SELECT min(n) AS least, median(n) AS median, CAST(sum(n
 
 
 def yearly_category_share(spark: SparkSession, d: str) -> DataFrame:
-    share = cats.yearly_category_share(entities(spark, d), YEARS, EN)
+    share = cats.yearly_category_share(stored_entities(spark, d), YEARS, EN)
     return share.select("year", "category", F.round("weight", 6).alias("weight"), F.round("share", 6).alias("share"))
 
 
@@ -77,8 +80,8 @@ TOP_CATEGORIES = with_ctes(
 
 def trend_of_top(spark: SparkSession, d: str) -> DataFrame:
     """Yearly shares of the top categories only."""
-    share = cats.yearly_category_share(entities(spark, d), YEARS, EN)
-    kept = cats.trend_of_top(share, _weighted(spark, d), 3)
+    rows = stored_entities(spark, d)
+    kept = cats.trend_of_top(cats.yearly_category_share(rows, YEARS, EN), _weights_of(rows), 3)
     return kept.select("year", "category", F.round("share", 6).alias("share"))
 
 
@@ -89,7 +92,7 @@ TREND_OF_TOP = with_ctes(
 
 def wide_shares(spark: SparkSession, d: str) -> DataFrame:
     """Year x category table behind the area chart."""
-    wide = cats.wide_shares(cats.yearly_category_share(entities(spark, d), YEARS, EN), TYPES)
+    wide = cats.wide_shares(cats.yearly_category_share(stored_entities(spark, d), YEARS, EN), TYPES)
     return wide.select("year", *[F.round(c, 6).alias(c.lower()) for c in TYPES])
 
 
@@ -102,7 +105,7 @@ WIDE_SHARES = with_ctes(
 
 
 def yearly_origin_share(spark: SparkSession, d: str) -> DataFrame:
-    share = cats.yearly_origin_share(entities(spark, d), YEARS)
+    share = cats.yearly_origin_share(stored_entities(spark, d), YEARS)
     return share.select("year", "origin", "n", F.round("share", 6).alias("share"))
 
 
@@ -114,7 +117,7 @@ YEARLY_ORIGIN_SHARE = with_ctes(
 
 
 def origin_statistics(spark: SparkSession, d: str) -> DataFrame:
-    stats = cats.origin_statistics(entities(spark, d), YEARS)
+    stats = cats.origin_statistics(stored_entities(spark, d), YEARS)
     return stats.select(
         "origin", "n", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"), "median_votes"
     )
@@ -198,7 +201,7 @@ TAGS_PER_YEAR = f"SELECT year, count(DISTINCT tag) AS tags FROM ({_TAGGED}) JOIN
 
 def category_medians(spark: SparkSession, d: str) -> DataFrame:
     """Yearly median score and votes per category."""
-    rows = _weighted(spark, d).where(F.col("score").isNotNull())
+    rows = _weights_of(stored_entities(spark, d)).where(F.col("score").isNotNull())
     return exact_medians(rows, ["score", "votes"], ["year", "category"]).select(
         "year", "category", "measure", F.round("median", 6).alias("median")
     )
@@ -213,7 +216,7 @@ CATEGORY_MEDIANS = with_ctes(
 
 def sliding_shares(spark: SparkSession, d: str) -> DataFrame:
     """Share of each category over three neighbouring years."""
-    share = cats.yearly_category_share(entities(spark, d), YEARS, EN)
+    share = cats.yearly_category_share(stored_entities(spark, d), YEARS, EN)
     near = W.partitionBy("category").orderBy("year").rangeBetween(-1, 1)
     total = F.sum(F.col("weight") / F.col("share")).over(near)
     return share.select("year", "category", F.round(F.sum("weight").over(near) / total, 6).alias("share"))
@@ -228,9 +231,10 @@ SLIDING_SHARES = with_ctes(
 
 def grouped_shares(spark: SparkSession, d: str) -> DataFrame:
     """Share of each category per five-year group."""
-    rows = _weighted(spark, d).withColumn("span", (F.floor(F.col("year") / 5) * 5).cast("int"))
+    stored = stored_entities(spark, d)
+    rows = _weights_of(stored).withColumn("span", (F.floor(F.col("year") / 5) * 5).cast("int"))
     weights = rows.groupBy("span", "category").agg(F.sum("weight").alias("weight"))
-    whole = cats.in_period(entities(spark, d), YEARS).groupBy((F.floor(F.col("year") / 5) * 5).cast("int").alias("span")).count()
+    whole = cats.in_period(stored, YEARS).groupBy((F.floor(F.col("year") / 5) * 5).cast("int").alias("span")).count()
     # one row per five years of the period
     return weights.join(F.broadcast(whole), "span").select(
         "span", "category", F.round(F.col("weight") / F.col("count"), 6).alias("share")
