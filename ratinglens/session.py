@@ -50,12 +50,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 def durable_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a local one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    root = os.path.join(tempfile.gettempdir(), "ratinglens-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "ratinglens-checkpoints")
 
 
 def durable_path(spark: SparkSession, name: str) -> str:
