@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 64
-_SKETCH_ACCURACY = 1000
+_SKETCH_ACCURACY = 10_000
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -25,38 +24,49 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return present.groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-def _range_number(value: str, cuts: str, low: int, high: int) -> str:
-    """Binary search over the cut points, as a nested SQL condition."""
+def _width(df: DataFrame) -> int:
+    """Square root of the number of ranges: they outnumber the shuffle partitions."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 8 if partitions <= 64 else 16 if partitions <= 256 else 32
+
+
+def _first_at_least(value: str, cut: str, low: int, high: int) -> str:
+    """Binary search as a nested SQL condition; ``cut`` turns a position into a cut point."""
     if low == high:
         return str(low)
     middle = (low + high) // 2
-    left = _range_number(value, cuts, low, middle)
-    right = _range_number(value, cuts, middle + 1, high)
-    return f"CASE WHEN {value} <= {cuts}[{middle}] THEN {left} ELSE {right} END"
+    left, right = _first_at_least(value, cut, low, middle), _first_at_least(value, cut, middle + 1, high)
+    return f"CASE WHEN {value} <= {cut.format(middle)} THEN {left} ELSE {right} END"
 
 
-def _with_range(counts: DataFrame, value: str, ranges: int) -> DataFrame:
-    fractions = [i / ranges for i in range(1, ranges)]
+def _with_range(counts: DataFrame, value: str, width: int) -> DataFrame:
+    """Adds ``_range``, the number of cut points below the value: coarse search, then fine."""
+    fractions = [i / width**2 for i in range(1, width**2)]
     # the count is carried along so that the sketch reads the very shuffle the
     # running count reads: Spark then computes it once
     sketch = counts.agg(
         F.struct(
-            F.percentile_approx(value, fractions, _SKETCH_ACCURACY).alias("cuts"), F.max("n").alias("most")
+            F.percentile_approx(value, fractions or [0.5], _SKETCH_ACCURACY).alias("cuts"), F.max("n").alias("most")
         ).alias("s")
     ).scalar()
-    number = F.expr(_range_number(f"`{value}`", "_sketch.cuts", 0, ranges - 1))
-    return counts.withColumn("_sketch", sketch).select(*counts.columns, number.alias("_range"))
+    coarse = _first_at_least(f"`{value}`", f"_sketch.cuts[({{}} + 1) * {width} - 1]", 0, width - 1)
+    fine = _first_at_least(f"`{value}`", f"_sketch.cuts[_coarse * {width} + {{}}]", 0, width - 1)
+    return (
+        counts.withColumn("_sketch", sketch)
+        .withColumn("_coarse", F.expr(coarse))
+        .select(*counts.columns, F.expr(f"_coarse * {width} + {fine}").alias("_range"))
+    )
 
 
 def cumulative_counts(
-    counts: DataFrame, value: str, by: Sequence[str] = (), ranges: int = RANGES
+    counts: DataFrame, value: str, by: Sequence[str] = (), width: int | None = None
 ) -> DataFrame:
     """(by, value, n) plus ``cum``, the rows up to and including the value, and ``total``."""
     by = list(by)
-    ranged = _with_range(counts, value, ranges)
+    ranged = _with_range(counts, value, width or _width(counts))
     inside = W.partitionBy(*by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     running = ranged.withColumn("_inside", F.sum("n").over(inside))
-    # at most `ranges` rows per group from here on
+    # at most width * width rows per group from here on
     totals = ranged.groupBy(*by, "_range").agg(F.sum("n").alias("_in_range"))
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     offsets = totals.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -56,9 +56,18 @@ class EntityRules:
 
 @dataclass(frozen=True)
 class CleanEntities:
+    """Cleaned table; the report and the rule table are planned when asked for."""
+
     cleaned: DataFrame
-    report: DataFrame
-    rules: DataFrame
+    counts: Callable[[], DataFrame]
+
+    @property
+    def report(self) -> DataFrame:
+        return quality_report(self.counts())
+
+    @property
+    def rules(self) -> DataFrame:
+        return rule_table(self.counts())
 
 
 def normalise_entities(raw: DataFrame) -> DataFrame:
@@ -199,8 +208,10 @@ def clean_entities(raw: DataFrame, rules: EntityRules = EntityRules(), stage: bo
     if stage:
         snapshot = staged(snapshot, "entity-snapshot")
     marked = mark_entities(snapshot, rules)
-    counts = audit_counts(normalised, marked, rules.years, rules.labels)
-    return CleanEntities(finish_entities(marked, rules.labels), quality_report(counts), rule_table(counts))
+    return CleanEntities(
+        finish_entities(marked, rules.labels),
+        lambda: audit_counts(normalised, marked, rules.years, rules.labels),
+    )
 
 
 def clean_comments(raw: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFrame:

@@ -24,7 +24,7 @@ def table(spark, *changes):
 
 
 def clean(spark, *changes, rules=EntityRules()):
-    result = clean_entities(table(spark, *changes), rules, stage=False)
+    result = clean_entities(table(spark, *changes), rules)
     return {r["entity_id"]: r for r in result.cleaned.collect()}, result
 
 
