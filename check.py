@@ -40,8 +40,20 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(plain, key=repr)
 
 
+SAME_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_problem(df, con, sql) -> str:
+    want = {name: kind for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+    got = {name: SAME_TYPE.get(kind, kind) for name, kind in df.dtypes}
+    odd = {name: (got.get(name), want.get(name)) for name in got | want if got.get(name) != want.get(name)}
+    return f"types {odd}" if odd else ""
+
+
 def compare(df, con, sql) -> str:
     """Empty text when both sides agree."""
+    if problem := type_problem(df, con, sql):
+        return problem
     cur = con.execute(sql)
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])

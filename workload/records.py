@@ -141,7 +141,8 @@ def detail_responses(spark: SparkSession, d: str) -> DataFrame:
 
 def landed_responses(spark: SparkSession, d: str) -> DataFrame:
     """The responses as the stored table they would be landed in."""
-    return staged(detail_responses(spark, d), "responses")
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return staged(detail_responses(spark, d).repartition(spread), "responses")
 
 
 def detail_payloads(spark: SparkSession, d: str) -> DataFrame:
@@ -522,7 +523,7 @@ QUALITY_FLAGS = with_ctes(
 
 
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    report = clean_entities(entities_raw(spark, d), RULES).report
+    report = clean_entities(staged(entities_raw(spark, d), "raw"), RULES).report
     return report.select("line", "metric", "scope", "n", F.round("share", 6).alias("share"))
 
 
@@ -568,7 +569,7 @@ QUALITY_REPORT = with_ctes(
 
 
 def rule_hits(spark: SparkSession, d: str) -> DataFrame:
-    return clean_entities(entities_raw(spark, d), RULES).rules.select("rule", "field", "hit_kind", "hits")
+    return clean_entities(staged(entities_raw(spark, d), "raw"), RULES).rules.select("rule", "field", "hit_kind", "hits")
 
 
 RULE_HITS = with_ctes(
