@@ -129,16 +129,16 @@ def analysis_tables(
     weighted = cats.weighted_categories(period.select("entity_id", "year", "categories", "origin"), labels=labels)
     classes = [labels.home, labels.coproduction, labels.special, labels.imported, labels.unknown]
     return {
-        "bayesian_shrinkage": shrinkage_table(cleaned),
-        "movie_quadrants": quadrants.select("entity_id", "title", "score", "votes", "quadrant"),
-        "movie_quadrant_counts": frequency_table(quadrants, "quadrant"),
+        "shrinkage": shrinkage_table(cleaned),
+        "quadrants": quadrants.select("entity_id", "title", "score", "votes", "quadrant"),
+        "quadrant_counts": frequency_table(quadrants, "quadrant"),
         "quadrant_sensitivity": quadrant_sensitivity(cleaned),
-        "review_metric_comparison": comparison,
-        "yearly_sample_counts": cats.yearly_counts(cleaned, years),
-        "yearly_genre_share": cats.yearly_category_share(cleaned, years, labels),
+        "metric_comparison": comparison,
+        "yearly_counts": cats.yearly_counts(cleaned, years),
+        "yearly_category_share": cats.yearly_category_share(cleaned, years, labels),
         "yearly_origin_share": cats.yearly_origin_share(cleaned, years),
         "origin_statistics": cats.origin_statistics(cleaned, years),
-        "genre_origin_crosstab": cats.category_origin_table(weighted, classes, 12),
-        "yearly_tag_coverage": cats.tag_coverage(links, cleaned, years),
-        "analysis_summary": analysis_summary(cleaned, comparison, candidates, state, years, labels),
+        "category_origin_table": cats.category_origin_table(weighted, classes, 12),
+        "tag_coverage": cats.tag_coverage(links, cleaned, years),
+        "summary": analysis_summary(cleaned, comparison, candidates, state, years, labels),
     }

@@ -21,7 +21,7 @@ from ratinglens.contracts import (
 )
 from ratinglens.functions.text import null_tokens
 
-# Texts the reference's CSV reader takes for a missing value.
+# Texts that data-frame CSV readers take for a missing value.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",

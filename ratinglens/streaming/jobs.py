@@ -111,13 +111,16 @@ def track_progress(
     comments: DataFrame,
     labels: Labels = ZH,
 ) -> StreamingQuery:
-    """Store each batch of details and then the progress counts after it."""
+    """Store each batch of details and then the progress counts after it.
+
+    The counts read the key column of the stored details only.
+    """
     store = by_batch(details_path)
     spark = stream.sparkSession
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         store(batch, batch_id)
-        details = spark.read.parquet(details_path)
+        details = spark.read.parquet(details_path).select("entity_id", "batch_id")
         before = details.where(F.col("batch_id") < batch_id)
         after = details.where(F.col("batch_id") <= batch_id)
         earlier = pipeline_status(candidates, before, state, comments, labels).select("processed").scalar()

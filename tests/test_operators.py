@@ -113,6 +113,7 @@ def test_upsert_is_idempotent(spark):
 def test_sample_limits_differ_by_label(spark):
     df = spark.createDataFrame([("e", l, p) for l in "AB" for p in range(1, 6)] + [("e", "C", 1)], "entity_id string, sample_label string, position int")
     kept = snapshot.rank_limited_sample(df, {"A": 1, "B": 3})
+    assert kept._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
     assert sorted((r.sample_label, r.position) for r in kept.collect()) == [("A", 1), ("B", 1), ("B", 2), ("B", 3)]
 
 
