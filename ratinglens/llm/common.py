@@ -79,3 +79,32 @@ def text_key(text: str = "text") -> Column:
 def crc_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of a doc_id as text, modulo a number; a null doc_id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
+
+
+def add_columns(
+    df: DataFrame, text: str, schema: str, values: Callable[[list], list[tuple]], keep_text: bool = True
+) -> DataFrame:
+    """Append columns computed from one column, batch by batch, without a shuffle.
+
+    values(texts) gives one tuple per text. Other columns pass through untouched; those named like a new column are
+    replaced. Without keep_text the column read is left out, which saves its way back.
+    """
+    parts = [part.strip().split(" ") for part in schema.split(",")]
+    new_names = [name for name, _ in parts]
+    kept = [c for c in df.columns if c not in new_names and (keep_text or c != text)]
+    passed = [c for c in kept if c != text]
+    source = df.select(*(F.col(f"`{c}`") for c in passed), F.col(f"`{text}`"))
+    fields = {f.name: f.dataType.simpleString() for f in source.schema.fields}
+    out_schema = ", ".join([*(f"`{c}` {fields[c]}" for c in kept), *(f"`{name}` {kind}" for name, kind in parts)])
+    types = [arrow_type(kind) for _, kind in parts]
+    order = [passed.index(c) if c != text else len(passed) for c in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = zip(*values(b.column(b.num_columns - 1).to_pylist()), strict=True)
+            arrays = [pa.array(list(c), type=t) for c, t in zip(new, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in order), *arrays], names=[*kept, *new_names])
+
+    return source.mapInArrow(run, out_schema)

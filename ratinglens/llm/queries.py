@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratinglens.llm import quality
+from ratinglens.llm import decontaminate, licenses, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +16,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), words=4, radius=4)
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_leaks(documents(spark, sf_dir).select("doc_id", "text"), benchmark, window=10, keep_text=False)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2("item_ids", 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines")
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op9_quality_rules,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op4_license_scan, op8_decontamination, op9_quality_rules)}
 SQL: dict[str, str] = {}
