@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratinglens.llm import decontaminate, licenses, quality, simhash
+from ratinglens.llm import decontaminate, licenses, packing, quality, simhash, substrings, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,10 +21,31 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file; only its name is part of a query."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_shards(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_documents(manifest)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), window=35, digest=True)
+    return kept.withColumnRenamed("kept", "kept_sha256")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_leaks(documents(spark, sf_dir).select("doc_id", "text"), benchmark, window=10, keep_text=False)
@@ -39,5 +60,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op4_license_scan, op8_decontamination, op9_quality_rules)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_simhash_dedup,
+        op2_best_fit_packing,
+        op3_token_files,
+        op4_license_scan,
+        op5_substring_dedup,
+        op8_decontamination,
+        op9_quality_rules,
+    )
+}
 SQL: dict[str, str] = {}
