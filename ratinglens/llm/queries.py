@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratinglens.llm import decontaminate, licenses, packing, quality, simhash, substrings, token_files
+from ratinglens.llm import decontaminate, language, licenses, lines, packing, quality, simhash, substrings, token_files, toxicity
+from ratinglens.llm.common import crc_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,23 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumnRenamed("kept", "kept_sha256")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.drop_shared_lines(documents(spark, sf_dir).select("doc_id", "text", "source"), min_sites=5)
+    return cut.select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_remainder("doc_id", 5) != 0)
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels), keep_text=False)
+    return scored.select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_leaks(documents(spark, sf_dir).select("doc_id", "text"), benchmark, window=10, keep_text=False)
@@ -60,6 +78,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = docs.select("doc_id", "lang").where(crc_remainder("doc_id", 3) != 1)
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs, labels), keep_text=False)
+    return found.select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -68,8 +93,11 @@ QUERIES: dict[str, Query] = {
         op3_token_files,
         op4_license_scan,
         op5_substring_dedup,
+        op6_line_dedup,
+        op7_toxicity,
         op8_decontamination,
         op9_quality_rules,
+        op10_language_id,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_line_dedup": lines.SQL}
