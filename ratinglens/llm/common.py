@@ -71,6 +71,13 @@ def arrow_type(name: str) -> pa.DataType:
     return _ARROW[name]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def text_key(text: str = "text") -> Column:
     """64-bit identity of a text; a null counts as the empty text."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

@@ -56,9 +56,17 @@ def drop_shared_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES
 ) -> DataFrame:
     """The documents with boilerplate lines cut from the text; adds _n_lines and _n_removed."""
-    keyed = docs.withColumn("_key", _row_key(doc_id, text))
+    others = [c for c in docs.columns if c not in (text, "_n_lines", "_n_removed")]
+    keyed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.col(text).alias("_text"), _row_key(doc_id, text).alias("_key")
+    )
     lines = (
-        keyed.select("_key", F.col(doc_id).alias("_id"), F.coalesce(F.col(site), F.lit("\0")).alias("site"), F.posexplode(_pieces(text)))
+        docs.select(
+            _row_key(doc_id, text).alias("_key"),
+            F.col(doc_id).alias("_id"),
+            F.coalesce(F.col(site).cast("string"), F.lit("\0")).alias("site"),
+            F.posexplode(_pieces(text)),
+        )
         .where("col <> ''")
         .select(
             "_key",
@@ -76,13 +84,14 @@ def drop_shared_lines(
         .groupBy("_key")
         .agg(F.collect_set("place.pos").alias("_gone"))
     )
-    pieces = F.split(F.col(text), "\n")
+    pieces = F.split(F.col("_text"), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col("_gone"))
     cut = F.array_join(F.transform(stay, lambda i: F.get(F.col("_pieces"), i)), "\n")
     joined = keyed.join(gone, "_key", "left").withColumn("_pieces", F.when(F.col("_gone").isNotNull(), pieces))
+    body = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(cut)
     return joined.select(
-        *(F.when(F.col("_gone").isNull(), F.col(text)).otherwise(cut).alias(c) if c == text else F.col(c) for c in docs.columns),
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(pieces)).cast("long").alias("_n_lines"),
+        *(body.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns if c in (text, *others)),
+        F.when(F.col("_text").isNull(), 0).otherwise(F.size(pieces)).cast("long").alias("_n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_n_removed"),
     )
 

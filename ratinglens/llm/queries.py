@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratinglens.llm import decontaminate, language, licenses, lines, packing, quality, simhash, substrings, token_files, toxicity
+from ratinglens.llm import (
+    decontaminate,
+    language,
+    licenses,
+    lines,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    token_files,
+    toxicity,
+)
 from ratinglens.llm.common import crc_remainder
+from ratinglens.llm.tokens import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,13 +34,6 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
-def tokenizer_file(name: str) -> str:
-    """The place of a public tokenizer's file; only its name is part of a query."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), end_id=1, capacity=4096)
 
@@ -85,6 +90,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository top; it uses this package
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -98,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_quality_rules,
         op10_language_id,
+        pipeline,
     )
 }
 SQL: dict[str, str] = {"op6_line_dedup": lines.SQL}

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratinglens.llm.common import add_columns, map_rows, utf8
+from ratinglens.llm.common import add_columns, map_rows, unused, utf8
 from ratinglens.llm.components import components
 from ratinglens.session import staged
 
@@ -169,12 +169,13 @@ def near_duplicates(
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
     """The documents without near-duplicates: of each component the document with the smallest id stays, once."""
     prints = _prints(docs, doc_id, text, words)
-    kept = groups(prints, radius).where("keeps").select(F.col("fp").alias("_fp"), F.col("component_id").alias("_keeper"))
-    marked = fingerprints(docs, text, words, "_simhash")
-    out = marked.join(kept, (F.col("_simhash") == F.col("_fp")) & F.col(doc_id).eqNullSafe(F.col("_keeper")))
+    own, fp, keeper = (unused(docs, name) for name in ("_own_fp", "_kept_fp", "_kept_id"))
+    kept = groups(prints, radius).where("keeps").select(F.col("fp").alias(fp), F.col("component_id").alias(keeper))
+    marked = fingerprints(docs, text, words, own)
+    out = marked.join(kept, (F.col(own) == F.col(fp)) & F.col(doc_id).eqNullSafe(F.col(keeper)))
     if not prints.groupBy("id", "fp").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["_fp", "_keeper"])
-    return out.select(*docs.columns)
+        out = out.dropDuplicates([fp, keeper])
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:
