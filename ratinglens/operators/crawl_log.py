@@ -193,20 +193,28 @@ def page_outcomes(pages: DataFrame, keys: Sequence[str] = ("entity_id", "sample_
 def pipeline_status(
     candidates: DataFrame, details: DataFrame, state: DataFrame, comments: DataFrame, labels: Labels = ZH
 ) -> DataFrame:
-    """One row of progress counts."""
-    lost = unavailable(state, labels).select("entity_id")
-
-    def rows(df: DataFrame) -> Column:
-        return df.agg(F.count("*").alias("n")).scalar()
-
-    return candidates.sparkSession.range(1).select(
-        rows(candidates).alias("target"),
-        rows(union_of_keys([details], "entity_id")).alias("collected"),
-        rows(lost).alias("unavailable"),
-        rows(union_of_keys([details, lost], "entity_id")).alias("processed"),
-        rows(pending(candidates, [details, lost])).alias("pending"),
-        rows(comments).alias("comments"),
+    """One row of progress counts: one aggregation by key over all three tables, and one over its result."""
+    lost = unavailable(state, labels)
+
+    def marked(df: DataFrame, mark: str) -> DataFrame:
+        return df.select("entity_id", F.lit(mark).alias("mark"))
+
+    rows = marked(candidates, "candidate").unionByName(marked(details, "detail")).unionByName(marked(lost, "lost"))
+    named = F.col("entity_id") != ""
+    by_key = rows.groupBy("entity_id").agg(
+        F.count_if(F.col("mark") == "candidate").alias("wanted"),
+        F.count_if(F.col("mark") == "lost").alias("lost"),
+        F.coalesce(F.bool_or(named & (F.col("mark") == "detail")), F.lit(False)).alias("held"),
+        F.coalesce(F.bool_or(named & (F.col("mark") == "lost")), F.lit(False)).alias("gone"),
     )
+    total = by_key.agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("wanted", "target"), ("lost", "unavailable"))),
+        F.count_if("held").alias("collected"),
+        F.count_if(F.col("held") | F.col("gone")).alias("processed"),
+        F.coalesce(F.sum(F.when(~F.col("held") & ~F.col("gone"), F.col("wanted"))), F.lit(0)).alias("pending"),
+    )
+    counted = comments.agg(F.count("*").alias("n")).scalar()
+    return total.select("target", "collected", "unavailable", "processed", "pending", counted.alias("comments"))
 
 
 def collection_loss(candidates: DataFrame, state: DataFrame, labels: Labels = ZH) -> DataFrame:

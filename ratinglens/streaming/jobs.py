@@ -2,21 +2,25 @@
 
 Every job resumes from its checkpoint, writes by batch id where a replay could
 repeat a batch, and keeps its state in Spark's built-in operators. Sources that
-grow without end keep one state entry per distinct key in the two
-``first_seen`` jobs; give a watermark delay to bound it where repeats are known
-to arrive within that delay.
+grow without end keep one state entry per distinct key in the ``first_seen``
+jobs and in ``track_progress``, and one per (entity, round) in
+``fold_failures``; give a watermark delay to the former to bound it where repeats
+are known to arrive within that delay. ``collect_sample`` looks its held counts
+up in what earlier batches stored, narrowed to the key columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import IntegerType, StructType
 
 from ratinglens.labels import ZH, Labels
-from ratinglens.operators.crawl_log import failure_state, pipeline_status, round_facts
+from ratinglens.operators.crawl_log import failure_state, pipeline_status, round_facts, unavailable
+from ratinglens.operators.membership import status_after_run
 from ratinglens.operators.snapshot import keep_last
 from ratinglens.sources.payloads import detail_rows
 
@@ -96,9 +100,80 @@ def failure_state_of(stored_facts: DataFrame, labels: Labels = ZH) -> DataFrame:
     return failure_state(newest, labels)
 
 
-def sample_quota(comments: DataFrame, limit: int) -> DataFrame:
-    """Comments inside the rank limit, each (comment, label) once."""
-    return first_seen(comments.where(F.col("position") <= limit), ["comment_id", "sample_label"])
+def collect_sample(
+    stream: DataFrame,
+    limits: Mapping[str, int],
+    path: str,
+    progress_path: str,
+    checkpoint: str,
+    labels: Labels = ZH,
+) -> StreamingQuery:
+    """Store comments up to the limit of their label, and the progress of every sample a batch touched.
+
+    Rows carry ``entity_id, sample_label, comment_id, position`` and the outcome of their page in ``failed`` and
+    ``exhausted``; a page without comments is a row with a NULL comment id. A comment counts once per label. Each batch
+    adds to the held counts of earlier batches; labels outside the plan are ignored. Read with ``read_sample`` and
+    ``read_sample_progress``.
+    """
+    keys = ["entity_id", "sample_label"]
+    spark = stream.sparkSession
+    plan = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("target", plan[F.col("sample_label")].cast("bigint")).where("target IS NOT NULL")
+        pages = rows.groupBy(*keys, "target").agg(
+            F.coalesce(F.bool_or("failed"), F.lit(False)).alias("failed"),
+            F.coalesce(F.bool_or("exhausted"), F.lit(False)).alias("exhausted"),
+        )
+        fresh = rows.where("comment_id IS NOT NULL").dropDuplicates(["comment_id", "sample_label"])
+        before = pages.select(*keys, F.lit(0).cast("bigint").alias("before"))
+        if batch_id > 0:
+            stored = _earlier(spark, path, batch_id, rows.select("comment_id", "sample_label").schema)
+            fresh = fresh.join(stored, ["comment_id", "sample_label"], "left_anti")
+            newest = read_sample_progress(_earlier(spark, progress_path, batch_id, PROGRESS_SCHEMA))
+            before = pages.select(*keys).join(newest.select(*keys, F.col("held").alias("before")), keys, "left")
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("position", "comment_id"))
+        # no sample takes more than the largest limit, so a hot sample passes on that many rows per task
+        ranked = fresh.withColumn("_place", place).where(F.col("_place") <= max(limits.values()))
+        kept = (
+            ranked.join(before, keys, "left")
+            .where(F.col("_place") + F.coalesce("before", F.lit(0)) <= F.col("target"))
+            .select(*batch.columns)
+        )
+        by_batch(path)(kept, batch_id)
+        added = _batch_of(spark, path, batch_id, kept.schema).groupBy(*keys).agg(F.count("*").alias("added"))
+        held = F.coalesce("before", F.lit(0)) + F.coalesce("added", F.lit(0))
+        progress = (
+            pages.join(before, keys, "left")
+            .join(added, keys, "left")
+            .withColumn("held", held)
+            .withColumn("status", status_after_run(F.col("failed"), F.col("exhausted"), F.col("held"), F.col("target"), labels))
+        )
+        by_batch(progress_path)(progress.select(*keys, "target", "held", "status"), batch_id)
+
+    return each_batch(stream, sink, checkpoint)
+
+
+PROGRESS_SCHEMA = "entity_id string, sample_label string, target bigint, held bigint, status string"
+
+
+def _batch_of(spark: SparkSession, path: str, batch_id: int, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+
+
+def _earlier(spark: SparkSession, path: str, batch_id: int, schema: StructType | str) -> DataFrame:
+    """What the batches before this one stored; a replay does not see its own first try."""
+    wanted = spark.createDataFrame([], schema).schema.add("batch_id", IntegerType())
+    return spark.read.schema(wanted).parquet(path).where(F.col("batch_id") < batch_id)
+
+
+def read_sample(stored: DataFrame) -> DataFrame:
+    return stored.drop("batch_id")
+
+
+def read_sample_progress(stored: DataFrame) -> DataFrame:
+    """Newest progress per (entity, label)."""
+    return keep_last(stored, ["entity_id", "sample_label"], ["batch_id"]).drop("batch_id")
 
 
 def track_progress(
@@ -111,24 +186,43 @@ def track_progress(
     comments: DataFrame,
     labels: Labels = ZH,
 ) -> StreamingQuery:
-    """Store each batch of details and then the progress counts after it.
+    """Store each new entity of the stream once, and the progress counts after each batch.
 
-    The counts read the key column of the stored details only.
+    A batch counts its own new entities only and adds them to the row of the batch before; which entities are new
+    is the state of a built-in stateful operator.
     """
-    store = by_batch(details_path)
     spark = stream.sparkSession
+    lost = unavailable(state, labels).select("entity_id").distinct().withColumn("_lost", F.lit(True))
+    wanted = candidates.groupBy("entity_id").agg(F.count("*").alias("_wanted"))
+    nothing = candidates.select("entity_id").limit(0)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store(batch, batch_id)
-        details = spark.read.parquet(details_path).select("entity_id", "batch_id")
-        before = details.where(F.col("batch_id") < batch_id)
-        after = details.where(F.col("batch_id") <= batch_id)
-        earlier = pipeline_status(candidates, before, state, comments, labels).select("processed").scalar()
-        status = pipeline_status(candidates, after, state, comments, labels)
-        row = status.withColumn("made_progress", F.col("processed") > earlier)
-        row.write.mode("overwrite").parquet(f"{progress_path}/batch_id={batch_id}")
-
-    return each_batch(stream, sink, checkpoint)
+        by_batch(details_path)(batch, batch_id)
+        stored = _batch_of(spark, details_path, batch_id, batch.schema).where("entity_id <> ''")
+        new = stored.select("entity_id").join(lost, "entity_id", "left").join(wanted, "entity_id", "left")
+        open_ = F.col("_lost").isNull()
+        added = new.agg(
+            F.count("*").alias("_n"),
+            F.count_if(open_).alias("_processed"),
+            F.coalesce(F.sum(F.when(open_, F.col("_wanted"))), F.lit(0)).alias("_done"),
+        )
+        if batch_id == 0:
+            last = pipeline_status(candidates, nothing, state, comments, labels)
+        else:
+            last = spark.read.parquet(f"{progress_path}/batch_id={batch_id - 1}").drop("made_progress")
+        # both sides are one row
+        row = last.join(F.broadcast(added), F.lit(True)).select(
+            "target",
+            (F.col("collected") + F.col("_n")).alias("collected"),
+            "unavailable",
+            (F.col("processed") + F.col("_processed")).alias("processed"),
+            (F.col("pending") - F.col("_done")).alias("pending"),
+            "comments",
+            (F.col("_processed") > 0).alias("made_progress"),
+        )
+        by_batch(progress_path)(row, batch_id)
+
+    return each_batch(stream.dropDuplicates(["entity_id"]), sink, checkpoint)
 
 
 def outcome_rates(events: DataFrame, width: str = "1 day", time: str = "ts") -> DataFrame:
@@ -140,6 +234,19 @@ def outcome_rates(events: DataFrame, width: str = "1 day", time: str = "ts") ->
     )
 
 
+def track_outcomes(stream: DataFrame, path: str, checkpoint: str, width: str = "1 day", time: str = "ts") -> StreamingQuery:
+    """Store the slice counts of each batch; they add up, so no state is kept and late events count."""
+    store = by_batch(path)
+    return each_batch(stream, lambda batch, i: store(outcome_rates(batch, width, time), i), checkpoint)
+
+
+def read_outcomes(stored: DataFrame) -> DataFrame:
+    """Slices so far, with those still open."""
+    return stored.groupBy("slice_start", "slice_end").agg(
+        F.sum("successes").alias("successes"), F.sum("failures").alias("failures")
+    )
+
+
 def failure_bursts(events: DataFrame, gap: str = "6 hours", key: str = "entity_id", time: str = "ts") -> DataFrame:
     """Runs of failures of one entity with no pause longer than the gap."""
     return (
@@ -148,3 +255,27 @@ def failure_bursts(events: DataFrame, gap: str = "6 hours", key: str = "entity_i
         .agg(F.count("*").alias("failures"))
         .select(key, F.col("w.start").alias("burst_start"), F.col("w.end").alias("burst_end"), "failures")
     )
+
+
+def track_bursts(
+    stream: DataFrame, path: str, checkpoint: str, gap: str = "6 hours", key: str = "entity_id", time: str = "ts"
+) -> StreamingQuery:
+    """Store the bursts within each batch; ``read_bursts`` joins those that touch."""
+    store = by_batch(path)
+    return each_batch(stream, lambda batch, i: store(failure_bursts(batch, gap, key, time), i), checkpoint)
+
+
+def read_bursts(stored: DataFrame, key: str = "entity_id") -> DataFrame:
+    """Bursts so far, with those still open: stored pieces that touch are one burst.
+
+    A window sees the pieces of an entity, which are at most one per batch and pause.
+    """
+    ordered = Window.partitionBy(key).orderBy("burst_start", "burst_end")
+    reached = F.max("burst_end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce((F.col("burst_start") > reached).cast("int"), F.lit(1))
+    runs = stored.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(ordered))
+    return (
+        runs.groupBy(key, "_run")
+        .agg(F.min("burst_start").alias("burst_start"), F.max("burst_end").alias("burst_end"), F.sum("failures").alias("failures"))
+        .drop("_run")
+    )

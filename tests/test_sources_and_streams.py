@@ -150,3 +150,42 @@ def test_progress_is_stored_per_batch(spark):
     ).awaitTermination()
     rows = spark.read.parquet(path).orderBy("batch_id").collect()
     assert [(r.collected, r.pending, r.made_progress) for r in rows] == [(1, 2, True), (2, 1, True), (2, 1, False)]
+
+
+def test_sample_quota_holds_over_batches(spark):
+    limits = {"A": 3, "B": 2}
+    rows = [
+        # (entity, label, comment, position, failed, exhausted, batch)
+        *[("1", "A", f"c{i}", i, False, False, i // 2) for i in range(6)],
+        ("1", "A", "c0", 0, False, False, 2),
+        *[("1", "B", f"c{i}", i, False, False, 1) for i in range(1)],
+        ("1", "B", None, None, False, True, 2),
+        ("2", "B", None, None, True, False, 0),
+        ("3", "C", "x", 1, False, False, 0),
+    ]
+    schema = "entity_id string, sample_label string, comment_id string, position int, failed boolean, exhausted boolean, part int"
+    path, progress, checkpoint = (durable_path(spark, n) for n in ("sample", "sample-progress", "cp"))
+    source = file_stream(spark, spark.createDataFrame(rows, schema), 3)
+    jobs.collect_sample(source, limits, path, progress, checkpoint).awaitTermination()
+    stored = spark.read.parquet(path)
+    kept = sorted((r.entity_id, r.sample_label, r.comment_id) for r in stored.collect())
+    assert kept == [("1", "A", "c0"), ("1", "A", "c1"), ("1", "A", "c2"), ("1", "B", "c0")]
+    states = {(r.entity_id, r.sample_label): (r.target, r.held, r.status) for r in jobs.read_sample_progress(spark.read.parquet(progress)).collect()}
+    assert states == {("1", "A"): (3, 3, ZH.done), ("1", "B"): (2, 1, ZH.exhausted), ("2", "B"): (2, 0, ZH.failed)}
+    jobs.collect_sample(source, limits, path, progress, checkpoint).awaitTermination()
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_slices_and_bursts_are_complete_over_batches(spark):
+    minutes = [0, 10, 200, 700, 705, 1500, 1600, 3000, 3100, 3101]
+    rows = [(str(i % 2), m, m % 3 != 0, i % 3) for i, m in enumerate(minutes * 2)]
+    df = spark.createDataFrame(rows, "entity_id string, m int, ok boolean, part int").withColumn(
+        "ts", F.timestamp_seconds(F.col("m") * 60 + 1_700_000_000)
+    )
+    source = file_stream(spark, df, 3)
+    rates, bursts = durable_path(spark, "rates"), durable_path(spark, "bursts")
+    jobs.track_outcomes(source, rates, durable_path(spark, "cp")).awaitTermination()
+    jobs.track_bursts(source, bursts, durable_path(spark, "cp"), "2 hours").awaitTermination()
+    assert spark.read.parquet(bursts).select("batch_id").distinct().count() == 3
+    assert sorted(jobs.read_outcomes(spark.read.parquet(rates)).collect()) == sorted(jobs.outcome_rates(df).collect())
+    assert sorted(jobs.read_bursts(spark.read.parquet(bursts)).collect()) == sorted(jobs.failure_bursts(df, "2 hours").collect())

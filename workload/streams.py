@@ -92,7 +92,7 @@ def stream_failure_states(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Comments inside the rank limit, each (comment, label) once."""
+    """Progress of every sample after quotas of 3, 2 and 4 comments per label, held comments counted from the store."""
     lines = _stream(spark, d, "lineitem")
     order = F.col("l_orderkey").cast("string")
     comments = lines.select(
@@ -100,14 +100,25 @@ def stream_sample(spark: SparkSession, d: str) -> DataFrame:
         order.alias("entity_id"),
         F.col("l_returnflag").alias("sample_label"),
         F.col("l_linenumber").alias("position"),
+        (F.col("l_orderkey") % 13 == 0).alias("failed"),
+        (F.col("l_linenumber") >= 5).alias("exhausted"),
     )
-    kept = _drain(spark, jobs.sample_quota(comments, LIMITS["A"]), "sample")
-    return kept.groupBy("entity_id", "sample_label").agg(F.count("*").alias("held"))
+    path, progress = durable_path(spark, "sample"), durable_path(spark, "sample-progress")
+    job = jobs.collect_sample(comments, LIMITS, path, progress, durable_path(spark, "sample-checkpoint"), EN)
+    job.awaitTermination()
+    kept = jobs.read_sample(spark.read.parquet(path)).groupBy("entity_id", "sample_label").agg(F.count("*").alias("stored"))
+    found = jobs.read_sample_progress(spark.read.parquet(progress)).join(kept, ["entity_id", "sample_label"])
+    return found.select("entity_id", "sample_label", "target", "held", "stored", "status")
 
 
 STREAM_SAMPLE = f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, l_returnflag AS sample_label, count(DISTINCT l_linenumber) AS held
-FROM lineitem WHERE l_linenumber <= {LIMITS["A"]} GROUP BY 1, 2"""
+SELECT entity_id, sample_label, CAST(target AS BIGINT) AS target, CAST(least(n, target) AS BIGINT) AS held,
+       CAST(least(n, target) AS BIGINT) AS stored,
+       CASE WHEN failed THEN 'failed' WHEN ended AND least(n, target) < target THEN 'exhausted' ELSE 'done' END AS status
+FROM (SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, l_returnflag AS sample_label, count(DISTINCT l_linenumber) AS n,
+             CASE l_returnflag WHEN 'A' THEN {LIMITS["A"]} WHEN 'N' THEN {LIMITS["N"]} ELSE {LIMITS["R"]} END AS target,
+             bool_or(l_orderkey % 13 = 0) AS failed, bool_or(l_linenumber >= 5) AS ended
+      FROM lineitem GROUP BY 1, 2)"""
 
 
 def stream_attempts(spark: SparkSession, d: str) -> DataFrame:
@@ -147,24 +158,26 @@ SELECT (SELECT count(*) FROM orders) AS target, count(DISTINCT l_orderkey) AS co
 
 
 def stream_outcome_rates(spark: SparkSession, d: str) -> DataFrame:
-    """Successes and failures per day; a slice is written once the watermark has passed it."""
-    rates = _drain(spark, jobs.outcome_rates(_events(spark, d)), "rates")
+    """Successes and failures per day, with the days still open."""
+    path = durable_path(spark, "rates")
+    jobs.track_outcomes(_events(spark, d), path, durable_path(spark, "rates-checkpoint")).awaitTermination()
+    rates = jobs.read_outcomes(spark.read.parquet(path))
     return rates.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("slice_start", "slice_end")})
 
 
-# the watermark ends one hour before the newest event the job keeps: later slices stay open
 STREAM_OUTCOME_RATES = with_ctes(
     "collection_events",
     body="""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS slice_start,
                    strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS slice_end,
-                   count(*) FILTER (ok) AS successes, count(*) FILTER (NOT ok) AS failures FROM collection_events
-            WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM collection_events) GROUP BY ALL""",
+                   count(*) FILTER (ok) AS successes, count(*) FILTER (NOT ok) AS failures FROM collection_events GROUP BY ALL""",
 )
 
 
 def stream_failure_bursts(spark: SparkSession, d: str) -> DataFrame:
-    """Runs of failures per user with pauses of at most six hours."""
-    bursts = _drain(spark, jobs.failure_bursts(_events(spark, d)), "bursts")
+    """Runs of failures per user with pauses of at most six hours, with those still open."""
+    path = durable_path(spark, "bursts")
+    jobs.track_bursts(_events(spark, d), path, durable_path(spark, "bursts-checkpoint")).awaitTermination()
+    bursts = jobs.read_bursts(spark.read.parquet(path))
     return bursts.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("burst_start", "burst_end")})
 
 
@@ -175,7 +188,7 @@ STREAM_FAILURE_BURSTS = with_ctes(
             FROM (SELECT *, sum(CASE WHEN gap THEN 1 ELSE 0 END) OVER (PARTITION BY entity_id ORDER BY ts, event_id) AS run
                   FROM (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY entity_id ORDER BY ts, event_id) + INTERVAL 6 HOUR, true) AS gap
                         FROM collection_events WHERE NOT ok))
-            GROUP BY entity_id, run HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM collection_events WHERE NOT ok)""",
+            GROUP BY entity_id, run""",
 )
 
 QUERIES = {
