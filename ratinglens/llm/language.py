@@ -73,23 +73,27 @@ def grams(text: str) -> np.ndarray:
     return counts
 
 
-def features(text: str) -> np.ndarray:
-    """Gram counts of damped size, of length 1, and a constant."""
-    counts = np.sqrt(grams(text))
-    norm = np.linalg.norm(counts)
-    return np.append(counts / norm if norm else counts, 1.0)
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(places, values): gram counts of damped size, of length 1 together, and a constant at the last place."""
+    counts = grams(text)
+    at = np.flatnonzero(counts)
+    values = np.sqrt(counts[at])
+    norm = np.linalg.norm(values)
+    return np.append(at, SIZE), np.append(values / norm if norm else values, 1.0)
 
 
-def machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 12) -> np.ndarray:
+def machine(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 10.0, rounds: int = 12) -> np.ndarray:
     """Weights of a linear support vector machine (hinge loss) by dual coordinate ascent; y is 1 or -1."""
-    weights, alpha, norms = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(axis=1)
+    weights, alpha = np.zeros(SIZE + 1), np.zeros(len(rows))
+    norms = [float(values @ values) for _, values in rows]
     order = np.random.default_rng(1)
-    per_class = {s: len(y) / (2 * max(1, (y == s).sum())) for s in (1, -1)}  # both sides weigh the same
+    bound = {s: cost * len(y) / (2 * max(1, (y == s).sum())) for s in (1, -1)}  # both sides weigh the same
     for _ in range(rounds):
-        for i in order.permutation(len(x)):
-            step = (1 - y[i] * (weights @ x[i])) / norms[i]
-            new = min(max(alpha[i] + step, 0.0), cost * per_class[y[i]])
-            weights += (new - alpha[i]) * y[i] * x[i]
+        for i in order.permutation(len(rows)):
+            at, values = rows[i]
+            step = (1 - y[i] * (weights[at] @ values)) / norms[i]
+            new = min(max(alpha[i] + step, 0.0), bound[y[i]])
+            weights[at] += (new - alpha[i]) * y[i] * values
             alpha[i] = new
     return weights
 
@@ -122,36 +126,38 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.families or not _LETTER.search(text):
             return UNDETERMINED, 0.0
-        language, margin = self._decide(features(text) @ self.weights)
+        at, values = features(text)
+        language, margin = self._decide(values @ self.weights[at])
         return language, 1.0 if np.isinf(margin) else float(1 / (1 + np.exp(-self.slope * margin)))
 
 
 def _stretches(text: str) -> list[str]:
+    """A training text and short parts of it, so that texts of any length are judged alike."""
     step = max(1, (len(text) - STRETCH_CHARS) // max(1, STRETCHES - 1))
     starts = sorted({min(k * step, max(0, len(text) - STRETCH_CHARS)) for k in range(STRETCHES)})
-    return [s for k in starts if _LETTER.search(s := text[k : k + STRETCH_CHARS])]
+    return [s for s in (text, *(text[k : k + STRETCH_CHARS] for k in starts)) if _LETTER.search(s)]
 
 
-def fit(rows: list[tuple[str, str]]) -> Model:
+def fit(texts: list[tuple[str, str]]) -> Model:
     """A model from (text, language) rows."""
-    pairs = [(s, language) for text, language in rows for s in _stretches(text)]
+    pairs = [(s, language) for text, language in texts for s in _stretches(text)]
     names = sorted({language for _, language in pairs})
     families = sorted({family_of(n) for n in names})
     model = Model(families, {f: [n for n in names if family_of(n) == f] for f in families})
     if len(names) < 2:
         return model
-    x = np.array([features(s) for s, _ in pairs])
+    rows = [features(s) for s, _ in pairs]
     language = np.array([n for _, n in pairs])
     family = np.array([family_of(n) for n in language])
     columns = []
     for f in families:
-        columns.append(machine(x, np.where(family == f, 1, -1)) if len(families) > 1 else np.zeros(SIZE + 1))
+        columns.append(machine(rows, np.where(family == f, 1, -1)) if len(families) > 1 else np.zeros(SIZE + 1))
         if len(families) == 2:
             columns.append(-columns[0])
             break
     for _, a, b in model.pairs:
-        own = (language == a) | (language == b)
-        columns.append(machine(x[own], np.where(language[own] == a, 1, -1)))
+        own = np.flatnonzero((language == a) | (language == b))
+        columns.append(machine([rows[i] for i in own], np.where(language[own] == a, 1, -1)))
     model.weights = np.stack(columns, axis=1)
     model.slope = 4.0
     return model

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Characters of a training document that are sent to the driver; scoring always reads whole texts.
-TRAINING_CHARS = 20_000
+TRAINING_CHARS = 8_000
 
 
 def labelled_sample(
