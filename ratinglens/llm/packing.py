@@ -109,9 +109,8 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows(source: Iterable[tuple]) -> Iterable[tuple]:
-        coder = encoder(tokenizer)
-        for name, body in source:
-            ids = coder.encode([body])[0] + end
+        for name, encoded in encoder(tokenizer).encode_rows(source):
+            ids = encoded + end
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 yield (name, piece, at // 4, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else []))

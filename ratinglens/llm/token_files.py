@@ -191,11 +191,11 @@ def write_shards(
         name = f"{folder.rstrip('/')}/shard-{number:06d}-{uuid.uuid4().hex}"
         dtype = "<u2" if coder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         system, place = _open(folder)
-        for key, body in source:
+        for key, encoded in coder.encode_rows(source):
             if writer is None:
                 system.create_dir(place, recursive=True)
                 writer = ShardWriter(name, dtype)
-            writer.add(key, np.append(np.frombuffer(coder.encode([body])[0], dtype="<u4"), np.uint32(end_id)))
+            writer.add(key, np.append(np.frombuffer(encoded, dtype="<u4"), np.uint32(end_id)))
             keys = [keys[0] if keys else key, key]
         if writer:
             writer.close()

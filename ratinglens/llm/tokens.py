@@ -5,23 +5,33 @@ from __future__ import annotations
 import functools
 import os
 import re
+import string
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 #: Pieces remembered by a worker; a full memory is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 900_000
+#: Characters of texts that are encoded together.
+CHARS_AT_ONCE = 1 << 20
 
 # A space before a visible character always starts a piece of its own for a byte-level vocabulary.
 _ODD_SPACE = re.compile(r" (?![!-~]|\w)")
+_ODD_BREAK = re.compile(r"\n(?![!-~]|\w)")
 _PIECE_START = re.compile(r" (?=[!-~]|\w)")
-_ASCII_SPACE = re.compile(r"[ \t\n\r]+")
+#: Signs that are a token group of their own between an ASCII letter and the end of a piece.
+_SIGNS = frozenset(".,!?|;:") | frozenset(bytes([c]) for c in b".,!?|;:")
+_LETTERS = frozenset(string.ascii_letters) | frozenset(bytes([c]) for c in string.ascii_letters.encode())
 
 
 class PieceEncoder:
     """Encodes texts piece by piece; the ids equal those of the tokenizer on the whole text.
 
     A byte-level tokenizer cuts a text before each space that precedes a visible character, whatever stands
-    around it. One that drops white space cuts it at white space. So pieces between such places are encoded alone, once.
+    around it. One that drops white space and case cuts it at white space. So pieces between such places are encoded
+    alone, once; a sign that ends a piece is encoded apart from the word before it.
+
+    A piece is bytes as it stands, or a string for the same with a space before it.
     """
 
     def __init__(self, path: str):
@@ -31,36 +41,73 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tokenizer.no_truncation()
-        self.keeps_space = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
-        self.known: dict[str, bytes] = {}
+        ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in (" a", "a", "A")]
+        self.keeps_space, self.keeps_case = ids[0] != ids[1], ids[1] != ids[2]
+        self.known: dict[str | bytes, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> list[str | bytes]:
         if not self.keeps_space:
-            return [p for p in _ASCII_SPACE.split(text) if p]
+            body = text.encode("utf-8", "surrogatepass")
+            return (body if self.keeps_case else body.lower()).split()
         if _ODD_SPACE.search(text):
             cuts = [0, *(m.start() for m in _PIECE_START.finditer(text)), len(text)]
-            return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
-        first, *rest = text.split(" ")
-        return [first, *(" " + p for p in rest)] if first else [" " + p for p in rest]
+            whole = (text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+            return [p[1:] if p[0] == " " and len(p) > 1 else p.encode("utf-8", "surrogatepass") for p in whole]
+        out: list[str | bytes] = []
+        # a line break before a visible character is a piece of its own as well
+        for line in text.split("\n") if not _ODD_BREAK.search(text) else [text]:
+            words = line.split(" ")
+            out.append(b"\n")
+            if words[0]:
+                out.append(words[0].encode("utf-8", "surrogatepass"))
+            out += words[1:]
+        return out[1:]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers; none for a null."""
-        return [self._joined(self.pieces(t)) if t else b"" for t in texts]
-
-    def _joined(self, pieces: list[str]) -> bytes:
-        known = self.known
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            new = list({p for p in pieces if p not in known})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(new, found, strict=True)}
-        out = b"".join([fresh[p] if p in fresh else known[p] for p in pieces])
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-        if len(fresh) <= REMEMBERED:
-            known.update((p, ids) for p, ids in fresh.items() if len(p) <= 64)
-        return out
+        cut = [self.pieces(t) if t else [] for t in texts]
+        found = [list(map(self.known.get, pieces)) for pieces in cut]
+        short = [k for k, ids in enumerate(found) if None in ids]
+        if short:
+            fresh = self._encoded({p for k in short for p, ids in zip(cut[k], found[k], strict=True) if ids is None})
+            for k in short:
+                found[k] = [fresh[p] if ids is None else ids for p, ids in zip(cut[k], found[k], strict=True)]
+            if len(self.known) + len(fresh) > REMEMBERED:
+                self.known.clear()
+            if len(fresh) <= REMEMBERED:
+                self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= 64)
+        return [b"".join(ids) for ids in found]
+
+    def encode_rows(self, rows: Iterable[tuple]) -> Iterator[tuple]:
+        """(key, ids) for each (key, text), encoded some texts at a time."""
+        held: list[tuple] = []
+        size = 0
+        for row in rows:
+            held.append(row)
+            size += len(row[1] or "")
+            if size >= CHARS_AT_ONCE:
+                yield from zip([k for k, _ in held], self.encode([t for _, t in held]), strict=True)
+                held, size = [], 0
+        yield from zip([k for k, _ in held], self.encode([t for _, t in held]), strict=True)
+
+    def _encoded(self, new: set[str | bytes]) -> dict[str | bytes, bytes]:
+        """The ids of new pieces; words are looked up or encoded without the sign that ends them."""
+        known, ids, signed = self.known, {}, []
+        for p in new:
+            if p[-1:] in _SIGNS and p[-2:-1] in _LETTERS:
+                sign = p[-1:] if isinstance(p, bytes) else p[-1].encode()
+                signed.append((p, p[:-1], sign))
+                for part in (p[:-1], sign):
+                    ids[part] = known.get(part)
+            else:
+                ids[p] = None
+        missing = [p for p, done in ids.items() if done is None]
+        bodies = [" " + p if isinstance(p, str) else p.decode("utf-8", "surrogatepass") for p in missing]
+        for p, found in zip(missing, self.tokenizer.encode_batch_fast(bodies, add_special_tokens=False), strict=True):
+            ids[p] = np.array(found.ids, dtype="<u4").tobytes()
+        for p, word, sign in signed:
+            ids[p] = ids[word] + ids[sign]
+        return ids
 
 
 @functools.lru_cache(maxsize=2)
