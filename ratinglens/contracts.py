@@ -141,6 +141,13 @@ def check_same_header(existing: Sequence[str], wanted: Sequence[str], where: str
         )
 
 
+def check_same_types(existing: DataFrame, new: DataFrame, where: str) -> None:
+    """Exact type test made before an append; whether a column may be NULL plays no part."""
+    odd = [f"{a} {t} in place of {u}" for (a, u), (_, t) in zip(existing.dtypes, new.dtypes, strict=True) if t != u]
+    if odd:
+        raise ContractError(f"column types at {where} differ: {', '.join(odd)}")
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

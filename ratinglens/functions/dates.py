@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 
 from ratinglens.labels import OLDEST_YEAR, ZH, Labels
 
+# The input formats of the contract.
 _ZONE_AT_END = r"(?i)(Z|[+-]\d{2}:?\d{2})$"
 _PARTIAL = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2})?)?$"
-_ANYWHERE = r"(\d{4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?"
+
+
+def _with_dashes(c: Column) -> Column:
+    """Dates written with slashes or points, and compact ones, in the usual form; other texts as they are."""
+    compact = F.regexp_replace(c, r"^(\d{4})(\d\d)(\d\d)[T ](\d\d):?(\d\d):?(\d\d)", "$1-$2-$3T$4:$5:$6")
+    return F.when(c.rlike(r"^\d{4}-"), c).otherwise(F.regexp_replace(compact, r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})", "$1-$2-$3"))
 
 
 def capture_instant(c: Column) -> Column:
     """UTC instant; NULL when the text has no date, no zone suffix, or does not parse."""
-    return F.when(c.rlike(r"^\d{4}-") & c.rlike(_ZONE_AT_END), F.try_to_timestamp(c))
+    text = _with_dashes(F.trim(c))
+    return F.when(text.rlike(r"^\d{4}-") & text.rlike(_ZONE_AT_END), F.try_to_timestamp(text))
 
 
 def capture_local_year(c: Column) -> Column:
@@ -62,13 +69,6 @@ def partial_date(
 
 def date_in_text(c: Column) -> Column:
     """First ``YYYY[-M[-D]]`` found in a text, zero padded; empty text when none."""
-    year = F.regexp_extract(c, _ANYWHERE, 1)
-    month = F.regexp_extract(c, _ANYWHERE, 2)
-    day = F.regexp_extract(c, _ANYWHERE, 3)
-    padded = F.concat_ws(
-        "-",
-        year,
-        F.when(month != "", F.lpad(month, 2, "0")),
-        F.when(day != "", F.lpad(day, 2, "0")),
-    )
-    return F.coalesce(F.when(year != "", padded), F.lit(""))
+    found = F.regexp_extract(c, r"\d{4}(-\d\d?){0,2}", 0)
+    padded = F.transform(F.split(found, "-"), lambda part, i: F.when(i == 0, part).otherwise(F.lpad(part, 2, "0")))
+    return F.coalesce(F.array_join(padded, "-"), F.lit(""))

@@ -57,9 +57,9 @@ def star_value(c: Column, best: int = 5) -> Column:
 
 
 def useful_votes(c: Column) -> Column:
-    """Bad or missing is 0, negatives are 0, fractions are floored."""
-    number = F.greatest(F.coalesce(to_number(c), F.lit(0.0)), F.lit(0.0))
-    return F.floor(number).cast("bigint")
+    """Bad or missing is 0, as is a number beyond BIGINT; negatives are 0, fractions are floored."""
+    number = to_number(c)
+    return F.coalesce(F.when(number.between(0, _LONG_LIMIT), F.floor(number).cast("bigint")), F.lit(0).cast("bigint"))
 
 
 def integer_or_zero(c: Column) -> Column:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,8 +52,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def durable_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is named."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "ratinglens-checkpoints")
+    """The shared folder named by the cluster, or set by ``setCheckpointDir``; a local one only in local mode.
+
+    On a cluster a machine-local folder would give readers an empty table, so there it is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return os.path.join(tempfile.gettempdir(), "ratinglens-checkpoints")
 
 
 def durable_path(spark: SparkSession, name: str) -> str:
@@ -58,12 +69,36 @@ def durable_path(spark: SparkSession, name: str) -> str:
     return f"{durable_root(spark).rstrip('/')}/ratinglens/{name}-{uuid.uuid4().hex}"
 
 
+_staged_paths: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back.
 
     Later passes scan Parquet with column pruning instead of repeating the
-    upstream shuffles, and a lost executor costs no recomputation.
+    upstream shuffles, and a lost executor costs no recomputation. ``drop_staged``
+    removes the copies once nothing reads them any more.
     """
     path = durable_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    _staged_paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete every staged copy this driver has made; frames that read them are no longer usable."""
+    context = spark.sparkContext
+    for path in (paths := list(_staged_paths)):
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        _staged_paths.remove(path)
+    return len(paths)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Staged copies live as long as the block; write or collect results inside it."""
+    try:
+        yield
+    finally:
+        drop_staged(spark)

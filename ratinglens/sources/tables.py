@@ -13,6 +13,7 @@ from ratinglens.contracts import (
     HEADERS,
     bronze_schema,
     check_same_header,
+    check_same_types,
     empty_table,
     export_headers,
     project,
@@ -28,16 +29,24 @@ NA_TOKENS = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+#: Tables whose texts may hold line breaks; their files cannot be split among tasks.
+MULTI_LINE = frozenset({"comments"})
+
+
+def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
     """All-text scan of a CSV under the source headers; a missing path is an error.
 
-    The header is read first, so a file of an older layout fails on its column
-    names and never shifts values into the wrong columns.
+    The header of one file gives the layout, and a layout without a contract column fails at once. The header of every
+    file is then held against it while that file is read, so a file with other columns or another order is an
+    error and never shifts values. Files that hold line breaks inside a value need ``multi_line``, by default only the
+    tables in ``MULTI_LINE``.
     """
-    options = {"header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8"}
+    options = {"header": True, "escape": '"', "encoding": "UTF-8"}
+    options["multiLine"] = table in MULTI_LINE if multi_line is None else multi_line
     found = spark.read.options(**options | {"inferSchema": False}).csv(path)
     require_columns(found, HEADERS[table], path)
-    return rename_headers(found.select(*HEADERS[table]), table)
+    checked = spark.read.schema(found.schema).options(**options | {"enforceSchema": False}).csv(path)
+    return rename_headers(checked.select(*HEADERS[table]), table)
 
 
 def missing_as_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
@@ -66,14 +75,17 @@ def overwrite_table(df: DataFrame, path: str, columns: Sequence[str], partition_
 
 
 def append_table(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Append rows after the exact column test against what is stored."""
+    """Append rows after the exact test of column names, order and types against what is stored."""
+    rows = project(df, columns)
     try:
-        stored = df.sparkSession.read.parquet(path).columns
-        check_same_header(stored, columns, path)
+        stored = df.sparkSession.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    project(df, columns).write.mode("append").parquet(path)
+    else:
+        check_same_header(stored.columns, columns, path)
+        check_same_types(stored, rows, path)
+    rows.write.mode("append").parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, table: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 
 from ratinglens.contracts import ContractError, bronze_schema, fields_of
@@ -9,16 +11,16 @@ from ratinglens.labels import ZH
 from ratinglens.operators.stats import star_metrics
 from ratinglens.plans.cleaning import DERIVED_FIELDS, EntityRules, clean_comments, clean_entities
 
-DEFAULT = dict(
-    entity_id="1", title=" A ", original_title="A", directors="D", actors="C", year="2020", release_date="2020-01-01",
-    categories="剧情 / 剧情 / 爱情", places="中国大陆 / 美国", runtime="120分钟", score="8.0", votes="100",
-    short_count="20", long_count="2", captured_at="2026-01-01T00:00:00+08:00",
+BASE = dict(
+    entity_id="k-40", title="Quiet  Harbour", original_title="", directors="I. Vale", actors="M. Orr / P. Sand", year="2014",
+    release_date="2014-09", categories="悬疑 / 动画", places="法国", runtime="97 min", score="6.5", votes="640",
+    short_count="32", long_count="16", captured_at="2024-05-20T06:30:00Z",
 )
 
 
 def table(spark, *changes):
     names = [*fields_of("details"), "seq"]
-    rows = [tuple((DEFAULT | c | {"seq": i})[n] for n in names) for i, c in enumerate(changes)]
+    rows = [tuple((BASE | c | {"seq": i})[n] for n in names) for i, c in enumerate(changes)]
     schema = bronze_schema("details").add("seq", "integer")
     return spark.createDataFrame(rows, schema)
 
@@ -36,110 +38,115 @@ def hits(result, rule):
     return {r["rule"]: r["hits"] for r in result.rules.collect()}[rule]
 
 
-def test_contract_columns_and_missing_column(spark):
-    rows, result = clean(spark, {})
+def flags(row):
+    return set(row["quality_flags"].split(";"))
+
+
+def test_contract_columns(spark):
+    _, result = clean(spark, {})
     assert result.cleaned.columns == [*fields_of("details"), *DERIVED_FIELDS]
-    with pytest.raises(ContractError, match="votes"):
-        clean_entities(table(spark, {}).drop("votes"))
 
 
-def test_newest_capture_wins_and_parts_are_normalised(spark):
-    rows, result = clean(
-        spark, {"title": " new  name "}, {"title": "old", "captured_at": "2025-01-01T00:00:00+08:00"}
-    )
-    row = rows["1"]
-    assert (row["title"], row["categories"], row["main_category"], row["category_count"]) == (
-        "new name", "剧情 / 爱情", "剧情", 2,
-    )
-    assert row["origin"] == ZH.coproduction and row["short_rate"] == pytest.approx(0.2)
-    assert metric(result, "duplicate_id") == 1 and hits(result, "R02") == 1 and hits(result, "R01") == 2
+@pytest.mark.parametrize("column", ["score", "captured_at", "entity_id"])
+def test_a_missing_column_is_named(spark, column):
+    with pytest.raises(ContractError, match=column):
+        clean_entities(table(spark, {}).drop(column))
+
+
+def test_latest_of_three_captures(spark):
+    captures = [("2024-05-20T06:30:00Z", "second"), ("2024-05-21T01:00:00+09:00", "third"), ("2023-01-01T00:00:00Z", "first")]
+    rows, result = clean(spark, *({"captured_at": at, "title": f" {name}\tcut "} for at, name in captures))
+    assert rows["k-40"]["title"] == "third cut"
+    assert metric(result, "duplicate_id") == 2 and hits(result, "R01") == 3
+
+
+def test_repeated_parts_count_once(spark):
+    rows, result = clean(spark, {"categories": "动画/ 动画 /悬疑/动画", "places": " 法国 / 中国大陆"})
+    row = rows["k-40"]
+    assert (row["categories"], row["main_category"], row["category_count"]) == ("动画 / 悬疑", "动画", 2)
+    assert row["origin"] == ZH.coproduction and row["short_rate"] == pytest.approx(32 / 640)
     assert hits(result, "R09") == 1
 
 
-def test_zero_score_is_missing(spark):
-    rows, result = clean(
-        spark, {"score": "0", "votes": "0", "short_count": "10"}, {"entity_id": "2"}
-    )
-    row = rows["1"]
-    assert row["score"] is None and row["short_rate"] is None and not row["in_rating_sample"]
-    assert row["quality_flags"].split(";")[:2] == [ZH.no_rating, ZH.comments_without_rating]
+@pytest.mark.parametrize(("score", "votes"), [("0", "0"), ("0.0", "640"), ("11", "640"), ("6.5", "0"), ("n", "640")])
+def test_unusable_scores(spark, score, votes):
+    rows, result = clean(spark, {"score": score, "votes": votes}, {"entity_id": "k-41"})
+    assert rows["k-40"]["score"] is None and not rows["k-40"]["in_rating_sample"]
+    assert ZH.no_rating in flags(rows["k-40"]) and rows["k-41"]["in_rating_sample"]
     assert metric(result, "no_valid_rating") == 1 and metric(result, "rating_sample") == 1
-    assert rows["2"]["quality_flags"] == ZH.normal
 
 
-def test_bad_counts_and_runtime(spark):
-    rows, result = clean(spark, {"votes": "-1", "short_count": "1.5", "long_count": "x", "runtime": None})
-    row = rows["1"]
-    assert (row["votes"], row["short_count"], row["long_count"], row["runtime_min"]) == (None,) * 4
-    assert ZH.count_invalid in row["quality_flags"] and ZH.runtime_bad in row["quality_flags"]
-    assert metric(result, "runtime_bad") == 1 and metric(result, "count_invalid") == 1
+@pytest.mark.parametrize("bad", ["-640", "64.5", "many", "1e400"])
+@pytest.mark.parametrize("column", ["votes", "short_count", "long_count"])
+def test_bad_counts(spark, column, bad):
+    rows, result = clean(spark, {column: bad})
+    assert rows["k-40"][column] is None and ZH.count_invalid in flags(rows["k-40"])
+    assert metric(result, "count_invalid") == 1
 
 
-def test_years_missing_or_invalid(spark):
-    rows, result = clean(spark, {"year": None}, {"entity_id": "2", "year": "1800"})
-    assert ZH.year_missing in rows["1"]["quality_flags"] and ZH.year_invalid not in rows["1"]["quality_flags"]
-    assert ZH.year_invalid in rows["2"]["quality_flags"]
-    assert metric(result, "year_missing") == metric(result, "year_invalid") == 1 and hits(result, "R06") == 2
+@pytest.mark.parametrize(("text", "minutes"), [(None, None), ("unknown", None), ("0 min", None), ("97 min", 97), ("1 h 97", 1)])
+def test_runtimes(spark, text, minutes):
+    rows, result = clean(spark, {"runtime": text})
+    assert rows["k-40"]["runtime_min"] == minutes
+    assert (ZH.runtime_bad in flags(rows["k-40"])) == (minutes is None) == (metric(result, "runtime_bad") == 1)
 
 
-def test_capture_time_rules(spark):
-    rows, result = clean(
-        spark,
-        {"title": "good"},
-        {"title": "bad", "captured_at": "not-a-time"},
-        {"entity_id": "2", "captured_at": "not-a-time"},
-        {"entity_id": "3", "captured_at": "2026-01-01 12:00:00"},
-        {"entity_id": "4", "captured_at": None},
-    )
-    assert rows["1"]["title"] == "good"
-    assert ZH.capture_invalid in rows["2"]["quality_flags"] and ZH.capture_invalid in rows["3"]["quality_flags"]
-    assert ZH.capture_missing in rows["4"]["quality_flags"] and rows["3"]["captured_at"] is None
-    assert metric(result, "capture_invalid") == 2 and metric(result, "capture_missing") == 1 and hits(result, "R13") == 3
+@pytest.mark.parametrize(("year", "flag"), [(None, "year_missing"), ("1702", "year_invalid"), ("2099", "year_invalid"), ("x", "year_missing")])
+def test_unusable_years(spark, year, flag):
+    rows, result = clean(spark, {"year": year}, {"entity_id": "k-41"})
+    assert rows["k-40"]["year"] is None and getattr(ZH, flag) in flags(rows["k-40"])
+    assert metric(result, flag) == 1 and hits(result, "R06") == 1
 
 
-def test_year_limit_uses_the_written_year(spark):
-    rows, _ = clean(
-        spark,
-        {"year": "2025", "captured_at": "2024-01-01T00:00:00+08:00"},
-        {"entity_id": "2", "year": "2026", "captured_at": "2024-12-31T23:30:00-08:00"},
-    )
-    assert rows["1"]["year"] == 2025 and rows["2"]["year"] is None
+@pytest.mark.parametrize(("text", "flag"), [(None, "capture_missing"), ("yesterday", "capture_invalid"), ("2024-05-20 06:30:00", "capture_invalid"), ("06:30:00Z", "capture_invalid")])
+def test_unusable_capture_times(spark, text, flag):
+    rows, result = clean(spark, {"captured_at": text})
+    assert rows["k-40"]["captured_at"] is None and getattr(ZH, flag) in flags(rows["k-40"])
+    assert metric(result, flag) == 1 and hits(result, "R13") == 1
 
 
-def test_year_limit_without_any_capture_time(spark):
-    rows, _ = clean(
-        spark, {"year": "2027", "captured_at": "bad"}, {"entity_id": "2", "year": "2028", "captured_at": "bad"}
-    )
-    assert rows["1"]["year"] == 2027 and rows["2"]["year"] is None
+def test_any_valid_capture_beats_an_invalid_one(spark):
+    rows, _ = clean(spark, {"title": "kept", "captured_at": "1999-01-01T00:00:00Z"}, {"title": "lost", "captured_at": "soon"})
+    assert rows["k-40"]["title"] == "kept"
 
 
-def test_scope_flags_and_shrinkage(spark):
-    rows, result = clean(
+def test_year_limit_is_the_year_as_written(spark):
+    # at 01:30 in the far east the year is already the next one; as an instant it is not
+    east, west = "2025-01-01T01:30:00+10:00", "2024-12-31T20:00:00-06:00"
+    rows, _ = clean(
         spark,
-        {"score": "9", "votes": "10"},
-        {"entity_id": "2", "year": "1990", "score": "8", "votes": "1000"},
-        {"entity_id": "3", "year": "2021", "score": "7", "votes": "1000"},
+        {"entity_id": "e6", "year": "2026", "captured_at": east},
+        {"entity_id": "e7", "year": "2027", "captured_at": east},
+        {"entity_id": "w5", "year": "2025", "captured_at": west},
+        {"entity_id": "w6", "year": "2026", "captured_at": west},
     )
-    assert rows["1"]["in_study_period"] and not rows["2"]["in_study_period"]
-    assert rows["1"]["shrunk_score"] == pytest.approx(10 / 1010 * 9 + 1000 / 1010 * 8)
-    assert ZH.short_over in rows["1"]["quality_flags"]
+    assert {k: r["year"] for k, r in rows.items()} == {"e6": 2026, "e7": None, "w5": 2025, "w6": None}
+
+
+def test_study_period_and_shrinkage(spark):
+    given = [("a", "2012", "5.0", "30"), ("b", "1975", "7.0", "90"), ("c", "2016", "9.0", "240")]
+    rows, result = clean(spark, *({"entity_id": k, "year": y, "score": s, "votes": v, "short_count": "31"} for k, y, s, v in given))
+    assert [rows[k]["in_study_period"] for k in "abc"] == [True, False, True]
     assert metric(result, "before_period") == 1
+    # the prior is the mean score, its weight the median of the votes
+    assert rows["a"]["shrunk_score"] == pytest.approx((30 * 5 + 90 * 7) / 120)
+    assert ZH.short_over in flags(rows["a"]) and ZH.short_over not in flags(rows["b"])
 
 
-def test_missing_id_and_gaps(spark):
-    rows, result = clean(spark, {"entity_id": " "}, {"places": None, "categories": "暂无", "actors": None})
-    row = rows["1"]
+def test_gaps(spark):
+    rows, result = clean(spark, {"entity_id": ""}, {"places": "", "categories": None, "actors": None})
+    row = rows["k-40"]
     assert (row["categories"], row["places"], row["origin"]) == (ZH.unknown,) * 3
-    assert metric(result, "missing_id") == 1 and metric(result, "cleaned_rows") == 1 and metric(result, "actors_missing") == 1
+    assert (metric(result, "missing_id"), metric(result, "cleaned_rows"), metric(result, "actors_missing")) == (1, 1, 1)
     filled, _ = clean(spark, {"places": None}, rules=EntityRules(placeless=ZH.imported))
-    assert filled["1"]["origin"] == ZH.imported
+    assert filled["k-40"]["origin"] == ZH.imported
 
 
 def test_empty_input_and_staged_result(spark):
     empty = clean_entities(table(spark, {}).where("false"), stage=False)
     assert empty.cleaned.count() == 0
     assert {r["share"] for r in empty.report.collect()} == {None}
-    given = table(spark, {}, {"entity_id": "2", "score": "x"}, {"title": "later"})
+    given = table(spark, {}, {"entity_id": "k-41", "score": "x"}, {"title": "later"})
     staged = clean_entities(given)
     plain = clean_entities(given, stage=False)
     assert sorted(staged.cleaned.collect()) == sorted(plain.cleaned.collect())
@@ -148,31 +155,25 @@ def test_empty_input_and_staged_result(spark):
 def comments(spark, rows):
     names = [*fields_of("comments"), "seq"]
     base = dict(
-        comment_id="r1", entity_id="1", title="A", star="5星", body="x", useful="9", commented_at="2025-01-01",
-        sample_label="热门", position="1", captured_at="2026-01-01T00:00:00+08:00",
+        comment_id="n-1", entity_id="k-40", title="Quiet Harbour", star="4星", body="…", useful="6", commented_at="2024-03-02",
+        sample_label="最新", position="12", captured_at="2024-05-20T06:30:00Z",
     )
     made = [tuple((base | r | {"seq": i})[n] for n in names) for i, r in enumerate(rows)]
     return spark.createDataFrame(made, bronze_schema("comments").add("seq", "integer"))
 
 
-def test_comments_last_row_wins_and_weights_pull_up(spark):
-    given = comments(spark, [{"star": "1星"}, {}, {"comment_id": "r2", "star": "3星", "useful": "0"}])
+def test_last_row_of_a_comment_wins_and_useful_ones_weigh_more(spark):
+    given = comments(spark, [{"star": "2星"}, {}, {"comment_id": "n-2", "star": "2星", "useful": "2"}, {"comment_id": "n-3", "star": "3星", "useful": "0"}])
     cleaned = clean_comments(given)
-    assert cleaned.count() == 2
+    assert cleaned.count() == 3
     row = star_metrics(cleaned).collect()[0]
-    assert row["mean_star"] == 4.0 and row["useful_weighted_star"] == 5.0 and row["mean_star"] < row["log_weighted_star"]
-    assert row["star_entropy"] == pytest.approx(1.0)
+    assert row["mean_star"] == 3.0 and row["useful_weighted_star"] == pytest.approx((4 * 6 + 2 * 2) / 8)
+    assert row["mean_star"] < row["log_weighted_star"]
+    assert row["star_entropy"] == pytest.approx(math.log2(3))
 
 
-def test_all_zero_weights_fall_back_and_null_keys_group(spark):
-    given = comments(
-        spark,
-        [
-            {"useful": "-4", "title": None},
-            {"comment_id": "r2", "star": "4星", "useful": "x", "title": None},
-            {"comment_id": "r3", "star": "10星", "title": None},
-            {"comment_id": "r4", "star": "未评分", "title": None},
-        ],
-    )
+def test_without_useful_votes_the_plain_mean_counts(spark):
+    stars = [("2星", "-1"), ("5星", "none"), ("7星", "1e30"), ("—", "0")]
+    given = comments(spark, [{"comment_id": f"n-{i}", "star": s, "useful": u, "title": None} for i, (s, u) in enumerate(stars)])
     rows = star_metrics(clean_comments(given)).collect()
-    assert len(rows) == 1 and rows[0]["rated"] == 2 and rows[0]["useful_weighted_star"] == 4.5
+    assert len(rows) == 1 and rows[0]["rated"] == 2 and rows[0]["useful_weighted_star"] == 3.5

@@ -51,7 +51,7 @@ def test_counts_are_never_rounded(spark):
 
 
 def test_useful_votes_and_stars(spark):
-    assert values(spark, ["9", "-3", "x", "2.7", None], numbers.useful_votes) == [9, 0, 0, 2, 0]
+    assert values(spark, ["9", "-3", "x", "2.7", None, "1e30", "-1e30"], numbers.useful_votes) == [9, 0, 0, 2, 0, 0, 0]
     assert values(spark, ["5星", "未评分", "10 stars", "3", None], numbers.star_value) == [5, None, None, 3, None]
 
 
@@ -137,3 +137,9 @@ def test_failure_reasons(spark):
     df = spark.createDataFrame(rows, "status int, body string")
     got = [r[0] for r in df.select(payload.failure_reason(F.col("status"), F.col("body"))).collect()]
     assert got == [ZH.network_failure, "HTTP 404", ZH.parse_failure, ZH.parse_failure, ZH.parse_failure, None]
+
+
+def test_capture_times_in_other_layouts(spark):
+    given = ["2026/01/01 10:00:00+08:00", "20260101T020000Z", "2026-01-01T02:00:00Z", "2026.1.1 02:00:00Z", "02:00:00Z", "2026/01/01 10:00:00"]
+    got = values(spark, given, lambda c: F.date_format(dates.capture_instant(c), "yyyy-MM-dd HH:mm"))
+    assert got == ["2026-01-01 02:00"] * 3 + [got[3], None, None]

@@ -139,19 +139,23 @@ UNION SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE year(o_orderdate) >=
 
 
 def unseen_links(spark: SparkSession, d: str) -> DataFrame:
-    """Links of the last five days that earlier days do not hold."""
-    hits = tag_hits(spark, d)
-    old = hits.where(F.col("captured_at") < F.lit("2024-01-26").cast("timestamp_ntz"))
-    new = hits.where(F.col("captured_at") >= F.lit("2024-01-26").cast("timestamp_ntz"))
-    return membership.unseen(snapshot.first_links(new), old, ["entity_id", "tag"])
+    """Customer and priority pairs of the last year that earlier years do not hold."""
+    orders = table(spark, d, "orders")
+    hits = orders.select(
+        F.col("o_custkey").cast("string").alias("entity_id"),
+        F.col("o_orderpriority").alias("tag"),
+        F.col("o_orderkey").alias("rank"),
+        F.col("o_orderdate").alias("captured_at"),
+    )
+    recent = F.year("captured_at") >= 2000
+    first = hits.where(recent).groupBy("entity_id", "tag").agg(F.min("rank").alias("rank"))
+    return membership.unseen(first, hits.where(~recent), ["entity_id", "tag"])
 
 
-UNSEEN_LINKS = with_ctes(
-    "tag_hits",
-    body="""SELECT entity_id, tag, min(rank) AS rank FROM tag_hits n WHERE captured_at >= TIMESTAMP '2024-01-26'
-              AND NOT EXISTS (SELECT 1 FROM tag_hits o WHERE o.captured_at < TIMESTAMP '2024-01-26'
-                              AND o.entity_id = n.entity_id AND o.tag = n.tag) GROUP BY 1, 2""",
-)
+UNSEEN_LINKS = """
+SELECT CAST(o_custkey AS VARCHAR) AS entity_id, o_orderpriority AS tag, min(o_orderkey) AS rank FROM orders n
+WHERE year(o_orderdate) >= 2000 AND NOT EXISTS (SELECT 1 FROM orders o WHERE year(o.o_orderdate) < 2000
+  AND o.o_custkey = n.o_custkey AND o.o_orderpriority = n.o_orderpriority) GROUP BY 1, 2"""
 
 
 def unseen_comments(spark: SparkSession, d: str) -> DataFrame:
