@@ -14,6 +14,14 @@ PLAIN_BYTES = bytes(
 )
 
 
+#: Rows of an Arrow batch at most; with long texts Spark's limit in bytes cuts earlier. Small batches keep Python workers small.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(df: DataFrame) -> None:
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """Lower-cased runs of ASCII letters, digits and non-ASCII characters, as UTF-8; none for a null."""
     return [] if text is None else utf8(text).translate(PLAIN_BYTES).split()
@@ -52,6 +60,7 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[..., Iterable[tuple]], b
         columns = zip(*held, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], names=names)
 
+    _small_batches(df)
     return df.mapInArrow(run, schema)
 
 
@@ -114,4 +123,5 @@ def add_columns(
             arrays = [pa.array(list(c), type=t) for c, t in zip(new, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in order), *arrays], names=[*kept, *new_names])
 
+    _small_batches(df)
     return source.mapInArrow(run, out_schema)

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Pieces remembered by a worker; a full memory is emptied.
-REMEMBERED = 900_000
+REMEMBERED = 400_000
 #: Characters of texts that are encoded together.
 CHARS_AT_ONCE = 1 << 20
 

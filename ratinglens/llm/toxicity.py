@@ -32,7 +32,7 @@ PART = 5
 #: A part marks toxic text if it is in this share of the toxic documents and so many times as frequent there as in ordinary
 #: ones; a word with such a part enters the dictionary if it is in this share of them.
 PART_SHARE, WORD_SHARE, CONTRAST = 0.015, 0.008, 20
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 CARRIER = b"window of text to be measured by its compressed length: "
 _EDGES = ".,!?|:;\"'()[]{}*#$%&-"
 
