@@ -85,12 +85,15 @@ def normalise_entities(raw: DataFrame) -> DataFrame:
     return final.select(*kept, *TEXT_FIELDS, changed.alias("_changed"))
 
 
-def entity_snapshot(normalised: DataFrame, ties: Sequence[str]) -> DataFrame:
-    """Newest capture per entity id; rows without id are dropped."""
-    keyed = normalised.where(F.col("entity_id").isNotNull()).withColumn(
-        "_captured", capture_instant(F.col("captured_at"))
-    )
-    return latest_snapshot(keyed, "entity_id", "_captured", ties)
+def entity_snapshot(raw: DataFrame, ties: Sequence[str]) -> DataFrame:
+    """Newest capture per entity id in canonical text; rows without id are dropped.
+
+    Only id and capture time are normalised before the snapshot, the other texts of its survivors after it.
+    """
+    bare = {c: without_placeholder(squeeze(F.col(c).cast("string"))) for c in ("entity_id", "captured_at")}
+    keyed = raw.withColumns({"_id": bare["entity_id"], "_captured": capture_instant(bare["captured_at"])})
+    newest = latest_snapshot(keyed.where(F.col("_id").isNotNull()), "_id", "_captured", ties)
+    return normalise_entities(newest.drop("_id"))
 
 
 def mark_entities(snapshot: DataFrame, rules: EntityRules) -> DataFrame:
@@ -203,14 +206,13 @@ def clean_entities(raw: DataFrame, rules: EntityRules = EntityRules(), stage: bo
     the snapshot shuffle. Without ``stage`` nothing runs here.
     """
     require_columns(raw, fields_of("details"), "entity details")
-    normalised = normalise_entities(raw)
-    snapshot = entity_snapshot(normalised, rules.ties)
+    snapshot = entity_snapshot(raw, rules.ties)
     if stage:
         snapshot = staged(snapshot, "entity-snapshot")
     marked = mark_entities(snapshot, rules)
     return CleanEntities(
         finish_entities(marked, rules.labels),
-        lambda: audit_counts(normalised, marked, rules.years, rules.labels),
+        lambda: audit_counts(normalise_entities(raw), marked, rules.years, rules.labels),
     )
 
 

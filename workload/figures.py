@@ -35,7 +35,7 @@ FROM r, (SELECT unnest(range(20)) AS i)"""
 
 def score_histogram(spark: SparkSession, d: str) -> DataFrame:
     """Scores in twenty equal bins; edges decide, the last bin is closed."""
-    return _rounded(charts.histogram(rated_rows(stored_entities(spark, d)), "score"), "low", "high")
+    return _rounded(charts.histogram(rated_rows(stored_entities(spark, d, "score", "votes")), "score"), "low", "high")
 
 
 SCORE_HISTOGRAM = with_ctes(
@@ -48,7 +48,7 @@ SCORE_HISTOGRAM = with_ctes(
 
 
 def score_density(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(charts.density(rated_rows(stored_entities(spark, d)), "score"), "x", "density")
+    return _rounded(charts.density(rated_rows(stored_entities(spark, d, "score", "votes")), "score"), "x", "density")
 
 
 SCORE_DENSITY = with_ctes(
@@ -63,7 +63,7 @@ SCORE_DENSITY = with_ctes(
 
 def votes_score_bins(spark: SparkSession, d: str) -> DataFrame:
     """Log votes against score as counts per cell."""
-    rated = rated_rows(stored_entities(spark, d)).select("score", F.round(log_votes(F.col("votes")), 6).alias("log_votes"))
+    rated = rated_rows(stored_entities(spark, d, "score", "votes")).select("score", F.round(log_votes(F.col("votes")), 6).alias("log_votes"))
     return charts.binned_pairs(rated, "log_votes", "score", 16, 10)
 
 
@@ -104,7 +104,7 @@ VOTES_SHRINKAGE_BINS = with_ctes(
 
 def quadrant_lines(spark: SparkSession, d: str) -> DataFrame:
     """Cut lines of the quadrant chart."""
-    cuts = spark.range(1).select(median_cuts(rated_rows(stored_entities(spark, d))).alias("c"))
+    cuts = spark.range(1).select(median_cuts(rated_rows(stored_entities(spark, d, "score", "votes"))).alias("c"))
     return cuts.select(
         F.round("c.score", 6).alias("score_cut"), F.round(log_votes(F.col("c.votes")), 6).alias("log_vote_cut")
     )
@@ -159,7 +159,7 @@ SCORE_BOXES = with_ctes("period", body=_box_sql("(SELECT origin, score FROM peri
 
 def vote_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Log votes by origin class."""
-    period = in_period(stored_entities(spark, d), YEARS).select("origin", F.round(log_votes(F.col("votes")), 6).alias("log_votes"))
+    period = in_period(stored_entities(spark, d, "year", "origin", "votes"), YEARS).select("origin", F.round(log_votes(F.col("votes")), 6).alias("log_votes"))
     return _rounded(charts.box_stats(period, "log_votes", ["origin"]), *_BOX)
 
 

@@ -12,11 +12,11 @@ from ratinglens.operators.quadrants import entity_quadrants, quadrant_sensitivit
 from ratinglens.operators.stats import cohens_d, frequency_table, spearman, star_metrics
 from ratinglens.plans.analysis import comment_summary, measures_long, metric_comparison, shrinkage_table
 from ratinglens.plans.cleaning import clean_comments
-from workload.standins import COMMENT_ORDER, comments_raw, entities, stored_entities, table, with_ctes
+from workload.standins import COMMENT_ORDER, PLAIN_COLUMNS, comments_raw, entities, stored_entities, table, with_ctes
 
 
-def _rated(spark: SparkSession, d: str) -> DataFrame:
-    return rated_rows(stored_entities(spark, d))
+def _rated(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return rated_rows(stored_entities(spark, d, *(columns or PLAIN_COLUMNS)))
 
 
 def _shrunk(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +118,7 @@ SPEARMAN_TABLE = with_ctes(
 def effect_sizes(spark: SparkSession, d: str) -> DataFrame:
     """Home against import: score and log votes."""
     home, imported = F.col("origin") == EN.home, F.col("origin") == EN.imported
-    return _rated(spark, d).agg(
+    return _rated(spark, d, "origin", "score", "votes").agg(
         F.round(cohens_d(F.col("score"), home, imported), 6).alias("score_d"),
         F.round(cohens_d(log_votes(F.col("votes")), home, imported), 6).alias("votes_d"),
     )
@@ -138,7 +138,7 @@ EFFECT_SIZES = with_ctes(
 
 
 def entity_quadrant_table(spark: SparkSession, d: str) -> DataFrame:
-    return entity_quadrants(stored_entities(spark, d), EN).select("entity_id", "score", "votes", "quadrant")
+    return entity_quadrants(stored_entities(spark, d, "entity_id", "score", "votes"), EN).select("entity_id", "score", "votes", "quadrant")
 
 
 _QUADRANT = """SELECT entity_id, score, votes, CASE WHEN score >= s THEN 'high' ELSE 'low' END || '-' ||
@@ -148,7 +148,7 @@ ENTITY_QUADRANT_TABLE = with_ctes("rated", body=_QUADRANT)
 
 
 def quadrant_counts(spark: SparkSession, d: str) -> DataFrame:
-    return frequency_table(entity_quadrants(stored_entities(spark, d), EN), "quadrant")
+    return frequency_table(entity_quadrants(stored_entities(spark, d, "entity_id", "score", "votes"), EN), "quadrant")
 
 
 QUADRANT_COUNTS = with_ctes("rated", body=f"SELECT quadrant, count(*) AS n FROM ({_QUADRANT}) GROUP BY 1 ORDER BY 2 DESC, 1")
@@ -157,7 +157,7 @@ _SCORES, _QUANTILES = (4.5, 5.0, 5.5), (0.25, 0.5, 0.75)
 
 
 def quadrant_sensitivity_table(spark: SparkSession, d: str) -> DataFrame:
-    return quadrant_sensitivity(stored_entities(spark, d), _SCORES, _QUANTILES)
+    return quadrant_sensitivity(stored_entities(spark, d, "score", "votes"), _SCORES, _QUANTILES)
 
 
 QUADRANT_SENSITIVITY_TABLE = with_ctes(

@@ -48,7 +48,7 @@ def _r(name: str, digits: int = 6):
 
 
 def _marked(spark: SparkSession, d: str) -> DataFrame:
-    snapshot = entity_snapshot(normalise_entities(entities_raw(spark, d)), RULES.ties)
+    snapshot = entity_snapshot(entities_raw(spark, d), RULES.ties)
     return mark_entities(staged(snapshot, "entity-snapshot"), RULES)
 
 
@@ -142,7 +142,7 @@ def detail_responses(spark: SparkSession, d: str) -> DataFrame:
 def landed_responses(spark: SparkSession, d: str) -> DataFrame:
     """The responses as the stored table they would be landed in."""
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return staged(detail_responses(spark, d).repartition(spread), "responses")
+    return detail_responses(spark, d)
 
 
 def detail_payloads(spark: SparkSession, d: str) -> DataFrame:
@@ -487,7 +487,7 @@ CLEANED_ENTITIES = with_ctes(
 
 def cleaned_in_source_order(spark: SparkSession, d: str) -> DataFrame:
     """Snapshot rows back in input order, for export."""
-    snapshot = entity_snapshot(normalise_entities(entities_raw(spark, d)), RULES.ties)
+    snapshot = entity_snapshot(entities_raw(spark, d), RULES.ties)
     return source_order(snapshot, "seq").select("seq", "entity_id", "title")
 
 
@@ -523,7 +523,7 @@ QUALITY_FLAGS = with_ctes(
 
 
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    report = clean_entities(staged(entities_raw(spark, d), "raw"), RULES).report
+    report = clean_entities(entities_raw(spark, d), RULES).report
     return report.select("line", "metric", "scope", "n", F.round("share", 6).alias("share"))
 
 
@@ -569,7 +569,7 @@ QUALITY_REPORT = with_ctes(
 
 
 def rule_hits(spark: SparkSession, d: str) -> DataFrame:
-    return clean_entities(staged(entities_raw(spark, d), "raw"), RULES).rules.select("rule", "field", "hit_kind", "hits")
+    return clean_entities(entities_raw(spark, d), RULES).rules.select("rule", "field", "hit_kind", "hits")
 
 
 RULE_HITS = with_ctes(

@@ -8,6 +8,8 @@ rules on the key, the same rules on both sides.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,19 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+ENTITY_COLUMNS = (
+    "entity_id", "title", "year", "categories", "places", "origin", "score", "votes", "short_rate", "long_rate",
+)
+#: Those that need neither the parts nor the suppliers of an order.
+PLAIN_COLUMNS = tuple(c for c in ENTITY_COLUMNS if c not in ("categories", "places", "origin"))
+
+
+def order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: line count and quantities."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"))
+    return lines.agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: line count, quantities, and the sets of part types and regions."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
@@ -69,28 +84,31 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean entities: an order with its score, votes, categories and origin."""
+def entities(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ENTITY_COLUMNS) -> DataFrame:
+    """Clean entities: an order with its score, votes, categories and origin; parts and places are joined if asked for."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_totalprice", "o_orderdate")
-    joined = orders.join(order_lines(spark, sf_dir), "k", "left")
+    described = set(columns) - set(PLAIN_COLUMNS)
+    joined = orders.join((order_lines if described else order_counts)(spark, sf_dir), "k", "left")
     votes = F.when(F.col("lines") > 0, F.floor("o_totalprice").cast("bigint"))
-    return joined.select(
-        _text(F.col("k")).alias("entity_id"),
-        F.concat(F.lit("Order "), _text(F.col("k"))).alias("title"),
-        F.year("o_orderdate").alias("year"),
-        F.col("types").alias("categories"),
-        F.col("regions").alias("places"),
-        origin_class(F.split("regions", " / "), HOME, SPECIAL, EN).alias("origin"),
-        F.round(F.col("quantity") / F.col("lines") / 5, 1).alias("score"),
-        votes.alias("votes"),
-        participation(F.col("k") % 5000, votes).alias("short_rate"),
-        participation(F.col("k") % 300, votes).alias("long_rate"),
-    )
-
-
-def stored_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean entities as a stored table, for queries that pass over them more than once."""
-    return staged(entities(spark, sf_dir), "entities")
+    all_columns = {
+        "entity_id": _text(F.col("k")),
+        "title": F.concat(F.lit("Order "), _text(F.col("k"))),
+        "year": F.year("o_orderdate"),
+        "categories": F.col("types"),
+        "places": F.col("regions"),
+        "origin": origin_class(F.split("regions", " / "), HOME, SPECIAL, EN),
+        "score": F.round(F.col("quantity") / F.col("lines") / 5, 1),
+        "votes": votes,
+        "short_rate": participation(F.col("k") % 5000, votes),
+        "long_rate": participation(F.col("k") % 300, votes),
+    }
+    return joined.select(*(all_columns[c].alias(c) for c in ENTITY_COLUMNS if c in columns))
+
+
+def stored_entities(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The clean entities, or some of their columns, stored for queries that pass over them more than once."""
+    wanted = columns or ENTITY_COLUMNS
+    return staged(entities(spark, sf_dir, wanted).select(*wanted), "entities")
 
 
 def entities_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

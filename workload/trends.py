@@ -54,7 +54,7 @@ YEARLY_COUNT_RANGE = f"""SELECT min(n) AS least, median(n) AS median, CAST(sum(n
 
 
 def yearly_category_share(spark: SparkSession, d: str) -> DataFrame:
-    share = cats.yearly_category_share(stored_entities(spark, d), YEARS, EN)
+    share = cats.yearly_category_share(stored_entities(spark, d, "entity_id", "year", "categories"), YEARS, EN)
     return share.select("year", "category", F.round("weight", 6).alias("weight"), F.round("share", 6).alias("share"))
 
 
@@ -92,7 +92,7 @@ TREND_OF_TOP = with_ctes(
 
 def wide_shares(spark: SparkSession, d: str) -> DataFrame:
     """Year x category table behind the area chart."""
-    wide = cats.wide_shares(cats.yearly_category_share(stored_entities(spark, d), YEARS, EN), TYPES)
+    wide = cats.wide_shares(cats.yearly_category_share(stored_entities(spark, d, "entity_id", "year", "categories"), YEARS, EN), TYPES)
     return wide.select("year", *[F.round(c, 6).alias(c.lower()) for c in TYPES])
 
 
@@ -105,7 +105,7 @@ WIDE_SHARES = with_ctes(
 
 
 def yearly_origin_share(spark: SparkSession, d: str) -> DataFrame:
-    share = cats.yearly_origin_share(stored_entities(spark, d), YEARS)
+    share = cats.yearly_origin_share(stored_entities(spark, d, "year", "origin"), YEARS)
     return share.select("year", "origin", "n", F.round("share", 6).alias("share"))
 
 
@@ -216,7 +216,7 @@ CATEGORY_MEDIANS = with_ctes(
 
 def sliding_shares(spark: SparkSession, d: str) -> DataFrame:
     """Share of each category over three neighbouring years."""
-    share = cats.yearly_category_share(stored_entities(spark, d), YEARS, EN)
+    share = cats.yearly_category_share(stored_entities(spark, d, "entity_id", "year", "categories"), YEARS, EN)
     near = W.partitionBy("category").orderBy("year").rangeBetween(-1, 1)
     total = F.sum(F.col("weight") / F.col("share")).over(near)
     return share.select("year", "category", F.round(F.sum("weight").over(near) / total, 6).alias("share"))
