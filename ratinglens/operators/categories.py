@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratinglens.functions.text import multivalue
@@ -92,6 +92,17 @@ def wide_shares(share: DataFrame, categories: Sequence[str]) -> DataFrame:
     return wide.na.fill(0.0, list(categories))
 
 
+def wide_trend(share: DataFrame, weighted: DataFrame, k: int = 8) -> DataFrame:
+    """Year x top-k table of shares: ``top_1`` is the heaviest category, a pair without rows is 0, others are left out.
+
+    Which category stands behind a column is the order of ``top_categories``; it is found and joined in one plan.
+    """
+    heaviest = Window.orderBy(F.round("total_weight", 9).desc(), F.col("category").asc())  # k rows
+    places = top_categories(weighted, k).select("category", F.row_number().over(heaviest).alias("place"))
+    wide = share.join(F.broadcast(places), "category").groupBy("year").pivot("place", list(range(1, k + 1))).agg(F.first("share"))
+    return wide.select("year", *(F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"top_{i}") for i in range(1, k + 1)))
+
+
 def category_origin_table(
     weighted: DataFrame, classes: Sequence[str], k: int | None = None
 ) -> DataFrame:

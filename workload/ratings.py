@@ -141,17 +141,17 @@ def entity_quadrant_table(spark: SparkSession, d: str) -> DataFrame:
     return entity_quadrants(stored_entities(spark, d, "entity_id", "score", "votes"), EN).select("entity_id", "score", "votes", "quadrant")
 
 
-_QUADRANT = """SELECT entity_id, score, votes, CASE WHEN score >= s THEN 'high' ELSE 'low' END || '-' ||
+QUADRANT_SQL = """SELECT entity_id, score, votes, CASE WHEN score >= s THEN 'high' ELSE 'low' END || '-' ||
     CASE WHEN votes >= v THEN 'mass' ELSE 'niche' END AS quadrant
     FROM rated, (SELECT median(score) AS s, median(votes) AS v FROM rated)"""
-ENTITY_QUADRANT_TABLE = with_ctes("rated", body=_QUADRANT)
+ENTITY_QUADRANT_TABLE = with_ctes("rated", body=QUADRANT_SQL)
 
 
 def quadrant_counts(spark: SparkSession, d: str) -> DataFrame:
     return frequency_table(entity_quadrants(stored_entities(spark, d, "entity_id", "score", "votes"), EN), "quadrant")
 
 
-QUADRANT_COUNTS = with_ctes("rated", body=f"SELECT quadrant, count(*) AS n FROM ({_QUADRANT}) GROUP BY 1 ORDER BY 2 DESC, 1")
+QUADRANT_COUNTS = with_ctes("rated", body=f"SELECT quadrant, count(*) AS n FROM ({QUADRANT_SQL}) GROUP BY 1 ORDER BY 2 DESC, 1")
 
 _SCORES, _QUANTILES = (4.5, 5.0, 5.5), (0.25, 0.5, 0.75)
 

@@ -58,10 +58,10 @@ def yearly_category_share(spark: SparkSession, d: str) -> DataFrame:
     return share.select("year", "category", F.round("weight", 6).alias("weight"), F.round("share", 6).alias("share"))
 
 
-_SHARE = """SELECT w.year, category, sum(weight) AS weight, sum(weight) / any_value(n) AS share
+SHARE_SQL = """SELECT w.year, category, sum(weight) AS weight, sum(weight) / any_value(n) AS share
             FROM weighted w JOIN (SELECT year, count(*) AS n FROM period GROUP BY 1) t ON t.year = w.year GROUP BY 1, 2"""
 YEARLY_CATEGORY_SHARE = with_ctes(
-    "weighted", body=f"SELECT year, category, round(weight, 6) AS weight, round(share, 6) AS share FROM ({_SHARE})"
+    "weighted", body=f"SELECT year, category, round(weight, 6) AS weight, round(share, 6) AS share FROM ({SHARE_SQL})"
 )
 
 _TOP = "SELECT category FROM weighted GROUP BY 1 ORDER BY round(sum(weight), 9) DESC, 1 LIMIT 3"
@@ -86,7 +86,7 @@ def trend_of_top(spark: SparkSession, d: str) -> DataFrame:
 
 
 TREND_OF_TOP = with_ctes(
-    "weighted", body=f"SELECT year, category, round(share, 6) AS share FROM ({_SHARE}) WHERE category IN ({_TOP})"
+    "weighted", body=f"SELECT year, category, round(share, 6) AS share FROM ({SHARE_SQL}) WHERE category IN ({_TOP})"
 )
 
 
@@ -100,7 +100,23 @@ WIDE_SHARES = with_ctes(
     "weighted",
     body="SELECT year, "
     + ", ".join(f"round(coalesce(sum(share) FILTER (category = '{c}'), 0), 6) AS {c.lower()}" for c in TYPES)
-    + f" FROM ({_SHARE}) GROUP BY 1",
+    + f" FROM ({SHARE_SQL}) GROUP BY 1",
+)
+
+
+def wide_trend(spark: SparkSession, d: str) -> DataFrame:
+    """The area chart in one plan: the three heaviest categories, their yearly shares side by side."""
+    rows = stored_entities(spark, d, "entity_id", "year", "categories")
+    wide = cats.wide_trend(cats.yearly_category_share(rows, YEARS, EN), _weights_of(rows), 3)
+    return wide.select("year", *(F.round(f"top_{i}", 6).alias(f"top_{i}") for i in (1, 2, 3)))
+
+
+WIDE_TREND = with_ctes(
+    "weighted",
+    body="SELECT year, "
+    + ", ".join(f"round(coalesce(sum(share) FILTER (place = {i}), 0), 6) AS top_{i}" for i in (1, 2, 3))
+    + f""" FROM ({SHARE_SQL}) JOIN (SELECT category, row_number() OVER (ORDER BY round(sum(weight), 9) DESC, category) AS place
+           FROM weighted GROUP BY 1 QUALIFY place <= 3) USING (category) GROUP BY 1""",
 )
 
 
@@ -224,7 +240,7 @@ def sliding_shares(spark: SparkSession, d: str) -> DataFrame:
 
 SLIDING_SHARES = with_ctes(
     "weighted",
-    body=f"""SELECT year, category, round(sum(weight) OVER w / sum(weight / share) OVER w, 6) AS share FROM ({_SHARE})
+    body=f"""SELECT year, category, round(sum(weight) OVER w / sum(weight / share) OVER w, 6) AS share FROM ({SHARE_SQL})
              WINDOW w AS (PARTITION BY category ORDER BY year RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING)""",
 )
 
@@ -255,6 +271,7 @@ QUERIES = {
     "top_categories": (top_categories, TOP_CATEGORIES),
     "trend_of_top": (trend_of_top, TREND_OF_TOP),
     "wide_shares": (wide_shares, WIDE_SHARES),
+    "wide_trend": (wide_trend, WIDE_TREND),
     "yearly_origin_share": (yearly_origin_share, YEARLY_ORIGIN_SHARE),
     "origin_statistics": (origin_statistics, ORIGIN_STATISTICS),
     "category_origin_table": (category_origin_table, CATEGORY_ORIGIN_TABLE),
