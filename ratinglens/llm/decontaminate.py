@@ -256,3 +256,31 @@ def remove_leaks(
 
     columns = docs.columns
     return add_columns(docs, text, f"{text} string", values).select(*columns)
+
+
+def sql(window: int = WINDOW) -> str:
+    """The findings for each document as SQL over `documents` and `benchmark`."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, {words} AS words FROM documents
+), b AS (
+  SELECT item_id, {words} AS words FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, least({window}, len(words)) AS m, words[k : k + least({window}, len(words)) - 1] AS g
+  FROM b, unnest(range(1, len(words) - least({window}, len(words)) + 2)) AS t(k) WHERE len(words) > 0
+), found AS (
+  SELECT r, k, m, item_id FROM (
+    SELECT r, k, m, words[k : k + m - 1] AS g
+    FROM d, (SELECT DISTINCT m FROM w) AS widths, unnest(range(1, len(words) - m + 2)) AS t(k)
+  ) JOIN w USING (g, m)
+), hit AS (
+  SELECT r, count(DISTINCT j) AS n FROM found, unnest(range(k, k + m)) AS t(j) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+  FROM found GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)"""

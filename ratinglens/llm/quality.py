@@ -132,3 +132,42 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
         {"base_failed": base, "failed_rules": F.array_compact(F.array(*fails)) if fails else F.array().cast("array<string>")}
     )
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def sql() -> str:
+    """The judged counts, verdict included, as SQL over `documents`."""
+    stop = ", ".join(f"'{form}'" for w in STOP_WORDS for form in (w, w.capitalize()))
+    measured = {
+        "mean_word_length": "word_chars / nullif(n_words, 0)",
+        "symbol_ratio": "n_symbols / nullif(n_words, 0)",
+        "stop_word_ratio": "n_stop_words / nullif(n_words, 0)",
+        "duplicate_line_ratio": "n_dup_lines / nullif(n_lines, 0)",
+    }
+    passed = [
+        f"coalesce({measured[r.measure]} {sign} {bound}, true)"
+        for r in RULES
+        for sign, bound in ((">=", r.low), ("<=", r.high))
+        if abs(bound) != float("inf")
+    ]
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), g AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram FROM d, unnest(range(1, len(words) - 1)) AS t(i)
+), twice AS (
+  SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, gram) > 1
+), covered AS (
+  SELECT r, count(DISTINCT j) AS n FROM twice, unnest([i, i + 1, i + 2]) AS t(j) GROUP BY r
+), lines AS (
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), counted AS (
+  SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    len(regexp_extract_all(text, '{SYMBOLS}')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+    len(list_filter(words, lambda w: list_contains([{stop}], w))) AS n_stop_words, coalesce(lines.n, 0) AS n_lines
+  FROM d LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)
+), base AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT *, NOT base_failed AND {" AND ".join(passed)} AS kept FROM base"""

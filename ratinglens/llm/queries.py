@@ -112,4 +112,8 @@ QUERIES: dict[str, Query] = {
         pipeline,
     )
 }
-SQL: dict[str, str] = {"op6_line_dedup": lines.SQL}
+SQL: dict[str, str] = {
+    "op6_line_dedup": lines.SQL,
+    "op8_decontamination": decontaminate.sql(window=10),
+    "op9_quality_rules": quality.sql(),
+}

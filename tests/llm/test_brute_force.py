@@ -135,8 +135,10 @@ def test_substrings(spark, texts):
         assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (len(own), len(gone), sha(kept))
 
 
-def test_lines(spark):
-    assert compare(QUERIES["op6_line_dedup"](spark, "/root/testdata/sf0.01"), connect("/root/testdata/sf0.01"), SQL["op6_line_dedup"]) == ""
+@pytest.mark.parametrize("name", SQL)
+def test_query_equals_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.01"
+    assert compare(QUERIES[name](spark, sf_dir), connect(sf_dir), SQL[name]) == ""
 
 
 def test_toxicity_on_held_out_rows(spark):
