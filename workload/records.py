@@ -18,6 +18,8 @@ from ratinglens.functions.numbers import (
 from ratinglens.functions.rating import origin_class
 from ratinglens.functions.text import clean_text, entity_id_of_url, join_parts, main_part, multivalue
 from ratinglens.labels import EN
+from ratinglens.operators.crawl_log import page_outcomes
+from ratinglens.operators.membership import held_counts, status_after_run
 from ratinglens.operators.snapshot import source_order
 from ratinglens.plans.cleaning import (
     clean_comments,
@@ -193,7 +195,7 @@ def comment_pages(spark: SparkSession, d: str) -> DataFrame:
     return grouped.select(
         F.col("conv_id").cast("string").alias("entity_id"),
         F.concat(F.lit("Talk "), F.col("conv_id").cast("string")).alias("title"),
-        F.lit("A").alias("sample_label"),
+        F.element_at(F.array(*(F.lit(x) for x in LIMITS)), (F.col("conv_id") % 3 + 1).cast("int")).alias("sample_label"),
         (F.col("page") * 20).cast("int").alias("page_start"),
         F.lit(20).alias("asked"),
         F.when(F.col("conv_id") % 11 == 0, 503).otherwise(200).alias("status"),
@@ -206,13 +208,35 @@ def comment_payloads(spark: SparkSession, d: str) -> DataFrame:
     return payloads.comment_rows(comment_pages(spark, d), LIMITS, EN)
 
 
+_PAGE_LABEL = "CASE conv_id % 3 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(LIMITS)) + " END"
+_PAGE_LIMIT = "CASE conv_id % 3 " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(LIMITS.values())) + " END"
 COMMENT_PAYLOADS = f"""
 SELECT conv_id || '-' || turn AS comment_id, CAST(conv_id AS VARCHAR) AS entity_id, 'Talk ' || conv_id AS title,
        CASE WHEN turn % 6 < 5 THEN (turn % 6 + 1) || ' stars' ELSE 'unrated' END AS star, text AS body,
-       CAST(length(text) AS VARCHAR) AS useful, '2024-01-01 00:00:00' AS commented_at, 'A' AS sample_label,
+       CAST(length(text) AS VARCHAR) AS useful, '2024-01-01 00:00:00' AS commented_at, sample_label,
        CAST(rn AS VARCHAR) AS position, '2024-01-02T00:00:00Z' AS captured_at
-FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
-WHERE rn <= {LIMITS["A"]} AND conv_id % 11 <> 0"""
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn, {_PAGE_LABEL} AS sample_label,
+             {_PAGE_LIMIT} AS quota FROM conversations)
+WHERE rn <= quota AND conv_id % 11 <> 0"""
+
+
+def comment_page_states(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies to page facts to outcome to the state of each sample, with the comments held."""
+    pages = comment_pages(spark, d)
+    keys = ["entity_id", "sample_label"]
+    outcomes = page_outcomes(payloads.page_facts(pages))
+    held = held_counts(payloads.comment_rows(pages, LIMITS, EN))
+    limit = F.create_map(*[F.lit(x) for pair in LIMITS.items() for x in pair])[F.col("sample_label")]
+    joined = outcomes.join(held, keys, "left").withColumn("held", F.coalesce("held", F.lit(0)))
+    status = status_after_run(F.col("failed"), F.col("exhausted"), F.col("held"), limit, EN)
+    return joined.select(*keys, "failed", "exhausted", "held", status.alias("status"))
+
+
+COMMENT_PAGE_STATES = f"""
+SELECT CAST(conv_id AS VARCHAR) AS entity_id, sample_label, failed, NOT failed AS exhausted, held,
+       CASE WHEN failed THEN 'failed' WHEN held < quota THEN 'exhausted' ELSE 'done' END AS status
+FROM (SELECT conv_id, {_PAGE_LABEL} AS sample_label, {_PAGE_LIMIT} AS quota, conv_id % 11 = 0 AS failed,
+             CASE WHEN conv_id % 11 = 0 THEN 0 ELSE least(count(*), {_PAGE_LIMIT}) END AS held FROM conversations GROUP BY conv_id)"""
 
 
 def search_payloads(spark: SparkSession, d: str) -> DataFrame:
@@ -609,6 +633,7 @@ QUERIES = {
     "detail_payloads": (detail_payloads, DETAIL_PAYLOADS),
     "payload_triage": (payload_triage, PAYLOAD_TRIAGE),
     "comment_payloads": (comment_payloads, COMMENT_PAYLOADS),
+    "comment_page_states": (comment_page_states, COMMENT_PAGE_STATES),
     "search_payloads": (search_payloads, SEARCH_PAYLOADS),
     "url_entity_ids": (url_entity_ids, URL_ENTITY_IDS),
     "dates_in_text": (dates_in_text, DATES_IN_TEXT),
