@@ -10,8 +10,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Pieces remembered by a worker; a full memory is emptied.
-REMEMBERED = 400_000
+#: Pieces that a worker remembers in each of two generations.
+REMEMBERED = 220_000
 #: Characters of texts that are encoded together.
 CHARS_AT_ONCE = 1 << 20
 
@@ -44,6 +44,7 @@ class PieceEncoder:
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in (" a", "a", "A")]
         self.keeps_space, self.keeps_case = ids[0] != ids[1], ids[1] != ids[2]
         self.known: dict[str | bytes, bytes] = {}
+        self.older: dict[str | bytes, bytes] = {}
 
     def pieces(self, text: str) -> list[str | bytes]:
         if not self.keeps_space:
@@ -69,13 +70,15 @@ class PieceEncoder:
         found = [list(map(self.known.get, pieces)) for pieces in cut]
         short = [k for k, ids in enumerate(found) if None in ids]
         if short:
-            fresh = self._encoded({p for k in short for p, ids in zip(cut[k], found[k], strict=True) if ids is None})
+            missing = {p for k in short for p, ids in zip(cut[k], found[k], strict=True) if ids is None}
+            fresh = {p: self.older[p] for p in missing if p in self.older}
+            fresh |= self._encoded(missing.difference(fresh))
             for k in short:
                 found[k] = [fresh[p] if ids is None else ids for p, ids in zip(cut[k], found[k], strict=True)]
-            if len(self.known) + len(fresh) > REMEMBERED:
-                self.known.clear()
             if len(fresh) <= REMEMBERED:
                 self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= 64)
+            if len(self.known) > REMEMBERED:  # what is met again soon comes over from the older generation
+                self.older, self.known = self.known, {}
         return [b"".join(ids) for ids in found]
 
     def encode_rows(self, rows: Iterable[tuple]) -> Iterator[tuple]:
