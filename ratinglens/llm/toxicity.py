@@ -32,7 +32,8 @@ PART = 5
 #: A part marks toxic text if it is in this share of the toxic documents and so many times as frequent there as in ordinary
 #: ones; a word with such a part enters the dictionary if it is in this share of them.
 PART_SHARE, WORD_SHARE, CONTRAST = 0.015, 0.008, 20
-REMEMBERED = 200_000
+#: Windows that a worker remembers in each of two generations.
+REMEMBERED = 150_000
 CARRIER = b"window of text to be measured by its compressed length: "
 _EDGES = ".,!?|:;\"'()[]{}*#$%&-"
 
@@ -78,16 +79,20 @@ class Model:
         self.toxic, self.ordinary, self.weights, self.threshold = toxic, ordinary, weights, threshold
 
     def scorer(self):
-        lengths, known = Lengths(self.toxic, self.ordinary), {}
+        lengths, known, older = Lengths(self.toxic, self.ordinary), {}, {}
 
         def score(text: str | None) -> float:
+            nonlocal known, older
             best = 0.0
             for w in set(windows(text)):
                 if (weight := known.get(w)) is None:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                    weight = known[w] = self.weights.get(lengths.cell(w), 0.0)
-                best = max(best, weight)
+                    if (weight := older.get(w)) is None:
+                        weight = self.weights.get(lengths.cell(w), 0.0)
+                    known[w] = weight
+                if weight > best:
+                    best = weight
+            if len(known) > REMEMBERED:  # windows met again soon come over from the older generation
+                older, known = known, {}
             return 1 / (1 + math.exp(self.threshold - best))
 
         return score
