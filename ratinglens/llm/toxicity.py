@@ -1,14 +1,16 @@
 """Toxicity by compression distance: two zstandard dictionaries, one fitted on toxic and one on ordinary text.
 
 A window is one word with its borders, set behind a carrier that both dictionaries hold, so that even a short window is
-coded and not stored. Its two lengths, less those of the bare carrier, form a cell. Weights of the cells are
-the log-odds of meeting them in toxic documents, counted on labelled rows that the measuring dictionaries have not seen; a
-document takes the largest weight of its windows, and the calibrated threshold becomes a score of 0.5.
+coded and not stored. Its two lengths, less those of the bare carrier, form a cell. Weights of the cells are the log-odds
+of a window of toxic text falling there, from all windows of labelled rows that the measuring dictionaries have not seen;
+only a cell that the toxic dictionary codes shorter may speak for toxicity. A document takes the mean weight of all its
+windows, repeated ones too, so its length does not matter but how much of it leans to toxic text; the calibrated threshold
+becomes a score of 0.5. STEADY windows of ordinary weight are added, so that a few words do not decide alone.
 
-The toxic dictionary holds words whose 5-letter parts occur far more often in toxic documents; the other one holds the
-most widespread words of ordinary documents.
+The toxic dictionary holds words whose 5-letter parts make up a far larger share of toxic text; the other one holds the
+most frequent words of ordinary text.
 
-Null and empty texts have no windows and score like a text of unremarkable words. Without toxic labels every
+Null and empty texts have no windows and score like ordinary text. Without toxic labels every
 score is 0. Rows are scored one by one: repeated rows and null ids change nothing; a null label is no label.
 """
 
@@ -29,9 +31,13 @@ from ratinglens.llm.sampling import labelled_sample
 TOXIC_ROWS, ORDINARY_ROWS = 1_500, 2_500
 TOXIC_BYTES, ORDINARY_BYTES = 8_192, 32_768
 PART = 5
-#: A part marks toxic text if it is in this share of the toxic documents and so many times as frequent there as in ordinary
-#: ones; a word with such a part enters the dictionary if it is in this share of them.
-PART_SHARE, WORD_SHARE, CONTRAST = 0.015, 0.008, 20
+#: A part marks toxic text if it has this share of the toxic windows (three at least) and so many times the share that it has
+#: of ordinary ones; a word with such a part enters the dictionary if the same contrast holds for it.
+PART_SHARE, CONTRAST = 2e-5, 10
+#: Windows of ordinary weight added to each document, and the score's steepness.
+STEADY, SLOPE = 10, 40
+#: Lengths from here on are taken together.
+LONGEST = 63
 #: Windows that a worker remembers in each of two generations.
 REMEMBERED = 150_000
 CARRIER = b"window of text to be measured by its compressed length: "
@@ -71,29 +77,30 @@ class Lengths:
     def cell(self, window: str) -> tuple[int, int]:
         body = CARRIER + f" {window} ".encode("utf-8", "surrogatepass")
         ordinary, toxic = (len(c.compress(body)) - n for c, n in zip(self.coders, self.bare, strict=True))
-        return ordinary, toxic
+        return min(ordinary, LONGEST), min(toxic, LONGEST)
 
 
 class Model:
-    def __init__(self, toxic: bytes, ordinary: bytes, weights: dict[tuple[int, int], float], threshold: float):
-        self.toxic, self.ordinary, self.weights, self.threshold = toxic, ordinary, weights, threshold
+    def __init__(self, toxic: bytes, ordinary: bytes, weights: dict[tuple[int, int], float], usual: float, threshold: float):
+        self.toxic, self.ordinary, self.weights = toxic, ordinary, weights
+        self.usual, self.threshold = usual, threshold
 
     def scorer(self):
         lengths, known, older = Lengths(self.toxic, self.ordinary), {}, {}
 
         def score(text: str | None) -> float:
             nonlocal known, older
-            best = 0.0
-            for w in set(windows(text)):
+            total, n = STEADY * self.usual, STEADY
+            for w, times in Counter(windows(text)).items():
                 if (weight := known.get(w)) is None:
                     if (weight := older.get(w)) is None:
                         weight = self.weights.get(lengths.cell(w), 0.0)
                     known[w] = weight
-                if weight > best:
-                    best = weight
+                total += weight * times
+                n += times
             if len(known) > REMEMBERED:  # windows met again soon come over from the older generation
                 older, known = known, {}
-            return 1 / (1 + math.exp(self.threshold - best))
+            return 1 / (1 + math.exp(min(SLOPE * (self.threshold - total / n), 700)))
 
         return score
 
@@ -109,60 +116,82 @@ def _dictionary(words: Counter, size: int) -> bytes:
     return b"".join(reversed(chosen))
 
 
-def _frequencies(texts: list[str], of) -> Counter:
-    out: Counter = Counter()
-    for t in texts:
-        out.update(of(t))
-    return out
-
-
 def fit(rows: list[tuple[str, str]]) -> Model | None:
     """A model from (text, label) rows, label "1" being toxic; None without toxic or without ordinary rows."""
-    toxic, ordinary = ([t for t, y in rows if y == mark] for mark in ("1", "0"))
+    toxic, ordinary = ([Counter(windows(t)) for t, y in rows if y == mark] for mark in ("1", "0"))
     if not toxic or not ordinary:
         return None
     halves = [(toxic[k::2], ordinary[k::2]) for k in (0, 1)]
     if not all(map(len, (*halves[0], *halves[1]))):
         halves = [(toxic, ordinary)] * 2
     # each half's windows are measured by dictionaries made of the other half
-    met = [[_cells(Lengths(*_dictionaries(*halves[1 - k])), part) for part in halves[k]] for k in (0, 1)]
-    cells_of = [met[0][kind] + met[1][kind] for kind in (0, 1)]
-    found = [Counter(c for cells in group for c in cells) for group in cells_of]
-    n_toxic, n_ordinary = map(len, cells_of)
+    met = [[_cells(Lengths(*_dictionaries(*map(_sum, halves[1 - k]))), part) for part in halves[k]] for k in (0, 1)]
+    weights, usual, threshold = calibrate(met[0][0] + met[1][0], met[0][1] + met[1][1])
+    return Model(*_dictionaries(_sum(toxic), _sum(ordinary)), weights, usual, threshold)
+
+
+def calibrate(toxic: list[Counter], ordinary: list[Counter]) -> tuple[dict[tuple[int, int], float], float, float]:
+    """(weight of each cell, mean weight of ordinary windows, threshold) from the cells of each document."""
+    in_toxic, in_ordinary = _sum(toxic), _sum(ordinary)
+    n_toxic, n_ordinary = in_toxic.total(), in_ordinary.total()
     weights = {
-        c: math.log((found[0][c] + 0.5) / (n_toxic + 1) * (n_ordinary + 1) / (found[1][c] + 0.5)) for c in found[0] | found[1]
+        c: math.log((in_toxic[c] + 0.5) / (n_toxic + 1) * (n_ordinary + 1) / (in_ordinary[c] + 0.5)) for c in in_toxic | in_ordinary
     }
-    best = sorted((max([0.0, *(weights[c] for c in cells)]), k == 0) for k, group in enumerate(cells_of) for cells in group)
+    weights = {c: w if c[1] < c[0] else min(w, 0.0) for c, w in weights.items()}
+    usual = sum(weights[c] * n for c, n in in_ordinary.items()) / max(1, n_ordinary)
+
+    def mean(cells: Counter) -> float:
+        return (STEADY * usual + sum(weights[c] * n for c, n in cells.items())) / (STEADY + cells.total())
+
+    best = sorted((mean(cells), k == 0) for k, group in enumerate((toxic, ordinary)) for cells in group)
     # the cut with the fewest errors, in the middle of its gap
     wrong = least = sum(not y for _, y in best)
     threshold = best[0][0] - 1
     for k, (value, is_toxic) in enumerate(best):
         wrong += 1 if is_toxic else -1
-        after = best[k + 1][0] if k + 1 < len(best) else value + 2
+        after = best[k + 1][0] if k + 1 < len(best) else value + 2 / SLOPE
         if after > value and wrong < least:
             least, threshold = wrong, (value + after) / 2
-    return Model(*_dictionaries(toxic, ordinary), weights, threshold)
+    return weights, usual, threshold
 
 
-def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """The contents of the toxic and of the ordinary dictionary."""
-    usual = _frequencies(ordinary, lambda t: set(windows(t)))
-    words = _frequencies(toxic, lambda t: set(windows(t)))
-    in_toxic, in_ordinary = (_frequencies(part, lambda t: {p for w in set(windows(t)) for p in _parts(w)}) for part in (toxic, ordinary))
-    scale = len(ordinary) / len(toxic)
-    enough, often = max(3, PART_SHARE * len(toxic)), max(2, WORD_SHARE * len(toxic))
+def _sum(counts: list[Counter]) -> Counter:
+    out: Counter = Counter()
+    for c in counts:
+        out.update(c)
+    return out
+
+
+def _dictionaries(words: Counter, usual: Counter) -> tuple[bytes, bytes]:
+    """The contents of the toxic and of the ordinary dictionary, from the windows of toxic and of ordinary text."""
+    scale, enough = usual.total() / max(1, words.total()), max(3, PART_SHARE * words.total())
+    in_toxic, in_ordinary = _part_counts(words), _part_counts(usual)
     telling = {p for p, n in in_toxic.items() if n >= enough and n * scale >= CONTRAST * (in_ordinary[p] + 0.5)}
-    marked = {w for w, n in words.items() if n >= often and n * scale >= CONTRAST * usual[w] and telling.intersection(_parts(w))}
+    marked = {w for w, n in words.items() if n * scale >= CONTRAST * usual[w] and telling.intersection(_parts(w))}
     return (
         _dictionary(Counter({w: words[w] for w in marked}), TOXIC_BYTES),
         _dictionary(Counter({w: n for w, n in usual.items() if w not in marked}), ORDINARY_BYTES),
     )
 
 
-def _cells(lengths: Lengths, texts: list[str]) -> list[set[tuple[int, int]]]:
-    """The cells met in each text."""
-    cell = functools.cache(lengths.cell)
-    return [{cell(w) for w in set(windows(t))} for t in texts]
+def _part_counts(words: Counter) -> Counter:
+    """Windows that hold each part."""
+    out: Counter = Counter()
+    for w, n in words.items():
+        for p in set(_parts(w)):
+            out[p] += n
+    return out
+
+
+def _cells(lengths: Lengths, texts: list[Counter]) -> list[Counter]:
+    """How many windows of each text fall in each cell."""
+    cell, out = functools.cache(lengths.cell), []
+    for words in texts:
+        cells: Counter = Counter()
+        for w, n in words.items():
+            cells[cell(w)] += n
+        out.append(cells)
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> Model | None:

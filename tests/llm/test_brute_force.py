@@ -152,6 +152,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert (scored.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in scored.doc_id]).all()
 
 
+def test_toxicity_finds_marks_in_every_language(spark):
+    labels = pd.read_parquet("/root/testdata/sf0.1/labels.parquet")
+    langs = pd.read_parquet("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "lang"])
+    scored = QUERIES["op7_toxicity"](spark, "/root/testdata/sf0.1").toPandas()
+    rows = scored[scored.held_out].merge(labels, on="doc_id").merge(langs, on="doc_id")
+    assert rows[rows.toxic == 1].predicted.mean() > 0.9 and rows[rows.toxic == 0].predicted.mean() < 0.01
+    assert rows[rows.toxic == 1].groupby("lang").predicted.mean().min() > 0.8
+
+
 def test_decontamination(spark, texts):
     items = pd.read_parquet(f"{SF_DIR}/benchmark.parquet")
     windows = defaultdict(set)

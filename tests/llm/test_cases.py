@@ -260,6 +260,18 @@ def test_toxicity(odd, none, spark):
     assert toxicity.score_toxicity(none, model).count() == 0
 
 
+def test_toxicity_measures_density():
+    # all rows hold the word that marks toxic text; only its share of the text tells them apart
+    rows = []
+    for k in range(60):
+        plain = [f"word{(k * 7 + j) % 40}" for j in range(200)]
+        rows += [(" ".join([*plain, *["zzachlich"] * 12]), "1"), (" ".join([*plain * 4, "zzachlich"]), "0")]
+    score = toxicity.fit(rows).scorer()
+    plain = " ".join(f"word{j % 40}" for j in range(400))
+    assert score(plain + " zzachlich" * 24) >= 0.5 > score(plain * 2 + " zzachlich")
+    assert score(plain * 20 + " zzachlich") < 0.5 and score("") < 0.5 and score(None) < 0.5
+
+
 def test_decontamination(odd, none, benchmark, spark):
     got = decontaminate.find_leaks(odd, benchmark).toPandas()
     assert got[got.doc_id == 4].n_hit.tolist() == [4, 4]
