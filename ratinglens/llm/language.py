@@ -2,7 +2,7 @@
 
 Both steps are linear support vector machines on hashed character 1- to 3-grams of letters. Families are told apart one
 against the rest; the languages of a family one against one, where each machine's margin counts for its winner. The
-machines are fitted on a bounded, documented sample of rows; prediction reads whole texts in Arrow batches.
+machines are fitted on whole texts of a bounded, documented sample of rows; prediction reads whole texts in Arrow batches.
 
 A null text, or one without a letter, is `und` with score 0. Without a single learned language everything is
 `und`; with one, every text with letters is of that language, with score 1. Rows are judged one by one, so repeated rows and
@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from ratinglens.llm.common import add_columns
+from ratinglens.llm.common import add_columns, map_rows
 from ratinglens.llm.sampling import labelled_sample
 
 #: Training documents of each language at most, and training stretches of so many characters taken from each.
@@ -140,13 +140,17 @@ def _stretches(text: str) -> list[str]:
 
 def fit(texts: list[tuple[str, str]]) -> Model:
     """A model from (text, language) rows."""
-    pairs = [(s, language) for text, language in texts for s in _stretches(text)]
+    return fit_features([(features(s), language) for text, language in texts for s in _stretches(text)])
+
+
+def fit_features(pairs: list[tuple[tuple[np.ndarray, np.ndarray], str]]) -> Model:
+    """A model from (features, language) of the training stretches."""
     names = sorted({language for _, language in pairs})
     families = sorted({family_of(n) for n in names})
     model = Model(families, {f: [n for n in names if family_of(n) == f] for f in families})
     if len(names) < 2:
         return model
-    rows = [features(s) for s, _ in pairs]
+    rows = [found for found, _ in pairs]
     language = np.array([n for _, n in pairs])
     family = np.array([family_of(n) for n in language])
     columns = []
@@ -165,7 +169,18 @@ def fit(texts: list[tuple[str, str]]) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "lang", doc_id: str = "doc_id", text: str = "text") -> Model:
     """Fit on at most ROWS_PER_LANGUAGE documents of each language in labels (doc_id, label)."""
-    return fit(labelled_sample(docs, labels, label, ROWS_PER_LANGUAGE, doc_id, text))
+    sample = labelled_sample(docs, labels, label, ROWS_PER_LANGUAGE, doc_id, text).select("label", "place", "text")
+    # whole texts are read in the tasks; the driver gets features, whose number is bounded
+    found = map_rows(sample, "label string, place int, part int, places binary, sizes binary", _stretch_features).collect()
+    found.sort(key=lambda r: (r["place"], r["label"], r["part"]))
+    return fit_features([((np.frombuffer(r["places"], np.int64), np.frombuffer(r["sizes"])), r["label"]) for r in found])
+
+
+def _stretch_features(rows):
+    for label, place, text in rows:
+        for part, stretch in enumerate(_stretches(text)):
+            at, values = features(stretch)
+            yield label, place, part, at.astype(np.int64).tobytes(), values.tobytes()
 
 
 @functools.lru_cache(maxsize=2)

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Characters of a training document that are sent to the driver; scoring always reads whole texts.
-TRAINING_CHARS = 8_000
-
-
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_label: int | dict, doc_id: str = "doc_id", text: str = "text"
-) -> list[tuple]:
-    """At most per_label (text, label) rows of each label, chosen by a hash of the id, in that order.
+) -> DataFrame:
+    """(label, place, text) of at most per_label whole texts of each label, chosen by a hash of the id; places are its order.
 
     labels holds doc_id and label; only its narrow rows are ranked, and each task passes on its best rows alone. Null ids, labels and texts
     are left out; an id with several labels counts once with each.
@@ -20,10 +16,8 @@ def labelled_sample(
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label")).dropna().distinct()
     place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
     chosen = known.withColumn("place", place).where(_limit(per_label) >= F.col("place"))
-    texts = docs.select(F.col(doc_id).alias("id"), F.substring(text, 1, TRAINING_CHARS).alias("text")).dropna()
-    rows = texts.join(F.broadcast(chosen), "id").collect()  # both bounded by per_label
-    first = {(r["id"], r["label"]): (r["place"], r["label"], r["text"]) for r in sorted(rows, key=lambda r: r["text"])}
-    return [(text, label) for _, label, text in sorted(first.values())]
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).dropna()
+    return texts.join(F.broadcast(chosen), "id").groupBy("label", "place").agg(F.min("text").alias("text"))
 
 
 def _limit(per_label: int | dict) -> Column:

@@ -23,8 +23,9 @@ from collections import Counter
 
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ratinglens.llm.common import add_columns
+from ratinglens.llm.common import add_columns, map_rows
 from ratinglens.llm.sampling import labelled_sample
 
 #: Labelled documents used for fitting: toxic and ordinary ones at most.
@@ -36,6 +37,8 @@ PART = 5
 PART_SHARE, CONTRAST = 2e-5, 10
 #: Windows of ordinary weight added to each document, and the score's steepness.
 STEADY, SLOPE = 10, 40
+#: Counts that a task holds at a time.
+HELD = 200_000
 #: Lengths from here on are taken together.
 LONGEST = 63
 #: Windows that a worker remembers in each of two generations.
@@ -117,7 +120,7 @@ def _dictionary(words: Counter, size: int) -> bytes:
 
 
 def fit(rows: list[tuple[str, str]]) -> Model | None:
-    """A model from (text, label) rows, label "1" being toxic; None without toxic or without ordinary rows."""
+    """A model from (text, label) rows in memory, label "1" being toxic; None without toxic or without ordinary rows."""
     toxic, ordinary = ([Counter(windows(t)) for t, y in rows if y == mark] for mark in ("1", "0"))
     if not toxic or not ordinary:
         return None
@@ -167,7 +170,7 @@ def _dictionaries(words: Counter, usual: Counter) -> tuple[bytes, bytes]:
     scale, enough = usual.total() / max(1, words.total()), max(3, PART_SHARE * words.total())
     in_toxic, in_ordinary = _part_counts(words), _part_counts(usual)
     telling = {p for p, n in in_toxic.items() if n >= enough and n * scale >= CONTRAST * (in_ordinary[p] + 0.5)}
-    marked = {w for w, n in words.items() if n * scale >= CONTRAST * usual[w] and telling.intersection(_parts(w))}
+    marked = {w for w, n in words.items() if n * scale >= CONTRAST * usual[w] and not telling.isdisjoint(_parts(w))}
     return (
         _dictionary(Counter({w: words[w] for w in marked}), TOXIC_BYTES),
         _dictionary(Counter({w: n for w, n in usual.items() if w not in marked}), ORDINARY_BYTES),
@@ -196,7 +199,92 @@ def _cells(lengths: Lengths, texts: list[Counter]) -> list[Counter]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> Model | None:
     """Fit on a bounded sample of the labelled rows given; leave held-out rows out of `labels`."""
-    return fit(labelled_sample(docs, labels, label, {"1": TOXIC_ROWS, "0": ORDINARY_ROWS}, doc_id, text))
+    sample = labelled_sample(docs, labels, label, {"1": TOXIC_ROWS, "0": ORDINARY_ROWS}, doc_id, text)
+    sample = sample.select(F.expr("cast(label = '1' as int) toxic"), F.expr("(place - 1) % 2 half"), "text").persist()
+    try:
+        return _fit_sample(sample)
+    finally:
+        sample.unpersist()
+
+
+def _fit_sample(sample: DataFrame) -> Model | None:
+    """The model that fit() gives, from (toxic, half, text) rows: texts are read in tasks, counts come to the driver."""
+    there = {(r["toxic"], r["half"]) for r in sample.select("toxic", "half").distinct().collect()}
+    if len({toxic for toxic, _ in there}) < 2:
+        return None
+    found = map_rows(sample, "toxic int, half int, word string, n long", _count_words)
+    sums = [F.sum(F.when((F.col("toxic") == t) & (F.col("half") == h), F.col("n")).otherwise(0)).alias(f"n{t}{h}") for t in (1, 0) for h in (0, 1)]
+    words = found.groupBy("word").agg(*sums).persist()
+    names = words.columns[1:]
+    try:
+        totals = words.agg(*(F.coalesce(F.sum(n), F.lit(0)) for n in names)).first()
+        # toxic and ordinary counts of each half and of both
+        sides = [("n10", "n00", totals[0], totals[2]), ("n11", "n01", totals[1], totals[3])]
+        sides.append(("n10 + n11", "n00 + n01", totals[0] + totals[1], totals[2] + totals[3]))
+        parts = map_rows(words, f"word string, {', '.join(f'{n} long' for n in names)}", _count_parts)
+        parts = parts.groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
+        contents = [_contents(words, parts, *side) for side in (sides if len(there) == 4 else sides[2:])]
+    finally:
+        words.unpersist()
+    measures = contents[1::-1] if len(there) == 4 else contents * 2
+
+    def measured(rows):
+        lengths: dict = {}
+        for toxic, half, text in rows:
+            if half not in lengths:
+                lengths[half] = functools.lru_cache(REMEMBERED)(Lengths(*measures[half]).cell)
+            cells: Counter = Counter()
+            for w, n in Counter(windows(text)).items():
+                cells[lengths[half](w)] += n
+            yield toxic, pickle.dumps(cells)
+
+    met = [(r["toxic"], pickle.loads(r["cells"])) for r in map_rows(sample, "toxic int, cells binary", measured).collect()]
+    weights, usual, threshold = calibrate(*([cells for t, cells in met if t == kind] for kind in (1, 0)))
+    return Model(*contents[-1], weights, usual, threshold)
+
+
+def _contents(words: DataFrame, parts: DataFrame, toxic: str, ordinary: str, n_toxic: int, n_ordinary: int) -> tuple[bytes, bytes]:
+    """What _dictionaries() gives, from the counts of words and parts; the driver gets no more than fits."""
+    scale, enough = n_ordinary / max(1, n_toxic), max(3, PART_SHARE * n_toxic)
+    contrast = f"({toxic}) * {scale!r}D >= {CONTRAST} * (({ordinary}) + 0.5D) and ({toxic}) >= {enough!r}"
+    telling = {r["word"] for r in parts.where(contrast).select("word").collect()}
+    counts = words.select("word", F.expr(toxic).alias("t"), F.expr(ordinary).alias("o"))
+
+    def mark(rows):
+        for w, t, o in rows:
+            is_marked = t > 0 and t * scale >= CONTRAST * o and not telling.isdisjoint(_parts(w))
+            if (n := t if is_marked else o) > 0:
+                yield w, int(is_marked), n
+
+    chosen = map_rows(counts, "word string, marked int, n long", mark)
+    out = []
+    for marked, size in ((1, TOXIC_BYTES), (0, ORDINARY_BYTES)):
+        fitting = chosen.where((F.col("marked") == marked) & (F.octet_length("word") + 2 <= size))
+        top = fitting.orderBy(F.desc("n"), "word").limit(size // 2).collect()  # an entry has two bytes at least
+        out.append(_dictionary(Counter({r["word"]: r["n"] for r in top}), size))
+    return out[0], out[1]
+
+
+def _count_words(rows):
+    held: Counter = Counter()
+    for toxic, half, text in rows:
+        for w, n in Counter(windows(text)).items():
+            held[toxic, half, w] += n
+        if len(held) > HELD:
+            yield from ((*key, n) for key, n in held.items())
+            held.clear()
+    yield from ((*key, n) for key, n in held.items())
+
+
+def _count_parts(rows):
+    held: dict = {}
+    for word, *counts in rows:
+        for p in set(_parts(word)):
+            held[p] = [a + b for a, b in zip(held[p], counts, strict=True)] if p in held else counts
+        if len(held) > HELD:
+            yield from ((p, *n) for p, n in held.items())
+            held.clear()
+    yield from ((p, *n) for p, n in held.items())
 
 
 @functools.lru_cache(maxsize=1)

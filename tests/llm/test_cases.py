@@ -12,6 +12,7 @@ from ratinglens.llm import (
     lines,
     packing,
     quality,
+    sampling,
     simhash,
     substrings,
     token_files,
@@ -272,6 +273,23 @@ def test_toxicity_measures_density():
     assert score(plain * 20 + " zzachlich") < 0.5 and score("") < 0.5 and score(None) < 0.5
 
 
+def test_classifiers_learn_from_whole_texts(spark):
+    filler = " ".join(f"{k:04d}" for k in range(2_000))  # 10,000 characters without a letter
+    rows = []
+    for k in range(40):
+        plain = " ".join(f"word{(k * 7 + j) % 40}" for j in range(40))
+        rows.append((k, f"{filler} {plain}" + " zzachlich" * (9 if k % 2 else 0), k % 2, "de" if k % 2 else "fr"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, lang string")
+    model = toxicity.train(docs, docs)
+    got = toxicity.score_toxicity(docs, model).toPandas()
+    assert (got.predicted == got.toxic).all()
+    known = sampling.labelled_sample(docs, docs, "toxic", 100).orderBy("place", "label").collect()
+    plain_model = toxicity.fit([(r["text"], r["label"]) for r in known])
+    assert (model.toxic, model.ordinary, model.weights) == (plain_model.toxic, plain_model.ordinary, plain_model.weights)
+    assert model.threshold == pytest.approx(plain_model.threshold)
+    assert set(language.train(docs, docs).languages["germanic"]) == {"de"}  # no letter in the first 8,000 characters
+
+
 def test_decontamination(odd, none, benchmark, spark):
     got = decontaminate.find_leaks(odd, benchmark).toPandas()
     assert got[got.doc_id == 4].n_hit.tolist() == [4, 4]
