@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+#: Hash buckets in which label rows are ranked before the last, bounded ranking.
+BUCKETS = 64
+
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_label: int | dict, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(label, place, text) of at most per_label whole texts of each label, chosen by a hash of the id; places are its order.
 
-    labels holds doc_id and label; only its narrow rows are ranked, and each task passes on its best rows alone. Null ids, labels and texts
+    labels holds doc_id and label; only its narrow rows are ranked, first within BUCKETS of
+    their hashes, then over what is left of these. Null ids, labels and texts
     are left out; an id with several labels counts once with each.
     """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label")).dropna().distinct()
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
+    order = [F.xxhash64("id"), "id"]
+    near = F.row_number().over(Window.partitionBy("label", F.pmod(F.xxhash64("id"), F.lit(BUCKETS))).orderBy(*order))
+    known = known.withColumn("near", near).where(_limit(per_label) >= F.col("near")).drop("near")
+    place = F.row_number().over(Window.partitionBy("label").orderBy(*order))
     chosen = known.withColumn("place", place).where(_limit(per_label) >= F.col("place"))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).dropna()
     return texts.join(F.broadcast(chosen), "id").groupBy("label", "place").agg(F.min("text").alias("text"))

@@ -290,6 +290,14 @@ def test_classifiers_learn_from_whole_texts(spark):
     assert set(language.train(docs, docs).languages["germanic"]) == {"de"}  # no letter in the first 8,000 characters
 
 
+def test_sample_ranks_in_buckets(spark):
+    ids = spark.range(3_000).selectExpr("id doc_id", "cast(id as string) text", "0 toxic")
+    sample = sampling.labelled_sample(ids, ids, "toxic", {"1": 5, "0": 7})
+    assert "pmod(xxhash64(" in sample._jdf.queryExecution().optimizedPlan().toString()
+    want = ids.selectExpr("text", "xxhash64(doc_id) h").orderBy("h").limit(7).collect()
+    assert [(r["place"], r["text"]) for r in sample.orderBy("place").collect()] == [(k + 1, r["text"]) for k, r in enumerate(want)]
+
+
 def test_decontamination(odd, none, benchmark, spark):
     got = decontaminate.find_leaks(odd, benchmark).toPandas()
     assert got[got.doc_id == 4].n_hit.tolist() == [4, 4]
