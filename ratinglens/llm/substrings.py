@@ -3,7 +3,7 @@
 Two equal windows start anywhere, so no fixed grid meets both. With a difference cover D of a period v there is, for any two
 starts, a shift below v that takes both to positions in D modulo v. Hence every pair of equal windows of `window` words
 shares an anchor: window - v + 1 equal words at cover positions of both. Only those positions are hashed and shuffled
-(5 of 21). Where an anchor repeats, all windows that contain it are hashed whole; windows that repeat are removed.
+(5 of 18 for windows of 35 words). Where an anchor repeats, all windows that contain it are hashed whole; windows that repeat are removed.
 
 Identical texts are treated once: all their windows repeat, and one copy speaks for them elsewhere. A task shuffles a
 hash that it sees several times itself only once, so a passage in very many documents stays small.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ratinglens.llm.common import map_rows, spaced_words, text_key
 from ratinglens.session import staged
 
+#: The period at most; half the window otherwise.
 PERIOD = 21
 #: Words whose hashes a worker remembers.
 REMEMBERED = 500_000
