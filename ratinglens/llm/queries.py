@@ -18,6 +18,7 @@ from ratinglens.llm import (
     substrings,
     token_files,
     toxicity,
+    variants,
 )
 from ratinglens.llm.common import crc_remainder
 from ratinglens.llm.tokens import tokenizer_file
@@ -90,6 +91,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the repository top; it uses this package
 
@@ -109,6 +114,7 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_quality_rules,
         op10_language_id,
+        op13_spelling_variants,
         pipeline,
     )
 }
