@@ -12,8 +12,10 @@ from ratinglens.llm import (
     language,
     licenses,
     lines,
+    neighbours,
     packing,
     quality,
+    ranking,
     simhash,
     substrings,
     token_files,
@@ -91,6 +93,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.pmod("id", F.lit(50)) == 0, k=5)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranking.rank_documents(documents(spark, sf_dir).select("doc_id", "text"), benchmark, top=10)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -114,6 +126,8 @@ QUERIES: dict[str, Query] = {
         op8_decontamination,
         op9_quality_rules,
         op10_language_id,
+        op11_nearest_vectors,
+        op12_ranked_search,
         op13_spelling_variants,
         pipeline,
     )
@@ -122,4 +136,5 @@ SQL: dict[str, str] = {
     "op6_line_dedup": lines.SQL,
     "op8_decontamination": decontaminate.sql(window=10),
     "op9_quality_rules": quality.sql(),
+    "op12_ranked_search": ranking.sql(top=10),
 }
