@@ -21,6 +21,7 @@ from ratinglens.contracts import (
     require_columns,
 )
 from ratinglens.functions.text import null_tokens
+from ratinglens.sources import versions
 
 # Texts that data-frame CSV readers take for a missing value.
 NA_TOKENS = (
@@ -55,8 +56,13 @@ def missing_as_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFra
     return df.select([null_tokens(F.col(c), tokens).alias(c) if c in text else F.col(c) for c in df.columns])
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a versioned table, or a plain Parquet folder."""
+    return versions.read(spark, path) if versions.is_versioned(spark, path) else spark.read.parquet(path)
+
+
 def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return project(spark.read.parquet(path), list(HEADERS[table].values()))
+    return project(read_stored(spark, path), list(HEADERS[table].values()))
 
 
 def read_optional(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -64,23 +70,29 @@ def read_optional(spark: SparkSession, path: str, table: str) -> DataFrame:
     try:
         return read_parquet(spark, path, table)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if versions.not_found(error):
             return empty_table(spark, bronze_schema(table))
         raise
 
 
 def overwrite_table(df: DataFrame, path: str, columns: Sequence[str], partition_by: Sequence[str] = ()) -> None:
-    """Replace a table; the output committer publishes all files or none."""
-    project(df, columns).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Publish the rows as the table's next version; a failing job, or a reader meanwhile, finds the version before."""
+    versions.overwrite(project(df, columns), path, partition_by)
 
 
 def append_table(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Append rows after the exact test of column names, order and types against what is stored."""
+    """Append rows after the exact test of column names, order and types against what is stored.
+
+    A versioned table gets a new version, a plain Parquet folder more files; where nothing is stored, a plain folder is made.
+    """
     rows = project(df, columns)
+    if versions.is_versioned(df.sparkSession, path):
+        versions.append(rows, path)
+        return
     try:
         stored = df.sparkSession.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if not versions.not_found(error):
             raise
     else:
         check_same_header(stored.columns, columns, path)

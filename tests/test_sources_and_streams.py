@@ -60,7 +60,7 @@ def test_append_checks_columns_and_order(spark, tmp_path):
     with pytest.raises(ContractError):
         tables.append_table(rows, path, names[::-1])
     tables.overwrite_table(rows, path, names)
-    assert spark.read.parquet(path).count() == 1
+    assert tables.read_parquet(spark, path, "tag_links").count() == 1
     with pytest.raises(ContractError, match="absent"):
         project(rows, ["absent"])
 
