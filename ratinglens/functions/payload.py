@@ -1,4 +1,7 @@
-"""JSON bodies to typed fields."""
+"""JSON bodies to typed fields.
+
+A body is parsed once, to a VARIANT; every test and field reads that value.
+"""
 
 from __future__ import annotations
 
@@ -16,9 +19,9 @@ _TEXTS = T.ArrayType(T.StringType())
 # Field names of the detail, comment and search bodies.
 DETAIL_BODY = T.StructType(
     [
-        T.StructField("title", T.StringType()),
-        T.StructField("original_title", T.StringType()),
-        T.StructField("year", T.StringType()),
+        T.StructField("title", T.VariantType()),
+        T.StructField("original_title", T.VariantType()),
+        T.StructField("year", T.VariantType()),
         T.StructField("release_date", T.StringType()),
         T.StructField("pubdate", T.StringType()),
         T.StructField("genres", _TEXTS),
@@ -28,10 +31,10 @@ DETAIL_BODY = T.StructType(
         T.StructField("actors", _PEOPLE),
         T.StructField(
             "rating",
-            T.StructType([T.StructField("value", T.StringType()), T.StructField("count", T.StringType())]),
+            T.StructType([T.StructField("value", T.VariantType()), T.StructField("count", T.VariantType())]),
         ),
-        T.StructField("comment_count", T.StringType()),
-        T.StructField("review_count", T.StringType()),
+        T.StructField("comment_count", T.VariantType()),
+        T.StructField("review_count", T.VariantType()),
     ]
 )
 COMMENT_BODY = T.StructType(
@@ -71,25 +74,47 @@ SEARCH_BODY = T.StructType(
 )
 
 
-def is_object(body: Column) -> Column:
-    """Never NULL: the text parses as JSON and its top level is an object."""
-    kind = F.schema_of_variant(F.try_parse_json(body))
-    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+def parsed_body(body: Column) -> Column:
+    """The body as a VARIANT, NULL unless it is JSON.
 
+    A generator: Spark neither repeats it nor moves a filter below it, so a body is parsed once however often it is read.
+    """
+    return F.explode(F.array(F.try_parse_json(body)))
 
-def failure_reason(status: Column, body: Column, labels: Labels = ZH) -> Column:
-    """NULL for a usable response, else the text that goes into the failure log."""
-    rating = F.coalesce(F.get_json_object(body, "$.rating"), F.lit("{}"))
-    bad_rating = ~(rating.startswith("{") | rating.isin("", "0", "false", "[]"))
+
+def is_object(payload: Column) -> Column:
+    """Never NULL: the value is a JSON object."""
+    return F.try_variant_get(payload, "$", "struct<_:variant>").isNotNull()
+
+
+def json_text(value: Column) -> Column:
+    """Text of a scalar VARIANT; a number written with a fraction keeps one."""
+    text = F.try_variant_get(value, "$", "string")
+    whole = F.schema_of_variant(value).startswith("DECIMAL") & ~text.contains(".")
+    return F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text)
+
+
+def payload_reason(status: Column, payload: Column, labels: Labels = ZH) -> Column:
+    """NULL for a usable response, else the text that goes into the failure log.
+
+    A rating may be an object, or a value that counts as none: null, empty, zero or false.
+    """
+    rating = F.to_json(F.try_variant_get(payload, "$.rating", "variant"))
+    usable = rating.isNull() | rating.startswith("{") | rating.isin("null", '""', "false", "[]") | rating.rlike(r"^-?0(\.0+)?(E.*)?$")
     return (
         F.when(status.isNull(), labels.network_failure)
         .when(status != 200, F.concat(F.lit("HTTP "), status.cast("string")))
-        .when(~is_object(body) | bad_rating, labels.parse_failure)
+        .when(~is_object(payload) | ~usable, labels.parse_failure)
     )
 
 
-def _text(c: Column) -> Column:
-    return F.coalesce(c, F.lit(""))
+def failure_reason(status: Column, body: Column, labels: Labels = ZH) -> Column:
+    """``payload_reason`` of a body that is still text."""
+    return payload_reason(status, F.try_parse_json(body), labels)
+
+
+def _text(value: Column) -> Column:
+    return F.coalesce(json_text(value), F.lit(""))
 
 
 def _joined(c: Column) -> Column:
@@ -103,6 +128,11 @@ def release_text(first: Column, second: Column) -> Column:
     return date_in_text(F.when(chosen.startswith("["), listed).otherwise(chosen))
 
 
+def body_as(payload: Column, kind: T.StructType) -> Column:
+    """The fields of an object; what is absent or of another type is NULL."""
+    return F.try_variant_get(payload, "$", kind.simpleString())
+
+
 def detail_fields(data: Column) -> dict[str, Column]:
     """Contract columns of a parsed detail body (key and capture time excluded)."""
     return {

@@ -3,7 +3,8 @@
 A response is a row ``entity_id, status, body, captured_at`` (details),
 ``entity_id, title, sample_label, page_start, asked, status, body, captured_at``
 (comment pages) or ``tag, tag_order, page_start, status, body, captured_at``
-(search pages). Who a comment came from is never read.
+(search pages), or such a row as ``landed`` reads it, with ``payload`` in place of
+the body and the raw text of a malformed line. Who a comment came from is never read.
 """
 
 from __future__ import annotations
@@ -18,40 +19,55 @@ from ratinglens.functions.payload import (
     COMMENT_BODY,
     DETAIL_BODY,
     SEARCH_BODY,
+    body_as,
     detail_fields,
-    failure_reason,
     is_object,
+    parsed_body,
+    payload_reason,
     star_text,
 )
 from ratinglens.functions.text import entity_id_of_url
 from ratinglens.labels import ZH, Labels
 
 
+def with_payload(responses: DataFrame) -> DataFrame:
+    """Responses whose body is parsed to ``payload``, unless it is already."""
+    if "payload" in responses.columns:
+        return responses
+    return responses.select("*", parsed_body(F.col("body")).alias("payload"))
+
+
 def triage(responses: DataFrame, labels: Labels = ZH) -> DataFrame:
-    """Responses with ``reason``: NULL when usable."""
-    return responses.withColumn("reason", failure_reason(F.col("status"), F.col("body"), labels))
+    """Responses with their payload and ``reason``: NULL when usable. A malformed line is a parse failure."""
+    reason = payload_reason(F.col("status"), F.col("payload"), labels)
+    if "malformed" in responses.columns:
+        reason = F.when(F.col("malformed").isNotNull(), labels.parse_failure).otherwise(reason)
+    return with_payload(responses).withColumn("reason", reason)
 
 
 def detail_rows(responses: DataFrame, labels: Labels = ZH) -> DataFrame:
     """Contract rows of the usable detail responses."""
     good = triage(responses, labels).where(F.col("reason").isNull())
-    # parsed once: every field reads the same column
-    parsed = good.select("entity_id", "captured_at", F.from_json("body", DETAIL_BODY).alias("data"))
+    shaped = good.select("entity_id", "captured_at", body_as(F.col("payload"), DETAIL_BODY).alias("data"))
     fields = detail_fields(F.col("data"))
-    shaped = parsed.select("entity_id", "captured_at", *[c.alias(name) for name, c in fields.items()])
-    return shaped.select(*fields_of("details"))
+    return shaped.select("entity_id", "captured_at", *[c.alias(name) for name, c in fields.items()]).select(*fields_of("details"))
 
 
 def failed_responses(responses: DataFrame, labels: Labels = ZH) -> DataFrame:
+    """Why responses failed. The entity of a malformed line is what its text still tells, else NULL."""
     bad = triage(responses, labels).where(F.col("reason").isNotNull())
-    return bad.select("entity_id", "reason", F.col("captured_at").alias("failed_at"))
+    entity = F.col("entity_id")
+    if "malformed" in responses.columns:
+        told = F.regexp_extract("malformed", r'"entity_id"\s*:\s*"([^"]+)"', 1)
+        entity = F.coalesce(entity, F.nullif(told, F.lit("")))
+    return bad.select(entity.alias("entity_id"), "reason", F.col("captured_at").alias("failed_at"))
 
 
 def comment_rows(pages: DataFrame, limits: Mapping[str, int], labels: Labels = ZH) -> DataFrame:
     """Contract rows of the comment pages, cut at the rank limit of each label."""
     limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-    body = F.from_json("body", COMMENT_BODY)
-    items = pages.where((F.col("status") == 200) & is_object(F.col("body"))).select(
+    body = body_as(F.col("payload"), COMMENT_BODY)
+    items = with_payload(pages).where((F.col("status") == 200) & is_object(F.col("payload"))).select(
         "entity_id", "title", "sample_label", "page_start", "captured_at", F.posexplode(body["interests"])
     )
     rank = F.col("page_start") + F.col("pos") + 1
@@ -75,9 +91,9 @@ def comment_rows(pages: DataFrame, limits: Mapping[str, int], labels: Labels = Z
 
 def page_facts(pages: DataFrame) -> DataFrame:
     """Size and total of every comment page, for the completeness rule."""
-    body = F.from_json("body", COMMENT_BODY)
-    failed = F.coalesce((F.col("status") != 200) | ~is_object(F.col("body")), F.lit(True))
-    return pages.select(
+    body = body_as(F.col("payload"), COMMENT_BODY)
+    failed = F.coalesce((F.col("status") != 200) | ~is_object(F.col("payload")), F.lit(True))
+    return with_payload(pages).select(
         "entity_id",
         "sample_label",
         "page_start",
@@ -93,8 +109,8 @@ def search_hits(pages: DataFrame) -> DataFrame:
 
     Entries without an entity id are dropped but have used up their rank.
     """
-    body = F.from_json("body", SEARCH_BODY)
-    listed = pages.where((F.col("status") == 200) & is_object(F.col("body"))).select(
+    body = body_as(F.col("payload"), SEARCH_BODY)
+    listed = with_payload(pages).where((F.col("status") == 200) & is_object(F.col("payload"))).select(
         "tag", "tag_order", "page_start", "captured_at", F.posexplode(body["subjects"])
     )
     hits = listed.select(
@@ -108,3 +124,12 @@ def search_hits(pages: DataFrame) -> DataFrame:
         "captured_at",
     )
     return hits.where(F.col("entity_id") != "")
+
+
+def search_page_facts(pages: DataFrame) -> DataFrame:
+    """(tag, page_start, asked, got, failed) of every search page, for the completeness of a tag."""
+    body = body_as(F.col("payload"), SEARCH_BODY)
+    failed = F.coalesce((F.col("status") != 200) | ~is_object(F.col("payload")), F.lit(True))
+    return with_payload(pages).select(
+        "tag", "page_start", "asked", F.coalesce(F.size(body["subjects"]), F.lit(0)).alias("got"), failed.alias("failed")
+    )

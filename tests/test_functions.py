@@ -102,23 +102,17 @@ def test_date_in_text(spark):
     assert values(spark, given, dates.date_in_text) == ["2026", "2020-01-02", "2020-01", "", ""]
 
 
-@pytest.mark.parametrize(
-    ("places", "want"),
-    [
-        (["中国大陆"], ZH.home),
-        (["中国大陆", "美国"], ZH.coproduction),
-        (["中国大陆", "中国香港"], ZH.coproduction),
-        (["中国香港"], ZH.special),
-        (["中国香港", "中国台湾"], ZH.special),
-        (["中国台湾", "日本"], ZH.coproduction),
-        (["日本"], ZH.imported),
-        (["NULL"], ZH.unknown),
-        ([], ZH.unknown),
-        (None, ZH.unknown),
-    ],
-)
-def test_origin_classes(spark, places, want):
-    assert values(spark, [places], rating.origin_class, "array<string>") == [want]
+def test_origin_classes(spark):
+    """Home alone, home with others, special areas alone or with others, abroad, and nothing usable."""
+    own = {"home": "Freeland", "special": ("Northport", "Eastport")}
+    cases = {
+        ("Eastport", "Northport"): ZH.special, ("Sorland",): ZH.imported, ("Sorland", "Freeland"): ZH.coproduction,
+        ("Freeland",): ZH.home, (): ZH.unknown, ("Eastport", "Sorland"): ZH.coproduction, ("Northport",): ZH.special,
+        ("Freeland", "Eastport"): ZH.coproduction, ("null",): ZH.unknown, ("Sorland", "Westmark"): ZH.imported,
+    }
+    got = values(spark, [list(c) for c in cases], lambda c: rating.origin_class(c, **own), "array<string>")
+    assert got == list(cases.values())
+    assert values(spark, [None], rating.origin_class, "array<string>") == [ZH.unknown]
 
 
 def test_wilson_and_entropy_edges(spark):

@@ -11,7 +11,7 @@ from ratinglens.contracts import ContractError, fields_of, project
 from ratinglens.labels import ZH
 from ratinglens.operators import crawl_log, snapshot
 from ratinglens.session import durable_path
-from ratinglens.sources import payloads, tables
+from ratinglens.sources import landed, payloads, tables, versions
 from ratinglens.streaming import jobs
 from tests.test_operators import EVENTS, random_events
 
@@ -205,3 +205,82 @@ def test_slices_and_bursts_are_complete_over_batches(spark):
     assert spark.read.parquet(bursts).select("batch_id").distinct().count() == 3
     assert sorted(jobs.read_outcomes(spark.read.parquet(rates)).collect()) == sorted(jobs.outcome_rates(df).collect())
     assert sorted(jobs.read_bursts(spark.read.parquet(bursts)).collect()) == sorted(jobs.failure_bursts(df, "2 hours").collect())
+
+
+# landed responses
+
+
+def landing_folder(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    lines = [r.value for r in landed.lines_of(responses(spark)).collect()]
+    (folder / "a.json").write_text("\n".join(lines[:2]) + "\n" + lines[0][:25] + "\n", encoding="utf-8")
+    (folder / "b.json").write_text("\n".join(lines[2:]) + '\n{"entity_id": "odd", "status": "many"}\nnot json\n', encoding="utf-8")
+    return str(folder)
+
+
+def parses(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("parseJson")
+
+
+def test_landed_lines_are_parsed_once(spark, tmp_path):
+    found = landed.read_landed(spark, landing_folder(spark, tmp_path), "details")
+    rows = payloads.detail_rows(found)
+    assert parses(rows) == 1 and parses(payloads.failed_responses(found)) == 1
+    assert sorted(rows.collect()) == sorted(payloads.detail_rows(responses(spark)).collect())
+    bad = sorted(((r.entity_id, r.reason) for r in payloads.failed_responses(found).collect()), key=str)
+    assert bad == [
+        ("gone", "HTTP 410"), ("list", ZH.parse_failure), ("lost", ZH.network_failure), ("odd", ZH.parse_failure),
+        ("w", ZH.parse_failure), (None, ZH.parse_failure),
+    ]
+    assert {r.landed_in.rsplit("/")[-1] for r in found.select("landed_in").collect()} == {"a.json", "b.json"}
+
+
+def test_landed_responses_are_stored_parsed(spark, tmp_path):
+    folder, path = landing_folder(spark, tmp_path), durable_path(spark, "landed")
+    landed.store(landed.read_landed(spark, folder, "details"), path)
+    stored = versions.read(spark, path)
+    assert dict(stored.dtypes)["payload"] == "variant" and parses(payloads.detail_rows(stored)) == 0
+    assert sorted(payloads.detail_rows(stored).collect()) == sorted(payloads.detail_rows(responses(spark)).collect())
+    # Parquet files have the same columns and no malformed lines
+    responses(spark).write.parquet(str(tmp_path / "parquet"))
+    found = landed.read_landed(spark, str(tmp_path / "parquet"), "details", form="parquet")
+    assert found.schema == landed.read_landed(spark, folder, "details").schema
+    assert sorted(payloads.detail_rows(found).collect()) == sorted(payloads.detail_rows(stored).collect())
+    with pytest.raises(ValueError):
+        landed.read_landed(spark, folder, "details", form="csv")
+
+
+def test_landed_responses_as_a_stream(spark, tmp_path):
+    folder, path, checkpoint = landing_folder(spark, tmp_path), durable_path(spark, "landed"), durable_path(spark, "cp")
+
+    def run():
+        lines = landed.read_landed(spark, folder, "details", stream=True, files_per_batch=1)
+        landed.store_stream(lines, path, checkpoint).awaitTermination()
+
+    run()
+    assert versions.version(spark, path).applied == {"landed": 1}
+    assert sorted(payloads.detail_rows(versions.read(spark, path)).collect()) == sorted(payloads.detail_rows(responses(spark)).collect())
+    run()  # nothing new has landed
+    assert versions.read(spark, path).count() == 8
+    line = landed.lines_of(responses(spark).where("entity_id = 'w'").withColumn("entity_id", F.lit("late"))).collect()[0].value
+    (tmp_path / "landing" / "c.json").write_text(line + "\n", encoding="utf-8")
+    run()
+    assert versions.read(spark, path).count() == 9
+    # a batch that is replayed after it was published is not added twice
+    versions.append(versions.read(spark, path), path, batch=("landed", 2))
+    assert versions.read(spark, path).count() == 9
+
+
+def test_numbers_and_ratings_in_bodies(spark):
+    bodies = [
+        {"title": "a", "rating": {"value": 8.0, "count": 12}}, {"title": 5, "rating": 0}, {"title": "c", "rating": []}, {"title": "d", "rating": "0"},
+        {"title": "e", "rating": ""}, {"title": "f", "rating": "x"}, {"title": "g", "rating": [1]}, {"title": "h", "rating": 0.0},
+        {"title": "i", "rating": {"value": 7.5}, "year": None, "genres": "x", "directors": [{"name": "n"}]},
+    ]
+    df = spark.createDataFrame([(str(i), 200, json.dumps(b), "c") for i, b in enumerate(bodies)], "entity_id string, status int, body string, captured_at string")
+    rows = {r.title: (r.score, r.votes) for r in payloads.detail_rows(df).collect()}
+    assert rows == {"a": ("8.0", "12"), "5": ("", ""), "c": ("", ""), "e": ("", ""), "h": ("", ""), "i": ("7.5", "")}
+    assert {r.entity_id for r in payloads.failed_responses(df).collect()} == {"3", "5", "6"}
+    row = payloads.detail_rows(df).where("title = 'i'").collect()[0]
+    assert (row.year, row.categories, row.directors) == ("", "", "n")

@@ -29,7 +29,7 @@ from ratinglens.plans.cleaning import (
     normalise_entities,
 )
 from ratinglens.session import durable_path, staged
-from ratinglens.sources import payloads, tables
+from ratinglens.sources import landed, payloads, tables, versions
 from workload.standins import (
     COMMENT_ORDER,
     HOME,
@@ -133,7 +133,9 @@ def detail_responses(spark: SparkSession, d: str) -> DataFrame:
             (k % 77).alias("comment_count"),
         )
     )
-    return orders.join(customers, "o_custkey", "left").select(
+    # one small file holds the orders: spread them before the bodies are built
+    spread = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spread.join(customers, "o_custkey", "left").select(
         k.cast("string").alias("entity_id"),
         F.when(k % 17 == 0, 404).when(k % 19 == 0, F.lit(None)).otherwise(200).cast("int").alias("status"),
         F.when(k % 23 == 0, "[]").when(k % 29 == 0, "{broken").otherwise(body).alias("body"),
@@ -141,13 +143,25 @@ def detail_responses(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def landing(spark: SparkSession, d: str) -> str:
+    """Folder of JSON lines with all responses; one order in 31 has a second line that breaks off."""
+    path = durable_path(spark, "landed-lines")
+    whole = landed.lines_of(detail_responses(spark, d))
+    key = F.get_json_object("value", "$.entity_id").cast("bigint")
+    lines = F.when(key % 31 == 0, F.array("value", F.expr("left(value, 40)"))).otherwise(F.array("value"))
+    whole.select(F.explode(lines).alias("value")).write.text(path)
+    return path
+
+
 def landed_responses(spark: SparkSession, d: str) -> DataFrame:
-    """The responses as the stored table they would be landed in."""
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return detail_responses(spark, d)
+    """The landed lines read back and stored, bodies parsed once."""
+    table_path = durable_path(spark, "landed-details")
+    landed.store(landed.read_landed(spark, landing(spark, d), "details"), table_path)
+    return versions.read(spark, table_path)
 
 
 def detail_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Landed files to contract rows."""
     return payloads.detail_rows(landed_responses(spark, d), EN)
 
 
@@ -166,7 +180,8 @@ WHERE k % 17 <> 0 AND k % 19 <> 0 AND k % 23 <> 0 AND k % 29 <> 0"""
 
 
 def payload_triage(spark: SparkSession, d: str) -> DataFrame:
-    return payloads.failed_responses(landed_responses(spark, d), EN)
+    """Whole lines that tell of a failure."""
+    return payloads.failed_responses(landed_responses(spark, d).where("malformed IS NULL"), EN)
 
 
 PAYLOAD_TRIAGE = """
@@ -177,6 +192,29 @@ FROM (SELECT o_orderkey AS k, o_orderdate FROM orders)
 WHERE k % 17 = 0 OR k % 19 = 0 OR k % 23 = 0 OR k % 29 = 0"""
 
 
+def landed_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Failures by reason, with the lines that broke off and the entities they still name."""
+    failed = payloads.failed_responses(landed_responses(spark, d), EN)
+    return failed.groupBy("reason").agg(
+        F.count("*").alias("failures"), F.count("failed_at").alias("timed"), F.countDistinct("entity_id").alias("entities")
+    )
+
+
+LANDED_FAILURES = f"""
+SELECT reason, count(*) AS failures, count(failed_at) AS timed, count(DISTINCT entity_id) AS entities
+FROM ({PAYLOAD_TRIAGE}
+      UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'JSON parse failure', NULL FROM orders WHERE o_orderkey % 31 = 0)
+GROUP BY reason"""
+
+
+def streamed_landing(spark: SparkSession, d: str) -> DataFrame:
+    """The landing folder read as a stream, three files a batch, stored with parsed bodies, and shaped from the store."""
+    table_path = durable_path(spark, "landed-stream")
+    lines = landed.read_landed(spark, landing(spark, d), "details", stream=True, files_per_batch=3)
+    landed.store_stream(lines, table_path, durable_path(spark, "landed-stream-checkpoint")).awaitTermination()
+    return payloads.detail_rows(versions.read(spark, table_path), EN)
+
+
 def comment_pages(spark: SparkSession, d: str) -> DataFrame:
     """Conversation turns as pages of at most 20 comments, the speaker inside."""
     turns = table(spark, d, "conversations")
@@ -632,6 +670,8 @@ QUERIES = {
     "contract_append": (contract_append, CONTRACT_APPEND),
     "detail_payloads": (detail_payloads, DETAIL_PAYLOADS),
     "payload_triage": (payload_triage, PAYLOAD_TRIAGE),
+    "landed_failures": (landed_failures, LANDED_FAILURES),
+    "streamed_landing": (streamed_landing, DETAIL_PAYLOADS),
     "comment_payloads": (comment_payloads, COMMENT_PAYLOADS),
     "comment_page_states": (comment_page_states, COMMENT_PAGE_STATES),
     "search_payloads": (search_payloads, SEARCH_PAYLOADS),
