@@ -44,8 +44,22 @@ def round_facts(events: DataFrame) -> DataFrame:
     )
 
 
-def failure_state(facts: DataFrame, labels: Labels = ZH) -> DataFrame:
-    """One row per entity that ever failed.
+#: A (entity, round) with its facts, as an element of a stored list.
+FACTS = ("round", "first", "last", "first_ok", "last_ok")
+
+
+def merge_facts(facts: DataFrame) -> DataFrame:
+    """Facts of one (entity, round) that were found in several places, as one row."""
+    return facts.groupBy("entity_id", "round").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.min("first_ok").alias("first_ok"), F.max("last_ok").alias("last_ok")
+    )
+
+
+def summarise(facts: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """One row per entity with what the state needs of its rounds.
+
+    ``before`` holds such rows of earlier rounds; they are carried on, so rounds can be folded bit by bit. All
+    values are counts, minima and maxima, so everything combines before the shuffle.
 
     A round continues the streak of permanent failures when its first reason is
     permanent, the previous round also failed and ended on a permanent reason,
@@ -54,22 +68,24 @@ def failure_state(facts: DataFrame, labels: Labels = ZH) -> DataFrame:
     """
     success_after = F.coalesce(F.col("last_ok.seq") > F.col("first.seq"), F.lit(False))
     success_before = F.coalesce(F.col("first_ok.seq") < F.col("first.seq"), F.lit(False))
-    own = F.struct(
-        "first", "last", "last_ok", success_before.alias("success_before"), success_after.alias("success_after")
-    )
-    carries = F.col("last.permanent") & ~success_after
+    carries = F.coalesce(F.col("last.permanent") & ~success_after, F.lit(False))
+    own = F.struct("first", "last", "last_ok", success_before.alias("success_before"), carries.alias("carries"))
+    own_type = _type_of(facts, own)
+    none = F.lit(None)
     halves = facts.select(
         "entity_id",
         F.inline(
             F.array(
-                F.struct(F.col("round").alias("round"), own.alias("own"), F.lit(None).cast("boolean").alias("carried")),
-                F.struct(
-                    (F.col("round") + 1).alias("round"), F.lit(None).cast(_type_of(facts, own)).alias("own"),
-                    F.coalesce(carries, F.lit(False)).alias("carried"),
-                ),
+                F.struct(F.col("round").alias("round"), own.alias("own"), none.cast("boolean").alias("carried")),
+                F.struct((F.col("round") + 1).alias("round"), none.cast(own_type).alias("own"), carries.alias("carried")),
             )
         ),
     )
+    if before is not None:
+        ended = before.where("last IS NOT NULL").select(
+            "entity_id", (F.col("last.round") + 1).alias("round"), none.cast(own_type).alias("own"), F.col("last.carries").alias("carried")
+        )
+        halves = halves.unionByName(ended)
     # a (entity, round) group holds at most two rows here
     rounds = (
         halves.groupBy("entity_id", "round")
@@ -80,20 +96,28 @@ def failure_state(facts: DataFrame, labels: Labels = ZH) -> DataFrame:
     failed = F.col("first").isNotNull()
     permanent = F.col("first.permanent")
     breaks = failed & ~(permanent & F.col("carried") & ~F.col("success_before"))
-    per_entity = (
-        rounds.groupBy("entity_id")
-        .agg(
-            F.count_if(failed).alias("failed_rounds"),
-            F.count_if(failed & permanent).alias("permanent_rounds"),
-            F.min(F.when(failed, F.struct("round", F.col("first.at").alias("at")))).alias("head"),
-            F.max(
-                F.when(failed, F.struct("round", F.col("first.seq").alias("first_seq"), F.col("last").alias("last")))
-            ).alias("tail"),
-            F.max(F.when(breaks, F.struct("round", permanent.cast("int").alias("permanent")))).alias("island"),
-            F.max("last_ok").alias("ok"),
-        )
-        .where(F.col("failed_rounds") > 0)
+    parts = rounds.select(
+        "entity_id",
+        F.when(failed, 1).otherwise(0).alias("failed_rounds"),
+        F.when(failed & permanent, 1).otherwise(0).alias("permanent_rounds"),
+        F.when(failed, F.struct("round", F.col("first.at").alias("at"))).alias("head"),
+        F.when(failed, F.struct("round", F.col("first.seq").alias("first_seq"), F.col("last").alias("last"))).alias("tail"),
+        F.when(breaks, F.struct("round", permanent.cast("int").alias("permanent"))).alias("island"),
+        F.col("last_ok").alias("ok"),
+        F.struct("round", "carries").alias("last"),
     )
+    if before is not None:
+        parts = parts.unionByName(before)
+    return parts.groupBy("entity_id").agg(
+        F.sum("failed_rounds").cast("int").alias("failed_rounds"),
+        F.sum("permanent_rounds").cast("int").alias("permanent_rounds"),
+        *(f(c).alias(c) for f, c in ((F.min, "head"), (F.max, "tail"), (F.max, "island"), (F.max, "ok"), (F.max, "last"))),
+    )
+
+
+def failure_state(facts: DataFrame, labels: Labels = ZH, before: DataFrame | None = None) -> DataFrame:
+    """One row per entity that ever failed, from its facts and what ``summarise`` kept of earlier rounds."""
+    per_entity = summarise(facts, before).where(F.col("failed_rounds") > 0)
     run = F.col("tail.round") - F.col("island.round") + F.col("island.permanent")
     reset = F.coalesce(F.col("ok.seq") > F.col("tail.first_seq"), F.lit(False))
     streak = F.when(reset, 0).otherwise(run)
@@ -104,8 +128,8 @@ def failure_state(facts: DataFrame, labels: Labels = ZH) -> DataFrame:
         F.col("tail.last.reason").alias("last_reason"),
         F.col("head.round").alias("first_round"),
         F.col("tail.round").alias("last_round"),
-        F.col("failed_rounds").cast("int").alias("failed_rounds"),
-        F.col("permanent_rounds").cast("int").alias("permanent_rounds"),
+        "failed_rounds",
+        "permanent_rounds",
         streak.cast("int").alias("permanent_streak"),
         F.when(recovered, labels.recovered)
         .when(streak >= UNAVAILABLE_AFTER, labels.unavailable)

@@ -19,7 +19,7 @@ def test_all_result_tables(spark):
         for i in range(1, 9)
     ]
     cleaned = staged(clean_entities(table(spark, *rows)).cleaned, "cleaned")
-    metrics = star_metrics(clean_comments(comments(spark, [{}, {"comment_id": "r2", "star": "3星"}])))
+    metrics = star_metrics(clean_comments(comments(spark, [{"entity_id": "1"}, {"entity_id": "1", "comment_id": "r2", "star": "3星"}])))
     links = spark.createDataFrame([("1", "t"), ("1", "t"), ("2", "t")], "entity_id string, tag string")
     candidates = spark.createDataFrame([(str(i),) for i in range(1, 11)], "entity_id string")
     state = spark.createDataFrame([("10", "不可用")], "entity_id string, status string")
@@ -29,7 +29,7 @@ def test_all_result_tables(spark):
     assert len(summary) == 17
     assert summary["valid_entities"] == 8 and summary["unavailable_ratio"] == pytest.approx(0.1)
     assert summary["period_entities"] == 8 and summary["yearly_min"] == 0
-    assert summary["entities_with_comments"] == 1 and summary["sample_minus_score_mean"] == pytest.approx(2.0)
+    assert summary["entities_with_comments"] == 1 and summary["sample_minus_score_mean"] == pytest.approx((4 + 3) / 2 * 2 - 6)
     assert len(found["yearly_counts"]) == 21 and {r.entities for r in found["tag_coverage"]} == {1}
     shares = {}
     for r in found["yearly_category_share"]:
