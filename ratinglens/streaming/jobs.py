@@ -1,27 +1,28 @@
 """Incremental collection as streams.
 
-Every job resumes from its checkpoint, writes by batch id where a replay could
-repeat a batch, and keeps its state in Spark's built-in operators. Sources that
-grow without end keep one state entry per distinct key in the ``first_seen``
-jobs and in ``track_progress``, and one per (entity, round) in
-``fold_failures``; give a watermark delay to the former to bound it where repeats
-are known to arrive within that delay. ``collect_sample`` looks its held counts
-up in what earlier batches stored, narrowed to the key columns.
+Every job resumes from its checkpoint and writes so that a replayed batch changes nothing. ``fold_failures``,
+``first_rows`` and ``track_progress`` keep no streaming state: a batch is merged into a bucketed table and reads and
+rewrites the buckets it touches. ``collect_sample`` keeps a quota state per (entity, label) that forgets its comment ids
+when the quota is met. ``first_seen`` keeps one state entry per distinct key unless a watermark delay bounds it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ratinglens.labels import ZH, Labels
-from ratinglens.operators.crawl_log import failure_state, pipeline_status, round_facts, unavailable
-from ratinglens.operators.membership import status_after_run
-from ratinglens.operators.snapshot import keep_last
+from ratinglens.operators.crawl_log import FACTS, failure_state, merge_facts, round_facts, summarise
+from ratinglens.operators.snapshot import keep_last, top_rows
+from ratinglens.session import staged
+from ratinglens.sources import versions
 from ratinglens.sources.payloads import detail_rows
 
 
@@ -84,20 +85,81 @@ def read_attempts(stored: DataFrame, order_by: str = "failed_at") -> DataFrame:
     return keep_last(stored, keys, ["batch_id", order_by]).drop("batch_id")
 
 
-def fold_failures(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the per-round facts of the failure state up to date.
+def first_rows(
+    stream: DataFrame, keys: Sequence[str], order_by: Sequence[str], path: str, checkpoint: str, buckets: int = versions.BUCKETS
+) -> StreamingQuery:
+    """Keep the first row of every key in a bucketed table: what is stored stays, then the order within the batch decides.
 
-    The stateful part is a built-in aggregation per (entity, round): a hot entity
-    is combined before the shuffle and its state is a handful of values per
-    round. Each batch writes the rounds it touched.
+    Rows with a missing or empty key part are left out. Read the table with ``versions.read``.
     """
-    return each_batch(round_facts(events), by_batch(path), checkpoint, mode="update")
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        named = batch
+        for key in keys:
+            named = named.where(F.col(key).cast("string") != "")
+
+        def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
+            return stored.unionByName(new.join(stored.select(*keys), list(keys), "left_anti"))
 
+        versions.merge(top_rows(named, keys, order), path, keys, combine, buckets, batch=("first_rows", batch_id))
+
+    return each_batch(stream, sink, checkpoint)
 
-def failure_state_of(stored_facts: DataFrame, labels: Labels = ZH) -> DataFrame:
-    """Failure state from the newest facts per (entity, round)."""
-    newest = keep_last(stored_facts, ["entity_id", "round"], ["batch_id"]).drop("batch_id")
-    return failure_state(newest, labels)
+
+def fold_failures(
+    events: DataFrame, path: str, checkpoint: str, open_rounds: int = 2, buckets: int = versions.BUCKETS
+) -> StreamingQuery:
+    """Keep the failure state of every entity up to date in a bucketed table; read it with ``stored_failure_state``.
+
+    The last ``open_rounds`` rounds stay open: their facts are kept one by one, so events of one round may be spread over
+    batches in any order. Older rounds are folded into one summary per entity, and entities that never failed are forgotten
+    with their last open round, so the table grows with the entities that failed and not with the rounds. Events of a
+    round that is closed go to the table ``<path>-late``.
+    """
+    return each_batch(events, lambda batch, i: fold_batch(round_facts(batch), path, i, open_rounds, buckets), checkpoint)
+
+
+def fold_batch(facts: DataFrame, path: str, batch_id: int, open_rounds: int = 2, buckets: int = versions.BUCKETS) -> None:
+    """Merge the facts of a batch into the stored failure state."""
+    if open_rounds < 1:
+        raise ValueError("open_rounds from 1")
+    spark = facts.sparkSession
+    facts = staged(facts, "round-facts")
+    top = facts.agg(F.max("round")).first()[0]
+    if top is None:
+        return
+    known = versions.version(spark, path)
+    notes = known.notes if known else {}
+    if notes and known.applied.get("fold_failures", -1) < batch_id:
+        closed_before = F.col("round") <= notes["closed"]
+        by_batch(f"{path}-late")(facts.where(closed_before), batch_id)
+        facts = facts.where(~closed_before)
+    closed = max(top - open_rounds, notes.get("closed", top - open_rounds))
+    summary = summarise(facts)
+    kept = F.struct(*(c for c in summary.columns if c != "entity_id"))
+    summary_type = summary.select(kept.alias("c")).schema["c"].dataType
+    new = facts.select("entity_id", F.lit(None).cast(summary_type).alias("closed"), F.array(F.struct(*FACTS)).alias("open"))
+
+    def combine(stored: DataFrame, rows: DataFrame) -> DataFrame:
+        both = stored.unionByName(rows)
+        merged = merge_facts(both.select("entity_id", F.inline("open")))
+        before = both.where("closed IS NOT NULL").select("entity_id", "closed.*")
+        ended = summarise(merged.where(F.col("round") <= closed), before).select("entity_id", kept.alias("closed"))
+        # at most open_rounds rows per entity
+        going = merged.where(F.col("round") > closed).groupBy("entity_id").agg(F.sort_array(F.collect_list(F.struct(*FACTS))).alias("open"))
+        joined = ended.join(going, "entity_id", "full_outer")
+        left = joined.select("entity_id", "closed", F.coalesce("open", F.array().cast(rows.schema["open"].dataType)).alias("open"))
+        return left.where((F.size("open") > 0) | (F.col("closed.failed_rounds") > 0))
+
+    versions.merge(new, path, ["entity_id"], combine, buckets, ("fold_failures", batch_id), notes=lambda *_: {"closed": closed})
+
+
+def stored_failure_state(spark: SparkSession, path: str, labels: Labels = ZH) -> DataFrame:
+    """Failure state from the stored summaries and open rounds."""
+    rows = versions.read(spark, path)
+    before = rows.where("closed IS NOT NULL").select("entity_id", "closed.*")
+    return failure_state(rows.select("entity_id", F.inline("open")), labels, before)
 
 
 def collect_sample(
@@ -111,60 +173,70 @@ def collect_sample(
     """Store comments up to the limit of their label, and the progress of every sample a batch touched.
 
     Rows carry ``entity_id, sample_label, comment_id, position`` and the outcome of their page in ``failed`` and
-    ``exhausted``; a page without comments is a row with a NULL comment id. A comment counts once per label. Each batch
-    adds to the held counts of earlier batches; labels outside the plan are ignored. Read with ``read_sample`` and
-    ``read_sample_progress``.
+    ``exhausted``; a page without comments is a row with a NULL comment id. A comment counts once in a sample, at its first
+    position; labels outside the plan are ignored. The state of a sample is the number of comments held and, until the
+    quota is met, their ids; no batch reads what earlier ones stored. A task passes on twice the quota of a sample at most,
+    so a hot sample stays small. Read with ``read_sample`` and ``read_sample_progress``.
     """
     keys = ["entity_id", "sample_label"]
-    spark = stream.sparkSession
     plan = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    rows = stream.withColumn("target", plan[F.col("sample_label")].cast("bigint")).where("target IS NOT NULL")
+    thinned = rows.mapInArrow(_enough(2 * max(limits.values())), rows.schema)
+    columns = stream.columns
+    added = [T.StructField("target", T.LongType()), T.StructField("held", T.LongType()), T.StructField("status", T.StringType())]
+    found = thinned.groupBy(*keys).applyInPandasWithState(
+        _quota(columns, labels), T.StructType([*stream.schema.fields, *added]), "held bigint, ids array<string>", "append", GroupStateTimeout.NoTimeout
+    )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("target", plan[F.col("sample_label")].cast("bigint")).where("target IS NOT NULL")
-        pages = rows.groupBy(*keys, "target").agg(
-            F.coalesce(F.bool_or("failed"), F.lit(False)).alias("failed"),
-            F.coalesce(F.bool_or("exhausted"), F.lit(False)).alias("exhausted"),
-        )
-        fresh = rows.where("comment_id IS NOT NULL").dropDuplicates(["comment_id", "sample_label"])
-        before = pages.select(*keys, F.lit(0).cast("bigint").alias("before"))
-        if batch_id > 0:
-            stored = _earlier(spark, path, batch_id, rows.select("comment_id", "sample_label").schema)
-            fresh = fresh.join(stored, ["comment_id", "sample_label"], "left_anti")
-            newest = read_sample_progress(_earlier(spark, progress_path, batch_id, PROGRESS_SCHEMA))
-            before = pages.select(*keys).join(newest.select(*keys, F.col("held").alias("before")), keys, "left")
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy("position", "comment_id"))
-        # no sample takes more than the largest limit, so a hot sample passes on that many rows per task
-        ranked = fresh.withColumn("_place", place).where(F.col("_place") <= max(limits.values()))
-        kept = (
-            ranked.join(before, keys, "left")
-            .where(F.col("_place") + F.coalesce("before", F.lit(0)) <= F.col("target"))
-            .select(*batch.columns)
-        )
-        by_batch(path)(kept, batch_id)
-        added = _batch_of(spark, path, batch_id, kept.schema).groupBy(*keys).agg(F.count("*").alias("added"))
-        held = F.coalesce("before", F.lit(0)) + F.coalesce("added", F.lit(0))
-        progress = (
-            pages.join(before, keys, "left")
-            .join(added, keys, "left")
-            .withColumn("held", held)
-            .withColumn("status", status_after_run(F.col("failed"), F.col("exhausted"), F.col("held"), F.col("target"), labels))
-        )
-        by_batch(progress_path)(progress.select(*keys, "target", "held", "status"), batch_id)
+        batch = batch.persist()  # both tables from one run of the state
+        by_batch(path)(batch.where("status IS NULL").select(*columns), batch_id)
+        by_batch(progress_path)(batch.where("status IS NOT NULL").select(*keys, "target", "held", "status"), batch_id)
+        batch.unpersist()
 
-    return each_batch(stream, sink, checkpoint)
+    return each_batch(found, sink, checkpoint)
 
 
-PROGRESS_SCHEMA = "entity_id string, sample_label string, target bigint, held bigint, status string"
-
-
-def _batch_of(spark: SparkSession, path: str, batch_id: int, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+def _enough(most: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each sample in an Arrow batch the first ``most`` comments, and a row for each outcome of its pages.
 
+    A sample holds fewer comments than its quota as long as it takes any, so of twice the quota enough are new.
+    """
+    keys = ["entity_id", "sample_label"]
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, schema: StructType | str) -> DataFrame:
-    """What the batches before this one stored; a replay does not see its own first try."""
-    wanted = spark.createDataFrame([], schema).schema.add("batch_id", IntegerType())
-    return spark.read.schema(wanted).parquet(path).where(F.col("batch_id") < batch_id)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.select([*keys, "comment_id", "position", "failed", "exhausted"]).to_pandas()
+            ordered = rows[rows.comment_id.notna()].sort_values(["position", "comment_id"], kind="stable")
+            firsts = ordered.drop_duplicates([*keys, "comment_id"]).groupby(keys, dropna=False).head(most).index
+            outcomes = [rows[rows[c].fillna(False).astype(bool)] for c in ("failed", "exhausted")]
+            pages = [part.drop_duplicates(keys).index for part in (rows, *outcomes)]
+            yield b.take(pa.array(firsts.append(pages).unique().sort_values(), type=pa.int64()))
+
+    return run
+
+
+def _quota(columns: Sequence[str], labels: Labels) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    def take(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, ids = state.get if state.exists else (0, [])
+        target, failed, exhausted, best = 0, False, False, None
+        for rows in parts:
+            target = int(rows.target.iloc[0])
+            failed |= bool(rows.failed.fillna(False).astype(bool).any())
+            exhausted |= bool(rows.exhausted.fillna(False).astype(bool).any())
+            fresh = rows[rows.comment_id.notna() & ~rows.comment_id.isin(ids)]
+            both = fresh if best is None else pd.concat([best, fresh])
+            both = both.sort_values(["position", "comment_id"], kind="stable").drop_duplicates("comment_id")
+            best = both.head(max(0, target - held))
+        held += len(best)
+        state.update((held, [] if held >= target else [*ids, *best.comment_id]))
+        status = labels.failed if failed else labels.exhausted if exhausted and held < target else labels.done
+        if len(best):
+            yield best[[*columns, "target"]].assign(held=held, status=None)
+        page = dict.fromkeys(columns) | {"entity_id": key[0], "sample_label": key[1], "target": target, "held": held, "status": status}
+        yield pd.DataFrame([page])
+
+    return take
 
 
 def read_sample(stored: DataFrame) -> DataFrame:
@@ -176,53 +248,69 @@ def read_sample_progress(stored: DataFrame) -> DataFrame:
     return keep_last(stored, ["entity_id", "sample_label"], ["batch_id"]).drop("batch_id")
 
 
+#: Kinds of change: a candidate, a stored detail row, an entity's loss, a comment; ``n`` counts them, below zero when they go.
+CHANGES = ("candidate", "detail", "lost", "comment")
+
+
+def progress_totals(entities: DataFrame) -> list[Column]:
+    """The progress counts as sums over entities (entity_id, candidate, detail, lost)."""
+    named = F.col("entity_id") != ""
+    held, gone = named & (F.col("detail") > 0), named & (F.col("lost") > 0)
+    parts = {
+        "target": F.col("candidate"),
+        "collected": F.when(held, 1).otherwise(0),
+        "unavailable": F.col("lost"),
+        "processed": F.when(held | gone, 1).otherwise(0),
+        "pending": F.when(F.coalesce(held | gone, F.lit(False)), 0).otherwise(F.col("candidate")),
+    }
+    return [F.coalesce(F.sum(part), F.lit(0)).cast("bigint").alias(name) for name, part in parts.items()]
+
+
 def track_progress(
-    stream: DataFrame,
-    details_path: str,
-    progress_path: str,
-    checkpoint: str,
-    candidates: DataFrame,
-    state: DataFrame,
-    comments: DataFrame,
-    labels: Labels = ZH,
+    changes: DataFrame, path: str, progress_path: str, checkpoint: str, buckets: int = versions.BUCKETS
 ) -> StreamingQuery:
-    """Store each new entity of the stream once, and the progress counts after each batch.
+    """Store the progress counts after each batch of signed changes (entity_id, kind, n).
 
-    A batch counts its own new entities only and adds them to the row of the batch before; which entities are new
-    is the state of a built-in stateful operator.
+    The table at ``path`` holds for every entity how often it is wanted, stored and lost. A batch reads the buckets of its
+    own entities, sums what their change does to every count, and adds that to the counts before: nothing is recounted, and no
+    input is frozen. The counts are published with the table, so a replayed batch finds both or neither.
     """
-    spark = stream.sparkSession
-    lost = unavailable(state, labels).select("entity_id").distinct().withColumn("_lost", F.lit(True))
-    wanted = candidates.groupBy("entity_id").agg(F.count("*").alias("_wanted"))
-    nothing = candidates.select("entity_id").limit(0)
+    return each_batch(changes, lambda batch, i: apply_changes(batch, path, progress_path, i, buckets), checkpoint)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        by_batch(details_path)(batch, batch_id)
-        stored = _batch_of(spark, details_path, batch_id, batch.schema).where("entity_id <> ''")
-        new = stored.select("entity_id").join(lost, "entity_id", "left").join(wanted, "entity_id", "left")
-        open_ = F.col("_lost").isNull()
-        added = new.agg(
-            F.count("*").alias("_n"),
-            F.count_if(open_).alias("_processed"),
-            F.coalesce(F.sum(F.when(open_, F.col("_wanted"))), F.lit(0)).alias("_done"),
-        )
-        if batch_id == 0:
-            last = pipeline_status(candidates, nothing, state, comments, labels)
-        else:
-            last = spark.read.parquet(f"{progress_path}/batch_id={batch_id - 1}").drop("made_progress")
-        # both sides are one row
-        row = last.join(F.broadcast(added), F.lit(True)).select(
-            "target",
-            (F.col("collected") + F.col("_n")).alias("collected"),
-            "unavailable",
-            (F.col("processed") + F.col("_processed")).alias("processed"),
-            (F.col("pending") - F.col("_done")).alias("pending"),
-            "comments",
-            (F.col("_processed") > 0).alias("made_progress"),
-        )
-        by_batch(progress_path)(row, batch_id)
-
-    return each_batch(stream.dropDuplicates(["entity_id"]), sink, checkpoint)
+
+def apply_changes(batch: DataFrame, path: str, progress_path: str, batch_id: int, buckets: int = versions.BUCKETS) -> None:
+    spark = batch.sparkSession
+    counted = [kind for kind in CHANGES if kind != "comment"]
+    summed = batch.groupBy("entity_id").agg(
+        *(F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).cast("bigint").alias(kind) for kind in CHANGES)
+    )
+    summed = staged(summed, "changes")
+
+    def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
+        return stored.unionByName(new).groupBy("entity_id").agg(*(F.sum(kind).alias(kind) for kind in counted))
+
+    def status(stored: DataFrame, new: DataFrame, last: versions.Version | None) -> dict:
+        before = stored.join(new, stored["entity_id"].eqNullSafe(new["entity_id"]), "left_semi")
+        after = combine(before, new).agg(*progress_totals(new)).first().asDict()
+        earlier = before.agg(*progress_totals(before)).first().asDict()
+        comments = summed.agg(F.coalesce(F.sum("comment"), F.lit(0))).first()[0]
+        held = last.notes["status"] if last else dict.fromkeys([*after, "comments"], 0)
+        now = {name: held[name] + after[name] - earlier[name] for name in after} | {"comments": held["comments"] + comments}
+        return {"status": now, "made_progress": after["processed"] > earlier["processed"], "batch": batch_id}
+
+    done = versions.merge(
+        summed.select("entity_id", *counted), path, ["entity_id"], combine, buckets, ("track_progress", batch_id), notes=status
+    )
+    if done.notes["batch"] == batch_id:
+        names = [*done.notes["status"], "made_progress"]
+        schema = ", ".join(f"{n} {'boolean' if n == 'made_progress' else 'bigint'}" for n in names)
+        row = tuple(done.notes["status"].values()) + (done.notes["made_progress"],)
+        by_batch(progress_path)(spark.createDataFrame([row], schema), batch_id)
+
+
+def read_progress(stored: DataFrame) -> DataFrame:
+    """The counts after the newest batch: one small row a batch is stored."""
+    return top_rows(stored.withColumn("_all", F.lit(0)), ["_all"], [F.col("batch_id").desc()]).drop("_all", "batch_id")
 
 
 def outcome_rates(events: DataFrame, width: str = "1 day", time: str = "ts") -> DataFrame:

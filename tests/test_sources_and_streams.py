@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,18 +129,62 @@ def file_stream(spark, df, files):
 
 
 def test_streamed_failure_state_equals_batch(spark):
+    """Rounds that are spread over batches, all of them open."""
     rows = random_events(11, entities=25)
     df = spark.createDataFrame(rows, EVENTS)
     source = file_stream(spark, df.withColumn("part", (F.col("seq") % 100 / 5).cast("int")), 3)
     path, checkpoint = durable_path(spark, "facts"), durable_path(spark, "facts-cp")
-    jobs.fold_failures(source, path, checkpoint).awaitTermination()
-    stored = spark.read.parquet(path)
-    assert stored.select("batch_id").distinct().count() > 1
+    jobs.fold_failures(source, path, checkpoint, open_rounds=50, buckets=4).awaitTermination()
+    assert versions.version(spark, path).applied["fold_failures"] > 0
     batch = crawl_log.failure_state(crawl_log.round_facts(df))
-    assert sorted(jobs.failure_state_of(stored).collect()) == sorted(batch.collect())
+    assert sorted(jobs.stored_failure_state(spark, path).collect()) == sorted(batch.collect())
     # a second start finds nothing new and changes nothing
-    jobs.fold_failures(source, path, checkpoint).awaitTermination()
-    assert sorted(jobs.failure_state_of(spark.read.parquet(path)).collect()) == sorted(batch.collect())
+    jobs.fold_failures(source, path, checkpoint, open_rounds=50, buckets=4).awaitTermination()
+    assert sorted(jobs.stored_failure_state(spark, path).collect()) == sorted(batch.collect())
+
+
+def test_failure_store_stays_level_over_many_rounds(spark):
+    """Twenty batches of one round each: closed rounds are folded, the state is that of all events at any time."""
+    kind = "entity_id string, title string, round int, seq int, ok boolean, reason string, at string"
+    rng, path, events, sizes = random.Random(5), durable_path(spark, "facts"), [], []
+    for batch_id in range(20):
+        new = []
+        for entity in range(12):
+            for k in range(rng.randrange(3)):
+                ok = entity == 11 or rng.random() < 0.3  # one entity never fails
+                reason = None if ok else rng.choice(["HTTP 400", "HTTP 404", "HTTP 500"])
+                # now and then an event of the round before, which is still open
+                late = batch_id - (rng.random() < 0.2 and batch_id > 0)
+                new.append((f"e{entity}", f"T{entity}", late + 1, (late + 1) * 1000 + batch_id * 10 + k, ok, reason, f"{batch_id:02d}-{k}"))
+        events += new
+        facts = crawl_log.round_facts(spark.createDataFrame(new, kind))
+        for _ in range(1 + (batch_id == 7)):  # one batch is replayed
+            jobs.fold_batch(facts, path, batch_id, open_rounds=2, buckets=2)
+        stored = versions.read(spark, path)
+        sizes.append(stored.agg(F.count("*"), F.sum(F.size("open"))).first())
+        if batch_id in (0, 5, 12, 19):
+            want = crawl_log.failure_state(crawl_log.round_facts(spark.createDataFrame(events, kind)))
+            assert sorted(jobs.stored_failure_state(spark, path).collect()) == sorted(want.collect())
+    assert max(n for n, _ in sizes) <= 12 and max(n for _, n in sizes) <= 2 * 12
+    # an event of a closed round is told apart and changes nothing
+    before = sorted(jobs.stored_failure_state(spark, path).collect())
+    old = spark.createDataFrame([("e1", "T", 1, 1, False, "HTTP 400", "x"), ("e1", "T", 20, 20999, True, None, "y")], kind)
+    jobs.fold_batch(crawl_log.round_facts(old), path, 20, open_rounds=2)
+    after = sorted(jobs.stored_failure_state(spark, path).collect())
+    assert [r for r in after if r.entity_id != "e1"] == [r for r in before if r.entity_id != "e1"]
+    assert [r.failed_rounds for r in after] == [r.failed_rounds for r in before]
+    assert [r["round"] for r in spark.read.parquet(f"{path}-late").collect()] == [1]
+
+
+def test_entities_that_never_fail_are_forgotten(spark):
+    kind = "entity_id string, title string, round int, seq int, ok boolean, reason string, at string"
+    path = durable_path(spark, "facts")
+    for batch_id in range(4):
+        rows = [(f"good{batch_id}", "T", batch_id + 1, batch_id, True, None, "x"), ("bad", "T", batch_id + 1, batch_id, False, "HTTP 404", "x")]
+        jobs.fold_batch(crawl_log.round_facts(spark.createDataFrame(rows, kind)), path, batch_id, open_rounds=1, buckets=1)
+    assert {r.entity_id for r in versions.read(spark, path).collect()} == {"good3", "bad"}
+    state = jobs.stored_failure_state(spark, path).collect()
+    assert [(r.entity_id, r.failed_rounds, r.permanent_streak, r.status) for r in state] == [("bad", 4, 4, ZH.unavailable)]
 
 
 def test_streamed_links_and_attempts_have_no_repeats(spark):
@@ -155,17 +201,52 @@ def test_streamed_links_and_attempts_have_no_repeats(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_progress_is_stored_per_batch(spark):
-    df = spark.createDataFrame([("1", 0), ("2", 1), ("2", 2)], "entity_id string, part int")
-    candidates = spark.createDataFrame([("1",), ("2",), ("3",)], "entity_id string")
-    state = spark.createDataFrame([], "entity_id string, status string")
-    comments = spark.createDataFrame([], "comment_id string")
-    path = durable_path(spark, "progress")
-    jobs.track_progress(
-        file_stream(spark, df, 3), durable_path(spark, "details"), path, durable_path(spark, "cp"), candidates, state, comments
-    ).awaitTermination()
-    rows = spark.read.parquet(path).orderBy("batch_id").collect()
-    assert [(r.collected, r.pending, r.made_progress) for r in rows] == [(1, 2, True), (2, 1, True), (2, 1, False)]
+def test_first_rows_keep_rank_and_win_over_later_batches(spark):
+    rows = [("1", "a", 5, 0), ("1", "a", 3, 0), ("2", "a", 1, 0), ("1", "a", 1, 1), ("1", "b", 9, 1), ("", "a", 1, 1), (None, "a", 1, 2), ("2", "b", 4, 2)]
+    df = spark.createDataFrame(rows, "entity_id string, tag string, rank int, part int")
+    links, entities, cp = durable_path(spark, "links"), durable_path(spark, "entities"), durable_path(spark, "cp")
+    source = file_stream(spark, df, 3)
+    jobs.first_rows(source, ["entity_id", "tag"], ["rank"], links, cp, buckets=4).awaitTermination()
+    jobs.first_rows(source, ["entity_id"], ["rank", "tag"], entities, durable_path(spark, "cp"), buckets=4).awaitTermination()
+    got = sorted(tuple(r) for r in versions.read(spark, links).collect())
+    assert got == [("1", "a", 3), ("1", "b", 9), ("2", "a", 1), ("2", "b", 4)]
+    assert sorted(tuple(r) for r in versions.read(spark, entities).collect()) == [("1", "a", 3), ("2", "a", 1)]
+
+
+def test_progress_follows_tables_that_change(spark):
+    """After every batch the stored counts are those of a recount of the tables as they are then."""
+    changes = [
+        # (entity, kind, n, batch)
+        ("1", "candidate", 1, 0), ("2", "candidate", 1, 0), ("2", "candidate", 1, 0), ("", "candidate", 1, 0), ("1", "detail", 1, 0),
+        ("3", "candidate", 1, 1), ("3", "lost", 1, 1), ("2", "detail", 1, 1), ("2", "detail", 1, 1), ("c", "comment", 7, 1),
+        ("4", "candidate", 1, 2), ("2", "comment", -2, 2), ("9", "detail", 1, 2),
+        ("3", "lost", -1, 3), ("3", "detail", 1, 3), ("2", "candidate", -1, 3),
+        ("9", "lost", 1, 4), (None, "candidate", 1, 4), ("1", "detail", -1, 4),
+    ]
+    kind = "entity_id string, kind string, n int, part int"
+    path, progress, checkpoint = (durable_path(spark, n) for n in ("entities", "progress", "cp"))
+    source = file_stream(spark, spark.createDataFrame(changes, kind), 5)
+    jobs.track_progress(source, path, progress, checkpoint, buckets=4).awaitTermination()
+    found = {r.batch_id: r for r in spark.read.parquet(progress).collect()}
+    assert sorted(found) == list(range(5))
+
+    def table_of(name, upto):
+        sums = {}
+        for entity, what, n, part in changes:
+            if what == name and part <= upto:
+                sums[entity] = sums.get(entity, 0) + n
+        return spark.createDataFrame([(e, ZH.unavailable) for e, n in sums.items() for _ in range(n)], "entity_id string, status string")
+
+    for upto, row in found.items():
+        tables_now = [table_of(name, upto) for name in ("candidate", "detail", "lost")]
+        recount = crawl_log.pipeline_status(*tables_now, spark.range(sum(n for _, k, n, p in changes if k == "comment" and p <= upto)))
+        want = recount.collect()[0].asDict()
+        assert {k: row[k] for k in want} == want
+    assert [found[i].made_progress for i in range(5)] == [True, True, True, False, False]
+    assert jobs.read_progress(spark.read.parquet(progress)).collect()[0].target == found[4].target
+    # a replayed batch finds its counts published and changes nothing
+    jobs.apply_changes(spark.createDataFrame([c[:3] for c in changes if c[3] == 4], "entity_id string, kind string, n int"), path, progress, 4)
+    assert versions.version(spark, path).notes["status"]["target"] == found[4].target
 
 
 def test_sample_quota_holds_over_batches(spark):
@@ -192,6 +273,54 @@ def test_sample_quota_holds_over_batches(spark):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_sample_state_over_many_batches_and_a_restart(spark):
+    """Batch by batch the comments that fill the quota in order of arrival, then of position."""
+    limits, rng, rows = {"A": 4, "B": 2}, random.Random(8), []
+    for part in range(6):
+        for _ in range(30):
+            label, entity = rng.choice("AAB"), str(rng.randrange(4))
+            comment = None if rng.random() < 0.1 else f"c{rng.randrange(12)}"
+            position = None if comment is None or rng.random() < 0.1 else rng.randrange(40)
+            rows.append((entity, label, comment, position, rng.random() < 0.05, rng.random() < 0.1, part))
+        rows += [("hot", "A", f"h{i % 50}", i, False, False, part) for i in range(300)]
+    schema = "entity_id string, sample_label string, comment_id string, position int, failed boolean, exhausted boolean, part int"
+    df = spark.createDataFrame(rows, schema)
+    held, want, states = {}, set(), {}
+    for part in range(6):
+        for key in {r[:2] for r in rows if r[6] == part}:
+            own = [r for r in rows if r[6] == part and r[:2] == key]
+            ids = held.setdefault(key, [])
+            for r in sorted((r for r in own if r[2]), key=lambda r: (r[3] is None, r[3] or 0, r[2])):
+                if r[2] not in ids and len(ids) < limits[key[1]]:
+                    ids.append(r[2])
+                    want.add((*key, r[2], r[3], part))
+            failed, ended = any(r[4] for r in own), any(r[5] for r in own)
+            full = len(ids) >= limits[key[1]]
+            states[key] = (len(ids), ZH.failed if failed else ZH.exhausted if ended and not full else ZH.done)
+    path, progress, checkpoint, folder = (durable_path(spark, n) for n in ("sample", "sample-progress", "cp", "source"))
+
+    def run(parts):
+        for i in parts:
+            df.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        jobs.collect_sample(source, limits, path, progress, checkpoint).awaitTermination()
+
+    run(range(3))
+    run(range(3, 6))  # a new start goes on from the checkpoint
+    stored = spark.read.parquet(path)
+    assert {(r.entity_id, r.sample_label, r.comment_id, r.position, r.batch_id) for r in stored.collect()} == want
+    got = {(r.entity_id, r.sample_label): (r.held, r.status) for r in jobs.read_sample_progress(spark.read.parquet(progress)).collect()}
+    assert got == states
+
+
+def test_a_task_passes_on_few_rows_of_a_hot_sample():
+    rows = [("hot", "A", f"h{i}", 1000 - i, i == 500, i == 700) for i in range(1000)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("entity_id", "sample_label", "comment_id", "position", "failed", "exhausted"), r, strict=True)) for r in rows])
+    out = pa.Table.from_batches(jobs._enough(8)([batch])).to_pylist()
+    assert len(out) == 11 and {r["position"] for r in out} >= set(range(1, 9))
+    assert any(r["failed"] for r in out) and any(r["exhausted"] for r in out)
+
+
 def test_slices_and_bursts_are_complete_over_batches(spark):
     minutes = [0, 10, 200, 700, 705, 1500, 1600, 3000, 3100, 3101]
     rows = [(str(i % 2), m, m % 3 != 0, i % 3) for i, m in enumerate(minutes * 2)]

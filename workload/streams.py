@@ -5,11 +5,14 @@ Each job drains its source, so the result equals the batch form and the SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratinglens.labels import EN
-from ratinglens.session import durable_path
+from ratinglens.session import durable_path, staged
+from ratinglens.sources import versions
 from ratinglens.streaming import jobs
 from workload.collection import FAILURE_STATES, _as_text
 from workload.standins import LIMITS, table, with_ctes
@@ -84,15 +87,46 @@ def stream_links(spark: SparkSession, d: str) -> DataFrame:
 STREAM_LINKS = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS entity_id, event_type AS tag FROM events"
 
 
+def _hits(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of a customer as the hits of an entity; the priority is the tag, the order key the rank."""
+    orders = _stream(spark, d, "orders")
+    return orders.select(F.col("o_custkey").cast("string").alias("entity_id"), F.col("o_orderpriority").alias("tag"), F.col("o_orderkey").alias("rank"))
+
+
+def _first_rows(spark: SparkSession, d: str, keys: list[str], order: list[str]) -> DataFrame:
+    path = durable_path(spark, "first-rows")
+    jobs.first_rows(_hits(spark, d), keys, order, path, durable_path(spark, "first-rows-checkpoint"), buckets=8).awaitTermination()
+    return versions.read(spark, path)
+
+
+def stream_first_links(spark: SparkSession, d: str) -> DataFrame:
+    """First (entity, tag) links with their rank."""
+    return _first_rows(spark, d, ["entity_id", "tag"], ["rank"])
+
+
+STREAM_FIRST_LINKS = "SELECT CAST(o_custkey AS VARCHAR) AS entity_id, o_orderpriority AS tag, min(o_orderkey) AS rank FROM orders GROUP BY 1, 2"
+
+
+def stream_first_entities(spark: SparkSession, d: str) -> DataFrame:
+    """The hit through which each entity was first seen."""
+    return _first_rows(spark, d, ["entity_id"], ["tag", "rank"])
+
+
+STREAM_FIRST_ENTITIES = """
+SELECT CAST(o_custkey AS VARCHAR) AS entity_id, o_orderpriority AS tag, o_orderkey AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderkey) AS rn FROM orders) WHERE rn = 1"""
+
+
 def stream_failure_states(spark: SparkSession, d: str) -> DataFrame:
-    """Failure state kept up to date by the stream, read from its stored facts."""
+    """Failure state kept up to date by the stream in a bucketed table."""
     path = durable_path(spark, "facts")
-    jobs.fold_failures(_events(spark, d).drop("ts"), path, durable_path(spark, "facts-checkpoint")).awaitTermination()
-    return _as_text(jobs.failure_state_of(spark.read.parquet(path), EN))
+    checkpoint = durable_path(spark, "facts-checkpoint")
+    jobs.fold_failures(_events(spark, d).drop("ts"), path, checkpoint, buckets=8).awaitTermination()
+    return _as_text(jobs.stored_failure_state(spark, path, EN))
 
 
 def stream_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Progress of every sample after quotas of 3, 2 and 4 comments per label, held comments counted from the store."""
+    """Progress of every sample after quotas of 3, 2 and 4 comments per label, held comments kept as state."""
     lines = _stream(spark, d, "lineitem")
     order = F.col("l_orderkey").cast("string")
     comments = lines.select(
@@ -137,24 +171,48 @@ STREAM_ATTEMPTS = with_ctes(
 )
 
 
+def _changes(spark: SparkSession, d: str, stream: bool) -> DataFrame:
+    """Orders wanted, their lines stored, every nineteenth order lost, and the comments on them."""
+    read = (lambda name: _stream(spark, d, name)) if stream else (lambda name: table(spark, d, name))
+
+    def change(rows: DataFrame, key: str, kind: str) -> DataFrame:
+        return rows.select(F.col(key).cast("string").alias("entity_id"), F.lit(kind).alias("kind"), F.lit(1).alias("n"))
+
+    orders = read("orders")
+    parts = [change(orders, "o_orderkey", "candidate"), change(read("lineitem"), "l_orderkey", "detail")]
+    parts += [change(orders.where("o_orderkey % 19 = 0"), "o_orderkey", "lost"), change(read("conversations"), "conv_id", "comment")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stream_progress(spark: SparkSession, d: str) -> DataFrame:
-    """Progress counts stored after the batch of details."""
-    details = _stream(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("entity_id"))
-    candidates = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("entity_id"))
-    nobody = spark.createDataFrame([], "entity_id string, status string")
-    nothing = spark.createDataFrame([], "comment_id string")
-    path, rows = durable_path(spark, "progress"), durable_path(spark, "progress-details")
-    query = jobs.track_progress(
-        details, rows, path, durable_path(spark, "progress-checkpoint"), candidates, nobody, nothing, EN
-    )
-    query.awaitTermination()
-    return spark.read.parquet(path).drop("batch_id")
+    """Progress counts from the changes of four tables, read as streams."""
+    path, progress = durable_path(spark, "progress-entities"), durable_path(spark, "progress")
+    changes = _changes(spark, d, stream=True)
+    jobs.track_progress(changes, path, progress, durable_path(spark, "progress-checkpoint"), buckets=8).awaitTermination()
+    return jobs.read_progress(spark.read.parquet(progress))
+
+
+_TOTALS = """
+SELECT count(*) AS target, CAST(any_value(collected) AS BIGINT) AS collected, count(*) FILTER (k % 19 = 0) AS unavailable,
+       CAST(any_value(collected) AS BIGINT) + count(*) FILTER (k % 19 = 0 AND NOT held) AS processed,
+       count(*) FILTER (k % 19 <> 0 AND NOT held) AS pending, CAST(any_value(comments) AS BIGINT) AS comments, {progress} AS made_progress
+FROM (SELECT o_orderkey AS k, o_orderkey IN (SELECT l_orderkey FROM lineitem) AS held FROM orders),
+     (SELECT count(DISTINCT l_orderkey) AS collected FROM lineitem), (SELECT count(*) AS comments FROM conversations)"""
+STREAM_PROGRESS = _TOTALS.format(progress="true")
+
+
+def progress_of_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The same changes in four batches by a hash of the entity, the last of which only takes back a loss and repeats it."""
+    path, progress = durable_path(spark, "progress-entities"), durable_path(spark, "progress")
+    changes = staged(_changes(spark, d, stream=False), "all-changes")
+    part = F.pmod(F.xxhash64("entity_id", "kind"), F.lit(3))
+    again = changes.where("kind = 'lost'").select("entity_id", "kind", F.explode(F.array(F.lit(-1), F.lit(1))).alias("n"))
+    for i, batch in enumerate([*(changes.where(part == i) for i in range(3)), again]):
+        jobs.apply_changes(batch, path, progress, i, buckets=8)
+    return jobs.read_progress(spark.read.parquet(progress))
 
 
-STREAM_PROGRESS = """
-SELECT (SELECT count(*) FROM orders) AS target, count(DISTINCT l_orderkey) AS collected, CAST(0 AS BIGINT) AS unavailable,
-       count(DISTINCT l_orderkey) AS processed, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS pending,
-       CAST(0 AS BIGINT) AS comments, true AS made_progress FROM lineitem"""
+PROGRESS_OF_CHANGES = _TOTALS.format(progress="false")
 
 
 def stream_outcome_rates(spark: SparkSession, d: str) -> DataFrame:
@@ -197,7 +255,10 @@ QUERIES = {
     "stream_failure_states": (stream_failure_states, FAILURE_STATES),
     "stream_sample": (stream_sample, STREAM_SAMPLE),
     "stream_attempts": (stream_attempts, STREAM_ATTEMPTS),
+    "stream_first_links": (stream_first_links, STREAM_FIRST_LINKS),
+    "stream_first_entities": (stream_first_entities, STREAM_FIRST_ENTITIES),
     "stream_progress": (stream_progress, STREAM_PROGRESS),
+    "progress_of_changes": (progress_of_changes, PROGRESS_OF_CHANGES),
     "stream_outcome_rates": (stream_outcome_rates, STREAM_OUTCOME_RATES),
     "stream_failure_bursts": (stream_failure_bursts, STREAM_FAILURE_BURSTS),
 }
