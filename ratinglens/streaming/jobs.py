@@ -185,7 +185,7 @@ def collect_sample(
     columns = stream.columns
     added = [T.StructField("target", T.LongType()), T.StructField("held", T.LongType()), T.StructField("status", T.StringType())]
     found = thinned.groupBy(*keys).applyInPandasWithState(
-        _quota(columns, labels), T.StructType([*stream.schema.fields, *added]), "held bigint, ids array<string>", "append", GroupStateTimeout.NoTimeout
+        _quota(stream.schema, labels), T.StructType([*stream.schema.fields, *added]), "held bigint, ids array<string>", "append", GroupStateTimeout.NoTimeout
     )
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -216,25 +216,37 @@ def _enough(most: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
-def _quota(columns: Sequence[str], labels: Labels) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+def _quota(schema: T.StructType, labels: Labels) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    columns = schema.names
+    whole = [isinstance(f.dataType, T.IntegralType) for f in schema.fields]
+    at = {name: columns.index(name) for name in ("comment_id", "position", "failed", "exhausted")}
+
+    def plain(row: list) -> tuple:
+        """Values with None for what is missing; groups are small, so plain tuples are quicker than frames."""
+        found = [None if v is pd.NaT or isinstance(v, float) and v != v else v for v in row]
+        return tuple(int(v) if w and v is not None else v for v, w in zip(found, whole, strict=True))
+
     def take(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held, ids = state.get if state.exists else (0, [])
-        target, failed, exhausted, best = 0, False, False, None
+        ids, best, target, failed, exhausted = list(ids), {}, 0, False, False
         for rows in parts:
-            target = int(rows.target.iloc[0])
-            failed |= bool(rows.failed.fillna(False).astype(bool).any())
-            exhausted |= bool(rows.exhausted.fillna(False).astype(bool).any())
-            fresh = rows[rows.comment_id.notna() & ~rows.comment_id.isin(ids)]
-            both = fresh if best is None else pd.concat([best, fresh])
-            both = both.sort_values(["position", "comment_id"], kind="stable").drop_duplicates("comment_id")
-            best = both.head(max(0, target - held))
+            target = int(rows["target"].iloc[0])
+            for row in map(plain, rows[columns].to_numpy(dtype=object).tolist()):
+                failed |= bool(row[at["failed"]])
+                exhausted |= bool(row[at["exhausted"]])
+                comment, position = row[at["comment_id"]], row[at["position"]]
+                if comment is None or comment in ids:
+                    continue
+                order = (position is None, position, comment)
+                if comment not in best or order < best[comment][0]:
+                    best[comment] = (order, row)
+            best = dict(sorted(best.items(), key=lambda found: found[1][0])[: max(0, target - held)])
         held += len(best)
-        state.update((held, [] if held >= target else [*ids, *best.comment_id]))
+        state.update((held, [] if held >= target else [*ids, *best]))
         status = labels.failed if failed else labels.exhausted if exhausted and held < target else labels.done
-        if len(best):
-            yield best[[*columns, "target"]].assign(held=held, status=None)
-        page = dict.fromkeys(columns) | {"entity_id": key[0], "sample_label": key[1], "target": target, "held": held, "status": status}
-        yield pd.DataFrame([page])
+        page = tuple(dict(zip(("entity_id", "sample_label"), key, strict=True)).get(c) for c in columns)
+        found = [(*row, target, held, None) for _, row in best.values()] + [(*page, target, held, status)]
+        yield pd.DataFrame(found, columns=[*columns, "target", "held", "status"], dtype=object)
 
     return take
 
