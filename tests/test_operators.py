@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratinglens.labels import ZH
-from ratinglens.operators import categories, charts, crawl_log, membership, quadrants, snapshot, stats
+from ratinglens.operators import categories, charts, coverage, crawl_log, membership, quadrants, snapshot, stats
 from ratinglens.operators.ordered import average_ranks, cumulative_counts, exact_quantiles, numbered, value_counts
 
 
@@ -284,3 +284,36 @@ def test_page_outcomes(spark):
     pages = spark.createDataFrame(rows, "entity_id string, page_start int, asked int, got int, total int, failed boolean")
     got = {r.entity_id: (r.failed, r.exhausted) for r in crawl_log.page_outcomes(pages, ["entity_id"]).collect()}
     assert got == {"full": (False, False), "short": (False, True), "total": (False, True), "failed": (True, False)}
+
+
+# completeness of tags
+
+
+def page(tag, start, got, failed=False, asked=20):
+    return (tag, start, asked, got, failed)
+
+
+def test_tags_are_complete_without_holes_and_failed_pages(spark):
+    rows = [
+        page("whole", 0, 20), page("whole", 20, 20), page("whole", 40, 7),
+        page("hole", 0, 20), page("hole", 40, 7),
+        page("open", 0, 20), page("open", 20, 20),
+        page("failed", 0, 20), page("failed", 20, 0, True),
+        page("again", 0, 20), page("again", 20, 0, True), page("again", 20, 3),
+        page("overlap", 0, 20), page("overlap", 15, 20), page("overlap", 35, 0),
+        page("inside", 0, 20), page("inside", 15, 0, True), page("inside", 20, 1),
+        page("full", 0, 100, asked=100), page("full", 100, 100, asked=100),
+        page("none", 0, 0), page("lost", 0, 0, True), page("late", 5, 20), page("late", 25, 1),
+        page("behind", 0, 5), page("behind", 40, 0, True),
+    ]
+    pages = spark.createDataFrame(rows, "tag string, page_start int, asked int, got int, failed boolean")
+    got = {r.tag: (r.covered, r.ends, r.holes, r.failed_pages, r.complete) for r in coverage.tag_completeness(pages).collect()}
+    assert got == {
+        "whole": (47, 47, 0, 0, True), "hole": (20, None, 1, 0, False), "open": (40, None, 0, 0, False), "failed": (20, None, 0, 1, False),
+        "again": (23, 23, 0, 0, True), "overlap": (35, 35, 0, 0, True), "inside": (21, 21, 0, 1, False), "full": (200, None, 0, 0, True),
+        "none": (0, 0, 0, 0, True), "lost": (0, None, 0, 1, False), "late": (0, None, 1, 0, False), "behind": (5, 5, 0, 1, True),
+    }
+    tags = spark.createDataFrame([("whole", 1), ("hole", 2), ("unread", 3), ("none", 4)], "tag string, tag_order int")
+    left = membership.pending_tags(tags, coverage.complete_tags(pages))
+    assert [r.tag for r in left.collect()] == ["hole", "unread"]
+    assert coverage.tag_completeness(pages.limit(0)).count() == 0
