@@ -50,11 +50,17 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     )
 
 
-def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
-    """(point, x, density): Gaussian kernel density with Scott's bandwidth on [min, max].
+#: Steps of the grid that stands for the values of a density, when there are more different ones.
+GRID = 4096
 
-    Equal values are merged first; each distinct value then adds its share to
-    every grid point, summed before the shuffle.
+
+def density(df: DataFrame, value: str, points: int = 200, grid: int = GRID) -> DataFrame:
+    """(point, x, density): Gaussian kernel density with Scott's bandwidth h on [min, max].
+
+    Equal values are merged first. If more than ``grid`` different ones are left, each gives its weight to the two grid
+    steps around it, in proportion to its nearness; the kernel is then summed over the steps. The work after
+    the merge is at most ``grid`` times ``points``, however many rows there are. Without the grid the sum is exact; with it
+    each density is off by at most d^2 / (8 h^3 sqrt(2 pi)), d being the grid's step.
     """
     counts = value_counts(df.select(F.col(value).cast("double").alias("value")), "value")
     n, v = F.col("n").cast("double"), F.col("value")
@@ -62,7 +68,7 @@ def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     mean = F.sum(n * v) / total
     moments = counts.agg(
         F.struct(
-            F.min(v).alias("low"), F.max(v).alias("high"), total.alias("total"), mean.alias("mean")
+            F.min(v).alias("low"), F.max(v).alias("high"), total.alias("total"), mean.alias("mean"), F.count("*").alias("different")
         ).alias("m")
     ).scalar()
     spread = (
@@ -70,17 +76,28 @@ def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
         .agg(F.sum(n * (v - F.col("_m.mean")) * (v - F.col("_m.mean"))).alias("ss"))
         .scalar()
     )
-    with_scale = counts.select("value", "n", moments.alias("m"), spread.alias("ss")).withColumn(
-        "h",
-        F.sqrt(F.try_divide(F.col("ss"), F.col("m.total") - 1)) * F.pow(F.col("m.total"), F.lit(-0.2)),
-    )
-    spots = with_scale.select(
-        "value", "n", "m", "h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    step = (F.col("m.high") - F.col("m.low")) / grid
+    place = F.try_divide(v - F.col("m.low"), step)
+    left = F.least(F.floor(place), F.lit(grid - 1))
+    few = F.col("m.different") <= grid
+    spot = F.when(few, v).otherwise(left.cast("double"))
+    right_share = F.when(few, 0.0).otherwise(place - left)
+    cells = (
+        counts.withColumn("m", moments)
+        .select(few.alias("few"), spot.alias("spot"), (n * (1 - right_share)).alias("own"), (n * right_share).alias("next"), "m")
+        .groupBy("few", "spot", "m")
+        .agg(F.sum("own").alias("own"), F.sum("next").alias("next"))
     )
+    at = F.when(F.col("few"), F.col("spot")).otherwise(F.col("m.low") + F.col("spot") * step)
+    weights = cells.select(
+        "m", F.inline(F.array(F.struct(at.alias("at"), F.col("own").alias("w")), F.struct((at + step).alias("at"), F.col("next").alias("w"))))
+    ).where("w > 0")
+    h = F.sqrt(F.try_divide(F.col("ss"), F.col("m.total") - 1)) * F.pow(F.col("m.total"), F.lit(-0.2))
+    spots = weights.withColumn("ss", spread).withColumn("h", h).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x = F.col("m.low") + F.col("point") * (F.col("m.high") - F.col("m.low")) / (points - 1)
-    z = (x - F.col("value")) / F.col("h")
-    weight = F.col("n") * F.exp(-z * z / 2) / (F.col("m.total") * F.col("h") * math.sqrt(2 * math.pi))
-    return spots.where(F.col("h") > 0).groupBy("point").agg(F.first(x).alias("x"), F.sum(weight).alias("density"))
+    z = (x - F.col("at")) / F.col("h")
+    share = F.col("w") * F.exp(-z * z / 2) / (F.col("m.total") * F.col("h") * math.sqrt(2 * math.pi))
+    return spots.where(F.col("h") > 0).groupBy("point").agg(F.first(x).alias("x"), F.sum(share).alias("density"))
 
 
 def binned_pairs(df: DataFrame, x: str, y: str, x_bins: int = 40, y_bins: int = 40) -> DataFrame:

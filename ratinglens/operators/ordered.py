@@ -10,12 +10,19 @@ subquery, so nothing passes through the driver and the plan stays lazy.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_SKETCH_ACCURACY = 10_000
+from ratinglens.session import staged
+
+#: Ranges per shuffle partition, so that one with many values is made up for by others.
+_RANGES_PER_PARTITION = 4
+#: Accuracy of the sketch per range; its largest is what the sketch functions take.
+_SKETCH_PER_RANGE, _SKETCH_MOST = 4, 65_535
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -24,50 +31,43 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return present.groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-def _width(df: DataFrame) -> int:
-    """Square root of the number of ranges: they outnumber the shuffle partitions."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return 8 if partitions <= 64 else 16 if partitions <= 256 else 32
-
+def _ranges(df: DataFrame) -> int:
+    """The ranges outnumber the shuffle partitions, however many there are."""
+    return _RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def _first_at_least(value: str, cut: str, low: int, high: int) -> str:
-    """Binary search as a nested SQL condition; ``cut`` turns a position into a cut point."""
-    if low == high:
-        return str(low)
-    middle = (low + high) // 2
-    left, right = _first_at_least(value, cut, low, middle), _first_at_least(value, cut, middle + 1, high)
-    return f"CASE WHEN {value} <= {cut.format(middle)} THEN {left} ELSE {right} END"
 
-
-def _with_range(counts: DataFrame, value: str, width: int) -> DataFrame:
-    """Adds ``_range``, the number of cut points below the value: coarse search, then fine."""
-    fractions = [i / width**2 for i in range(1, width**2)]
+def _with_range(counts: DataFrame, value: str, ranges: int) -> DataFrame:
+    """Adds ``_range``, the number of cut points below the value, by binary search among the sketch's quantiles."""
+    if ranges < 2:
+        return counts.withColumn("_range", F.lit(0))
+    accuracy = max(8, min(_SKETCH_MOST, _SKETCH_PER_RANGE * ranges))
+    # one text constant, as an array of so many literals would weigh on the plan
+    fractions = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
     # the count is carried along so that the sketch reads the very shuffle the
     # running count reads: Spark then computes it once
     sketch = counts.agg(
-        F.struct(
-            F.percentile_approx(value, fractions or [0.5], _SKETCH_ACCURACY).alias("cuts"), F.max("n").alias("most")
-        ).alias("s")
-    ).scalar()
-    coarse = _first_at_least(f"`{value}`", f"_sketch.cuts[({{}} + 1) * {width} - 1]", 0, width - 1)
-    fine = _first_at_least(f"`{value}`", f"_sketch.cuts[_coarse * {width} + {{}}]", 0, width - 1)
-    return (
-        counts.withColumn("_sketch", sketch)
-        .withColumn("_coarse", F.expr(coarse))
-        .select(*counts.columns, F.expr(f"_coarse * {width} + {fine}").alias("_range"))
+        F.struct(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(accuracy)).alias("sketch"), F.max("n").alias("most")).alias("s")
     )
+    cuts = sketch.select(F.kll_sketch_get_quantile_double("s.sketch", fractions).alias("cuts")).scalar()
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(ranges.bit_length()))))
+    at = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(F.col(value) > F.try_element_at(F.col("_cuts"), found + step), found + step).otherwise(found),
+    )
+    return counts.withColumn("_cuts", cuts).select(*counts.columns, at.alias("_range"))
 
 
 def cumulative_counts(
-    counts: DataFrame, value: str, by: Sequence[str] = (), width: int | None = None
+    counts: DataFrame, value: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """(by, value, n) plus ``cum``, the rows up to and including the value, and ``total``."""
     by = list(by)
-    ranged = _with_range(counts, value, width or _width(counts))
+    ranged = _with_range(counts, value, ranges or _ranges(counts))
     inside = W.partitionBy(*by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     running = ranged.withColumn("_inside", F.sum("n").over(inside))
-    # at most width * width rows per group from here on
-    totals = ranged.groupBy(*by, "_range").agg(F.sum("n").alias("_in_range"))
+    # one row per range and group from here on, out of the shuffle that the running count reads
+    totals = running.groupBy(*by, "_range").agg(F.max("_inside").alias("_in_range"))
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     offsets = totals.select(
         *by,
@@ -125,24 +125,25 @@ def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     return exact_quantiles(longer, "value", {"median": 0.5}, [*by, "measure"])
 
 
-def numbered(
-    df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], number: str, span: str = "HOUR"
-) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], number: str) -> DataFrame:
     """1-based position of each row in its key by time, ties in the given order.
 
-    A key may be large, so it is cut into time spans: positions inside the span
-    plus the rows of the earlier spans of that key.
+    Rows are dealt by ranges of (key, time, ties) whose ends Spark samples, and written once so that a row stays in its
+    range: a key with many rows, also at one moment, is cut into many ranges. Positions inside a range are
+    added to the rows of the key in the ranges before it.
     """
-    cut = df.withColumn("_span", F.date_trunc(span, order))
-    inside = W.partitionBy(*keys, "_span").orderBy(F.col(order), *[F.col(t) for t in ties])
-    sizes = cut.groupBy(*keys, "_span").agg(F.count("*").alias("_rows"))
-    earlier = W.partitionBy(*keys).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *keys, "_span", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *keys, order, *ties).withColumn("_range", F.spark_partition_id())
+    cut = staged(dealt, "ranges")
+    inside = W.partitionBy(*keys, "_range").orderBy(F.col(order), *[F.col(t) for t in ties])
+    sizes = cut.groupBy(*keys, "_range").agg(F.count("*").alias("_rows"))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    offsets = sizes.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_range").alias("_at"), before.alias("_before"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_range") == F.col("_at"))
     return (
         cut.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, "_span"])
+        .join(offsets, same)
         .withColumn(number, (F.col("_inside") + F.col("_before")).cast("bigint"))
-        .drop("_span", "_inside", "_before")
+        .drop("_range", "_inside", "_before", "_at", *(f"_{k}" for k in keys))
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +16,24 @@ from ratinglens.operators.ordered import average_ranks
 def spearman(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     """(pair, n, rho) for every named pair of columns, in one plan.
 
-    Rows with a NULL on either side are dropped per pair. Equal (x, y) rows are
-    merged before any shuffle that follows, ranks are looked up per distinct
-    value, and the mean rank is known, so centred sums stay accurate. A constant
-    side, or fewer than two rows, gives NULL.
+    Rows with a NULL on either side are dropped per pair. Equal (x, y) rows are merged before any shuffle that follows,
+    and the mean rank is known, so centred sums stay accurate. All ranks stand in one long table. A column is
+    ranked once for all pairs that leave none of its rows out, else once per pair. A constant side, or fewer than two
+    rows, gives NULL.
     """
-    longer = df.select(
+    sides = [(name, side, own, other) for name, (x, y) in pairs.items() for side, own, other in (("x", x, y), ("y", y, x))]
+    # does the other column of a pair leave rows of this one out?
+    gaps = df.agg(
+        F.struct(*(F.coalesce(F.bool_or(F.col(own).isNotNull() & F.col(other).isNull()), F.lit(False)) for _, _, own, other in sides)).alias("g")
+    ).scalar()
+    gap = [F.col("_gaps").getField(f"col{i + 1}") for i in range(len(sides))]
+    rank_of = [F.when(g, F.lit(f"{name} {side}")).otherwise(F.lit(f"column {own}")) for g, (name, side, own, _) in zip(gap, sides, strict=True)]
+    # of several sides that share a rank the first without a gap counts its values
+    counts_it = []
+    for i, (_, _, own, _) in enumerate(sides):
+        earlier = [~gap[j] for j in range(i) if sides[j][2] == own]
+        counts_it.append(gap[i] | ~reduce(or_, earlier, F.lit(False)))
+    longer = df.withColumn("_gaps", gaps).select(
         F.inline(
             F.array(
                 *[
@@ -27,18 +41,22 @@ def spearman(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
                         F.lit(name).alias("pair"),
                         F.col(x).cast("double").alias("x"),
                         F.col(y).cast("double").alias("y"),
+                        *(rank_of[2 * i + s].alias(f"k{side}") for s, side in enumerate("xy")),
+                        *(counts_it[2 * i + s].alias(f"c{side}") for s, side in enumerate("xy")),
                     )
-                    for name, (x, y) in pairs.items()
+                    for i, (name, (x, y)) in enumerate(pairs.items())
                 ]
             )
         )
     )
-    cells = longer.na.drop(subset=["x", "y"]).groupBy("pair", "x", "y").agg(F.count("*").alias("n"))
+    cells = longer.na.drop(subset=["x", "y"]).groupBy("pair", "x", "y", "kx", "ky", "cx", "cy").agg(F.count("*").alias("n"))
+    both = [F.struct(F.col(f"k{s}").alias("k"), F.col(s).alias("v"), F.col(f"c{s}").alias("c"), F.col("n").alias("n")) for s in "xy"]
+    values = cells.select(F.inline(F.array(*both))).where("c")
+    ranks = average_ranks(values.groupBy("k", "v").agg(F.sum("n").alias("n")), "v", ["k"])
     ranked = cells
-    for side in ("x", "y"):
-        counts = cells.groupBy("pair", side).agg(F.sum("n").alias("n"))
-        ranks = average_ranks(counts, side, ["pair"], rank=f"r{side}")
-        ranked = ranked.join(ranks.withColumnRenamed("total", f"t{side}"), ["pair", side])
+    for side in "xy":
+        own = ranks.select(F.col("k").alias(f"k{side}"), F.col("v").alias(side), F.col("rank").alias(f"r{side}"), F.col("total").alias(f"t{side}"))
+        ranked = ranked.join(own, [f"k{side}", side])
     dx = F.col("rx") - (F.col("tx") + 1) / 2
     dy = F.col("ry") - (F.col("ty") + 1) / 2
     n = F.col("n")

@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratinglens.labels import ZH
-from ratinglens.operators import categories, charts, coverage, crawl_log, membership, quadrants, snapshot, stats
+from ratinglens.operators import categories, charts, coverage, crawl_log, membership, ordered, quadrants, snapshot, stats
 from ratinglens.operators.ordered import average_ranks, cumulative_counts, exact_quantiles, numbered, value_counts
+from ratinglens.session import staged
 
 
 @pytest.fixture(scope="module")
@@ -41,10 +42,10 @@ def test_quantiles_equal_pandas(skewed):
     assert got == pytest.approx(want.to_dict())
 
 
-@pytest.mark.parametrize("width", [1, 2, 3, 8, 32])
-def test_running_counts_do_not_depend_on_the_ranges(skewed, width):
+@pytest.mark.parametrize("ranges", [1, 2, 3, 8, 32, 1000])
+def test_running_counts_do_not_depend_on_the_ranges(skewed, ranges):
     frame, df = skewed
-    got = {r.x: r.cum for r in cumulative_counts(value_counts(df, "x"), "x", width=width).collect()}
+    got = {r.x: r.cum for r in cumulative_counts(value_counts(df, "x"), "x", ranges=ranges).collect()}
     assert got == frame["x"].value_counts().sort_index().cumsum().to_dict()
 
 
@@ -87,6 +88,23 @@ def test_numbered_equals_a_plain_row_number(spark):
     assert got == want
 
 
+def test_a_key_at_one_moment_is_cut_into_ranges(spark):
+    """All rows of a key in one hour, a third of them at one moment: every task numbers a part."""
+    df = spark.range(9000).select(
+        F.lit("hot").alias("k"), F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 3600)).alias("t"), F.col("id").alias("i")
+    )
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ordered, "staged", lambda frame, name: made.append(staged(frame, name)) or made[-1])
+        found = numbered(df.unionByName(df.limit(5).withColumn("k", F.lit(None).cast("string"))), ["k"], "t", ["i"], "n")
+    sizes = [r["count"] for r in made[0].where("k = 'hot'").groupBy("_range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 9000 / 4 * 1.5
+    got = {(r.k, r.i): r.n for r in found.collect()}
+    want = sorted(range(9000), key=lambda i: (7 if i % 3 == 0 else i % 3600, i))
+    assert [got["hot", i] for i in want] == list(range(1, 9001))
+    assert sorted(n for (k, _), n in got.items() if k is None) == [1, 2, 3, 4, 5]
+
+
 def test_one_row_per_key_limits_groups_before_the_shuffle(spark):
     df = spark.range(5000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)).alias("k"), F.col("id").alias("v"))
     last = snapshot.keep_last(df, ["k"], ["v"])
@@ -163,6 +181,30 @@ def test_histogram_equals_numpy(skewed):
     assert [r.low for r in rows] == pytest.approx(list(edges[:-1]))
 
 
+def test_density_of_many_values_is_within_the_stated_error(spark):
+    rng = np.random.default_rng(2)
+    values = np.concatenate((rng.normal(0, 1, 3000), rng.normal(6, 0.5, 1500)))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    h = values.std(ddof=1) * len(values) ** -0.2
+    for grid in (64, 512):
+        rows = charts.density(df, "v", 50, grid).orderBy("point").collect()
+        exact = [np.exp(-(((r.x - values) / h) ** 2) / 2).sum() / (len(values) * h * math.sqrt(2 * math.pi)) for r in rows]
+        step = (values.max() - values.min()) / grid
+        off = max(abs(r.density - e) for r, e in zip(rows, exact, strict=True))
+        assert 0 < off <= step**2 / (8 * h**3 * math.sqrt(2 * math.pi))
+    assert charts.density(df.limit(0), "v").count() == 0 and charts.density(df.limit(1), "v").count() == 0
+
+
+def test_density_does_not_grow_with_the_rows(spark):
+    df = spark.range(40_000).select((F.col("id") * 1.0).alias("v"))
+    found = charts.density(df, "v", 20)
+    found.collect()
+    import re
+
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search("Generate explode", plan) and "HashAggregate(keys=[few" in plan
+
+
 def test_density_equals_the_formula(spark):
     values = np.array([1.0, 1.0, 2.0, 4.0, 7.0])
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
