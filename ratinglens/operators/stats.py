@@ -3,68 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratinglens.functions.rating import entropy_bits, wilson_bounds
 from ratinglens.operators.ordered import average_ranks
+from ratinglens.session import staged
 
 
 def spearman(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """(pair, n, rho) for every named pair of columns, in one plan.
+    """(pair, n, rho) for every named pair of columns that has rows.
 
-    Rows with a NULL on either side are dropped per pair. Equal (x, y) rows are merged before any shuffle that follows,
-    and the mean rank is known, so centred sums stay accurate. All ranks stand in one long table. A column is
-    ranked once for all pairs that leave none of its rows out, else once per pair. A constant side, or fewer than two
-    rows, gives NULL.
+    Rows with a NULL on either side are dropped per pair. Equal rows are merged and written once, narrow. All ranks
+    stand in one long table: a column is ranked once for all pairs that leave none of its rows out, which one row of facts
+    about the NULLs tells, else once per pair. One join gives every value its rank, and the products of all pairs are summed
+    in one aggregation; the mean rank is known, so centred sums stay accurate. A constant side, or fewer than two rows, gives NULL.
     """
-    sides = [(name, side, own, other) for name, (x, y) in pairs.items() for side, own, other in (("x", x, y), ("y", y, x))]
-    # does the other column of a pair leave rows of this one out?
-    gaps = df.agg(
-        F.struct(*(F.coalesce(F.bool_or(F.col(own).isNotNull() & F.col(other).isNull()), F.lit(False)) for _, _, own, other in sides)).alias("g")
-    ).scalar()
-    gap = [F.col("_gaps").getField(f"col{i + 1}") for i in range(len(sides))]
-    rank_of = [F.when(g, F.lit(f"{name} {side}")).otherwise(F.lit(f"column {own}")) for g, (name, side, own, _) in zip(gap, sides, strict=True)]
-    # of several sides that share a rank the first without a gap counts its values
-    counts_it = []
-    for i, (_, _, own, _) in enumerate(sides):
-        earlier = [~gap[j] for j in range(i) if sides[j][2] == own]
-        counts_it.append(gap[i] | ~reduce(or_, earlier, F.lit(False)))
-    longer = df.withColumn("_gaps", gaps).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("pair"),
-                        F.col(x).cast("double").alias("x"),
-                        F.col(y).cast("double").alias("y"),
-                        *(rank_of[2 * i + s].alias(f"k{side}") for s, side in enumerate("xy")),
-                        *(counts_it[2 * i + s].alias(f"c{side}") for s, side in enumerate("xy")),
-                    )
-                    for i, (name, (x, y)) in enumerate(pairs.items())
-                ]
-            )
-        )
-    )
-    cells = longer.na.drop(subset=["x", "y"]).groupBy("pair", "x", "y", "kx", "ky", "cx", "cy").agg(F.count("*").alias("n"))
-    both = [F.struct(F.col(f"k{s}").alias("k"), F.col(s).alias("v"), F.col(f"c{s}").alias("c"), F.col("n").alias("n")) for s in "xy"]
-    values = cells.select(F.inline(F.array(*both))).where("c")
-    ranks = average_ranks(values.groupBy("k", "v").agg(F.sum("n").alias("n")), "v", ["k"])
-    ranked = cells
-    for side in "xy":
-        own = ranks.select(F.col("k").alias(f"k{side}"), F.col("v").alias(side), F.col("rank").alias(f"r{side}"), F.col("total").alias(f"t{side}"))
-        ranked = ranked.join(own, [f"k{side}", side])
-    dx = F.col("rx") - (F.col("tx") + 1) / 2
-    dy = F.col("ry") - (F.col("ty") + 1) / 2
-    n = F.col("n")
-    spread = F.sqrt(F.sum(n * dx * dx)) * F.sqrt(F.sum(n * dy * dy))
-    return ranked.groupBy("pair").agg(
-        F.sum("n").alias("n"),
-        F.try_divide(F.sum(n * dx * dy), F.nullif(spread, F.lit(0.0))).alias("rho"),
+    names = list(dict.fromkeys(c for pair in pairs.values() for c in pair))
+    merged = df.select(*(F.col(c).cast("double").alias(c) for c in names)).groupBy(*names).agg(F.count("*").alias("_n"))
+    cells = staged(merged.withColumn("_id", F.monotonically_increasing_id()), "cells")
+    sides = [(name, own, other) for name, (x, y) in pairs.items() for own, other in ((x, y), (y, x))]
+    lost = [F.coalesce(F.bool_or(F.col(own).isNotNull() & F.col(other).isNull()), F.lit(False)) for _, own, other in sides]
+    gaps = cells.agg(*(c.alias(f"g{i}") for i, c in enumerate(lost))).first()
+    rank_of, values = {}, {}
+    for (name, own, other), gap in zip(sides, gaps, strict=True):
+        key = rank_of[name, own] = f"{own} in {name}" if gap else own
+        values[key] = F.when(F.col(other).isNotNull(), F.col(own)) if gap else F.col(own)
+    listed = F.array(*(F.struct(F.lit(key).alias("k"), value.alias("v")) for key, value in values.items()))
+    longer = cells.select("_id", "_n", F.inline(listed)).where("v IS NOT NULL")
+    ranks = average_ranks(longer.groupBy("k", "v").agg(F.sum("_n").alias("n")), "v", ["k"])
+    centred = F.col("rank") - (F.col("total") + 1) / 2
+    place = {key: f"r{i}" for i, key in enumerate(values)}
+    wide = longer.join(ranks, ["k", "v"]).groupBy("_id", "_n").agg(
+        *(F.max(F.when(F.col("k") == key, centred)).alias(column) for key, column in place.items())
     )
+    found = []
+    for name, (x, y) in pairs.items():
+        dx, dy = (F.col(place[rank_of[name, c]]) for c in (x, y))
+        weight = F.when(dx.isNotNull() & dy.isNotNull(), F.col("_n"))
+        spread = F.sqrt(F.sum(weight * dx * dx)) * F.sqrt(F.sum(weight * dy * dy))
+        rho = F.try_divide(F.sum(weight * dx * dy), F.nullif(spread, F.lit(0.0)))
+        found.append(F.struct(F.lit(name).alias("pair"), F.sum(weight).alias("n"), rho.alias("rho")))
+    return wide.agg(F.array(*found).alias("found")).select(F.inline("found")).where("n > 0")
 
 
 def cohens_d(value: Column, left: Column, right: Column) -> Column:
