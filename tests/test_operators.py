@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratinglens.labels import ZH
-from ratinglens.operators import categories, charts, coverage, crawl_log, membership, ordered, quadrants, snapshot, stats
+from ratinglens.operators import categories, charts, coverage, crawl_log, membership, ordered, quadrants, sketches, snapshot, stats
 from ratinglens.operators.ordered import average_ranks, cumulative_counts, exact_quantiles, numbered, value_counts
 from ratinglens.session import staged
+from ratinglens.sources import versions
 
 
 @pytest.fixture(scope="module")
@@ -359,3 +360,42 @@ def test_tags_are_complete_without_holes_and_failed_pages(spark):
     left = membership.pending_tags(tags, coverage.complete_tags(pages))
     assert [r.tag for r in left.collect()] == ["hole", "unread"]
     assert coverage.tag_completeness(pages.limit(0)).count() == 0
+
+
+# stored sketches
+
+
+def test_sketches_of_batches_add_up(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(rng.choice("ab"), rng.randrange(4), rng.randrange(20_000) if rng.random() < 0.95 else None) for _ in range(30_000)]
+    rows += [("hot", 0, i % 3) for i in range(5000)] + [("none", 0, None)]
+    df = spark.createDataFrame(rows, "g string, slice int, v long")
+    reach, sizes = str(tmp_path / "reach"), str(tmp_path / "sizes")
+    for batch in (0, 1, 1, 2):  # a batch that comes twice counts once
+        part = df.where(F.abs(F.hash("g", "v")) % 3 == batch)
+        sketches.add_to(reach, sketches.distinct_sketches(part, "v", ["g", "slice"]), ["g", "slice"], buckets=4, batch=("w", batch))
+        sketches.add_to(sizes, sketches.quantile_sketches(part, "v", ["g", "slice"]), ["g", "slice"], True, 4, ("w", batch))
+    some = versions.read(spark, reach).where("slice IN (0, 2)")
+    got = {r.g: r.distinct for r in sketches.distinct_counts(some, ["g"]).collect()}
+    want = {g: len({v for k, s, v in rows if k == g and s in (0, 2) and v is not None}) for g in ("a", "b", "hot", "none")}
+    assert got["hot"] == 3 and got["none"] == 0
+    for g in "ab":
+        assert abs(got[g] - want[g]) <= 4 * sketches.distinct_error() * want[g]
+    found = {r.g: r for r in sketches.sketched_quantiles(versions.read(spark, sizes), {"q": 0.3, "m": 0.5}, ["g"]).collect()}
+    assert found["none"].n == 0 and found["none"].m is None and found["hot"].m == 1
+    for g in "ab":
+        values = np.sort([v for k, _, v in rows if k == g and v is not None])
+        assert found[g].n == len(values)
+        for p, q in ((0.3, found[g].q), (0.5, found[g].m)):
+            low, high = np.searchsorted(values, q, "left") / len(values), np.searchsorted(values, q, "right") / len(values)
+            assert low <= p + sketches.rank_error() and high >= p - sketches.rank_error()
+
+
+def test_a_batch_of_sketches_reads_no_other_bucket(spark, tmp_path):
+    path = str(tmp_path / "reach")
+    df = spark.createDataFrame([(str(i), i) for i in range(60)], "g string, v int")
+    sketches.add_to(path, sketches.distinct_sketches(df, "v", ["g"]), ["g"], buckets=8)
+    before = versions.version(spark, path).folders
+    sketches.add_to(path, sketches.distinct_sketches(df.where("g = '7'"), "v", ["g"]), ["g"])
+    after = versions.version(spark, path).folders
+    assert sum(before[b] != after[b] for b in before) == 1

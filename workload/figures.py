@@ -61,6 +61,22 @@ SCORE_DENSITY = with_ctes(
 )
 
 
+def price_density(spark: SparkSession, d: str) -> DataFrame:
+    """Density of the line price, a value with more different ones than the grid has steps."""
+    found = charts.density(table(spark, d, "lineitem").select(F.col("l_extendedprice").cast("double").alias("price")), "price", 50, 512)
+    return found.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("per_million"))
+
+
+PRICE_DENSITY = """
+WITH v AS (SELECT CAST(l_extendedprice AS DOUBLE) AS p FROM lineitem),
+m AS (SELECT min(p) AS lo, max(p) AS hi, count(*) AS n, stddev_samp(p) * count(*) ** (-0.2) AS h, (max(p) - min(p)) / 512 AS step FROM v),
+split AS (SELECT least(floor((p - lo) / step), 511) AS i, (p - lo) / step AS place FROM v, m),
+grid AS (SELECT i, sum(w) AS w FROM (SELECT i, 1 - (place - i) AS w FROM split UNION ALL SELECT i + 1, place - i FROM split) GROUP BY i)
+SELECT CAST(k AS INTEGER) AS point, round(any_value(lo + k * (hi - lo) / 49), 4) AS x,
+       round(1e6 * sum(w * exp(0 - pow((lo + k * (hi - lo) / 49 - (lo + i * step)) / h, 2) / 2) / (n * h * sqrt(2 * pi()))), 6) AS per_million
+FROM grid, m, (SELECT unnest(range(50)) AS k) GROUP BY k"""
+
+
 def votes_score_bins(spark: SparkSession, d: str) -> DataFrame:
     """Log votes against score as counts per cell."""
     rated = rated_rows(stored_entities(spark, d, "score", "votes")).select("score", F.round(log_votes(F.col("votes")), 6).alias("log_votes"))
@@ -174,6 +190,7 @@ QUERIES = {
     "price_histogram": (price_histogram, PRICE_HISTOGRAM),
     "score_histogram": (score_histogram, SCORE_HISTOGRAM),
     "score_density": (score_density, SCORE_DENSITY),
+    "price_density": (price_density, PRICE_DENSITY),
     "votes_score_bins": (votes_score_bins, VOTES_SCORE_BINS),
     "votes_shrinkage_bins": (votes_shrinkage_bins, VOTES_SHRINKAGE_BINS),
     "quadrant_lines": (quadrant_lines, QUADRANT_LINES),

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratinglens.session import tune
-from workload import collection, end_to_end, figures, ratings, records, snapshots, stored, streams, trends
+from workload import collection, end_to_end, figures, ratings, records, sketched, snapshots, stored, streams, trends
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (ratings, records, snapshots, trends, collection, figures, streams, stored, end_to_end)
+_MODULES = (ratings, records, snapshots, trends, collection, figures, streams, stored, sketched, end_to_end)
 
 
 def _tuned(run: Query) -> Query:
