@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratinglens.report_texts import SUMMARY_ZH
+
 # Source header -> column name, in contract order, per table.
 HEADERS: dict[str, dict[str, str]] = {
     "candidates": {
@@ -106,6 +108,41 @@ DERIVED_HEADERS = {
 }
 
 
+# Column name -> published header, in published order, per result table.
+RESULT_HEADERS: dict[str, dict[str, str]] = {
+    "report": {"metric": "指标", "scope": "统计口径", "n": "数量", "share": "占统计口径比例", "note": "说明"},
+    "rules": {
+        "rule": "规则ID", "field": "字段", "criterion": "判定标准", "action": "处理方式", "hit_kind": "命中类型", "reason": "选择原因",
+        "rejected": "未采用方法", "hits": "命中记录数",
+    },
+    "shrinkage": {
+        "entity_id": "豆瓣ID", "title": "电影名称", "score": "豆瓣评分", "votes": "评价人数", "shrunk_score": "贝叶斯加权评分",
+        "difference": "收缩差值",
+    },
+    "quadrants": {"entity_id": "豆瓣ID", "title": "电影名称", "score": "豆瓣评分", "votes": "评价人数", "quadrant": "四象限"},
+    "quadrant_counts": {"quadrant": "四象限", "n": "电影数"},
+    "quadrant_sensitivity": {
+        "score_threshold": "评分阈值", "vote_quantile": "评价人数分位数", "vote_threshold": "评价人数阈值", "high_niche": "高分小众数",
+        "high_mass": "高分大众数",
+    },
+    "metric_comparison": {
+        "entity_id": "豆瓣ID", "title": "电影名称", "sample_label": "采样方式", "rated": "有效评分样本数", "mean_star": "平均星级",
+        "useful_weighted_star": "原始有用数加权星级", "log_weighted_star": "对数有用数加权星级", "five_star_share": "五星样本占比",
+        "five_star_low": "五星占比95%CI下限", "five_star_high": "五星占比95%CI上限", "star_entropy": "星级分布熵", "score": "豆瓣评分",
+        "sample_ten": "样本平均换算十分制", "sample_minus_score": "样本与总体评分差",
+    },
+    "yearly_counts": {"year": "上映年份", "n": "电影数"},
+    "yearly_category_share": {"year": "上映年份", "category": "类型", "weight": "类型权重", "share": "类型占比"},
+    "yearly_origin_share": {"year": "上映年份", "origin": "产地分类", "n": "电影数", "share": "产地占比"},
+    "origin_statistics": {
+        "origin": "产地分类", "n": "电影数", "mean_score": "评分均值", "median_score": "评分中位数", "median_votes": "评价人数中位数",
+    },
+    "category_origin_table": {"category": "类型"},
+    "tag_coverage": {"year": "上映年份", "tag": "标签", "entities": "独立电影数"},
+    "summary": {"module": "分析模块", "metric": "指标", "value": "数值"},
+}
+
+
 def fields_of(table: str) -> list[str]:
     return list(HEADERS[table].values())
 
@@ -161,3 +198,17 @@ def export_headers(df: DataFrame, table: str) -> DataFrame:
     """Column names back to source headers, for tables handed to other tools."""
     names = {name: header for header, name in HEADERS[table].items()} | DERIVED_HEADERS
     return df.select([F.col(c).alias(names.get(c, c)) for c in df.columns])
+
+
+def export_result(df: DataFrame, table: str) -> DataFrame:
+    """A result table under its published headers and in their order; the names in a summary are the published ones.
+
+    Columns without a header, such as the classes of the category table, follow as they are, but for line numbers.
+    """
+    names = RESULT_HEADERS[table]
+    require_columns(df, names, table)
+    if table == "summary":
+        published = F.create_map(*(F.lit(x) for pair in SUMMARY_ZH.items() for x in pair))
+        df = df.withColumns({c: F.coalesce(published[F.col(c)], F.col(c)) for c in ("module", "metric")})
+    others = [c for c in df.columns if c not in names and c != "line"]
+    return df.select(*(F.col(c).alias(header) for c, header in names.items()), *(F.col(f"`{c}`") for c in others))

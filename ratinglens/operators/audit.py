@@ -5,66 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratinglens.labels import ZH, Labels
+from ratinglens.labels import STUDY_YEARS, ZH, Labels
+from ratinglens.report_texts import ZH_TEXTS, ReportTexts
 
-RAW, UNIQUE = "raw input", "unique cleaned rows"
-
-# Report lines: metric, scope, count column, note. Counts of the raw input come
+# Report lines: metric, scope, count column. Counts of the raw input come
 # from the struct `raw`, the others from the unique rows.
 _METRICS = [
-    ("rows_in", RAW, "raw.rows", "rows read"),
-    ("missing_id", RAW, "raw.missing_id", "no stable key: dropped from the cleaned table"),
-    ("duplicate_id", RAW, "duplicates", "newest capture kept"),
-    ("cleaned_rows", RAW, "clean", "every keyed entity once"),
-    ("no_valid_rating", UNIQUE, "no_rating", "score emptied, never imputed"),
-    ("rating_sample", UNIQUE, "rating_sample", "score above 0 and votes above 0"),
-    ("study_sample", UNIQUE, "study_sample", "selected at analysis time only"),
-    ("before_period", UNIQUE, "before_period", "kept, described with the sample"),
-    ("after_period", UNIQUE, "after_period", "kept, outside the trend study"),
-    ("year_missing", UNIQUE, "year_missing", "empty and flagged"),
-    ("year_invalid", UNIQUE, "year_invalid", "emptied and flagged"),
-    ("capture_missing", UNIQUE, "capture_missing", "empty and flagged"),
-    ("capture_invalid", UNIQUE, "capture_invalid", "unparsable or without zone: emptied and flagged"),
-    ("release_not_day", UNIQUE, "release_not_day", "no month or day is invented"),
-    ("runtime_bad", UNIQUE, "runtime_bad", "minutes emptied"),
-    ("category_missing", UNIQUE, "category_missing", "filled with unknown and flagged"),
-    ("place_missing", UNIQUE, "place_missing", "filled with unknown and flagged"),
-    ("original_title_missing", RAW, "raw.original_title_missing", "often has no separate original title"),
-    ("directors_missing", RAW, "raw.directors_missing", "kept and reported"),
-    ("actors_missing", RAW, "raw.actors_missing", "kept and reported"),
-    ("count_invalid", UNIQUE, "count_invalid", "emptied, neither rounded nor clipped"),
-    ("comments_without_rating", UNIQUE, "comments_without_rating", "comment count kept, outside the rating sample"),
+    ("rows_in", "raw", "raw.rows"),
+    ("missing_id", "raw", "raw.missing_id"),
+    ("duplicate_id", "raw", "duplicates"),
+    ("cleaned_rows", "raw", "clean"),
+    ("no_valid_rating", "unique", "no_rating"),
+    ("rating_sample", "unique", "rating_sample"),
+    ("study_sample", "unique", "study_sample"),
+    ("before_period", "unique", "before_period"),
+    ("after_period", "unique", "after_period"),
+    ("year_missing", "unique", "year_missing"),
+    ("year_invalid", "unique", "year_invalid"),
+    ("capture_missing", "unique", "capture_missing"),
+    ("capture_invalid", "unique", "capture_invalid"),
+    ("release_not_day", "unique", "release_not_day"),
+    ("runtime_bad", "unique", "runtime_bad"),
+    ("category_missing", "unique", "category_missing"),
+    ("place_missing", "unique", "place_missing"),
+    ("original_title_missing", "raw", "raw.original_title_missing"),
+    ("directors_missing", "raw", "raw.directors_missing"),
+    ("actors_missing", "raw", "raw.actors_missing"),
+    ("count_invalid", "unique", "count_invalid"),
+    ("comments_without_rating", "unique", "comments_without_rating"),
 ]
 
-# Rules: id, field, criterion, action, hit kind, reason, rejected option, hits.
-_RULES = [
-    ("R01", "text fields", "white space, placeholders, uneven part separators", "normalise to one form",
-     "format", "one form without changing the entity", "no fuzzy merging of names", "raw.changed"),
-    ("R02", "entity id", "id occurs more than once", "keep the newest capture",
-     "rows dropped", "one observation per entity", "no merging by title", "duplicates"),
-    ("R03", "entity id", "id missing", "drop from the cleaned table",
-     "rows dropped", "cannot be linked to tags or comments", "no made-up ids", "raw.missing_id"),
-    ("R04", "score, votes", "score outside (0,10] or no votes", "empty the score, keep the row",
-     "emptied and excluded", "zero means not rated", "no zero and no mean imputed", "no_rating"),
-    ("R05", "counts", "not a whole number of at least zero", "empty and flag",
-     "emptied", "counts are non-negative integers", "no rounding, no clipping", "count_invalid"),
-    ("R06", "year", "missing, fractional, too old or past capture year + 1", "empty and flag",
-     "emptied", "limit from the local capture year, else the newest one known", "row is not dropped", "year_bad"),
-    ("R07", "release date", "precision of year, month, day or invalid", "keep the text, add date and precision",
-     "precision class", "a bare year is not January 1", "no forced month or day", "release_not_day"),
-    ("R08", "runtime", "first whole number of 1 to 1440 minutes", "add minutes, else empty",
-     "emptied", "text may describe several cuts", "text is not discarded", "runtime_bad"),
-    ("R09", "places", "home, special regions and foreign places", "classify in five classes",
-     "derived field", "co-productions are a class of their own", "no two-way split", "clean"),
-    ("R10", "rating sample", "valid score and votes", "add inclusion mark",
-     "sample", "needs a score and a denominator", "no cut on popularity", "rating_sample"),
-    ("R11", "study sample", "year inside the study period", "add inclusion mark",
-     "sample", "matches the study period", "rows outside are not deleted", "study_sample"),
-    ("R12", "shrunk score", "overall mean and median votes of the valid sample", "shrink towards the mean",
-     "derived measure", "damps extremes of small samples", "no hard vote threshold", "rating_sample"),
-    ("R13", "capture time", "missing, unparsable or without zone", "empty and flag; valid times win",
-     "quality issue", "a bad time must not look newest", "no time from row order", "capture_bad"),
-]
+# Hits of each rule.
+_HITS = {
+    "R01": "raw.changed",
+    "R02": "duplicates",
+    "R03": "raw.missing_id",
+    "R04": "no_rating",
+    "R05": "count_invalid",
+    "R06": "year_bad",
+    "R07": "release_not_day",
+    "R08": "runtime_bad",
+    "R09": "clean",
+    "R10": "rating_sample",
+    "R11": "study_sample",
+    "R12": "rating_sample",
+    "R13": "capture_bad",
+}
 
 
 def audit_counts(normalised: DataFrame, marked: DataFrame, years: tuple[int, int], labels: Labels = ZH) -> DataFrame:
@@ -104,28 +90,37 @@ def audit_counts(normalised: DataFrame, marked: DataFrame, years: tuple[int, int
     return combined.withColumn("duplicates", F.col("raw.rows") - F.col("raw.missing_id") - F.col("clean"))
 
 
-def quality_report(counts: DataFrame) -> DataFrame:
+def quality_report(counts: DataFrame, texts: ReportTexts = ZH_TEXTS, years: tuple[int, int] = STUDY_YEARS) -> DataFrame:
     """Long form: one line per metric with its count and share of the scope."""
-    size = {RAW: F.col("raw.rows"), UNIQUE: F.col("clean")}
+    size = {"raw": F.col("raw.rows"), "unique": F.col("clean")}
+    scopes = {"raw": texts.raw, "unique": texts.unique}
     lines = [
         F.struct(
             F.lit(i).alias("line"),
-            F.lit(name).alias("metric"),
-            F.lit(scope).alias("scope"),
+            F.lit(_of_period(texts.metrics[name][0], years)).alias("metric"),
+            F.lit(scopes[scope]).alias("scope"),
             F.col(column).alias("n"),
             F.try_divide(F.col(column), F.nullif(size[scope], F.lit(0))).alias("share"),
-            F.lit(note).alias("note"),
+            F.lit(texts.metrics[name][1]).alias("note"),
         )
-        for i, (name, scope, column, note) in enumerate(_METRICS, 1)
+        for i, (name, scope, column) in enumerate(_METRICS, 1)
     ]
     return counts.select(F.inline(F.array(*lines)))
 
 
-def rule_table(counts: DataFrame) -> DataFrame:
+def rule_table(counts: DataFrame, texts: ReportTexts = ZH_TEXTS, years: tuple[int, int] = STUDY_YEARS) -> DataFrame:
     """Every cleaning rule with the number of rows it hit."""
-    names = ("rule", "field", "criterion", "action", "hit_kind", "reason", "rejected")
+    names = ("field", "criterion", "action", "hit_kind", "reason", "rejected")
     lines = [
-        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule[:-1], strict=True)], F.col(rule[-1]).alias("hits"))
-        for rule in _RULES
+        F.struct(
+            F.lit(rule).alias("rule"),
+            *[F.lit(_of_period(v, years)).alias(n) for n, v in zip(names, texts.rules[rule], strict=True)],
+            F.col(column).alias("hits"),
+        )
+        for rule, column in _HITS.items()
     ]
     return counts.select(F.inline(F.array(*lines)))
+
+
+def _of_period(text: str, years: tuple[int, int]) -> str:
+    return text.replace("{start}", str(years[0])).replace("{end}", str(years[1]))

@@ -51,6 +51,40 @@ def yearly_category_share(df: DataFrame, years: tuple[int, int] = STUDY_YEARS, l
     )
 
 
+def sliding_category_share(
+    df: DataFrame, years: tuple[int, int] = STUDY_YEARS, reach: int = 1, labels: Labels = ZH
+) -> DataFrame:
+    """(year, category, weight, share) over each year and its neighbours within ``reach``, as far as the period goes.
+
+    The share's base is all rows of these years, whether or not the category occurs in them; a category has a row for every
+    year with an occurrence within reach.
+    """
+
+    def spread(rows: DataFrame) -> DataFrame:
+        near = F.sequence(F.greatest(F.col("year") - reach, F.lit(years[0])), F.least(F.col("year") + reach, F.lit(years[1])))
+        return rows.withColumn("year", F.explode(near))
+
+    period = in_period(df, years)
+    yearly = weighted_categories(period.select("year", "categories"), labels=labels).groupBy("year", "category").agg(F.sum("weight").alias("weight"))
+    weights = spread(yearly).groupBy("year", "category").agg(F.sum("weight").alias("weight"))
+    # one row per year of the period
+    totals = spread(period.groupBy("year").agg(F.count("*").alias("n"))).groupBy("year").agg(F.sum("n").alias("_n"))
+    return weights.join(F.broadcast(totals), "year").select("year", "category", "weight", (F.col("weight") / F.col("_n")).alias("share"))
+
+
+def grouped_category_share(
+    df: DataFrame, years: tuple[int, int] = STUDY_YEARS, size: int = 5, labels: Labels = ZH
+) -> DataFrame:
+    """(span, category, weight, share) per group of ``size`` years; ``span`` is the first year of a group, a multiple of its size."""
+    span = (F.floor(F.col("year") / size) * size).cast("int").alias("span")
+    period = in_period(df, years)
+    rows = weighted_categories(period.select("year", "categories"), labels=labels)
+    weights = rows.groupBy(span, "category").agg(F.sum("weight").alias("weight"))
+    # one row per group of years
+    totals = F.broadcast(period.groupBy(span).agg(F.count("*").alias("_n")))
+    return weights.join(totals, "span").select("span", "category", "weight", (F.col("weight") / F.col("_n")).alias("share"))
+
+
 def yearly_origin_share(df: DataFrame, years: tuple[int, int] = STUDY_YEARS) -> DataFrame:
     period = in_period(df, years).where(F.col("origin").isNotNull())
     counts = period.groupBy("year", "origin").agg(F.count("*").alias("n"))

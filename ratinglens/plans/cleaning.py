@@ -26,6 +26,7 @@ from ratinglens.labels import HOME_PLACE, SPECIAL_PLACES, STUDY_YEARS, ZH, Label
 from ratinglens.operators.audit import audit_counts, quality_report, rule_table
 from ratinglens.operators.ordered import exact_quantiles
 from ratinglens.operators.snapshot import keep_last, latest_snapshot
+from ratinglens.report_texts import ZH_TEXTS, ReportTexts, texts_of
 from ratinglens.session import staged
 
 TEXT_FIELDS = (
@@ -60,14 +61,16 @@ class CleanEntities:
 
     cleaned: DataFrame
     counts: Callable[[], DataFrame]
+    texts: ReportTexts = ZH_TEXTS
+    years: tuple[int, int] = STUDY_YEARS
 
     @property
     def report(self) -> DataFrame:
-        return quality_report(self.counts())
+        return quality_report(self.counts(), self.texts, self.years)
 
     @property
     def rules(self) -> DataFrame:
-        return rule_table(self.counts())
+        return rule_table(self.counts(), self.texts, self.years)
 
 
 def normalise_entities(raw: DataFrame) -> DataFrame:
@@ -213,6 +216,8 @@ def clean_entities(raw: DataFrame, rules: EntityRules = EntityRules(), stage: bo
     return CleanEntities(
         finish_entities(marked, rules.labels),
         lambda: audit_counts(normalise_entities(raw), marked, rules.years, rules.labels),
+        texts_of(rules.labels),
+        rules.years,
     )
 
 

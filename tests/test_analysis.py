@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from ratinglens.contracts import bronze_schema, empty_table
+from ratinglens.contracts import RESULT_HEADERS, bronze_schema, empty_table, export_result
+from ratinglens.operators.categories import grouped_category_share, sliding_category_share
 from ratinglens.operators.stats import star_metrics
 from ratinglens.plans.analysis import analysis_tables
 from ratinglens.plans.cleaning import clean_comments, clean_entities
@@ -48,3 +49,38 @@ def test_absent_inputs_are_empty_tables(spark):
     assert tables["tag_coverage"].count() == 0
     summary = {r.metric: r.value for r in tables["summary"].collect()}
     assert summary["unavailable_ratio"] is None and summary["home_import_cohens_d"] is None
+
+
+def test_result_tables_under_their_published_headers(spark):
+    cleaned = clean_entities(table(spark, *[{"entity_id": str(i), "year": str(2004 + i)} for i in range(1, 4)]))
+    metrics = star_metrics(clean_comments(comments(spark, [{"entity_id": "1"}])))
+    links = spark.createDataFrame([("1", "t")], "entity_id string, tag string")
+    state = spark.createDataFrame([("9", "不可用")], "entity_id string, status string")
+    found = analysis_tables(cleaned.cleaned, metrics, links, links.select("entity_id"), state)
+    found |= {"report": cleaned.report, "rules": cleaned.rules}
+    assert set(found) == set(RESULT_HEADERS)
+    for name, df in found.items():
+        out = export_result(df, name)
+        headers = list(RESULT_HEADERS[name].values())
+        assert out.columns[: len(headers)] == headers and out.count() == df.count()
+        assert name == "category_origin_table" or out.columns == headers
+    summary = {tuple(r)[:2] for r in export_result(found["summary"], "summary").collect()}
+    assert ("数据质量", "阶段二不可用比例") in summary and ("B", "2005-2025电影数") in summary and len(summary) == 17
+    report = {r["指标"]: r for r in export_result(found["report"], "report").collect()}
+    assert report["2005-2025类型趋势样本数"]["数量"] == 3 and report["原始记录数"]["统计口径"] == "原始输入"
+    rules = {r["规则ID"]: r for r in export_result(found["rules"], "rules").collect()}
+    assert rules["R11"]["判定标准"] == "上映年份在2005—2025" and rules["R02"]["命中类型"] == "删除记录" and len(rules) == 13
+
+
+def test_shares_over_neighbouring_years_count_all_their_rows(spark):
+    rows = [(2010, "a"), (2010, "b"), (2011, "b"), (2013, "a"), (2013, "b"), (2013, "b"), (2020, "a")]
+    df = spark.createDataFrame(rows, "year int, categories string")
+    got = {(r.year, r.category): r.share for r in sliding_category_share(df, (2010, 2014), 1).collect()}
+    assert got == pytest.approx(
+        {
+            (2010, "a"): 1 / 3, (2010, "b"): 2 / 3, (2011, "a"): 1 / 3, (2011, "b"): 2 / 3, (2012, "b"): 3 / 4, (2012, "a"): 1 / 4,
+            (2013, "a"): 1 / 3, (2013, "b"): 2 / 3, (2014, "a"): 1 / 3, (2014, "b"): 2 / 3,
+        }
+    )
+    groups = {(r.span, r.category): r.share for r in grouped_category_share(df, (2010, 2020), 5).collect()}
+    assert groups == pytest.approx({(2010, "a"): 2 / 6, (2010, "b"): 4 / 6, (2020, "a"): 1.0})

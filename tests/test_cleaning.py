@@ -9,6 +9,7 @@ import pytest
 from ratinglens.contracts import ContractError, bronze_schema, fields_of
 from ratinglens.labels import ZH
 from ratinglens.operators.stats import star_metrics
+from ratinglens.report_texts import ZH_TEXTS
 from ratinglens.plans.cleaning import DERIVED_FIELDS, EntityRules, clean_comments, clean_entities
 
 BASE = dict(
@@ -31,7 +32,8 @@ def clean(spark, *changes, rules=EntityRules()):
 
 
 def metric(result, name):
-    return {r["metric"]: r["n"] for r in result.report.collect()}[name]
+    published = ZH_TEXTS.metrics[name][0].replace("{start}", "2005").replace("{end}", "2025")
+    return {r["metric"]: r["n"] for r in result.report.collect()}[published]
 
 
 def hits(result, rule):

@@ -28,6 +28,7 @@ from ratinglens.plans.cleaning import (
     mark_entities,
     normalise_entities,
 )
+from ratinglens.report_texts import EN_TEXTS
 from ratinglens.session import durable_path, staged
 from ratinglens.sources import landed, payloads, tables, versions
 from workload.standins import (
@@ -586,7 +587,7 @@ QUALITY_FLAGS = with_ctes(
 
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
     report = clean_entities(entities_raw(spark, d), RULES).report
-    return report.select("line", "metric", "scope", "n", F.round("share", 6).alias("share"))
+    return report.withColumn("share", F.round("share", 6))
 
 
 _UNIQUE = {
@@ -615,9 +616,16 @@ _RAW = {
     19: ("directors_missing", "count(*) FILTER (directors IS NULL)"),
     20: ("actors_missing", "count(*) FILTER (actors IS NULL)"),
 }
+def _texts(rows: dict) -> str:
+    """A table of text constants: the key and its texts."""
+    quoted = [", ".join("'" + t.replace("'", "''") + "'" for t in (key, *texts)) for key, texts in rows.items()]
+    return "(VALUES " + ", ".join(f"({line})" for line in quoted) + ")"
+
+
 QUALITY_REPORT = with_ctes(
     "entities_marked",
-    body=" UNION ALL ".join(
+    body="SELECT line, metric, scope, n, share, note FROM ("
+    + " UNION ALL ".join(
         [
             f"SELECT {i} AS line, '{m}' AS metric, 'raw input' AS scope, {e} AS n, round(({e}) / count(*), 6) AS share FROM entities_norm"
             for i, (m, e) in _RAW.items()
@@ -626,17 +634,18 @@ QUALITY_REPORT = with_ctes(
             f"SELECT {i}, '{m}', 'unique cleaned rows', count(*) FILTER ({e}), round(count(*) FILTER ({e}) / count(*), 6) FROM entities_marked"
             for i, (m, e) in _UNIQUE.items()
         ]
-    ),
+    )
+    + f") JOIN {_texts(EN_TEXTS.metrics)} t(name, metric, note) USING (metric)",
 )
 
 
 def rule_hits(spark: SparkSession, d: str) -> DataFrame:
-    return clean_entities(entities_raw(spark, d), RULES).rules.select("rule", "field", "hit_kind", "hits")
+    return clean_entities(entities_raw(spark, d), RULES).rules
 
 
 RULE_HITS = with_ctes(
     "entities_marked",
-    body="""
+    body=f"""SELECT rule, field, criterion, action, hit_kind, reason, rejected, hits FROM (
     SELECT 'R01' AS rule, 'text fields' AS field, 'format' AS hit_kind, count(*) FILTER (changed AND entity_id IS NOT NULL) AS hits FROM entities_norm
     UNION ALL SELECT 'R02', 'entity id', 'rows dropped', count(entity_id) - count(DISTINCT entity_id) FROM entities_norm
     UNION ALL SELECT 'R03', 'entity id', 'rows dropped', count(*) - count(entity_id) FROM entities_norm
@@ -649,7 +658,8 @@ RULE_HITS = with_ctes(
     UNION ALL SELECT 'R10', 'rating sample', 'sample', count(*) FILTER (in_rating_sample) FROM entities_marked
     UNION ALL SELECT 'R11', 'study sample', 'sample', count(*) FILTER (in_study_period) FROM entities_marked
     UNION ALL SELECT 'R12', 'shrunk score', 'derived measure', count(*) FILTER (in_rating_sample) FROM entities_marked
-    UNION ALL SELECT 'R13', 'capture time', 'quality issue', count(*) FILTER (capture_missing OR capture_invalid) FROM entities_marked""",
+    UNION ALL SELECT 'R13', 'capture time', 'quality issue', count(*) FILTER (capture_missing OR capture_invalid) FROM entities_marked
+    ) JOIN {_texts(EN_TEXTS.rules)} t(rule, field, criterion, action, hit_kind, reason, rejected) USING (rule, field, hit_kind)""",
 )
 
 

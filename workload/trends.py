@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratinglens.labels import EN
@@ -232,29 +231,22 @@ CATEGORY_MEDIANS = with_ctes(
 
 def sliding_shares(spark: SparkSession, d: str) -> DataFrame:
     """Share of each category over three neighbouring years."""
-    share = cats.yearly_category_share(stored_entities(spark, d, "entity_id", "year", "categories"), YEARS, EN)
-    near = W.partitionBy("category").orderBy("year").rangeBetween(-1, 1)
-    total = F.sum(F.col("weight") / F.col("share")).over(near)
-    return share.select("year", "category", F.round(F.sum("weight").over(near) / total, 6).alias("share"))
+    share = cats.sliding_category_share(stored_entities(spark, d, "year", "categories"), YEARS, 1, EN)
+    return share.select("year", "category", F.round("share", 6).alias("share"))
 
 
 SLIDING_SHARES = with_ctes(
     "weighted",
-    body=f"""SELECT year, category, round(sum(weight) OVER w / sum(weight / share) OVER w, 6) AS share FROM ({SHARE_SQL})
-             WINDOW w AS (PARTITION BY category ORDER BY year RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING)""",
+    body=f"""SELECT CAST(y AS INTEGER) AS year, category, round(sum(weight) / any_value(n), 6) AS share
+             FROM (SELECT y, count(*) AS n FROM range({YEARS[0]}, {YEARS[1] + 1}) r(y) JOIN period ON abs(period.year - y) <= 1 GROUP BY y)
+             JOIN weighted w ON abs(w.year - y) <= 1 GROUP BY y, category""",
 )
 
 
 def grouped_shares(spark: SparkSession, d: str) -> DataFrame:
     """Share of each category per five-year group."""
-    stored = stored_entities(spark, d)
-    rows = _weights_of(stored).withColumn("span", (F.floor(F.col("year") / 5) * 5).cast("int"))
-    weights = rows.groupBy("span", "category").agg(F.sum("weight").alias("weight"))
-    whole = cats.in_period(stored, YEARS).groupBy((F.floor(F.col("year") / 5) * 5).cast("int").alias("span")).count()
-    # one row per five years of the period
-    return weights.join(F.broadcast(whole), "span").select(
-        "span", "category", F.round(F.col("weight") / F.col("count"), 6).alias("share")
-    )
+    share = cats.grouped_category_share(stored_entities(spark, d, "year", "categories"), YEARS, 5, EN)
+    return share.select("span", "category", F.round("share", 6).alias("share"))
 
 
 GROUPED_SHARES = with_ctes(
