@@ -47,13 +47,13 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     words = F.array_remove(F.split(body, r"[\x20\x09-\x0D]+"), "")
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     stop = [form for w in STOP_WORDS for form in (w, w.capitalize())]
-    # Each 3-word window as one number: its hash above, its start in the low bits. Sorted, equal windows are neighbours.
+    # Each 3-word window as its hash and its start. Sorted, equal windows are neighbours.
     windows = F.when(
         F.size("_words") >= 3,
         F.sort_array(
             F.transform(
                 F.slice(F.arrays_zip("_words", _after("_words", 1), _after("_words", 2)), F.lit(1), F.size("_words") - 2),
-                lambda w, i: F.call_function("shiftleft", F.xxhash64(w), F.col("_bits")) + i,
+                lambda w, i: F.struct(F.xxhash64(w).alias("h"), i.alias("i")),
             )
         ),
     )
@@ -61,10 +61,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         F.zip_with(
             F.col("_windows"),
             _after("_windows", 1),
-            lambda a, b: F.when(a.bitwiseXOR(b).between(F.lit(0), F.col("_mask")), F.array(a, b)),
+            lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])),
         )
     )
-    starts = F.sort_array(F.array_distinct(F.flatten(F.transform(F.filter(pairs, _same_words), _starts))))
+    starts = F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, _same_words))))
     # each window covers three words, less what the next repeated window covers
     covered = F.aggregate(
         F.zip_with("_starts", _after("_starts", 1), lambda i, after: F.least(F.lit(3), F.coalesce(after - i, F.lit(3)))),
@@ -72,8 +72,6 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda total, n: total + n,
     )
     first = docs.withColumns({"_words": words, "_lines": lines, "_body": body})
-    first = first.withColumn("_bits", F.length(F.bin(F.size("_words"))))
-    first = first.withColumn("_mask", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)
     second = first.withColumns(
         {
             "_windows": windows,
@@ -89,7 +87,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     return third.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop(*_SCRATCH)
 
 
-_SCRATCH = ("_words", "_lines", "_body", "_bits", "_mask", "_windows", "_starts")
+_SCRATCH = ("_words", "_lines", "_body", "_windows", "_starts")
 
 
 def _after(array: str, skipped: int) -> Column:
@@ -97,13 +95,9 @@ def _after(array: str, skipped: int) -> Column:
     return F.slice(F.col(array), F.lit(skipped + 1), F.greatest(F.size(array) - skipped, F.lit(0)))
 
 
-def _starts(pair: Column) -> Column:
-    return F.transform(pair, lambda w: w.bitwiseAND(F.col("_mask")).cast("int"))
-
-
 def _same_words(pair: Column) -> Column:
     """Whether two windows of equal hash have the same words."""
-    i, j = (F.get(pair, k).bitwiseAND(F.col("_mask")).cast("int") for k in (F.lit(0), F.lit(1)))
+    i, j = F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
     same = F.lit(True)
     for ahead in range(3):
         same = same & (F.get(F.col("_words"), i + ahead) == F.get(F.col("_words"), j + ahead))
