@@ -29,12 +29,12 @@ from ratinglens.llm.common import add_columns, map_rows
 from ratinglens.llm.sampling import labelled_sample
 
 #: Labelled documents used for fitting: toxic and ordinary ones at most.
-TOXIC_ROWS, ORDINARY_ROWS = 1_500, 2_500
+TOXIC_ROWS, ORDINARY_ROWS = 2_000, 4_000
 TOXIC_BYTES, ORDINARY_BYTES = 8_192, 32_768
 PART = 5
 #: A part marks toxic text if it has this share of the toxic windows (three at least) and so many times the share that it has
 #: of ordinary ones; a word with such a part enters the dictionary if the same contrast holds for it.
-PART_SHARE, CONTRAST = 2e-5, 10
+PART_SHARE, CONTRAST = 5e-5, 10
 #: Windows of ordinary weight added to each document, and the score's steepness.
 STEADY, SLOPE = 10, 40
 #: Counts that a task holds at a time.
