@@ -73,6 +73,7 @@ _ARROW = {
     "binary": pa.binary(),
     "array<long>": pa.list_(pa.int64()),
     "array<int>": pa.list_(pa.int32()),
+    "array<string>": pa.list_(pa.string()),
 }
 
 

@@ -5,6 +5,10 @@ broken by a word outside the vocabulary, or shorter than the shortest test windo
 out of the index, which is exact. The rest is sorted by suffixes, its Burrows-Wheeler transform is kept in a wavelet
 matrix, all windows are searched backwards at once, and their places are found by walking to sampled suffix positions.
 
+The distinct windows and their items are found by a Spark job and cut into blocks of a bounded number of windows. The
+driver and the executors hold one block at a time; with several, each is searched in a pass of its own, and the places
+and items of a text are merged by 128 bits of its hash.
+
 Null texts and texts without words have no hits. Items without words have no window. Items with a null id mark words
 but are not listed; repeated item rows and ids count once. An empty benchmark or document table gives no hits.
 """
@@ -12,18 +16,24 @@ but are not listed; repeated item rows and ids count once. An empty benchmark or
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import batched
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from ratinglens.llm.common import add_columns, plain_words
+from ratinglens.llm.common import add_columns, map_rows, plain_words
+from ratinglens.session import staged
 
 WINDOW = 10
-#: Benchmark items sent to the executors at a time; more items are searched block after block.
-BLOCK_ITEMS = 20_000
+#: Distinct windows that the driver and the executors hold at a time, on average; more are searched pass after pass.
+BLOCK_WINDOWS = 100_000
+#: Texts of a shard where windows are searched pass after pass.
+SHARD_TEXTS = 1_000
 SAMPLED_EVERY = 16
 
 _WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -38,25 +48,31 @@ class Windows:
     items: dict[int, list[list[str]]] = field(default_factory=dict)
 
 
-def windows_of(items: list[tuple], size: int = WINDOW) -> Windows:
+def windows_of(rows: list[tuple[str, list[str]]]) -> Windows:
+    """From (words joined by spaces, items) of each window."""
     out = Windows()
-    found: dict[tuple[int, ...], set[str]] = {}
-    for item_id, text in items:
-        numbers = [out.words.setdefault(w, len(out.words) + 1) for w in plain_words(text)]
-        if not numbers:
-            continue
-        width = min(size, len(numbers))
-        for i in range(len(numbers) - width + 1):
-            names = found.setdefault(tuple(numbers[i : i + width]), set())
-            if item_id is not None:
-                names.add(str(item_id))
-    for width in sorted({len(w) for w in found}):
-        chosen = [w for w in found if len(w) == width]
-        out.by_length[width] = np.array(chosen, dtype=np.int64)
-        out.items[width] = [sorted(found[w]) for w in chosen]
+    found = [([out.words.setdefault(w, len(out.words) + 1) for w in window.encode().split(b" ")], items) for window, items in sorted(rows)]
+    for width in sorted({len(numbers) for numbers, _ in found}):
+        chosen = [(numbers, items) for numbers, items in found if len(numbers) == width]
+        out.by_length[width] = np.array([numbers for numbers, _ in chosen], dtype=np.int64)
+        out.items[width] = [items for _, items in chosen]
     return out
 
 
+def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
+    """(window, items): each distinct window with the sorted ids of its items, written to the shared folder."""
+
+    def rows(source: Iterable[tuple]) -> Iterable[tuple]:
+        for item, body in source:
+            words = plain_words(body)
+            width = min(size, len(words))
+            for window in {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)} if words else ():
+                yield window.decode("utf-8", "replace"), item
+
+    found = map_rows(benchmark.select(F.col(item_id).cast("string"), F.col(text)), "window string, item string", rows)
+    return staged(found.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")), "benchmark-windows")
+
+
 class WaveletMatrix:
     """Rank of a symbol before a place, in as many steps as a symbol has bits."""
 
@@ -139,22 +155,18 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         width *= 2
 
 
-def search_shard(texts: list, blocks: Iterator[Windows]) -> list[tuple[int, np.ndarray, list[str]]]:
+def search_shard(texts: list, block: Windows) -> list[tuple[int, np.ndarray, list[str]]]:
     """Per text: its number of words, the places of its hit words, and the items found."""
     lengths = np.array([len(plain_words(t)) for t in texts], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum(lengths)))
     cover = np.zeros(starts[-1] + 1, dtype=np.int64)
     items: list[set[str]] = [set() for _ in texts]
-    for block in blocks:
-        if not block.by_length:
-            continue
-        numbers = np.zeros(starts[-1], dtype=np.int32)
-        get = block.words.get
-        for k, t in enumerate(texts):
-            numbers[starts[k] : starts[k + 1]] = [get(w, 0) for w in plain_words(t)]
-        text, at = stretches(numbers, starts, min(block.by_length))
-        if not len(text):
-            continue
+    numbers = np.zeros(starts[-1], dtype=np.int32)
+    get = block.words.get
+    for k, t in enumerate(texts):
+        numbers[starts[k] : starts[k + 1]] = [get(w, 0) for w in plain_words(t)]
+    text, at = stretches(numbers, starts, min(block.by_length, default=1))
+    if len(text):
         index = FmIndex(text, len(block.words))
         for width, patterns in block.by_length.items():
             pattern, place = index.search(patterns)
@@ -191,19 +203,43 @@ def stretches(numbers: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.n
     return text, at
 
 
-def _blocks(benchmark: DataFrame, size: int) -> list[Broadcast]:
-    """The benchmark's windows as broadcasts of a bounded number of items each."""
-    spark = benchmark.sparkSession
-    out: list[Broadcast] = []
-    held: list[tuple] = []
-    for row in benchmark.toLocalIterator():
-        held.append((row[0], row[1]))
-        if len(held) == BLOCK_ITEMS:
-            out.append(spark.sparkContext.broadcast(windows_of(held, size)))
-            held = []
-    if held:
-        out.append(spark.sparkContext.broadcast(windows_of(held, size)))
-    return out
+def _blocks(benchmark: DataFrame, item_id: str, text: str, size: int) -> Iterator[tuple[int, Broadcast]]:
+    """(number of blocks, one of them), one after the other; the driver holds one block of windows at a time."""
+    table = benchmark_windows(benchmark, item_id, text, size)
+    n = max(1, -(-table.count() // BLOCK_WINDOWS))
+    for k in range(n):
+        rows = table.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k).collect()
+        yield n, table.sparkSession.sparkContext.broadcast(windows_of([(r["window"], r["items"]) for r in rows]))
+
+
+def _keys(text: str) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(F.col(text)).alias("_a"), F.xxhash64(F.lit(1), F.col(text)).alias("_b")]
+
+
+def _hits(docs: DataFrame, text: str, blocks: Iterator[tuple[int, Broadcast]], first: Broadcast) -> DataFrame:
+    """(_a, _b, hit, items): places of the hit words and the items found, for each distinct text with hits in any block."""
+    parts = []
+    for block in _chained(first, blocks):
+
+        def rows(source: Iterable[tuple], block: Broadcast = block) -> Iterable[tuple]:
+            for batch in batched(source, SHARD_TEXTS):
+                for (a, b, _), (_, hit, items) in zip(batch, search_shard([r[2] for r in batch], block.value), strict=True):
+                    if len(hit):
+                        yield a, b, hit.tolist(), items
+
+        narrow = docs.where(F.col(text).isNotNull()).select(*_keys(text), F.col(text))
+        parts.append(staged(map_rows(narrow, "_a long, _b long, hit array<int>, items array<string>", rows), "leaks"))
+        block.unpersist()
+    # copies of a text have equal lists, so a text has at most one of each block
+    merged = reduce(DataFrame.unionByName, parts).groupBy("_a", "_b")
+    return merged.agg(*(F.sort_array(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("hit", "items")))
+
+
+def _chained(first: Broadcast, others: Iterator[tuple[int, Broadcast]]) -> Iterator[Broadcast]:
+    yield first
+    for _, block in others:
+        yield block
 
 
 def find_leaks(
@@ -219,13 +255,25 @@ def find_leaks(
 
     A window is `window` consecutive words of an item, or all words of a shorter item.
     """
-    blocks = _blocks(benchmark.select(item_id, item_text), window)
+    blocks = _blocks(benchmark, item_id, item_text, window)
+    n, first = next(blocks)
+    if n == 1:
 
-    def values(texts: list) -> list[tuple]:
-        found = search_shard(texts, (b.value for b in blocks))
-        return [(n, len(hit), len(items), ",".join(items)) for n, hit, items in found]
+        def values(texts: list) -> list[tuple]:
+            found = search_shard(texts, first.value)
+            return [(n, len(hit), len(items), ",".join(items)) for n, hit, items in found]
 
-    return add_columns(docs, text, "n_words long, n_hit long, n_items long, item_ids string", values, keep_text)
+        return add_columns(docs, text, "n_words long, n_hit long, n_items long, item_ids string", values, keep_text)
+    counted = add_columns(docs.withColumns({"_a": _keys(text)[0], "_b": _keys(text)[1]}), text, "n_words long", _numbers_of_words, keep_text)
+    joined = counted.drop("n_hit", "n_items", "item_ids").join(_hits(docs, text, blocks, first), ["_a", "_b"], "left")
+    numbers = {"n_hit": F.size("hit"), "n_items": F.size("items")}
+    added = {name: F.coalesce(number, F.lit(0)).cast("long") for name, number in numbers.items()}
+    found = joined.withColumns(added | {"item_ids": F.coalesce(F.array_join("items", ","), F.lit(""))})
+    return found.drop("_a", "_b", "hit", "items")
+
+
+def _numbers_of_words(texts: list) -> list[tuple]:
+    return [(len(plain_words(t)),) for t in texts]
 
 
 def without_words(text: str, hit: np.ndarray) -> str:
@@ -248,14 +296,28 @@ def remove_leaks(
     window: int = WINDOW,
 ) -> DataFrame:
     """The documents with every word that a test window covers cut out of the text; other columns stay."""
-    blocks = _blocks(benchmark.select(item_id, item_text), window)
-
-    def values(texts: list) -> list[tuple]:
-        found = search_shard(texts, (b.value for b in blocks))
-        return [(without_words(t, hit) if len(hit) else t,) for t, (_, hit, _) in zip(texts, found, strict=True)]
-
-    columns = docs.columns
-    return add_columns(docs, text, f"{text} string", values).select(*columns)
+    blocks = _blocks(benchmark, item_id, item_text, window)
+    n, first = next(blocks)
+    if n == 1:
+
+        def values(texts: list) -> list[tuple]:
+            found = search_shard(texts, first.value)
+            return [(without_words(t, hit) if len(hit) else t,) for t, (_, hit, _) in zip(texts, found, strict=True)]
+
+        return add_columns(docs, text, f"{text} string", values).select(*docs.columns)
+
+    def cut(source: Iterable[tuple]) -> Iterable[tuple]:
+        for a, b, body, hit in source:
+            yield a, b, without_words(body, np.array(hit))
+
+    keyed = docs.withColumns({"_a": _keys(text)[0], "_b": _keys(text)[1]})
+    hits = _hits(docs, text, blocks, first).drop("items")
+    texts = keyed.select("_a", "_b", F.col(text).alias("_body")).join(hits, ["_a", "_b"]).groupBy("_a", "_b").agg(
+        F.first("_body").alias("_body"), F.first("hit").alias("hit")
+    )
+    found = map_rows(texts, "_a long, _b long, _cut string", cut)
+    joined = keyed.join(found, ["_a", "_b"], "left").withColumn(text, F.coalesce("_cut", F.col(text)))
+    return joined.select(*docs.columns)
 
 
 def sql(window: int = WINDOW) -> str:
