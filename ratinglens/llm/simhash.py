@@ -19,7 +19,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratinglens.llm.common import add_columns, map_rows, unused, utf8
@@ -153,8 +153,10 @@ def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
     )
 
 
-def _prints(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    narrow = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+def _prints(docs: DataFrame, doc_id: str, text: str, words: int, keyed: bool = False) -> DataFrame:
+    """(id, fp) of each document, with 128 bits of its text's hash if keyed."""
+    keys = [F.xxhash64(F.col(text)).alias("a"), F.xxhash64(F.lit(1), F.col(text)).alias("b")] if keyed else []
+    narrow = docs.select(F.col(doc_id).alias("id"), *keys, F.col(text).alias("text"))
     return staged(fingerprints(narrow, "text", words, keep_text=False), "prints")
 
 
@@ -167,14 +169,24 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
-    """The documents without near-duplicates: of each component the document with the smallest id stays, once."""
-    prints = _prints(docs, doc_id, text, words)
-    own, fp, keeper = (unused(docs, name) for name in ("_own_fp", "_kept_fp", "_kept_id"))
-    kept = groups(prints, radius).where("keeps").select(F.col("fp").alias(fp), F.col("component_id").alias(keeper))
-    marked = fingerprints(docs, text, words, own)
-    out = marked.join(kept, (F.col(own) == F.col(fp)) & F.col(doc_id).eqNullSafe(F.col(keeper)))
-    if not prints.groupBy("id", "fp").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates([fp, keeper])
+    """The documents without near-duplicates: of each component the document with the smallest id stays, once.
+
+    Of rows that share that id and fingerprint the one with the smallest hash of its text stays, and of equal texts the row
+    with the smallest hash of all its columns.
+    """
+    prints = _prints(docs, doc_id, text, words, keyed=True)
+    kept = groups(prints, radius).where("keeps").select("fp", F.col("component_id").alias("keeper"))
+    chosen = prints.join(kept, (prints["fp"] == kept["fp"]) & prints["id"].eqNullSafe(kept["keeper"]))
+    chosen = chosen.groupBy(prints["fp"], "keeper").agg(F.min(F.struct("a", "b")).alias("own"), F.count("*").alias("rows"))
+    own_id, a, b, rows = (unused(docs, name) for name in ("_kept_id", "_kept_a", "_kept_b", "_kept_rows"))
+    chosen = staged(
+        chosen.select(F.col("keeper").alias(own_id), F.col("own.a").alias(a), F.col("own.b").alias(b), F.col("rows").alias(rows)), "kept"
+    )
+    same = (F.xxhash64(F.col(text)) == F.col(a)) & (F.xxhash64(F.lit(1), F.col(text)) == F.col(b))
+    out = docs.join(chosen, F.col(doc_id).eqNullSafe(F.col(own_id)) & same)
+    if not chosen.where(F.col(rows) > 1).isEmpty():
+        rank = F.row_number().over(Window.partitionBy(own_id, a, b).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))))
+        out = out.withColumn(rows, rank).where(F.col(rows) == 1)
     return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
