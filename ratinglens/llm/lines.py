@@ -7,7 +7,7 @@ at least `min_sites` sites is boilerplate and goes everywhere but from its first
 position), so that text that was copied across sites survives once.
 
 Null texts stay null and have no lines; a null site counts as a site of its own; null ids come last in the order of
-places. Rows that agree in id and text share their fate. An empty table gives an empty result. Scratch columns start with
+places. Rows that share an id and open with a shared line at the same place all keep it if that place is the first. Rows that agree in id and text share their fate. An empty table gives an empty result. Scratch columns start with
 an underscore; all columns of the input come back.
 """
 
@@ -20,6 +20,13 @@ MIN_SITES = 5
 #: log2 of the sketch's buckets; its relative error is about 1.04 / sqrt(2^12), far below the margin of 2 used here.
 SKETCH_BITS = 12
 MARGIN = 2.0
+#: Parts into which the rows of a line are dealt where they meet its count.
+SALTS = 16
+
+
+def _salted(lines: DataFrame) -> DataFrame:
+    """Each line under every salt, so that the rows of a frequent line meet it in many tasks."""
+    return lines.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
 
 def _pieces(text: str) -> Column:
@@ -33,7 +40,7 @@ def _row_key(doc_id: str, text: str) -> Column:
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(a, b, first): hashes of the lines on at least min_sites sites, and their first place.
 
-    lines has the two 64-bit hashes a, b of a line, its site, and a sortable `place`.
+    lines has the two 64-bit hashes a, b of a line, its site, a sortable `place`, and the salt that deals a frequent line.
     """
     merged = lines.groupBy("a", "b").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites"), F.min("place").alias("first")
@@ -42,7 +49,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     near = merged.where((F.col("sites") < MARGIN * min_sites) & (F.col("sites") >= min_sites / MARGIN))
     # (line, site) pairs are made distinct before they meet, so a frequent line stays small
     exact = (
-        lines.join(near.select("a", "b"), ["a", "b"], "left_semi")
+        lines.join(_salted(near.select("a", "b")), ["a", "b", "salt"], "left_semi")
         .groupBy("a", "b", "site")
         .agg(F.min("place").alias("first"))
         .groupBy("a", "b")
@@ -73,13 +80,14 @@ def drop_shared_lines(
             F.xxhash64("col").alias("a"),
             F.xxhash64(F.lit(1), F.col("col")).alias("b"),
             "site",
-            F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_key", F.col("pos").alias("pos")).alias("place"),
+            F.struct(F.col("_id").isNull().alias("no_id"), "_id", F.col("pos").alias("pos")).alias("place"),
+            F.pmod(F.xxhash64("_key"), F.lit(SALTS)).alias("salt"),
         )
     )
     shared = boilerplate(lines.drop("_key"), min_sites)
     gone = (
-        lines.select("_key", "a", "b", "place")
-        .join(shared, ["a", "b"])
+        lines.select("_key", "a", "b", "salt", "place")
+        .join(_salted(shared), ["a", "b", "salt"])
         .where("place <> first")
         .groupBy("_key")
         .agg(F.collect_set("place.pos").alias("_gone"))
