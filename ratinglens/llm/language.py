@@ -60,16 +60,19 @@ def _letters() -> np.ndarray:
 def grams(text: str) -> np.ndarray:
     """The number of each hashed gram; what is not a letter counts as one separating sign."""
     counts = np.zeros(SIZE, dtype=np.float64)
-    for at in range(0, len(text), _BLOCK):  # grams across blocks are left out
+    before = np.zeros(0, dtype=np.uint64)  # the last signs of the block before, whose grams reach into this one
+    for at in range(0, len(text), _BLOCK):
         codes = np.frombuffer(text[at : at + _BLOCK].lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        codes = np.where(_letters()[codes], codes, 0).astype(np.uint64)
+        codes = np.concatenate((before, np.where(_letters()[codes], codes, 0).astype(np.uint64)))
         codes = codes[np.concatenate(([True], (codes[1:] > 0) | (codes[:-1] > 0)))]
         mixed, base = np.zeros(len(codes), dtype=np.uint64), 0
         for order, size in enumerate(_BUCKETS):
             mixed = (mixed[: len(codes) - order] + codes[order:]) * np.uint64(0x9E3779B97F4A7C15) if len(codes) > order else mixed[:0]
             mixed = mixed ^ (mixed >> np.uint64(29))
-            counts[base : base + size] += np.bincount((mixed >> np.uint64(13)).astype(np.int64) % size, minlength=size)
+            new = mixed[max(0, len(before) - order) :]  # grams within what was carried over are counted
+            counts[base : base + size] += np.bincount((new >> np.uint64(13)).astype(np.int64) % size, minlength=size)
             mixed, base = mixed[:-1], base + size
+        before = codes[-(len(_BUCKETS) - 1) :]
     return counts
 
 
@@ -106,6 +109,8 @@ class Model:
         self.pairs = [(f, a, b) for f in families for a, b in combinations(languages[f], 2)]
         self.weights = np.zeros((SIZE + 1, len(families) + len(self.pairs)))
         self.slope = 1.0
+        #: The smallest score of a training stretch whose language was found.
+        self.least = 0.0
 
     def _decide(self, margins: np.ndarray) -> tuple[str, float]:
         """(language, smallest margin by which it won)."""
@@ -127,7 +132,11 @@ class Model:
         if not text or not self.families or not _LETTER.search(text):
             return UNDETERMINED, 0.0
         at, values = features(text)
-        language, margin = self._decide(values @ self.weights[at])
+        return self.decide(values @ self.weights[at])
+
+    def decide(self, margins: np.ndarray) -> tuple[str, float]:
+        """(language, score)."""
+        language, margin = self._decide(margins)
         return language, 1.0 if np.isinf(margin) else float(1 / (1 + np.exp(-self.slope * margin)))
 
 
@@ -164,6 +173,8 @@ def fit_features(pairs: list[tuple[tuple[np.ndarray, np.ndarray], str]]) -> Mode
         columns.append(machine([rows[i] for i in own], np.where(language[own] == a, 1, -1)))
     model.weights = np.stack(columns, axis=1)
     model.slope = 4.0
+    found = [model.decide(values @ model.weights[at]) for at, values in rows]
+    model.least = min((score for (name, score), own in zip(found, language, strict=True) if name == own), default=0.0)
     return model
 
 
