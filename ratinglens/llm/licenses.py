@@ -87,12 +87,40 @@ def postfix(tokens: list[str]) -> list[str] | None:
     return out + waiting[::-1]
 
 
+def read_tag(rest: str) -> tuple[set[str], bool] | None:
+    """What the longest well-formed expression at the start of a tag's line tells; other text may follow it.
+
+    Full stops and the like after an identifier belong to the sentence.
+    """
+    tokens = [t.rstrip(".:+-") + "+" * t.endswith("+") if t not in "()" else t for t in _TOKEN.findall(rest.lower())]
+    # an operand that follows an operand ends the expression; operators and open parentheses without an end are dropped
+    depth, operand, best = 0, True, 0
+    for k, token in enumerate(tokens):
+        if token == "(" and operand:
+            depth += 1
+        elif token == ")" and not operand and depth:
+            depth -= 1
+        elif token in _BINDS and not operand:
+            operand = True
+        elif token not in _BINDS and token not in "()" and operand:
+            operand = False
+        else:
+            break
+        if not operand and not depth:
+            best = k + 1
+    return _read(tokens[:best])
+
+
 def read_expression(expression: str) -> tuple[set[str], bool] | None:
     """The licences an expression names and whether it can be met by permissive ones alone; None if malformed.
 
     `A with E` names licence A under exception E and is as permissive as A.
     """
-    order = postfix(_TOKEN.findall(expression.lower()))
+    return _read(_TOKEN.findall(expression.lower()))
+
+
+def _read(tokens: list[str]) -> tuple[set[str], bool] | None:
+    order = postfix(tokens)
     if order is None:
         return None
     stack: list[tuple[set[str], bool]] = []
@@ -143,7 +171,7 @@ def scan(text: str | None) -> tuple:
     permissive = None
     if tagged:
         for expression in _TAG_LINE.findall(text.lower()):
-            if (read := read_expression(expression)) is not None:
+            if (read := read_tag(expression)) is not None:
                 permissive = read[1] if permissive is None else permissive and read[1]
                 sure |= dict.fromkeys(read[0], TAG_SURE)
     doubt = 1.0
