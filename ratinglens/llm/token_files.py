@@ -79,6 +79,13 @@ def fingerprint(keys: np.ndarray) -> np.ndarray:
     return (mix(keys, 0) >> np.uint64(32)).astype(np.uint32)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark resolves it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
@@ -179,7 +186,8 @@ def write_shards(
     Documents are dealt into ranges of (doc_id, hash of the text), so that rows sharing an id can be in several shards.
     """
     spark = docs.sparkSession
-    folder = folder or durable_path(spark, "tokens")
+    # qualified on the driver, so that all executors write to the file system that the session names
+    folder = qualified(spark, folder or durable_path(spark, "tokens"))
     narrow = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.asc_nulls_first("key"), F.xxhash64("text")]
