@@ -290,10 +290,12 @@ def test_classifiers_learn_from_whole_texts(spark):
     assert set(language.train(docs, docs).languages["germanic"]) == {"de"}  # no letter in the first 8,000 characters
 
 
-def test_sample_ranks_in_buckets(spark):
+def test_sample_ranks_few_rows_of_a_frequent_label(spark):
     ids = spark.range(3_000).selectExpr("id doc_id", "cast(id as string) text", "0 toxic")
     sample = sampling.labelled_sample(ids, ids, "toxic", {"1": 5, "0": 7})
-    assert "pmod(xxhash64(" in sample._jdf.queryExecution().optimizedPlan().toString()
+    ranked = sample._jdf.queryExecution().optimizedPlan().toString()
+    bound = -(1 << 63) + int(8 * 7 / 3_000 * (1 << 64))
+    assert f"<= {bound}" in ranked
     want = ids.selectExpr("text", "xxhash64(doc_id) h").orderBy("h").limit(7).collect()
     assert [(r["place"], r["text"]) for r in sample.orderBy("place").collect()] == [(k + 1, r["text"]) for k, r in enumerate(want)]
 
@@ -323,8 +325,16 @@ def test_fm_index_finds_every_place():
 
 def test_benchmark_in_blocks(odd, benchmark, monkeypatch):
     whole = decontaminate.find_leaks(odd, benchmark).toPandas()
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 1)
-    assert decontaminate.find_leaks(odd, benchmark).toPandas()[["n_hit", "item_ids"]].equals(whole[["n_hit", "item_ids"]])
+    columns, order = ["doc_id", "n_words", "n_hit", "n_items", "item_ids"], ["doc_id", "n_words"]
+    cut = decontaminate.remove_leaks(odd, benchmark).toPandas().sort_values(["doc_id", "text"], ignore_index=True)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 1)
+    blocks = decontaminate.find_leaks(odd, benchmark)
+    assert blocks.columns == decontaminate.find_leaks(odd, benchmark).columns
+    got = blocks.toPandas()[columns].sort_values(order, ignore_index=True)
+    assert got.equals(whole[columns].sort_values(order, ignore_index=True))
+    again = decontaminate.remove_leaks(odd, benchmark)
+    assert again.columns == odd.columns
+    assert again.toPandas().sort_values(["doc_id", "text"], ignore_index=True).equals(cut)
 
 
 def test_quality(odd, none):
@@ -345,3 +355,53 @@ def test_language(odd, none, spark):
     one = language.fit([("some words here", "en")])
     assert one.predict("other words") == ("en", 1.0)
     assert language.identify(none, model).count() == 0
+
+
+def test_grams_across_blocks(monkeypatch):
+    text = "Über den Wolken, muß die Freiheit wohl 123 grenzenlos sein... " * 9
+    whole = language.grams(text)
+    for block in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(language, "_BLOCK", block)
+        assert np.array_equal(language.grams(text), whole)
+
+
+@pytest.mark.parametrize(
+    ("rest", "names", "permissive"),
+    [
+        ("MIT Copyright 2020 X", {"mit"}, True),
+        ("MIT.", {"mit"}, True),
+        ("Apache-2.0 OR (MIT", {"apache-2.0"}, True),
+        ("(MIT OR GPL-2.0-only) more words", {"mit", "gpl-2.0-only"}, True),
+        ("GPL-2.0+, see below", {"gpl-2.0+"}, False),
+        ("GPL-2.0-only WITH Classpath-exception-2.0 AND", {"gpl-2.0-only"}, False),
+    ],
+)
+def test_license_tags_end_before_other_text(rest, names, permissive):
+    assert licenses.read_tag(rest) == (names, permissive)
+    assert names <= set(licenses.scan(f"x\n# SPDX-License-Identifier: {rest}\ny")[5].split(","))
+
+
+@pytest.mark.parametrize("rest", ["", "(", "OR MIT", "AND"])
+def test_license_tags_without_an_expression(rest):
+    assert licenses.read_tag(rest) is None
+
+
+def test_shared_line_of_rows_with_one_id(spark):
+    """Rows of one id that open with a shared line: that place is the first of all of them."""
+    rows = [(1, "shared\na", "s1"), (1, "shared\nb", "s2"), (2, "shared\nc", "s3"), (3, "x\nshared", "s4"), (4, "shared", "s5")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted((r["doc_id"], r["text"]) for r in lines.drop_shared_lines(table, min_sites=5).collect())
+    assert kept == [(1, "shared\na"), (1, "shared\nb"), (2, "c"), (3, "x"), (4, "")]
+
+
+def test_kept_row_of_equal_ids_is_repeatable(spark):
+    rows = [(1, "one two three four five", f"s{i}") for i in range(5)] + [(1, None, "x"), (1, "", "y"), (2, "one two three four five", "z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = sorted(map(tuple, simhash.keep_one(table).collect()))
+    again = sorted(map(tuple, simhash.keep_one(table.repartition(5, "source")).collect()))
+    assert first == again and len(first) == 2
+
+
+def test_shard_folder_is_qualified(spark, tmp_path):
+    assert token_files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert token_files.qualified(spark, f"file://{tmp_path}").startswith("file:/")
