@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next
 stage's docs. All but the last return the columns of documents.
+
+Null texts go in the first stage. Texts that a later stage cuts down to nothing stay as empty texts: they are
+near-duplicates of each other, so the one with the smallest id stays. Documents with a null id take part in every stage; of a component of
+near-duplicates whose ids are all null one document stays. Repeated rows are exact copies. Without documents the result is
+empty; without benchmark items nothing is cut. Further columns pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -16,10 +21,16 @@ from ratinglens.session import staged
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be determined stay; null texts and texts without letters go."""
+    """Documents whose language is found for sure stay.
+
+    Null texts and texts without letters go, and texts that the machines place with a smaller score than any labelled text, or
+    stretch of one, whose language they found.
+    """
     labels = docs.select("doc_id", "lang").where(crc_remainder("doc_id", 3) != 1)
-    found = language.identify(docs, language.train(docs, labels))
-    return found.where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    model = language.train(docs, labels)
+    found = language.identify(docs, model)
+    sure = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= model.least)
+    return found.where(sure).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
