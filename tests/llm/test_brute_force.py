@@ -231,3 +231,94 @@ def test_pipeline(spark):
     order = ["doc_id", "piece"]
     same = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert whole.sort_values(order)[same].values.tolist() == packed.sort_values(order)[same].values.tolist()
+
+
+def links_of(prints):
+    """The smallest id that each id reaches over fingerprints that differ in at most four bits."""
+    least = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 4 and least[b] < least[a]:
+                    least[a], changed = least[b], True
+    return least
+
+
+def without_shared_lines(docs):
+    """Lines on five sources or more, but for their first place."""
+    sites, first = defaultdict(set), {}
+    for i, (text, source) in sorted(docs.items()):
+        for k, line in enumerate(text.split("\n")):
+            if line := line.strip(" \t\n\x0b\f\r"):
+                sites[line].add(source)
+                first.setdefault(line, (i, k))
+    out = {}
+    for i, (text, _) in docs.items():
+        stripped = [(k, line, line.strip(" \t\n\x0b\f\r")) for k, line in enumerate(text.split("\n"))]
+        out[i] = "\n".join(line for k, line, bare in stripped if not bare or len(sites[bare]) < 5 or first[bare] == (i, k))
+    return out
+
+
+def without_windows(text, windows):
+    """The text without the words that a window covers, and what stands between such words."""
+    found = list(PLAIN.finditer(text.translate(LOWER)))
+    spans, own = [m.span() for m in found], [m.group() for m in found]
+    hit = set()
+    for width in {len(w) for w in windows} - {0}:
+        hit |= {j for k in range(len(own) - width + 1) if tuple(own[k : k + width]) in windows for j in range(k, k + width)}
+    cut = set()
+    for j in hit:
+        cut |= set(range(*spans[j]))
+        if j + 1 in hit:
+            cut |= set(range(spans[j][1], spans[j + 1][0]))
+    return "".join(c for k, c in enumerate(text) if k not in cut)
+
+
+def test_pipeline_equals_a_plain_one(spark):
+    """Given the decisions of the language stage, all other stages in plain Python."""
+    import corpus_pipeline
+
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    stays = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, table, SF_DIR).collect()}
+    frame = pd.read_parquet(f"{SF_DIR}/documents.parquet")
+    docs = {r.doc_id: (r.text, r.source) for r in frame.itertuples() if r.doc_id in stays}
+    texts = without_shared_lines(docs)
+    prints = {}
+    for i, text in texts.items():
+        words = SPACED.findall(text.translate(LOWER))
+        hashes = [xxhash.xxh64_intdigest(" ".join(words[k : k + 4]), 42) for k in range(max(1, len(words) - 3))] if words else []
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    texts = {i: texts[i] for i, least in links_of(prints).items() if i == least}
+    windows = set()
+    for text in pd.read_parquet(f"{SF_DIR}/benchmark.parquet").text:
+        own = PLAIN.findall(text.translate(LOWER))
+        windows |= {tuple(own[k : k + 10]) for k in range(max(1, len(own) - 9))}
+    texts = {i: without_windows(text, windows) for i, text in texts.items()}
+    want = {
+        (i, k, at, len(ids[at : at + 4096]), crc(ids[at : at + 4096]))
+        for i, ids in encoded(texts, "word_bpe_49k.json", 1).items()
+        for k, at in enumerate(range(0, len(ids), 4096))
+    }
+    got = QUERIES["pipeline"](spark, SF_DIR).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert len(texts) < len(docs)
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, extra string"
+    words = " ".join(f"word{k}" for k in range(60))
+    rows = [
+        (1, f"the first text {words}", "en"), (1, f"the first text {words}", "en"), (None, "ein anderer Text ohne Nummer", "de"),
+        (None, "ein anderer Text ohne Nummer", None), (2, None, "en"), (3, "", "en"), (4, "... 12", "en"), (5, "le dernier texte de la table", "fr"),
+    ]
+    for name, some in (("some", rows), ("none", [])):
+        table = spark.createDataFrame([(i, t, lang, "s", None, "x") for i, t, lang in some], schema)
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert sorted((r["doc_id"] or 0) for r in got) == [0, 1, 5]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
