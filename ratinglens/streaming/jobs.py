@@ -347,28 +347,34 @@ def read_outcomes(stored: DataFrame) -> DataFrame:
     )
 
 
+def burst_pieces(events: DataFrame, gap: str = "6 hours", key: str = "entity_id", time: str = "ts") -> DataFrame:
+    """(key, burst_start, burst_end, failures) per time slice as long as the gap: failures of one slice are of one burst.
+
+    A plain aggregation, so the failures of a hot entity are combined before the shuffle.
+    """
+    failed = events.where(~F.col("ok")).groupBy(key, F.window(time, gap).alias("_slice"))
+    return failed.agg(
+        F.min(time).alias("burst_start"), (F.max(time) + F.expr(f"INTERVAL {gap}")).alias("burst_end"), F.count("*").alias("failures")
+    ).drop("_slice")
+
+
 def failure_bursts(events: DataFrame, gap: str = "6 hours", key: str = "entity_id", time: str = "ts") -> DataFrame:
     """Runs of failures of one entity with no pause longer than the gap."""
-    return (
-        events.where(~F.col("ok"))
-        .groupBy(key, F.session_window(time, gap).alias("w"))
-        .agg(F.count("*").alias("failures"))
-        .select(key, F.col("w.start").alias("burst_start"), F.col("w.end").alias("burst_end"), "failures")
-    )
+    return read_bursts(burst_pieces(events, gap, key, time), key)
 
 
 def track_bursts(
     stream: DataFrame, path: str, checkpoint: str, gap: str = "6 hours", key: str = "entity_id", time: str = "ts"
 ) -> StreamingQuery:
-    """Store the bursts within each batch; ``read_bursts`` joins those that touch."""
+    """Store the pieces of bursts within each batch; ``read_bursts`` joins those that touch."""
     store = by_batch(path)
-    return each_batch(stream, lambda batch, i: store(failure_bursts(batch, gap, key, time), i), checkpoint)
+    return each_batch(stream, lambda batch, i: store(burst_pieces(batch, gap, key, time), i), checkpoint)
 
 
 def read_bursts(stored: DataFrame, key: str = "entity_id") -> DataFrame:
     """Bursts so far, with those still open: stored pieces that touch are one burst.
 
-    A window sees the pieces of an entity, which are at most one per batch and pause.
+    A window sees the pieces of an entity, at most one per batch and slice, however many failures they hold.
     """
     ordered = Window.partitionBy(key).orderBy("burst_start", "burst_end")
     reached = F.max("burst_end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))

@@ -413,3 +413,21 @@ def test_numbers_and_ratings_in_bodies(spark):
     assert {r.entity_id for r in payloads.failed_responses(df).collect()} == {"3", "5", "6"}
     row = payloads.detail_rows(df).where("title = 'i'").collect()[0]
     assert (row.year, row.categories, row.directors) == ("", "", "n")
+
+
+def test_bursts_are_the_runs_without_a_longer_pause(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot", "hot", "a"]), rng.randrange(400_000), rng.random() < 0.2) for _ in range(400)] + [("b", 0, False), ("b", 7200, False)]
+    df = spark.createDataFrame(rows, "entity_id string, s long, ok boolean").withColumn("ts", F.timestamp_seconds(F.col("s") + 1_700_000_000))
+    got = {(r.entity_id, r.burst_start.timestamp(), r.failures) for r in jobs.failure_bursts(df, "2 hours").collect()}
+    want = set()
+    for entity in ("hot", "a", "b"):
+        run = []
+        for s in [*sorted(s for e, s, ok in rows if e == entity and not ok), 10**9]:
+            if run and s - run[-1] > 7200:
+                want.add((entity, run[0] + 1_700_000_000.0, len(run)))
+                run = []
+            run.append(s)
+    assert got == want
+    pieces = jobs.burst_pieces(df, "2 hours").where("entity_id = 'hot'").count()
+    assert pieces <= 400_000 / 7200 + 1

@@ -18,6 +18,7 @@ from ratinglens.functions.numbers import (
 from ratinglens.functions.rating import origin_class
 from ratinglens.functions.text import clean_text, entity_id_of_url, join_parts, main_part, multivalue
 from ratinglens.labels import EN
+from ratinglens.operators.coverage import tag_completeness
 from ratinglens.operators.crawl_log import page_outcomes
 from ratinglens.operators.membership import held_counts, status_after_run
 from ratinglens.operators.snapshot import source_order
@@ -86,6 +87,25 @@ OPTIONAL_SOURCE = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*)
                      FROM orders GROUP BY 1"""
 
 
+def optional_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Links per tag from a stored optional table and from an absent one, read the same way."""
+    path = durable_path(spark, "tag-links")
+    orders = table(spark, d, "orders")
+    links = orders.select(
+        F.col("o_orderkey").cast("string").alias("entity_id"), F.col("o_orderpriority").alias("tag"), F.lit("1").alias("rank"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("captured_at"),
+    )
+    tables.overwrite_table(links.where("entity_id % 2 = 0"), path, contracts.fields_of("tag_links"))
+    both = [tables.read_optional(spark, p, "tag_links").withColumn("stored", F.lit(p == path)) for p in (path, f"{path}-absent")]
+    tags = orders.select(F.col("o_orderpriority").alias("tag")).distinct()
+    counted = both[0].unionByName(both[1]).groupBy("tag").agg(F.count_if("stored").alias("stored"), F.count_if(~F.col("stored")).alias("absent"))
+    return tags.join(counted, "tag", "left").select("tag", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("stored", "absent")))
+
+
+OPTIONAL_TABLES = """
+SELECT o_orderpriority AS tag, count(*) FILTER (o_orderkey % 2 = 0) AS stored, CAST(0 AS BIGINT) AS absent FROM orders GROUP BY 1"""
+
+
 def contract_append(spark: SparkSession, d: str) -> DataFrame:
     """Overwrite with one status class, append the others after the column test, read back."""
     path = durable_path(spark, "candidates")
@@ -278,7 +298,7 @@ FROM (SELECT conv_id, {_PAGE_LABEL} AS sample_label, {_PAGE_LIMIT} AS quota, con
              CASE WHEN conv_id % 11 = 0 THEN 0 ELSE least(count(*), {_PAGE_LIMIT}) END AS held FROM conversations GROUP BY conv_id)"""
 
 
-def search_payloads(spark: SparkSession, d: str) -> DataFrame:
+def search_responses(spark: SparkSession, d: str) -> DataFrame:
     """Orders as search results: one response per priority and block of a hundred keys."""
     orders = table(spark, d, "orders")
     k = F.col("o_orderkey")
@@ -293,7 +313,7 @@ def search_payloads(spark: SparkSession, d: str) -> DataFrame:
     pages = orders.groupBy(F.col("o_orderpriority").alias("tag"), F.floor(k / 100).alias("block")).agg(
         F.array_sort(F.collect_list(item)).alias("subjects")
     )
-    responses = pages.select(
+    return pages.select(
         "tag",
         F.substring("tag", 1, 1).cast("int").alias("tag_order"),
         (F.col("block") * 100).cast("int").alias("page_start"),
@@ -301,7 +321,10 @@ def search_payloads(spark: SparkSession, d: str) -> DataFrame:
         F.to_json(F.struct("subjects")).alias("body"),
         F.lit("2024-01-02T00:00:00Z").alias("captured_at"),
     )
-    return payloads.search_hits(responses).drop("captured_at")
+
+
+def search_payloads(spark: SparkSession, d: str) -> DataFrame:
+    return payloads.search_hits(search_responses(spark, d)).drop("captured_at")
 
 
 SEARCH_PAYLOADS = """
@@ -313,6 +336,39 @@ FROM (SELECT o_orderkey AS k, o_orderpriority AS tag,
 WHERE k % 7 <> 0"""
 
 
+def search_tag_states(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies of search pages to facts to the completeness of a tag: blocks of 700 keys are tags, every ninth page failed once."""
+    rows = search_responses(spark, d)
+    start = F.col("page_start")
+    pages = rows.select(
+        F.concat("tag", F.lit(" "), F.floor(start / 700).cast("string")).alias("tag"),
+        (start % 700 / 100).cast("int").alias("page"),
+        F.when(start / 100 % 9 == 0, F.array(F.lit(503))).when(start / 100 % 5 == 0, F.array(F.lit(503), F.lit(200))).otherwise(F.array(F.lit(200))).alias("tries"),
+        "body",
+    ).select("tag", (F.col("page") * 5).alias("page_start"), F.lit(5).alias("asked"), F.explode("tries").alias("status"), "body")
+    return tag_completeness(payloads.search_page_facts(pages), listed_at_most=30)
+
+
+SEARCH_TAG_STATES = """
+WITH pages AS (
+    SELECT o_orderpriority || ' ' || (b // 7) AS tag, CAST(b % 7 * 5 AS INTEGER) AS s, n, b % 9 = 0 AS lost
+    FROM (SELECT o_orderpriority, o_orderkey // 100 AS b, CAST(count(*) AS INTEGER) AS n FROM orders GROUP BY 1, 2)
+), good AS (SELECT * FROM pages WHERE NOT lost
+), listed AS (
+    SELECT tag, min(pos) AS covered FROM (SELECT DISTINCT tag FROM pages) tags, range(0, 1000) r(pos)
+    WHERE NOT EXISTS (SELECT 1 FROM good g WHERE g.tag = tags.tag AND g.s <= pos AND pos < g.s + g.n) GROUP BY 1
+), gaps AS (
+    SELECT tag, count(*) FILTER (s > reach) AS holes FROM
+      (SELECT tag, s, coalesce(max(s + n) OVER (PARTITION BY tag ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM good) GROUP BY 1
+), facts AS (
+    SELECT tag, any_value(covered) AS covered, min(CASE WHEN NOT lost AND n < 5 AND s <= covered THEN s + n END) AS ends,
+           count(*) FILTER (lost) AS failed_pages, min(CASE WHEN lost THEN s END) AS first_failed FROM pages JOIN listed USING (tag) GROUP BY 1
+)
+SELECT tag, CAST(covered AS INTEGER) AS covered, ends, coalesce(holes, 0) AS holes, failed_pages,
+       covered >= least(coalesce(ends, 30), 30) AND coalesce(first_failed >= coalesce(ends, 30), true) AS complete
+FROM facts LEFT JOIN gaps USING (tag)"""
+
+
 def url_entity_ids(spark: SparkSession, d: str) -> DataFrame:
     """Page URLs, half of them rewritten to entity addresses."""
     pages = table(spark, d, "pages")
@@ -677,6 +733,7 @@ CLEANED_COMMENTS = with_ctes(
 QUERIES = {
     "csv_scan": (csv_scan, CSV_SCAN),
     "optional_source": (optional_source, OPTIONAL_SOURCE),
+    "optional_tables": (optional_tables, OPTIONAL_TABLES),
     "contract_append": (contract_append, CONTRACT_APPEND),
     "detail_payloads": (detail_payloads, DETAIL_PAYLOADS),
     "payload_triage": (payload_triage, PAYLOAD_TRIAGE),
@@ -685,6 +742,7 @@ QUERIES = {
     "comment_payloads": (comment_payloads, COMMENT_PAYLOADS),
     "comment_page_states": (comment_page_states, COMMENT_PAGE_STATES),
     "search_payloads": (search_payloads, SEARCH_PAYLOADS),
+    "search_tag_states": (search_tag_states, SEARCH_TAG_STATES),
     "url_entity_ids": (url_entity_ids, URL_ENTITY_IDS),
     "dates_in_text": (dates_in_text, DATES_IN_TEXT),
     "clean_texts": (clean_texts, CLEAN_TEXTS),
