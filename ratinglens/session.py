@@ -85,6 +85,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def track(path: str) -> str:
+    """Remember a folder below the shared one that ``drop_staged`` has to delete too."""
+    _staged_paths.append(path)
+    return path
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete every staged copy this driver has made; frames that read them are no longer usable."""
     context = spark.sparkContext
