@@ -133,6 +133,7 @@ QUERIES: dict[str, Query] = {
     )
 }
 SQL: dict[str, str] = {
+    "op5_substring_dedup": substrings.sql(window=35),
     "op6_line_dedup": lines.SQL,
     "op8_decontamination": decontaminate.sql(window=10),
     "op9_quality_rules": quality.sql(),

@@ -242,3 +242,21 @@ def remove_repeats(
     done = map_rows(removals(docs, text, window), "key long, n_words long, n_removed long, kept string", rows, batch=512)
     ids = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("key"))
     return ids.join(done, "key").select(F.col("doc_id").alias(doc_id), "n_words", "n_removed", "kept")
+
+
+def sql(window: int = 35) -> str:
+    """The removals as SQL over `documents`, from all windows of all texts."""
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), g AS (
+  SELECT r, k, array_to_string(words[k : k + {window - 1}], ' ') AS gram FROM d, unnest(range(1, len(words) - {window - 2})) AS t(k)
+), gone AS (
+  SELECT DISTINCT r, j FROM (SELECT r, k FROM g QUALIFY count(*) OVER (PARTITION BY gram) > 1), unnest(range(k, k + {window})) AS t(j)
+), w AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM d
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS body FROM w ANTI JOIN gone USING (r, j) GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ratinglens.llm.common import map_rows
 from ratinglens.llm.tokens import encoder
-from ratinglens.session import durable_path, staged
+from ratinglens.session import durable_path, staged, track
 
 MAGIC = b"TOKSHARD"
 
@@ -187,7 +187,7 @@ def write_shards(
     """
     spark = docs.sparkSession
     # qualified on the driver, so that all executors write to the file system that the session names
-    folder = qualified(spark, folder or durable_path(spark, "tokens"))
+    folder = qualified(spark, folder or track(durable_path(spark, "tokens")))
     narrow = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.asc_nulls_first("key"), F.xxhash64("text")]
