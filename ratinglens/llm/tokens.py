@@ -14,6 +14,8 @@ import numpy as np
 REMEMBERED = 220_000
 #: Characters of texts that are encoded together.
 CHARS_AT_ONCE = 1 << 20
+#: New pieces that are encoded as one text.
+JOINED = 512
 
 # A space before a visible character always starts a piece of its own for a byte-level vocabulary.
 _ODD_SPACE = re.compile(r" (?![!-~]|\w)")
@@ -43,6 +45,11 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in (" a", "a", "A")]
         self.keeps_space, self.keeps_case = ids[0] != ids[1], ids[1] != ids[2]
+        # byte-level vocabularies write each byte as one character
+        vocabulary, suffix = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix or ""
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.id_bytes[number] = len(token.removesuffix(suffix))
         self.known: dict[str | bytes, bytes] = {}
         self.older: dict[str | bytes, bytes] = {}
 
@@ -105,14 +112,37 @@ class PieceEncoder:
             else:
                 ids[p] = None
         missing = [p for p, done in ids.items() if done is None]
-        bodies = [" " + p if isinstance(p, str) else p.decode("utf-8", "surrogatepass") for p in missing]
-        for p, found in zip(missing, self.tokenizer.encode_batch_fast(bodies, add_special_tokens=False), strict=True):
-            ids[p] = np.array(found.ids, dtype="<u4").tobytes()
+        # pieces without a space before them cannot stand next to each other where spaces are kept
+        alone = [p for p in missing if self.keeps_space and isinstance(p, bytes)]
+        joined = [p for p in missing if not (self.keeps_space and isinstance(p, bytes))]
+        ids.update(zip(alone, self._one_by_one([p.decode("utf-8", "surrogatepass") for p in alone]), strict=True))
+        for at in range(0, len(joined), JOINED):
+            part = joined[at : at + JOINED]
+            ids.update(zip(part, self._together([" " + p if isinstance(p, str) else p.decode("utf-8", "surrogatepass") for p in part]), strict=True))
         for p, word, sign in signed:
             ids[p] = ids[word] + ids[sign]
         return ids
 
 
+    def _one_by_one(self, bodies: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(bodies, add_special_tokens=False)]
+
+    def _together(self, bodies: list[str]) -> list[bytes]:
+        """Encodes pieces as one text and cuts the ids where pieces end, by the bytes that each id stands for.
+
+        If an end of a piece is not the end of an id, because a piece changes its length, the pieces are encoded one by one.
+        """
+        whole = self.tokenizer.encode_batch_fast(["".join(bodies) if self.keeps_space else " ".join(bodies)], add_special_tokens=False)
+        ids = np.array(whole[0].ids, dtype="<u4")
+        reached = np.cumsum(self.id_bytes[ids])
+        ends = np.cumsum([len(b) if b.isascii() else len(b.encode("utf-8", "surrogatepass")) for b in bodies])
+        at = np.searchsorted(reached, ends)
+        if not len(ids) or reached[-1] != ends[-1] or (reached[at] != ends).any():
+            return self._one_by_one(bodies)
+        packed, cuts = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each file and Python worker."""

@@ -405,3 +405,16 @@ def test_kept_row_of_equal_ids_is_repeatable(spark):
 def test_shard_folder_is_qualified(spark, tmp_path):
     assert token_files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
     assert token_files.qualified(spark, f"file://{tmp_path}").startswith("file:/")
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_pieces_encoded_together_equal_pieces_alone(path):
+    coder = PieceEncoder(path)
+    rng = np.random.default_rng(9)
+    signs = list("abcxyz019,.'!é中ßİΣ😀") + ["́"]
+    lead = " " if coder.keeps_space else ""
+    for size in (1, 2, 7, 300):
+        bodies = [lead + rng.choice(list("abé7")) + "".join(rng.choice(signs, int(rng.integers(0, 9)))) for _ in range(size)]
+        assert coder._together(bodies) == coder._one_by_one(bodies)
+    # a piece that becomes longer is noticed, and all are encoded alone
+    assert coder._together([f"{lead}ab", f"{lead}İx", f"{lead}cd"]) == coder._one_by_one([f"{lead}ab", f"{lead}İx", f"{lead}cd"])
