@@ -1,22 +1,22 @@
 """Incremental collection as streams.
 
 Every job resumes from its checkpoint and writes so that a replayed batch changes nothing. ``fold_failures``,
-``first_rows`` and ``track_progress`` keep no streaming state: a batch is merged into a bucketed table and reads and
-rewrites the buckets it touches. ``collect_sample`` keeps a quota state per (entity, label) that forgets its comment ids
-when the quota is met. ``first_seen`` keeps one state entry per distinct key unless a watermark delay bounds it.
+``first_rows``, ``track_progress`` and ``collect_sample`` keep no streaming state: a batch is merged into a bucketed table
+and reads and rewrites the buckets it touches. ``first_seen`` keeps one state entry per distinct key unless a watermark
+delay bounds it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ratinglens.labels import ZH, Labels
 from ratinglens.operators.crawl_log import FACTS, failure_state, merge_facts, round_facts, summarise
@@ -169,32 +169,87 @@ def collect_sample(
     progress_path: str,
     checkpoint: str,
     labels: Labels = ZH,
+    buckets: int = versions.BUCKETS,
 ) -> StreamingQuery:
     """Store comments up to the limit of their label, and the progress of every sample a batch touched.
 
     Rows carry ``entity_id, sample_label, comment_id, position`` and the outcome of their page in ``failed`` and
     ``exhausted``; a page without comments is a row with a NULL comment id. A comment counts once in a sample, at its first
-    position; labels outside the plan are ignored. The state of a sample is the number of comments held and, until the
-    quota is met, their ids; no batch reads what earlier ones stored. A task passes on twice the quota of a sample at most,
-    so a hot sample stays small. Read with ``read_sample`` and ``read_sample_progress``.
+    position; labels outside the plan are ignored. The bucketed table ``<path>-held`` keeps the number of comments held by a
+    sample and, until the quota is met, their ids; a batch reads the buckets of its own samples, and none reads the comments
+    that earlier ones stored. A task passes on twice the quota of a sample at most, so a hot sample stays small.
+    Read with ``read_sample`` and ``read_sample_progress``.
     """
-    keys = ["entity_id", "sample_label"]
     plan = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
     rows = stream.withColumn("target", plan[F.col("sample_label")].cast("bigint")).where("target IS NOT NULL")
     thinned = rows.mapInArrow(_enough(2 * max(limits.values())), rows.schema)
-    columns = stream.columns
-    added = [T.StructField("target", T.LongType()), T.StructField("held", T.LongType()), T.StructField("status", T.StringType())]
-    found = thinned.groupBy(*keys).applyInPandasWithState(
-        _quota(stream.schema, labels), T.StructType([*stream.schema.fields, *added]), "held bigint, ids array<string>", "append", GroupStateTimeout.NoTimeout
+    return each_batch(thinned, lambda batch, i: sample_batch(batch, path, progress_path, i, labels, buckets), checkpoint)
+
+
+def sample_batch(
+    rows: DataFrame, path: str, progress_path: str, batch_id: int, labels: Labels = ZH, buckets: int = versions.BUCKETS
+) -> None:
+    """Store what a batch adds to its samples, then their progress, then what they hold.
+
+    What is held is published last: a batch that is replayed before that finds the samples as they were and writes its folders
+    anew, and one that is replayed after it changes nothing.
+    """
+    spark, keys, table = rows.sparkSession, ["entity_id", "sample_label"], f"{path}-held"
+    known = versions.version(spark, table)
+    if known and known.applied.get("collect_sample", -1) >= batch_id:
+        return
+    columns = [c for c in rows.columns if c != "target"]
+    rows = staged(rows, "offered")
+    facts = [F.max("target").alias("target"), *(F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("failed", "exhausted"))]
+    pages = staged(rows.groupBy(*keys).agg(*facts), "sampled-pages")
+    ids_type = T.ArrayType(rows.schema["comment_id"].dataType)
+    held_type = T.StructType([*(rows.schema[k] for k in keys), T.StructField("held", T.LongType()), T.StructField("ids", ids_type)])
+    touched = [r[0] for r in pages.select(versions.bucket_of(keys, known.buckets)).distinct().collect()] if known else []
+    before = versions.read_buckets(spark, table, known, touched, held_type)
+
+    # one shuffle by sample serves both windows; a sample sends a bounded number of rows per Arrow batch
+    offered = rows.where("comment_id IS NOT NULL").repartition(*keys)
+    offered = top_rows(offered, [*keys, "comment_id"], [F.col("position").asc_nulls_last()])
+    room = F.col("target")
+    if known:
+        was = before.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("held").alias("_held"), F.col("ids").alias("_ids"))
+        offered = offered.join(was, _same(keys, offered, was), "left")
+        offered = offered.where(~F.coalesce(F.array_contains("_ids", F.col("comment_id")), F.lit(False)))
+        room = room - F.coalesce("_held", F.lit(0))
+    arrival = Window.partitionBy(*keys).orderBy(F.col("position").asc_nulls_last(), "comment_id")
+    by_batch(path)(offered.withColumn("_rn", F.row_number().over(arrival)).where(F.col("_rn") <= room).select(*columns), batch_id)
+
+    taken = spark.read.schema(rows.select(*columns).schema).parquet(f"{path}/batch_id={batch_id}")
+    parts = [
+        pages,
+        before.select(*keys, "held", "ids"),
+        taken.select(*keys, F.lit(1).cast("bigint").alias("held"), F.array("comment_id").alias("ids")),
+    ]
+    summed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in ("target", "failed", "exhausted")),
+        F.coalesce(F.sum("held"), F.lit(0)).alias("held"),
+        F.flatten(F.collect_list("ids")).alias("ids"),
+    )
+    now = staged(summed.where("target IS NOT NULL"), "samples")
+    status = (
+        F.when(F.col("failed"), labels.failed)
+        .when(F.col("exhausted") & (F.col("held") < F.col("target")), labels.exhausted)
+        .otherwise(labels.done)
     )
+    by_batch(progress_path)(now.select(*keys, "target", "held", status.alias("status")), batch_id)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # both tables from one run of the state
-        by_batch(path)(batch.where("status IS NULL").select(*columns), batch_id)
-        by_batch(progress_path)(batch.where("status IS NOT NULL").select(*keys, "target", "held", "status"), batch_id)
-        batch.unpersist()
+    ids = F.when(F.col("held") < F.col("target"), F.col("ids")).otherwise(F.array().cast(ids_type))
+
+    def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
+        changed = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
+        return stored.join(changed, _same(keys, stored, changed), "left_anti").unionByName(new)
+
+    versions.merge(now.select(*keys, "held", ids.alias("ids")), table, keys, combine, buckets, ("collect_sample", batch_id))
 
-    return each_batch(found, sink, checkpoint)
+
+def _same(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
+    """Rows of one key, which may be NULL; the right side has its names behind an underscore."""
+    return reduce(and_, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
 
 
 def _enough(most: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -216,41 +271,6 @@ def _enough(most: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
-def _quota(schema: T.StructType, labels: Labels) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    columns = schema.names
-    whole = [isinstance(f.dataType, T.IntegralType) for f in schema.fields]
-    at = {name: columns.index(name) for name in ("comment_id", "position", "failed", "exhausted")}
-
-    def plain(row: list) -> tuple:
-        """Values with None for what is missing; groups are small, so plain tuples are quicker than frames."""
-        found = [None if v is pd.NaT or isinstance(v, float) and v != v else v for v in row]
-        return tuple(int(v) if w and v is not None else v for v, w in zip(found, whole, strict=True))
-
-    def take(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held, ids = state.get if state.exists else (0, [])
-        ids, best, target, failed, exhausted = list(ids), {}, 0, False, False
-        for rows in parts:
-            target = int(rows["target"].iloc[0])
-            for row in map(plain, rows[columns].to_numpy(dtype=object).tolist()):
-                failed |= bool(row[at["failed"]])
-                exhausted |= bool(row[at["exhausted"]])
-                comment, position = row[at["comment_id"]], row[at["position"]]
-                if comment is None or comment in ids:
-                    continue
-                order = (position is None, position, comment)
-                if comment not in best or order < best[comment][0]:
-                    best[comment] = (order, row)
-            best = dict(sorted(best.items(), key=lambda found: found[1][0])[: max(0, target - held)])
-        held += len(best)
-        state.update((held, [] if held >= target else [*ids, *best]))
-        status = labels.failed if failed else labels.exhausted if exhausted and held < target else labels.done
-        page = tuple(dict(zip(("entity_id", "sample_label"), key, strict=True)).get(c) for c in columns)
-        found = [(*row, target, held, None) for _, row in best.values()] + [(*page, target, held, status)]
-        yield pd.DataFrame(found, columns=[*columns, "target", "held", "status"], dtype=object)
-
-    return take
-
-
 def read_sample(stored: DataFrame) -> DataFrame:
     return stored.drop("batch_id")
 

@@ -313,6 +313,29 @@ def test_sample_state_over_many_batches_and_a_restart(spark):
     assert got == states
 
 
+def test_samples_need_no_call_per_sample_and_survive_a_replay(spark):
+    schema = "entity_id string, sample_label string, comment_id string, position int, failed boolean, exhausted boolean, target bigint"
+    path, progress, checkpoint = (durable_path(spark, n) for n in ("sample", "sample-progress", "cp"))
+    rows = [("1", "A", f"c{i}", i, False, False, 3) for i in (1, 0)] + [(None, "A", "n", None, None, False, 3)]
+    source = file_stream(spark, spark.createDataFrame([(*r[:6], 0) for r in rows], schema.replace("target bigint", "part int")), 1)
+    jobs.collect_sample(source, {"A": 3}, path, progress, checkpoint, buckets=2).awaitTermination()
+    assert not versions.Folder(spark, checkpoint).names("state")
+
+    def stored():
+        return {(r.entity_id, r.comment_id, r.batch_id) for r in spark.read.parquet(path).collect()}
+
+    first = {("1", "c0", 0), ("1", "c1", 0), (None, "n", 0)}
+    assert stored() == first
+    batch = spark.createDataFrame([("1", "A", f"c{i}", i, False, True, 3) for i in (0, 2, 3)] + [(None, "A", "n", 1, False, True, 3)], schema)
+    for _ in range(2):  # the second time it is in the table already
+        jobs.sample_batch(batch, path, progress, 1)
+        assert stored() == first | {("1", "c2", 1)}
+        found = {(r.entity_id, r.held, r.status) for r in jobs.read_sample_progress(spark.read.parquet(progress)).collect()}
+        assert found == {("1", 3, ZH.done), (None, 1, ZH.exhausted)}
+    held = {r.entity_id: sorted(r.ids) for r in versions.read(spark, f"{path}-held").collect()}
+    assert held == {"1": [], None: ["n"]}
+
+
 def test_a_task_passes_on_few_rows_of_a_hot_sample():
     rows = [("hot", "A", f"h{i}", 1000 - i, i == 500, i == 700) for i in range(1000)]
     batch = pa.RecordBatch.from_pylist([dict(zip(("entity_id", "sample_label", "comment_id", "position", "failed", "exhausted"), r, strict=True)) for r in rows])
