@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratinglens.session import staged
 
@@ -27,10 +28,16 @@ _SKETCH_PER_RANGE, _SKETCH_MOST = 4, 65_535
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, value, n) over rows where none of them is NULL."""
-    present = df.na.drop(subset=[*by, value])
+    # spelled out, so that the joins below find them and infer no filter that would part their shuffle from the sketch's
+    present = df.where(reduce(and_, [_present(df, c) for c in (*by, value)]))
     return present.groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
+def _present(df: DataFrame, name: str) -> Column:
+    there = F.col(name).isNotNull()
+    return there & ~F.isnan(name) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else there
+
+
 def _ranges(df: DataFrame) -> int:
     """The ranges outnumber the shuffle partitions, however many there are."""
     return _RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -43,47 +50,53 @@ def _with_range(counts: DataFrame, value: str, ranges: int) -> DataFrame:
     accuracy = max(8, min(_SKETCH_MOST, _SKETCH_PER_RANGE * ranges))
     # one text constant, as an array of so many literals would weigh on the plan
     fractions = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
-    # the count is carried along so that the sketch reads the very shuffle the
-    # running count reads: Spark then computes it once
-    sketch = counts.agg(
-        F.struct(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(accuracy)).alias("sketch"), F.max("n").alias("most")).alias("s")
-    )
-    cuts = sketch.select(F.kll_sketch_get_quantile_double("s.sketch", fractions).alias("cuts")).scalar()
+    # the cuts hang on the count, so that the sketch reads the very shuffle the running count reads: Spark then computes it
+    # once. Without rows there is no sketch to ask, and one range.
+    sketch = counts.agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(accuracy)).alias("sketch"), F.max("n").alias("most"))
+    cuts = sketch.select(F.when(F.col("most") > 0, F.kll_sketch_get_quantile_double("sketch", fractions)).alias("cuts")).scalar()
     steps = F.array(*(F.lit(1 << i) for i in reversed(range(ranges.bit_length()))))
     at = F.aggregate(
         steps,
         F.lit(0),
         lambda found, step: F.when(F.col(value) > F.try_element_at(F.col("_cuts"), found + step), found + step).otherwise(found),
     )
-    return counts.withColumn("_cuts", cuts).select(*counts.columns, at.alias("_range"))
+    # never NULL, as joins by it would else test that below the aggregation, for every row
+    return counts.withColumn("_cuts", cuts).select(*counts.columns, F.coalesce(at, F.lit(0)).alias("_range"))
 
 
-def cumulative_counts(
-    counts: DataFrame, value: str, by: Sequence[str] = (), ranges: int | None = None
-) -> DataFrame:
-    """(by, value, n) plus ``cum``, the rows up to and including the value, and ``total``."""
-    by = list(by)
-    ranged = _with_range(counts, value, ranges or _ranges(counts))
-    inside = W.partitionBy(*by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = ranged.withColumn("_inside", F.sum("n").over(inside))
-    # one row per range and group from here on, out of the shuffle that the running count reads
-    totals = running.groupBy(*by, "_range").agg(F.max("_inside").alias("_in_range"))
+def _offsets(ranged: DataFrame, by: list[str]) -> DataFrame:
+    """Per group and range the rows in it, the rows ``_before`` it, and the group's ``total``: summed before the shuffle."""
+    totals = ranged.groupBy(*by, "_range").agg(F.sum("n").alias("_in_range"))
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    offsets = totals.select(
+    return totals.select(
         *by,
         "_range",
+        "_in_range",
         F.coalesce(
             F.sum("_in_range").over(group.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
         ).alias("_before"),
         F.sum("_in_range").over(group).alias("total"),
     )
-    if not by:
-        offsets = F.broadcast(offsets)
-    return running.join(offsets, [*by, "_range"]).select(
-        *by, value, "n", (F.col("_inside") + F.col("_before")).alias("cum"), "total"
+
+
+def _counted_on(ranged: DataFrame, value: str, by: list[str], offsets: DataFrame) -> DataFrame:
+    """(by, value, n, cum, total) in the ranges that the offsets name."""
+    inside = W.partitionBy(*by, "_range").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return ranged.join(offsets, [*by, "_range"]).select(
+        *by, value, "n", (F.sum("n").over(inside) + F.col("_before")).alias("cum"), "total"
     )
 
 
+def cumulative_counts(
+    counts: DataFrame, value: str, by: Sequence[str] = (), ranges: int | None = None
+) -> DataFrame:
+    """(by, value, n) plus ``cum``, the rows up to and including the value, and ``total``."""
+    by = list(by)
+    ranged = _with_range(counts, value, ranges or _ranges(counts))
+    offsets = _offsets(ranged, by)
+    return _counted_on(ranged, value, by, offsets if by else F.broadcast(offsets))
+
+
 def average_ranks(counts: DataFrame, value: str, by: Sequence[str] = (), rank: str = "rank") -> DataFrame:
     """(by, value, rank, total): tied rows share the mean of their positions."""
     cumulative = cumulative_counts(counts, value, by)
@@ -95,7 +108,14 @@ def quantiles_of_counts(
     counts: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated exact quantiles, one column per name, one row per group."""
-    cumulative = cumulative_counts(counts, value, by)
+    by = list(by)
+    ranged = _with_range(counts, value, _ranges(counts))
+    offsets = _offsets(ranged, by)
+    # the places asked for lie in a few ranges of each group: rows of the others are neither shuffled nor sorted
+    places = [rounded((F.col("total") - 1) * p) for p in probabilities.values() for rounded in (F.floor, F.ceil)]
+    holds = [(F.col("_before") <= k) & (k < F.col("_before") + F.col("_in_range")) for k in places]
+    wanted = offsets.where(reduce(or_, holds))
+    cumulative = _counted_on(ranged, value, by, wanted if by else F.broadcast(wanted))
     total = F.max("total")
     columns = []
     for name, p in probabilities.items():
@@ -116,13 +136,10 @@ def exact_quantiles(
 
 def exact_medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by, measure, median): all columns in one pass, told apart by ``measure``."""
-    longer = df.select(
-        *by,
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns])
-        ),
-    )
-    return exact_quantiles(longer, "value", {"median": 0.5}, [*by, "measure"])
+    # numbers stand for the names, which would weigh on every row of the shuffles
+    told = [F.struct(F.lit(i).alias("_measure"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)]
+    found = exact_quantiles(df.select(*by, F.inline(F.array(*told))), "value", {"median": 0.5}, [*by, "_measure"])
+    return found.select(*by, F.array(*map(F.lit, columns))[F.col("_measure")].alias("measure"), "median")
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], number: str) -> DataFrame:

@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 # forced because a single key may hold a large part of a table.
 # Methods too long for the JIT compiler would run interpreted: wide projections
 # then use Spark's split code instead of one generated method.
+# Shuffles pack narrow rows closely, and a task may hold several times their
+# size in hash maps and sorts: small partitions keep it bounded at any input.
 SESSION_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

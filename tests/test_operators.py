@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratinglens.labels import ZH
 from ratinglens.operators import categories, charts, coverage, crawl_log, membership, ordered, quadrants, sketches, snapshot, stats
-from ratinglens.operators.ordered import average_ranks, cumulative_counts, exact_quantiles, numbered, value_counts
+from ratinglens.operators.ordered import average_ranks, cumulative_counts, exact_medians, exact_quantiles, numbered, value_counts
 from ratinglens.session import staged
 from ratinglens.sources import versions
 
@@ -57,6 +57,28 @@ def test_average_ranks_equal_pandas(skewed):
     assert got == pytest.approx(want)
 
 
+def test_counts_of_quantiles_and_ranks_are_shuffled_once(spark):
+    df = spark.range(2000).select((F.col("id") % 7).alias("g"), F.col("id").cast("double").alias("x"), (F.col("id") * 37 % 101).alias("y"))
+    for found, key in ((exact_medians(df, ["x", "y"], ["g"]), "_measure"), (exact_quantiles(df, "x", {"m": 0.5}, ["g"]), "g")):
+        assert found.count() in (7, 14)
+        plan = found._jdf.queryExecution().executedPlan()
+        found.collect()
+        text = plan.toString()
+        assert "ReusedExchange" in text or "ReusedSubquery" in text
+        # the shuffled counts are asked for no range, which they don't hold yet
+        assert "isnotnull(aggregate(" not in text
+    got = {(r.g, r.measure): r.median for r in exact_medians(df, ["x", "y"], ["g"]).collect()}
+    frame = df.toPandas()
+    assert got == {(g, c): frame[frame.g == g][c].median() for g in range(7) for c in ("x", "y")}
+
+
+def test_quantiles_without_rows(spark):
+    df = spark.createDataFrame([("a", None)], "g string, x double")
+    assert exact_quantiles(df, "x", {"m": 0.5}).collect() == [(None,)]
+    assert exact_quantiles(df, "x", {"m": 0.5}, ["g"]).collect() == []
+    assert exact_medians(df, ["x"], ["g"]).collect() == []
+
+
 def test_spearman(spark, skewed):
     frame, df = skewed
     table = df.withColumn("k", F.lit(1.0)).withColumn("up", F.exp(F.col("x") / 1e6))
