@@ -29,13 +29,14 @@ def spearman(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     for (name, own, other), gap in zip(sides, gaps, strict=True):
         key = rank_of[name, own] = f"{own} in {name}" if gap else own
         values[key] = F.when(F.col(other).isNotNull(), F.col(own)) if gap else F.col(own)
-    listed = F.array(*(F.struct(F.lit(key).alias("k"), value.alias("v")) for key, value in values.items()))
+    # numbers stand for the names, which would weigh on every row of the shuffles and sorts
+    place = {key: f"r{i}" for i, key in enumerate(values)}
+    listed = F.array(*(F.struct(F.lit(i).alias("k"), value.alias("v")) for i, value in enumerate(values.values())))
     longer = cells.select("_id", "_n", F.inline(listed)).where("v IS NOT NULL")
     ranks = average_ranks(longer.groupBy("k", "v").agg(F.sum("_n").alias("n")), "v", ["k"])
     centred = F.col("rank") - (F.col("total") + 1) / 2
-    place = {key: f"r{i}" for i, key in enumerate(values)}
     wide = longer.join(ranks, ["k", "v"]).groupBy("_id", "_n").agg(
-        *(F.max(F.when(F.col("k") == key, centred)).alias(column) for key, column in place.items())
+        *(F.max(F.when(F.col("k") == i, centred)).alias(column) for i, column in enumerate(place.values()))
     )
     found = []
     for name, (x, y) in pairs.items():
