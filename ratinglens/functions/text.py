@@ -12,7 +12,10 @@ from ratinglens.labels import PLACEHOLDERS
 
 # The Unicode white space characters. Listed, since Java's own
 # Unicode class misses four of them and is slow to match.
-_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_OTHER_SPACE = r"[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_SPACE = rf"[ {_OTHER_SPACE[1:]}"
+# Runs that are not one blank already: a text without them is passed on as it is.
+_UNEVEN = rf"{_OTHER_SPACE}{_SPACE}*| {_SPACE}+"
 
 
 def strip(c: Column) -> Column:
@@ -22,7 +25,7 @@ def strip(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Collapse runs of Unicode white space to one blank and trim."""
-    return F.trim(F.regexp_replace(c, rf"{_SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, _UNEVEN, " "))
 
 
 def without_placeholder(text: Column, placeholders: Sequence[str] = PLACEHOLDERS) -> Column:

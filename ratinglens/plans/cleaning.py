@@ -201,21 +201,32 @@ def finish_entities(marked: DataFrame, labels: Labels) -> DataFrame:
     return final.select(*fields_of("details"), *DERIVED_FIELDS)
 
 
-def clean_entities(raw: DataFrame, rules: EntityRules = EntityRules(), stage: bool = True) -> CleanEntities:
+def clean_entities(
+    raw: DataFrame, rules: EntityRules = EntityRules(), stage: bool = True, audit: bool = False
+) -> CleanEntities:
     """Cleaned table, quality report and rule table.
 
     The snapshot is written once to the shared folder: the scalar passes, the
     report and the result then read narrow Parquet columns instead of repeating
-    the snapshot shuffle. Without ``stage`` nothing runs here.
+    the snapshot shuffle. Without ``stage`` nothing runs here. With ``audit`` all
+    rows are normalised and written once, for the snapshot and for the report and
+    the rule table, which else normalise the raw input once more.
     """
     require_columns(raw, fields_of("details"), "entity details")
-    snapshot = entity_snapshot(raw, rules.ties)
+    normalised = normalise_entities(raw)
+    # ties are broken by the raw texts, so a text among them needs the raw rows
+    if stage and audit and not set(rules.ties) & set(TEXT_FIELDS):
+        normalised = staged(normalised, "normalised-entities")
+        keyed = normalised.where(F.col("entity_id").isNotNull()).withColumn("_captured", capture_instant(F.col("captured_at")))
+        snapshot = latest_snapshot(keyed, "entity_id", "_captured", rules.ties)
+    else:
+        snapshot = entity_snapshot(raw, rules.ties)
     if stage:
         snapshot = staged(snapshot, "entity-snapshot")
     marked = mark_entities(snapshot, rules)
     return CleanEntities(
         finish_entities(marked, rules.labels),
-        lambda: audit_counts(normalise_entities(raw), marked, rules.years, rules.labels),
+        lambda: audit_counts(normalised, marked, rules.years, rules.labels),
         texts_of(rules.labels),
         rules.years,
     )

@@ -179,3 +179,14 @@ def test_without_useful_votes_the_plain_mean_counts(spark):
     given = comments(spark, [{"comment_id": f"n-{i}", "star": s, "useful": u, "title": None} for i, (s, u) in enumerate(stars)])
     rows = star_metrics(clean_comments(given)).collect()
     assert len(rows) == 1 and rows[0]["rated"] == 2 and rows[0]["useful_weighted_star"] == 3.5
+
+
+def test_rows_normalised_once_give_the_same_tables(spark):
+    rows = table(spark, {}, {"entity_id": " k-40 ", "captured_at": "2024-05-21T06:30:00Z", "title": "later"}, {"entity_id": None}, {"entity_id": "k-41", "directors": None})
+
+    def tables(rules, audit):
+        made = clean_entities(rows, rules, audit=audit)
+        return [sorted(map(str, t.collect())) for t in (made.cleaned, made.report, made.rules)]
+
+    for rules in (EntityRules(), EntityRules(ties=("title", "seq"))):
+        assert tables(rules, True) == tables(rules, False)

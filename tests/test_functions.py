@@ -14,6 +14,16 @@ def values(spark, inputs, expr, kind="string"):
     return [r[0] for r in rows.orderBy("i").select(expr(F.col("c"))).collect()]
 
 
+def test_only_uneven_space_is_rewritten(spark):
+    spaces = [" ", "\t", "\n", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000"]
+    texts = ["a b c", "", " ", "  ", *(f"{x}a{y}{z}b{y}" for x in ["", *spaces] for y in spaces for z in ["", *spaces])]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.t for r in df.select(text.squeeze(F.col("t")).alias("t")).collect()]
+    assert got == [" ".join(t.split()) for t in texts]
+    even = df.where(F.col("t") == "a b c")
+    assert even.where(F.col("t").rlike(text._UNEVEN)).count() == 0
+
+
 def test_text_is_squeezed_and_placeholders_are_missing(spark):
     given = ["  a \t b　c ", "NaN", " NULL ", "暂无", "<NA>", "", None, "none such"]
     assert values(spark, given, text.clean_text) == ["a b c", None, None, None, None, None, None, "none such"]

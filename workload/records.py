@@ -642,7 +642,7 @@ QUALITY_FLAGS = with_ctes(
 
 
 def quality_report(spark: SparkSession, d: str) -> DataFrame:
-    report = clean_entities(entities_raw(spark, d), RULES).report
+    report = clean_entities(entities_raw(spark, d), RULES, audit=True).report
     return report.withColumn("share", F.round("share", 6))
 
 
