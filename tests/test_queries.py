@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF_DIR), con, SQL[name], name in MAY_BE_EMPTY) == ""
 
 
-@pytest.mark.parametrize("name", ["quality_report"])
+@pytest.mark.parametrize("name", ["quality_report", "rule_hits"])
 def test_the_reports_build_the_raw_rows_once(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan

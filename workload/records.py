@@ -696,7 +696,7 @@ QUALITY_REPORT = with_ctes(
 
 
 def rule_hits(spark: SparkSession, d: str) -> DataFrame:
-    return clean_entities(entities_raw(spark, d), RULES).rules
+    return clean_entities(entities_raw(spark, d), RULES, audit=True).rules
 
 
 RULE_HITS = with_ctes(
