@@ -11,6 +11,7 @@ from ratinglens.plans.analysis import analysis_tables
 from ratinglens.plans.cleaning import clean_comments, clean_entities
 from ratinglens.session import staged
 from tests.test_cleaning import comments, table
+from workload.standins import entities
 
 
 def test_all_result_tables(spark):
@@ -84,3 +85,25 @@ def test_shares_over_neighbouring_years_count_all_their_rows(spark):
     )
     groups = {(r.span, r.category): r.share for r in grouped_category_share(df, (2010, 2020), 5).collect()}
     assert groups == pytest.approx({(2010, "a"): 2 / 6, (2010, "b"): 4 / 6, (2020, "a"): 1.0})
+
+
+def test_origins_without_sets_of_places(spark, tmp_path):
+    regions = ["ASIA", "AFRICA", "EUROPE", "MIDDLE EAST", "null", None]
+    made = {
+        "region": ([(i, r) for i, r in enumerate(regions)], "r_regionkey long, r_name string"),
+        "nation": ([(i, i) for i in range(6)], "n_nationkey long, n_regionkey long"),
+        "supplier": ([(i, i) for i in range(6)] + [(5, 2)], "s_suppkey long, s_nationkey long"),
+        "part": ([(1, "STEEL")], "p_partkey long, p_type string"),
+        # every set of regions, one without lines, a repeated order and one without a key
+        "orders": ([(k, 10.0, None) for k in [*range(64), 99, 1, None]], "o_orderkey long, o_totalprice double, o_orderdate date"),
+        "lineitem": (
+            [(k, 1, s, 2.0) for k in range(64) for s in range(6) if k >> s & 1] + [(7, 1, None, 1.0), (None, 1, 0, 1.0), (3, 1, 0, 4.0)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double",
+        ),
+    }
+    for name, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    columns = ("entity_id", "origin", "score", "votes", "short_rate")
+    narrow, whole = entities(spark, str(tmp_path), columns), entities(spark, str(tmp_path)).select(*columns)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.collect()))
+    assert "collect_set" not in narrow._jdf.queryExecution().optimizedPlan().toString()

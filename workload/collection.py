@@ -220,7 +220,8 @@ COLLECTION_LOSS = with_ctes(
 
 
 def _analysed(spark: SparkSession, d: str) -> DataFrame:
-    rows = stored_entities(spark, d)
+    # the columns that the summary reads: without categories no sets of part types are built
+    rows = stored_entities(spark, d, "entity_id", "year", "origin", "score", "votes", "short_rate", "long_rate")
     rated = rated_rows(rows)
     mean = rated.agg(F.avg("score").alias("c")).scalar()
     votes = exact_quantiles(rated, "votes", {"m": 0.5}).scalar()

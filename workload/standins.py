@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratinglens.functions.rating import origin_class, participation
-from ratinglens.labels import EN
+from ratinglens.labels import EN, PLACEHOLDERS
 from ratinglens.plans.cleaning import EntityRules
 from ratinglens.session import staged
 
@@ -84,11 +84,36 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: line count, quantities, and the places of its regions as far as the origin class tells them apart.
+
+    Flags instead of sets: they are aggregated by hash, and one region stands for all that are neither home nor special.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    places = (
+        table(spark, sf_dir, "supplier")
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("s_suppkey").alias("l_suppkey"), "r_name")
+    )
+    named = {name: F.col("r_name") == name for name in (HOME, *SPECIAL)}
+    other = ~F.col("r_name").isin(*named) & ~F.lower("r_name").isin(*PLACEHOLDERS)
+    flags = named | {"elsewhere": other}
+    return (
+        lines.join(places, "l_suppkey", "left")
+        .groupBy(F.col("l_orderkey").alias("k"))
+        .agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"), *(F.bool_or(c).alias(n) for n, c in flags.items()))
+        .select("k", "lines", "quantity", F.array_compact(F.array(*(F.when(F.col(n), n) for n in flags))).alias("regions"))
+    )
+
+
 def entities(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ENTITY_COLUMNS) -> DataFrame:
     """Clean entities: an order with its score, votes, categories and origin; parts and places are joined if asked for."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_totalprice", "o_orderdate")
     described = set(columns) - set(PLAIN_COLUMNS)
-    joined = orders.join((order_lines if described else order_counts)(spark, sf_dir), "k", "left")
+    described_lines = order_origins if described == {"origin"} else order_lines if described else order_counts
+    joined = orders.join(described_lines(spark, sf_dir), "k", "left")
+    regions = F.col("regions") if described == {"origin"} else F.split("regions", " / ")
     votes = F.when(F.col("lines") > 0, F.floor("o_totalprice").cast("bigint"))
     all_columns = {
         "entity_id": _text(F.col("k")),
@@ -96,7 +121,7 @@ def entities(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ENTITY_C
         "year": F.year("o_orderdate"),
         "categories": F.col("types"),
         "places": F.col("regions"),
-        "origin": origin_class(F.split("regions", " / "), HOME, SPECIAL, EN),
+        "origin": origin_class(regions, HOME, SPECIAL, EN),
         "score": F.round(F.col("quantity") / F.col("lines") / 5, 1),
         "votes": votes,
         "short_rate": participation(F.col("k") % 5000, votes),

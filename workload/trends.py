@@ -132,7 +132,7 @@ YEARLY_ORIGIN_SHARE = with_ctes(
 
 
 def origin_statistics(spark: SparkSession, d: str) -> DataFrame:
-    stats = cats.origin_statistics(stored_entities(spark, d), YEARS)
+    stats = cats.origin_statistics(stored_entities(spark, d, "year", "origin", "score", "votes"), YEARS)
     return stats.select(
         "origin", "n", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"), "median_votes"
     )
