@@ -40,6 +40,19 @@ DERIVED_FIELDS = (
     "in_rating_sample", "in_study_period", "shrunk_score", "quality_flags",
 )
 
+#: The texts that a column of the cleaned table is made of, beside the id and the capture time, for those that need few.
+SOURCES = {
+    "year": ("year",),
+    "score": ("score", "votes"),
+    "votes": ("votes",),
+    "categories": ("categories",),
+    "origin": ("places",),
+    "short_rate": ("short_count", "votes"),
+    "long_rate": ("long_count", "votes"),
+    "in_rating_sample": ("score", "votes"),
+    "in_study_period": ("year",),
+}
+
 
 @dataclass(frozen=True)
 class EntityRules:
@@ -88,6 +101,16 @@ def normalise_entities(raw: DataFrame) -> DataFrame:
     return final.select(*kept, *TEXT_FIELDS, changed.alias("_changed"))
 
 
+def narrowed(raw: DataFrame, columns: Sequence[str], ties: Sequence[str]) -> DataFrame:
+    """The raw rows with only the texts that the given columns of ``SOURCES`` are made of; the other ones are NULL.
+
+    What would make those texts, sort and carry them is then neither run nor written.
+    """
+    needed = {"entity_id", "captured_at", *ties, *(source for c in columns for source in SOURCES[c])}
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in raw.schema if f.name in fields_of("details") and f.name not in needed}
+    return raw.withColumns(empty)
+
+
 def entity_snapshot(raw: DataFrame, ties: Sequence[str]) -> DataFrame:
     """Newest capture per entity id in canonical text; rows without id are dropped.
 
@@ -202,7 +225,7 @@ def finish_entities(marked: DataFrame, labels: Labels) -> DataFrame:
 
 
 def clean_entities(
-    raw: DataFrame, rules: EntityRules = EntityRules(), stage: bool = True, audit: bool = False
+    raw: DataFrame, rules: EntityRules = EntityRules(), stage: bool = True, audit: bool = False, columns: Sequence[str] = ()
 ) -> CleanEntities:
     """Cleaned table, quality report and rule table.
 
@@ -210,9 +233,17 @@ def clean_entities(
     report and the result then read narrow Parquet columns instead of repeating
     the snapshot shuffle. Without ``stage`` nothing runs here. With ``audit`` all
     rows are normalised and written once, for the snapshot and for the report and
-    the rule table, which else normalise the raw input once more.
+    the rule table, which else normalise the raw input once more. With ``columns``,
+    of ``SOURCES``, the cleaned table has the id and these alone, and only their
+    texts are read; there is no report then.
     """
     require_columns(raw, fields_of("details"), "entity details")
+    if columns:
+        if audit:
+            raise ValueError("the report needs all columns")
+        narrow = entity_snapshot(narrowed(raw, columns, rules.ties), rules.ties)
+        marked = mark_entities(staged(narrow, "entity-snapshot") if stage else narrow, rules)
+        return CleanEntities(finish_entities(marked, rules.labels).select("entity_id", *columns), _no_counts)
     normalised = normalise_entities(raw)
     # ties are broken by the raw texts, so a text among them needs the raw rows
     if stage and audit and not set(rules.ties) & set(TEXT_FIELDS):
@@ -232,6 +263,10 @@ def clean_entities(
     )
 
 
+def _no_counts() -> DataFrame:
+    raise ValueError("the report needs all columns")
+
+
 def clean_comments(raw: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFrame:
     """Last row per (comment, label), with typed star, votes, position and times."""
     require_columns(raw, fields_of("comments"), "comments")

@@ -10,7 +10,7 @@ from ratinglens.contracts import ContractError, bronze_schema, fields_of
 from ratinglens.labels import ZH
 from ratinglens.operators.stats import star_metrics
 from ratinglens.report_texts import ZH_TEXTS
-from ratinglens.plans.cleaning import DERIVED_FIELDS, EntityRules, clean_comments, clean_entities
+from ratinglens.plans.cleaning import DERIVED_FIELDS, SOURCES, EntityRules, clean_comments, clean_entities, narrowed
 
 BASE = dict(
     entity_id="k-40", title="Quiet  Harbour", original_title="", directors="I. Vale", actors="M. Orr / P. Sand", year="2014",
@@ -190,3 +190,15 @@ def test_rows_normalised_once_give_the_same_tables(spark):
 
     for rules in (EntityRules(), EntityRules(ties=("title", "seq"))):
         assert tables(rules, True) == tables(rules, False)
+
+
+@pytest.mark.parametrize("column", SOURCES)
+def test_few_columns_read_few_texts(spark, column):
+    given = table(spark, {}, {"score": "0", "captured_at": None}, {"entity_id": "k-41", "places": "", "categories": " NULL ", "votes": "x"}, {"entity_id": None})
+    whole = clean_entities(given).cleaned.select("entity_id", column)
+    part = clean_entities(given, columns=[column])
+    assert sorted(map(str, part.cleaned.collect())) == sorted(map(str, whole.collect()))
+    read = narrowed(given, [column], ("seq",)).first().asDict()
+    assert {c for c, v in read.items() if v is not None} <= {"entity_id", "captured_at", "seq", *SOURCES[column]}
+    with pytest.raises(ValueError):
+        _ = part.report

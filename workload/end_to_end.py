@@ -14,8 +14,8 @@ from workload.standins import CTE, RULES, YEARS, entities_raw, with_ctes
 from workload.trends import SHARE_SQL
 
 
-def _cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return clean_entities(entities_raw(spark, d), RULES).cleaned
+def _cleaned(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return clean_entities(entities_raw(spark, d), RULES, columns=columns).cleaned
 
 
 def _on_cleaned(*names: str, body: str) -> str:
@@ -25,14 +25,14 @@ def _on_cleaned(*names: str, body: str) -> str:
 
 
 def cleaned_quadrants(spark: SparkSession, d: str) -> DataFrame:
-    return entity_quadrants(_cleaned(spark, d), EN).select("entity_id", "score", "votes", "quadrant")
+    return entity_quadrants(_cleaned(spark, d, "score", "votes"), EN).select("entity_id", "score", "votes", "quadrant")
 
 
 CLEANED_QUADRANTS = _on_cleaned("rated", body=QUADRANT_SQL)
 
 
 def cleaned_category_share(spark: SparkSession, d: str) -> DataFrame:
-    share = cats.yearly_category_share(_cleaned(spark, d), YEARS, EN)
+    share = cats.yearly_category_share(_cleaned(spark, d, "year", "categories"), YEARS, EN)
     return share.select("year", "category", F.round("weight", 6).alias("weight"), F.round("share", 6).alias("share"))
 
 
@@ -42,7 +42,7 @@ CLEANED_CATEGORY_SHARE = _on_cleaned(
 
 
 def cleaned_origin_statistics(spark: SparkSession, d: str) -> DataFrame:
-    stats = cats.origin_statistics(_cleaned(spark, d), YEARS)
+    stats = cats.origin_statistics(_cleaned(spark, d, "year", "origin", "score", "votes"), YEARS)
     return stats.select(
         "origin", "n", F.round("mean_score", 6).alias("mean_score"), F.round("median_score", 6).alias("median_score"), "median_votes"
     )

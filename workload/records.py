@@ -51,6 +51,10 @@ def _r(name: str, digits: int = 6):
     return F.round(name, digits).alias(name)
 
 
+def _cleaned(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return clean_entities(entities_raw(spark, d), RULES, columns=columns).cleaned
+
+
 def _marked(spark: SparkSession, d: str) -> DataFrame:
     snapshot = entity_snapshot(entities_raw(spark, d), RULES.ties)
     return mark_entities(staged(snapshot, "entity-snapshot"), RULES)
@@ -614,7 +618,7 @@ CLEANED_IN_SOURCE_ORDER = with_ctes("entities_snap", body="SELECT seq, entity_id
 
 
 def participation_rates(spark: SparkSession, d: str) -> DataFrame:
-    return _marked(spark, d).select("entity_id", _r("short_rate"), _r("long_rate"))
+    return _cleaned(spark, d, "short_rate", "long_rate").select("entity_id", _r("short_rate"), _r("long_rate"))
 
 
 PARTICIPATION_RATES = with_ctes(
@@ -624,7 +628,7 @@ PARTICIPATION_RATES = with_ctes(
 
 
 def inclusion_flags(spark: SparkSession, d: str) -> DataFrame:
-    return _marked(spark, d).select("entity_id", "in_rating_sample", "in_study_period")
+    return _cleaned(spark, d, "in_rating_sample", "in_study_period")
 
 
 INCLUSION_FLAGS = with_ctes(
