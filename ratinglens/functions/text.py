@@ -18,9 +18,12 @@ _SPACE = rf"[ {_OTHER_SPACE[1:]}"
 _UNEVEN = rf"{_OTHER_SPACE}{_SPACE}*| {_SPACE}+"
 
 
+_SPACES = "".join(map(chr, (32, *range(9, 14), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
     """Remove Unicode white space at both ends."""
-    return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def squeeze(c: Column) -> Column:
@@ -84,8 +87,8 @@ def join_names(items: Column, limit: int | None = None) -> Column:
     """Names of an array of structs; the limit counts items before empty names go."""
     if limit is not None:
         items = F.slice(items, 1, limit)
-    names = F.transform(items, lambda item: F.coalesce(item["name"], F.lit("")))
-    kept = F.transform(F.filter(names, lambda name: name != ""), strip)
+    named = F.filter(items, lambda item: item["name"] != "")
+    kept = F.transform(named, lambda item: strip(item["name"]))
     return F.coalesce(F.array_join(kept, " / "), F.lit(""))
 
 

@@ -147,3 +147,20 @@ def test_capture_times_in_other_layouts(spark):
     given = ["2026/01/01 10:00:00+08:00", "20260101T020000Z", "2026-01-01T02:00:00Z", "2026.1.1 02:00:00Z", "02:00:00Z", "2026/01/01 10:00:00"]
     got = values(spark, given, lambda c: F.date_format(dates.capture_instant(c), "yyyy-MM-dd HH:mm"))
     assert got == ["2026-01-01 02:00"] * 3 + [got[3], None, None]
+
+
+def test_strip_takes_every_white_space_and_no_other_character(spark):
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [*(f"{s}{s}a{s}b{s}" for s in spaces), "\u200ba\u200b", "", " ", "\ufeffa"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(text.strip(F.col("t"))).collect()
+    assert [r[0] for r in found] == [t.strip() for t in texts]
+
+
+def test_a_rating_is_written_out_once(spark):
+    bodies = {'{"rating": {"value": 1}}': True, '{"rating": null}': True, "{}": True, '{"rating": ""}': True, '{"rating": 0.0}': True, '{"rating": []}': True,
+              '{"rating": false}': True, '{"rating": -0}': True, '{"rating": "x"}': False, '{"rating": 1}': False, '{"rating": 0.5}': False, '{"rating": [0]}': False,
+              '{"rating": "null"}': False, '{"rating": true}': False}
+    rows = spark.createDataFrame([(b, 200) for b in bodies], "body string, status int").select("status", "body", F.parse_json("body").alias("payload"))
+    tested = rows.select("body", payload.payload_reason(F.col("status"), F.col("payload")).isNull().alias("ok"))
+    assert {r.body: r.ok for r in tested.collect()} == bodies
+    assert tested._jdf.queryExecution().optimizedPlan().toString().count("StructsToJsonEvaluator") == 1

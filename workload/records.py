@@ -171,8 +171,9 @@ def detail_responses(spark: SparkSession, d: str) -> DataFrame:
 def landing(spark: SparkSession, d: str) -> str:
     """Folder of JSON lines with all responses; one order in 31 has a second line that breaks off."""
     path = durable_path(spark, "landed-lines")
-    whole = landed.lines_of(detail_responses(spark, d))
-    key = F.get_json_object("value", "$.entity_id").cast("bigint")
+    responses = detail_responses(spark, d)
+    whole = responses.select(F.col("entity_id").cast("bigint").alias("key"), F.to_json(F.struct(*responses.columns)).alias("value"))
+    key = F.col("key")
     lines = F.when(key % 31 == 0, F.array("value", F.expr("left(value, 40)"))).otherwise(F.array("value"))
     whole.select(F.explode(lines).alias("value")).write.text(path)
     return path
