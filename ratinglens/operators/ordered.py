@@ -53,7 +53,7 @@ def _with_range(counts: DataFrame, value: str, ranges: int) -> DataFrame:
     # the cuts hang on the count, so that the sketch reads the very shuffle the running count reads: Spark then computes it
     # once. Without rows there is no sketch to ask, and one range.
     sketch = counts.agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(accuracy)).alias("sketch"), F.max("n").alias("most"))
-    cuts = sketch.select(F.when(F.col("most") > 0, F.kll_sketch_get_quantile_double("sketch", fractions)).alias("cuts")).scalar()
+    cuts = sketch.select(F.kll_sketch_get_quantile_double(F.when(F.col("most") > 0, F.col("sketch")), fractions).alias("cuts")).scalar()
     steps = F.array(*(F.lit(1 << i) for i in reversed(range(ranges.bit_length()))))
     at = F.aggregate(
         steps,
