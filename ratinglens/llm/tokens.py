@@ -15,14 +15,15 @@ REMEMBERED = 220_000
 #: Characters of texts that are encoded together.
 CHARS_AT_ONCE = 1 << 20
 #: New pieces that are encoded as one text.
-JOINED = 512
+JOINED = 1_024
 
 # A space before a visible character always starts a piece of its own for a byte-level vocabulary.
 _ODD_SPACE = re.compile(r" (?![!-~]|\w)")
 _ODD_BREAK = re.compile(r"\n(?![!-~]|\w)")
 _PIECE_START = re.compile(r" (?=[!-~]|\w)")
-#: Signs that are a token group of their own between an ASCII letter and the end of a piece.
-_SIGNS = frozenset(".,!?|;:") | frozenset(bytes([c]) for c in b".,!?|;:")
+#: Signs of which a run is a token group of its own, or several, between an ASCII letter and the end of a piece.
+_SIGNS = ".,!?|;:#*$%&"
+_SIGN_BYTES = _SIGNS.encode()
 _LETTERS = frozenset(string.ascii_letters) | frozenset(bytes([c]) for c in string.ascii_letters.encode())
 
 
@@ -31,7 +32,7 @@ class PieceEncoder:
 
     A byte-level tokenizer cuts a text before each space that precedes a visible character, whatever stands
     around it. One that drops white space and case cuts it at white space. So pieces between such places are encoded
-    alone, once; a sign that ends a piece is encoded apart from the word before it.
+    alone, once; signs that end a piece are encoded apart from the word before them.
 
     A piece is bytes as it stands, or a string for the same with a space before it.
     """
@@ -74,19 +75,20 @@ class PieceEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers; none for a null."""
         cut = [self.pieces(t) if t else [] for t in texts]
-        found = [list(map(self.known.get, pieces)) for pieces in cut]
-        short = [k for k, ids in enumerate(found) if None in ids]
-        if short:
-            missing = {p for k in short for p, ids in zip(cut[k], found[k], strict=True) if ids is None}
-            fresh = {p: self.older[p] for p in missing if p in self.older}
-            fresh |= self._encoded(missing.difference(fresh))
-            for k in short:
-                found[k] = [fresh[p] if ids is None else ids for p, ids in zip(cut[k], found[k], strict=True)]
-            if len(fresh) <= REMEMBERED:
-                self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= 64)
-            if len(self.known) > REMEMBERED:  # what is met again soon comes over from the older generation
-                self.older, self.known = self.known, {}
-        return [b"".join(ids) for ids in found]
+        known, older = self.known, self.older
+        missing = set().union(*cut).difference(known)
+        if missing:
+            # all new pieces are known while these texts are put together; what is not to stay leaves after it
+            fresh = self._encoded(missing.difference(older))
+            fresh.update({p: older[p] for p in missing.intersection(older)})
+            known.update(fresh)
+        found = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        if missing:
+            for p in fresh if len(fresh) > REMEMBERED else [p for p in fresh if len(p) > 64]:
+                del known[p]
+        if len(known) > REMEMBERED:  # what is met again soon comes over from the older generation
+            self.older, self.known = known, {}
+        return found
 
     def encode_rows(self, rows: Iterable[tuple]) -> Iterator[tuple]:
         """(key, ids) for each (key, text), encoded some texts at a time."""
@@ -101,16 +103,18 @@ class PieceEncoder:
         yield from zip([k for k, _ in held], self.encode([t for _, t in held]), strict=True)
 
     def _encoded(self, new: set[str | bytes]) -> dict[str | bytes, bytes]:
-        """The ids of new pieces; words are looked up or encoded without the sign that ends them."""
-        known, ids, signed = self.known, {}, []
+        """The ids of new pieces; words are looked up or encoded without the signs that end them."""
+        known, ids, signed, plain = self.known, {}, [], []
         for p in new:
-            if p[-1:] in _SIGNS and p[-2:-1] in _LETTERS:
-                sign = p[-1:] if isinstance(p, bytes) else p[-1].encode()
-                signed.append((p, p[:-1], sign))
-                for part in (p[:-1], sign):
-                    ids[part] = known.get(part)
+            word = p.rstrip(_SIGNS) if isinstance(p, str) else p.rstrip(_SIGN_BYTES)
+            if len(word) < len(p) and word[-1:] in _LETTERS:
+                signs = p[len(word) :] if isinstance(p, bytes) else p[len(word) :].encode()
+                signed.append((p, word, signs))
+                ids[word], ids[signs] = known.get(word), known.get(signs)
             else:
-                ids[p] = None
+                plain.append(p)
+        for p in plain:
+            ids.setdefault(p)
         missing = [p for p, done in ids.items() if done is None]
         # pieces without a space before them cannot stand next to each other where spaces are kept
         alone = [p for p in missing if self.keeps_space and isinstance(p, bytes)]
@@ -119,8 +123,8 @@ class PieceEncoder:
         for at in range(0, len(joined), JOINED):
             part = joined[at : at + JOINED]
             ids.update(zip(part, self._together([" " + p if isinstance(p, str) else p.decode("utf-8", "surrogatepass") for p in part]), strict=True))
-        for p, word, sign in signed:
-            ids[p] = ids[word] + ids[sign]
+        for p, word, signs in signed:
+            ids[p] = ids[word] + ids[signs]
         return ids
 
 

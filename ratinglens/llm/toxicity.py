@@ -79,7 +79,8 @@ class Lengths:
 
     def cell(self, window: str) -> tuple[int, int]:
         body = CARRIER + f" {window} ".encode("utf-8", "surrogatepass")
-        ordinary, toxic = (len(c.compress(body)) - n for c, n in zip(self.coders, self.bare, strict=True))
+        (ordinary_coder, toxic_coder), (ordinary_bare, toxic_bare) = self.coders, self.bare
+        ordinary, toxic = len(ordinary_coder.compress(body)) - ordinary_bare, len(toxic_coder.compress(body)) - toxic_bare
         return min(ordinary, LONGEST), min(toxic, LONGEST)
 
 
@@ -94,11 +95,15 @@ class Model:
         def score(text: str | None) -> float:
             nonlocal known, older
             total, n = STEADY * self.usual, STEADY
-            for w, times in Counter(windows(text)).items():
-                if (weight := known.get(w)) is None:
-                    if (weight := older.get(w)) is None:
-                        weight = self.weights.get(lengths.cell(w), 0.0)
-                    known[w] = weight
+            counts = Counter(windows(text))
+            weights = list(map(known.get, counts))
+            if None in weights:
+                for k, w in enumerate(counts):
+                    if weights[k] is None:
+                        if (weight := older.get(w)) is None:
+                            weight = self.weights.get(lengths.cell(w), 0.0)
+                        weights[k] = known[w] = weight
+            for weight, times in zip(weights, counts.values(), strict=True):
                 total += weight * times
                 n += times
             if len(known) > REMEMBERED:  # windows met again soon come over from the older generation
@@ -229,13 +234,10 @@ def _fit_sample(sample: DataFrame) -> Model | None:
     measures = contents[1::-1] if len(there) == 4 else contents * 2
 
     def measured(rows):
-        lengths: dict = {}
         for toxic, half, text in rows:
-            if half not in lengths:
-                lengths[half] = functools.lru_cache(REMEMBERED)(Lengths(*measures[half]).cell)
-            cells: Counter = Counter()
+            cell, cells = _remembered_cell(*measures[half]), Counter()
             for w, n in Counter(windows(text)).items():
-                cells[lengths[half](w)] += n
+                cells[cell(w)] += n
             yield toxic, pickle.dumps(cells)
 
     met = [(r["toxic"], pickle.loads(r["cells"])) for r in map_rows(sample, "toxic int, cells binary", measured).collect()]
@@ -287,8 +289,15 @@ def _count_parts(rows):
     yield from ((p, *n) for p, n in held.items())
 
 
+@functools.lru_cache(maxsize=2)
+def _remembered_cell(toxic: bytes, ordinary: bytes):
+    """The cell of a window, with the cells of earlier tasks of the same Python worker remembered."""
+    return functools.lru_cache(REMEMBERED)(Lengths(toxic, ordinary).cell)
+
+
 @functools.lru_cache(maxsize=1)
 def _scorer(model: bytes):
+    _remembered_cell.cache_clear()  # fitting is over
     return pickle.loads(model).scorer()
 
 

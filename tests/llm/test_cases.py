@@ -418,3 +418,22 @@ def test_pieces_encoded_together_equal_pieces_alone(path):
         assert coder._together(bodies) == coder._one_by_one(bodies)
     # a piece that becomes longer is noticed, and all are encoded alone
     assert coder._together([f"{lead}ab", f"{lead}İx", f"{lead}cd"]) == coder._one_by_one([f"{lead}ab", f"{lead}İx", f"{lead}cd"])
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_word_is_encoded_once_whatever_signs_end_it(path):
+    coder, met = PieceEncoder(path), []
+    together = coder._together
+    coder._together = lambda bodies: (met.extend(bodies), together(bodies))[1]
+    texts = [" a zuberwh zuberwh, zuberwh,%%% zuberwh$$$ zuberwh&&&.", "zuberwh:: 12%% \u00e9&& x*y* 's' don't!? zuberwh#" + "!" * 90, None]
+    found = [list(np.frombuffer(ids, dtype="<u4")) for ids in coder.encode(texts)]
+    assert found == [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sum("zuberwh" in body for body in met) == 1
+    assert all(len(p) <= 64 for p in coder.known)
+
+
+def test_cells_are_remembered_from_task_to_task():
+    contents = (b" idiot  stupid ", b" good  morning ")
+    cell = toxicity._remembered_cell(*contents)
+    assert cell("stupid") == toxicity.Lengths(*contents).cell("stupid")
+    assert toxicity._remembered_cell(*contents) is cell and cell.cache_info().currsize == 1
