@@ -93,11 +93,11 @@ def test_origins_without_sets_of_places(spark, tmp_path):
         "region": ([(i, r) for i, r in enumerate(regions)], "r_regionkey long, r_name string"),
         "nation": ([(i, i) for i in range(6)], "n_nationkey long, n_regionkey long"),
         "supplier": ([(i, i) for i in range(6)] + [(5, 2)], "s_suppkey long, s_nationkey long"),
-        "part": ([(1, "STEEL")], "p_partkey long, p_type string"),
+        "part": ([(1, "STEEL"), (2, "TIN"), (2, "TIN"), (None, "TIN")], "p_partkey long, p_type string"),
         # every set of regions, one without lines, a repeated order and one without a key
         "orders": ([(k, 10.0, None) for k in [*range(64), 99, 1, None]], "o_orderkey long, o_totalprice double, o_orderdate date"),
         "lineitem": (
-            [(k, 1, s, 2.0) for k in range(64) for s in range(6) if k >> s & 1] + [(7, 1, None, 1.0), (None, 1, 0, 1.0), (3, 1, 0, 4.0)],
+            [(k, 1, s, 2.0) for k in range(64) for s in range(6) if k >> s & 1] + [(7, 1, None, 1.0), (None, 1, 0, 1.0), (3, 2, 0, 4.0)],
             "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double",
         ),
     }

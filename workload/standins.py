@@ -89,7 +89,9 @@ def order_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Flags instead of sets: they are aggregated by hash, and one region stands for all that are neither home nor special.
     """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    # a part or supplier given twice counts its lines twice, as in order_lines
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
     places = (
         table(spark, sf_dir, "supplier")
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -100,7 +102,8 @@ def order_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = ~F.col("r_name").isin(*named) & ~F.lower("r_name").isin(*PLACEHOLDERS)
     flags = named | {"elsewhere": other}
     return (
-        lines.join(places, "l_suppkey", "left")
+        lines.join(parts, "l_partkey", "left")
+        .join(places, "l_suppkey", "left")
         .groupBy(F.col("l_orderkey").alias("k"))
         .agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"), *(F.bool_or(c).alias(n) for n, c in flags.items()))
         .select("k", "lines", "quantity", F.array_compact(F.array(*(F.when(F.col(n), n) for n in flags))).alias("regions"))
