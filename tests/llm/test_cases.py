@@ -432,6 +432,52 @@ def test_a_word_is_encoded_once_whatever_signs_end_it(path):
     assert all(len(p) <= 64 for p in coder.known)
 
 
+class Counted(dict):
+    """A dictionary that counts what is asked of it."""
+
+    asked = 0
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_piece_is_looked_up_once_for_all_texts_of_a_call(path):
+    coder = PieceEncoder(path)
+    coder.known = Counted()
+    texts = ["zu ber\u00fch, wh\nzu! " * 500, " zu ber\u00fch wh" * 300] * 4
+    found = [list(np.frombuffer(ids, dtype="<u4")) for ids in coder.encode(texts)]
+    assert found == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert coder.known.asked < 50
+
+
+def test_words_after_line_breaks_are_encoded_together():
+    coder, alone = PieceEncoder(BYTES), []
+    one_by_one = coder._one_by_one
+    coder._one_by_one = lambda bodies: (alone.extend(bodies), one_by_one(bodies))[1]
+    text = "\n".join(["zuberwh", "\u00fcber", "12", "<x", "\U0001d4b3y", "zuberwh."])
+    assert list(np.frombuffer(coder.encode([text])[0], dtype="<u4")) == coder.tokenizer.encode(text).ids
+    assert alone == ["\n"]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_texts_of_a_call_keep_apart(path):
+    coder = PieceEncoder(path)
+    rng = np.random.default_rng(5)
+    signs = [*"ab Z9 \n\t  .,!#'$\u00e9\u4e2d\u2014\u00a0\u0301\U0001f600\U0001d4b3\U00020000", "abc", " x.", ".\n", "!!", "\n\n", "'s"]
+    for size in (0, 1, 2, 3, 40, 400):
+        for _ in range(6):
+            texts = ["".join(rng.choice(signs, int(rng.integers(0, 9)))) or (None if rng.random() < 0.5 else "") for _ in range(size)]
+            found = [list(np.frombuffer(ids, dtype="<u4")) for ids in coder.encode(texts)]
+            assert found == [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert coder.encode(["\u00a0", None, ""])[1:] == [b"", b""]
+
+
 def test_cells_are_remembered_from_task_to_task():
     contents = (b" idiot  stupid ", b" good  morning ")
     cell = toxicity._remembered_cell(*contents)
