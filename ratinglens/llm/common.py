@@ -81,6 +81,15 @@ def arrow_type(name: str) -> pa.DataType:
     return _ARROW[name]
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The table, marked so that a join with it deals both sides by key instead of sending one of them to the driver.
+
+    Spark broadcasts a side that it takes for small, but its sizes leave out the rows that an explode adds and what
+    packed columns grow to in memory. For tables that grow with the corpus.
+    """
+    return df.hint("merge")
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have."""
     while name in df.columns:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratinglens.llm.common import shuffled
 from ratinglens.session import staged
 
 
@@ -43,13 +44,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of each node go to its smallest neighbour or itself."""
     ways = _both_ways(edges)
     least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return ways.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return ways.where("b > a").join(shuffled(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and the node, go to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a")
+    joined = down.join(shuffled(least), "a")
     moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return moved.where("a <> b").distinct()

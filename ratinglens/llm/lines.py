@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratinglens.llm.common import shuffled
+
 MIN_SITES = 5
 #: log2 of the sketch's buckets; its relative error is about 1.04 / sqrt(2^12), far below the margin of 2 used here.
 SKETCH_BITS = 12
@@ -26,7 +28,7 @@ SALTS = 16
 
 def _salted(lines: DataFrame) -> DataFrame:
     """Each line under every salt, so that the rows of a frequent line meet it in many tasks."""
-    return lines.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return shuffled(lines.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
 
 
 def _pieces(text: str) -> Column:

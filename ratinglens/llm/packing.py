@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratinglens.llm.common import map_rows
+from ratinglens.llm.common import map_rows, shuffled
 from ratinglens.llm.tokens import encoder
 from ratinglens.session import staged
 
@@ -134,7 +134,7 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     counts = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
     places = plan([(r["length"], r["n"]) for r in counts], capacity)
     inside = Window.partitionBy("length", "_chunk").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = keyed.withColumn("_in", F.row_number().over(inside) - 1).join(bases, ["length", "_chunk"])
+    ranked = keyed.withColumn("_in", F.row_number().over(inside) - 1).join(shuffled(bases), ["length", "_chunk"])
     return _look_up(ranked.withColumn("_rank", F.col("_base") + F.col("_in")).drop("_chunk", "_in", "_base"), places)
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratinglens.llm.common import add_columns, map_rows, unused, utf8
+from ratinglens.llm.common import add_columns, map_rows, shuffled, unused, utf8
 from ratinglens.llm.components import components
 from ratinglens.session import staged
 
@@ -75,7 +75,7 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
         F.col("t").cast("byte").alias("t"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"
     )
     buckets = rows.groupBy("t", "key").agg(F.min("fp").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    met = staged(rows.join(buckets, ["t", "key"]).withColumn("near", distance("fp", "lead") <= radius), "buckets")
+    met = staged(rows.join(shuffled(buckets), ["t", "key"]).withColumn("near", distance("fp", "lead") <= radius), "buckets")
     direct = met.where("near and fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b")).distinct()
     direct = staged(direct, "near")
     # a bucket of two is settled; in a larger one, members far from the smallest may be near each other
@@ -84,12 +84,12 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
         return direct
     label = components(direct)
     members = (
-        met.join(unsure.drop("sure"), ["t", "key"])
-        .join(label.withColumnRenamed("node", "fp"), "fp", "left")
+        met.join(shuffled(unsure.drop("sure")), ["t", "key"])
+        .join(shuffled(label.withColumnRenamed("node", "fp")), "fp", "left")
         .select("t", "key", "fp", F.coalesce("component", "fp").alias("label"))
     )
     mixed = members.groupBy("t", "key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-    members = members.join(mixed.select("t", "key"), ["t", "key"])
+    members = members.join(shuffled(mixed.select("t", "key")), ["t", "key"])
     return direct.union(_between_components(members, radius))
 
 
@@ -97,7 +97,7 @@ def _between_components(members: DataFrame, radius: int) -> DataFrame:
     """Links between members of a bucket that are of different components, block of members against block."""
     block = F.pmod(F.xxhash64("fp"), F.greatest(F.ceil(F.col("size") / BLOCK), F.lit(1)))
     sizes = members.groupBy("t", "key").agg(F.count("*").alias("size"))
-    dealt = members.join(sizes, ["t", "key"]).withColumn("i", block)
+    dealt = members.join(shuffled(sizes), ["t", "key"]).withColumn("i", block)
     n_blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.lit(1))
     pairs = dealt.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1))).select(
         "t", "key", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), (F.col("i") <= F.col("j")).alias("left"), "fp", "label"
@@ -144,11 +144,11 @@ def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
         raise ValueError("radius from 0 to 7: the number of tables doubles with each bit")
     distinct = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     label = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
-    of_print = distinct.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    of_print = distinct.join(shuffled(label), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = of_print.groupBy("component").agg(
         F.min(F.struct(F.col("least").isNull(), "least", "fp")).alias("first")  # null ids only where there are no others
     )
-    return of_print.join(least, "component").select(
+    return of_print.join(shuffled(least), "component").select(
         "fp", F.col("first.least").alias("component_id"), (F.col("fp") == F.col("first.fp")).alias("keeps")
     )
 
@@ -175,7 +175,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     with the smallest hash of all its columns.
     """
     prints = _prints(docs, doc_id, text, words, keyed=True)
-    kept = groups(prints, radius).where("keeps").select("fp", F.col("component_id").alias("keeper"))
+    kept = shuffled(groups(prints, radius).where("keeps").select("fp", F.col("component_id").alias("keeper")))
     chosen = prints.join(kept, (prints["fp"] == kept["fp"]) & prints["id"].eqNullSafe(kept["keeper"]))
     chosen = chosen.groupBy(prints["fp"], "keeper").agg(F.min(F.struct("a", "b")).alias("own"), F.count("*").alias("rows"))
     own_id, a, b, rows = (unused(docs, name) for name in ("_kept_id", "_kept_a", "_kept_b", "_kept_rows"))
@@ -183,7 +183,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
         chosen.select(F.col("keeper").alias(own_id), F.col("own.a").alias(a), F.col("own.b").alias(b), F.col("rows").alias(rows)), "kept"
     )
     same = (F.xxhash64(F.col(text)) == F.col(a)) & (F.xxhash64(F.lit(1), F.col(text)) == F.col(b))
-    out = docs.join(chosen, F.col(doc_id).eqNullSafe(F.col(own_id)) & same)
+    out = docs.join(shuffled(chosen), F.col(doc_id).eqNullSafe(F.col(own_id)) & same)
     if not chosen.where(F.col(rows) > 1).isEmpty():
         rank = F.row_number().over(Window.partitionBy(own_id, a, b).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))))
         out = out.withColumn(rows, rank).where(F.col(rows) == 1)

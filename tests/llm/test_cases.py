@@ -20,6 +20,7 @@ from ratinglens.llm import (
 )
 from ratinglens.llm.components import components
 from ratinglens.llm.tokens import PieceEncoder, tokenizer_file
+from ratinglens.session import staged
 
 LONG = " ".join(f"word{i % 977} of{i}" for i in range(60_000))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, key int, n int, score string, _row int, h int"
@@ -483,3 +484,33 @@ def test_cells_are_remembered_from_task_to_task():
     cell = toxicity._remembered_cell(*contents)
     assert cell("stupid") == toxicity.Lengths(*contents).cell("stupid")
     assert toxicity._remembered_cell(*contents) is cell and cell.cache_info().currsize == 1
+
+
+def plan_of(df):
+    """The plans of a run, the first and the one that adaptive execution made of it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """The plans of all tables that the operators write."""
+    seen = []
+
+    def watched(df, name):
+        seen.append(plan_of(df))
+        return staged(df, name)
+
+    for module in ("components", "packing", "simhash"):
+        monkeypatch.setattr(f"ratinglens.llm.{module}.staged", watched)
+    return seen
+
+
+def test_pipeline_stages_broadcast_no_exploded_table(spark, plans):
+    """Small files may be large tables: what grows with the corpus is joined by key, also where Spark takes it for small."""
+    rows = [(i, f"own {i}\n shared \nlast", f"s{i % 6}") for i in range(12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cut = plan_of(lines.drop_shared_lines(table, min_sites=5))
+    assert "Join [a#" in cut and "BroadcastHashJoin [a#" not in cut
+    plans += [plan_of(simhash.keep_one(table)), plan_of(packing.pack(table, WORDS, 1, 64))]
+    assert len(plans) > 8 and not [p for p in plans if "Broadcast" in p]
