@@ -165,7 +165,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fp, component_id) for each document."""
     prints = _prints(docs, doc_id, text, words)
-    return prints.join(groups(prints, radius), "fp").select(F.col("id").alias(doc_id), "fp", "component_id")
+    return prints.join(shuffled(groups(prints, radius)), "fp").select(F.col("id").alias(doc_id), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:

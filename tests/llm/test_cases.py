@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratinglens.llm import (
     decontaminate,
@@ -18,7 +19,7 @@ from ratinglens.llm import (
     token_files,
     toxicity,
 )
-from ratinglens.llm.components import components
+from ratinglens.llm.components import _large_star, components
 from ratinglens.llm.tokens import PieceEncoder, tokenizer_file
 from ratinglens.session import staged
 
@@ -514,3 +515,31 @@ def test_pipeline_stages_broadcast_no_exploded_table(spark, plans):
     assert "Join [a#" in cut and "BroadcastHashJoin [a#" not in cut
     plans += [plan_of(simhash.keep_one(table)), plan_of(packing.pack(table, WORDS, 1, 64))]
     assert len(plans) > 8 and not [p for p in plans if "Broadcast" in p]
+
+
+def test_near_duplicates_broadcast_nothing(spark, plans, monkeypatch):
+    """Also where buckets are searched further, and in the rounds of the components."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    dense = [(i, 12345 ^ sum(1 << int(b) for b in rng.choice(32, 5, replace=False))) for i in range(60)]
+    plans.append(plan_of(simhash.groups(spark.createDataFrame(dense, "id long, fp long"))))
+    table = spark.createDataFrame([(i, f"one two three four five {i % 3}") for i in range(9)], "doc_id long, text string")
+    plans.append(plan_of(simhash.near_duplicates(table)))
+    assert len(plans) > 12 and not [p for p in plans if "Broadcast" in p]
+
+
+def test_a_hot_node_is_split(spark):
+    """The links of one node are dealt over several tasks, without a broadcast."""
+    edges = spark.range(1, 20_000, numPartitions=4).select(F.lit(0).cast("long").alias("a"), F.xxhash64("id").bitwiseAND((1 << 62) - 1).alias("b"))
+    with_others = edges.union(spark.range(1, 2_000).select((F.col("id") * 1009).alias("a"), (F.col("id") * 1009 + 7).alias("b")))
+    small = {f"spark.sql.adaptive.{k}": "16k" for k in ("advisoryPartitionSizeInBytes", "skewJoin.skewedPartitionThresholdInBytes")}
+    small |= {"spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        plan = plan_of(_large_star(with_others))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
